@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, language_id, quality_rules
+from . import chat_format, language_id, packing, quality_rules, token_blocks
 from .common import table
 
 
@@ -19,6 +19,11 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_records(records))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and its place there."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predicted language of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -26,6 +31,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model)
 
 
+def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the stream of token ids, as the written files have it."""
+    return token_blocks.read_shards(token_blocks.write_shards(table(spark, sf_dir, "documents")))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measurements and the cascade's verdict on every document."""
     return quality_rules.quality_verdicts(table(spark, sf_dir, "documents")).drop("rejected_by")
@@ -59,7 +69,9 @@ FROM base
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op5_language_id": op5_language_id,
+    "op9_token_blocks": op9_token_blocks,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {"op10_quality_rules": OP10_SQL}
