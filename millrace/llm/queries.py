@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, language_id, packing, quality_rules, token_blocks
+from . import chat_format, jaccard_join, language_id, packing, quality_rules, token_blocks
 from .common import table
 
 
@@ -31,6 +31,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model)
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate component."""
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the stream of token ids, as the written files have it."""
     return token_blocks.read_shards(token_blocks.write_shards(table(spark, sf_dir, "documents")))
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_language_id": op5_language_id,
+    "op6_jaccard_join": op6_jaccard_join,
     "op9_token_blocks": op9_token_blocks,
     "op10_quality_rules": op10_quality_rules,
 }
