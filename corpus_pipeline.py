@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import language_id, quality_rules
+from millrace.llm import decontaminate, jaccard_join, language_id, packing, quality_rules
 from millrace.llm.common import materialise, table
 
 
@@ -18,9 +18,27 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.filter_by_quality(docs)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate component."""
+    return jaccard_join.keep_one_of_each(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents that are left, each with its sequence."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("language_id", language_stage),
     ("quality_rules", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
 ]
 
 #: Not SQL: a trained model, a near-duplicate closure, approximate matching and bin packing.

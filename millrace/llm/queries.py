@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, jaccard_join, language_id, packing, quality_rules, token_blocks
+from . import chat_format, decontaminate, jaccard_join, language_id, packing, quality_rules, token_blocks
 from .common import table
 
 
@@ -36,6 +36,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every occurrence of a benchmark item in a document."""
+    return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the stream of token ids, as the written files have it."""
     return token_blocks.read_shards(token_blocks.write_shards(table(spark, sf_dir, "documents")))
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_language_id": op5_language_id,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op9_token_blocks": op9_token_blocks,
     "op10_quality_rules": op10_quality_rules,
 }
