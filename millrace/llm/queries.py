@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, jaccard_join, language_id, packing, quality_rules, token_blocks
+from . import chat_format, decontaminate, jaccard_join, language_id, packing, pu_quality, quality_rules, token_blocks
 from .common import table
 
 
@@ -24,6 +24,13 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    weights, _ = pu_quality.train(docs, table(spark, sf_dir, "labels"))
+    return pu_quality.score(docs, weights)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predicted language of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -80,6 +87,7 @@ FROM base
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_language_id": op5_language_id,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
