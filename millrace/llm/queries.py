@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, jaccard_join, language_id, packing, pu_quality, quality_rules, token_blocks
+from . import chat_format, context_mixing, decontaminate, jaccard_join, language_id, packing, pu_quality, quality_rules, token_blocks
 from .common import table
 
 
+def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log probability under the mixed model and under word frequencies."""
+    return context_mixing.score(table(spark, sf_dir, "documents"))
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all formatted conversations and of one made of control strings."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -85,6 +90,7 @@ FROM base
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_context_mixing": op1_context_mixing,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_classifier": op4_quality_classifier,
