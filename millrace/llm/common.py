@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +67,12 @@ def drop_materialised(*frames: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now and not when the driver next collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def doc_crc(column: str = "doc_id"):
     """crc32 of the id as text; null for a null id."""
     return F.crc32(F.col(column).cast("string").cast("binary"))
@@ -84,6 +92,45 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U64(32))
 
 
+#: Bits of a membership filter, and bits that travel together.
+FILTER_BITS, FILTER_BLOCK_BITS = 1 << 26, 1 << 20
+
+
+def filter_slots(ids: np.ndarray) -> np.ndarray:
+    """The bit of each 64-bit id in a membership filter."""
+    return (mix64(ids.astype(np.int64).view(np.uint64)) % _U64(FILTER_BITS)).astype(np.int64)
+
+
+def membership_filter(ids: DataFrame) -> np.ndarray:
+    """Bits, eight to a byte, that are set for every id of a one-column table; of a fixed size, whatever the table's."""
+
+    def slots(batches):
+        for batch in batches:
+            at = np.unique(filter_slots(batch.iloc[:, 0].to_numpy()))
+            yield pd.DataFrame({"block": at // FILTER_BLOCK_BITS, "bit": at % FILTER_BLOCK_BITS})
+
+    def join(batches):
+        blocks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, bits in batch.groupby("block")["bit"]:
+                blocks.setdefault(block, np.zeros(FILTER_BLOCK_BITS, dtype=bool))[bits.to_numpy()] = True
+        for block, bits in blocks.items():
+            yield pd.DataFrame({"block": [block], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+
+    n = FILTER_BITS // FILTER_BLOCK_BITS
+    parts = ids.mapInPandas(slots, "block long, bit long").repartition(n, "block").mapInPandas(join, "block long, bits binary")
+    out = np.zeros((n, FILTER_BLOCK_BITS // 8), dtype=np.uint8)
+    for block, bits in parts.collect():
+        out[block] = np.frombuffer(bits, dtype=np.uint8)
+    return out.ravel()
+
+
+def in_filter(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether each id may be a member; never false for a member."""
+    at = filter_slots(ids)
+    return (bits[at >> 3] >> (at & 7) & 1).astype(bool)
+
+
 class WordHashes(dict):
     """Memo from a word's bytes to a 64-bit hash; forgets all when full, which changes no hash."""
 
