@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, context_mixing, decontaminate, jaccard_join, language_id, packing, pu_quality, quality_rules, token_blocks
+from . import chat_format, context_mixing, decontaminate, jaccard_join, language_id, license_scan, packing, pu_quality, quality_rules, token_blocks
 from .common import table
 
 
@@ -53,6 +53,12 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every licence paragraph of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.scan(docs, license_scan.train(docs))
+
+
 def op9_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the stream of token ids, as the written files have it."""
     return token_blocks.read_shards(token_blocks.write_shards(table(spark, sf_dir, "documents")))
@@ -97,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_license_scan": op8_license_scan,
     "op9_token_blocks": op9_token_blocks,
     "op10_quality_rules": op10_quality_rules,
 }
