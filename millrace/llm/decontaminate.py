@@ -274,23 +274,27 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return result
 
 
+def _clean_texts(shared):
+    """A predicate on texts in which no item of a broadcast index is found."""
+
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = Index.__new__(Index)
+        known.__dict__.update(shared.value)
+        for batch in batches:
+            ok = np.ones(len(batch), dtype=bool)
+            for first, texts in _chunks(list(batch)):
+                for t, *_ in matches_of(known, texts):
+                    ok[first + t] = False
+            yield pd.Series(ok)
+
+    return clean
+
+
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no benchmark item is found, with all their columns; one pass per benchmark block."""
     spark = docs.sparkSession
     tune(spark)
     for block in benchmark_blocks(benchmark):
-        index = spark.sparkContext.broadcast(vars(Index(block)))
-
-        @F.pandas_udf("boolean")
-        def clean(batches: Iterator[pd.Series], shared=index) -> Iterator[pd.Series]:
-            known = Index.__new__(Index)
-            known.__dict__.update(shared.value)
-            for batch in batches:
-                ok = np.ones(len(batch), dtype=bool)
-                for first, texts in _chunks(list(batch)):
-                    for t, *_ in matches_of(known, texts):
-                        ok[first + t] = False
-                yield pd.Series(ok)
-
-        docs = docs.where(clean(F.col("text")))
+        docs = docs.where(_clean_texts(spark.sparkContext.broadcast(vars(Index(block))))(F.col("text")))
     return docs
