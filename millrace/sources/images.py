@@ -87,7 +87,7 @@ def parse_class_names(text: str) -> dict[int, str]:
     Reads the forms such files use and not YAML at large.
     """
     clean = lambda s: s.strip().strip("'\"")
-    found = re.search(r"(?m)^names\s*:\s*(.*)$", text or "")
+    found = re.search(r"(?m)^names[ \t]*:[ \t]*(.*)$", text or "")
     if not found:
         return dict(DEFAULT_CLASS_IDS)
     inline, names = found[1].split("#")[0].strip(), {}
