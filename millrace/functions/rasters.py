@@ -45,7 +45,8 @@ def _spread(n: int, m: int) -> np.ndarray:
 def resize_area(image: np.ndarray, height: int, width: int) -> np.ndarray:
     """Each new pixel is the mean of the area that it covers."""
     down, across = _spread(image.shape[0], height), _spread(image.shape[1], width)
-    return np.einsum("ij,jk...,lk->il...", down, image.astype(np.float64), across)
+    rows = np.tensordot(down, image.astype(np.float64), axes=1)
+    return np.moveaxis(np.tensordot(across, rows, axes=(1, 1)), 0, 1)
 
 
 def _taps(n: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
