@@ -38,8 +38,8 @@ def fit_temperature(logits: DataFrame, low: float = LOW, high: float = HIGH, poi
 
 
 def threshold_grid() -> list[float]:
-    """36 thresholds from 0.20 to 0.90 and 60 from 0.90 to 0.999, both ends included."""
-    return [0.20 + i * 0.70 / 35 for i in range(36)] + [0.90 + i * 0.099 / 59 for i in range(60)]
+    """36 thresholds from 0.20 to 0.90 and 60 from 0.90 to 0.999, both ends included, so 0.90 comes twice."""
+    return [0.20 + i * 0.70 / 35 for i in range(35)] + [0.90] + [0.90 + i * 0.099 / 59 for i in range(60)]
 
 
 def sweep(predicted: DataFrame, thresholds: list[float] | None = None) -> DataFrame:

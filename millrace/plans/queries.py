@@ -93,7 +93,7 @@ def softmax_entropy(spark: SparkSession, d: str) -> DataFrame:
     return rounded(scored(spark, d).select("id", "pred", "conf", scores.entropy(F.col("probs")).alias("entropy")), "conf", "entropy")
 
 
-SQL_SWEEP = """grid AS (SELECT DISTINCT t AS threshold FROM (SELECT 0.20::DOUBLE + i * 0.70::DOUBLE / 35 AS t FROM range(36) r(i) UNION ALL SELECT 0.90::DOUBLE + i * 0.099::DOUBLE / 59 FROM range(60) r(i))),
+SQL_SWEEP = """grid AS (SELECT DISTINCT t AS threshold FROM (SELECT 0.20::DOUBLE + i * 0.70::DOUBLE / 35 AS t FROM range(35) r(i) UNION ALL SELECT 0.90::DOUBLE + i * 0.099::DOUBLE / 59 FROM range(60) r(i))),
 hit AS (SELECT threshold, count(conf) FILTER (conf >= threshold) AS n_accepted, count(conf) FILTER (conf >= threshold AND NOT correct) AS n_wrong_accepted, count(*) AS total FROM grid CROSS JOIN test GROUP BY 1),
 swept AS (SELECT threshold, n_accepted / total AS coverage, CASE WHEN n_accepted > 0 THEN 1 - n_wrong_accepted / n_accepted ELSE 1.0 END AS selective_accuracy, n_accepted, n_wrong_accepted FROM hit)"""
 SQL_TEST = f"{sql_scored()}, test AS (SELECT * FROM scored WHERE split = 'test')"

@@ -146,10 +146,10 @@ def logits_from_npz(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows, "split string, id long, label int, logits array<double>")
 
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """A manifest from a JSON array or from one object per line."""
+def read_manifest(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
+    """A manifest from one object per line, or from files that hold an array each."""
     fields = "file string, class string, split string, `group` string, origin string, source string, h int, w int"
-    return spark.read.schema(fields).json(path, multiLine=True)
+    return spark.read.schema(fields).json(path, multiLine=array)
 
 
 def write_table(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
