@@ -3,7 +3,7 @@
 Which sets can meet at all is decided by prefixes: two sets of similarity t or more share one of the
 first ``n - ceil(t n) + 1`` elements under any common order. The order is by rarity, from a sketch of
 fixed size over all texts, so that passages shared by many texts are last. Sets that share a prefix
-element, directly or through others, form a candidate group. Inside a group, a signature tree is
+element and whose sizes a link allows, directly or through others, form a candidate group. Inside a group, a signature tree is
 built: its nodes hold the OR of their sets' bitmaps and their range of sizes. The tree is traversed
 against itself; a pair of nodes is left out when even the largest overlap its bitmaps and sizes allow
 is too small, or when all its sets are already in one component. Remaining pairs of sets are verified
@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, drop_materialised, materialise, shingle_hashes, tune, words
+from .common import WordHashes, drop_materialised, in_filter, materialise, membership_filter, release, shingle_hashes, tune, words
 from .components import connected_components
 
 #: Similarity as a share of 100: links have 100 * intersection >= LEAST * union.
@@ -37,6 +37,8 @@ LEAST = 75
 WIDTH = 5
 #: Counters of the rarity sketch, and counters that travel together.
 SKETCH_BITS, SKETCH_BLOCK_BITS = 23, 17
+#: Size classes within the largest ratio of linked sets.
+SIZE_STEPS = 16
 #: Postings a task holds before it hands them on.
 HELD_POSTINGS = 2_000_000
 #: Sets of a candidate group in one block.
@@ -55,6 +57,20 @@ def set_identity(shingles: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes()))))
 
 
+def pack_set(shingles: np.ndarray) -> bytes:
+    """The upper 48 bits of each element; that two of a pair of texts agree only there is out of all likelihood."""
+    upper = np.unique(shingles >> np.uint64(16))
+    return upper.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpack_set(data: bytes) -> np.ndarray:
+    """The sorted elements that :func:`pack_set` wrote."""
+    parts = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
+    out = np.zeros((len(parts), 8), dtype=np.uint8)
+    out[:, :6] = parts
+    return out.view("<u8").ravel()
+
+
 def _least_overlap(n: int) -> int:
     """The least intersection that a set of ``n`` needs with any partner."""
     return -(-LEAST * n // 100)
@@ -103,22 +119,37 @@ def rarity_levels(described: DataFrame) -> np.ndarray:
     return levels.ravel()
 
 
-def _runs(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of postings: distinct keys with the least id of each, and the distinct other ids with that least id."""
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
-    first = np.concatenate([[True], keys[1:] != keys[:-1]])
+def size_class(n: int) -> int:
+    """A size in steps of which :data:`SIZE_STEPS` make the largest ratio that linked sets can have."""
+    return int(SIZE_STEPS * np.log(n) / np.log(100 / LEAST))
+
+
+def _runs(keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of postings: the least id of each distinct (key, size class), and distinct edges.
+
+    Edges join ids of one key and size class to the least one, and those to the next size class of the key
+    that a link can reach. So any two sets that share a key and may be linked are connected, while sets
+    on both sides of a gap in sizes are not.
+    """
+    order = np.lexsort((ids, sizes, keys))
+    keys, ids, sizes = keys[order], ids[order], sizes[order]
+    first = np.concatenate([[True], (keys[1:] != keys[:-1]) | (sizes[1:] != sizes[:-1])])
     leaders = ids[first][np.cumsum(first) - 1]
     other = ids != leaders
-    pairs = np.unique(np.stack([ids[other], leaders[other]], axis=1), axis=0) if other.any() else np.empty((0, 2), dtype=np.int64)
-    return keys[first], ids[first], pairs
+    same = np.stack([ids[other], leaders[other]], axis=1)
+    keys, ids, sizes = keys[first], ids[first], sizes[first]
+    # Sizes are rounded down, so a ratio within bounds is at most one step more.
+    reach = (keys[1:] == keys[:-1]) & (sizes[1:] - sizes[:-1] <= SIZE_STEPS + 1) & (ids[1:] != ids[:-1])
+    chain = np.stack([ids[1:][reach], ids[:-1][reach]], axis=1)
+    return keys, ids, sizes, np.unique(np.concatenate([same, chain]), axis=0)
 
 
 def candidate_edges(docs: DataFrame, levels: np.ndarray, width: int = WIDTH) -> DataFrame:
     """Edges (a, b) between set identities that share a prefix element; linear in the postings.
 
-    A task joins its own postings first and hands on one posting per element, so an element of a third of
-    all texts reaches the next task once from each task. There, each element's sets become a star.
+    A task joins its own postings first and hands on one posting per element and size class, so an element
+    of a third of all texts reaches the next task a bounded number of times from each task. There, the sets
+    of each element are chained in the order of their sizes.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(levels)
@@ -127,13 +158,13 @@ def candidate_edges(docs: DataFrame, levels: np.ndarray, width: int = WIDTH) ->
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo, level = WordHashes(), shared.value
         held_keys: list[np.ndarray] = []
-        held_ids: list[tuple[int, int]] = []
+        held_ids: list[tuple[int, int, int]] = []
         held = 0
 
         def flush() -> Iterator[pd.DataFrame]:
             keys = np.concatenate(held_keys)
-            ids = np.repeat(np.array([i for i, _ in held_ids], dtype=np.int64), [n for _, n in held_ids])
-            keys, ids, pairs = _runs(keys, ids)
+            whole = np.array(held_ids, dtype=np.int64)
+            keys, ids, sizes, pairs = _runs(keys, np.repeat(whole[:, 0], whole[:, 2]), np.repeat(whole[:, 1], whole[:, 2]))
             bucket = (keys % np.uint64(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
@@ -142,8 +173,8 @@ def candidate_edges(docs: DataFrame, levels: np.ndarray, width: int = WIDTH) ->
             for k in range(n_buckets):
                 at, mine = order[cuts[k] : cuts[k + 1]], pairs[edge_bucket == k]
                 if len(at) or len(mine):
-                    rows.append((k, (keys[at] // np.uint64(n_buckets)).astype("<u8").tobytes(), ids[at].astype("<i8").tobytes(), mine.astype("<i8").tobytes()))
-            yield pd.DataFrame(rows, columns=["bucket", "keys", "ids", "pairs"])
+                    rows.append((k, (keys[at] // np.uint64(n_buckets)).astype("<u8").tobytes(), ids[at].astype("<i8").tobytes(), sizes[at].astype("<u2").tobytes(), mine.astype("<i8").tobytes()))
+            yield pd.DataFrame(rows, columns=["bucket", "keys", "ids", "sizes", "pairs"])
 
         for batch in batches:
             for text in batch["text"]:
@@ -154,7 +185,7 @@ def candidate_edges(docs: DataFrame, levels: np.ndarray, width: int = WIDTH) ->
                 # Rarity above, hash below; 48 bits in all, since two elements that fall together only make a candidate.
                 order = (level[s >> np.uint64(64 - SKETCH_BITS)].astype(np.uint64) << np.uint64(40)) | (s & np.uint64((1 << 40) - 1))
                 held_keys.append(np.partition(order, take - 1)[:take])
-                held_ids.append((set_identity(s), take))
+                held_ids.append((set_identity(s), size_class(len(s)), take))
                 held += take
             if held >= HELD_POSTINGS:
                 yield from flush()
@@ -162,23 +193,25 @@ def candidate_edges(docs: DataFrame, levels: np.ndarray, width: int = WIDTH) ->
         if held:
             yield from flush()
 
-    def star(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys: list[np.ndarray] = []
         ids: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
         pairs: list[np.ndarray] = []
         for batch in batches:
-            for bucket, k, i, p in zip(batch["bucket"], batch["keys"], batch["ids"], batch["pairs"]):
+            for bucket, k, i, z, p in zip(batch["bucket"], batch["keys"], batch["ids"], batch["sizes"], batch["pairs"]):
+                sizes.append(np.frombuffer(z, dtype="<u2").astype(np.int64))
                 keys.append(np.frombuffer(k, dtype="<u8") * np.uint64(n_buckets) + np.uint64(bucket))
                 ids.append(np.frombuffer(i, dtype="<i8"))
                 pairs.append(np.frombuffer(p, dtype="<i8").reshape(-1, 2))
         if keys:
-            _, _, found = _runs(np.concatenate(keys), np.concatenate(ids))
+            *_, found = _runs(np.concatenate(keys), np.concatenate(ids), np.concatenate(sizes))
             found = np.unique(np.concatenate([found, *pairs]), axis=0)
             for at in range(0, len(found), 200_000):
                 yield pd.DataFrame(found[at : at + 200_000], columns=["a", "b"])
 
-    postings = docs.select("text").mapInPandas(post, "bucket int, keys binary, ids binary, pairs binary")
-    return postings.repartition(n_buckets, "bucket").mapInPandas(star, EDGE_SCHEMA)
+    postings = docs.select("text").mapInPandas(post, "bucket int, keys binary, ids binary, sizes binary, pairs binary")
+    return postings.repartition(n_buckets, "bucket").mapInPandas(chain, EDGE_SCHEMA)
 
 
 class SignatureTree:
@@ -278,7 +311,7 @@ def _join_tasks(rows: DataFrame) -> DataFrame:
                     current = task
                 if not ids or ids[-1] != set_id:
                     ids.append(set_id)
-                    sets.append(np.frombuffer(data, dtype="<u8"))
+                    sets.append(unpack_set(data))
             if len(out) > 100_000:
                 yield pd.DataFrame(out, columns=["a", "b"])
                 out = []
@@ -292,38 +325,49 @@ def _join_tasks(rows: DataFrame) -> DataFrame:
 def link_sets(docs: DataFrame, classes: DataFrame, candidates: DataFrame, width: int = WIDTH, block_sets: int = BLOCK_SETS) -> DataFrame:
     """Verified links between the sets of each candidate group, enough of them to connect all that are linked.
 
-    ``classes`` has set_id and a doc_id whose text has that set; ``candidates`` has node and root.
+    ``classes`` has set_id and a doc_id whose text has that set; ``candidates`` has node and root. Texts
+    stay where they are: a filter of fixed size over the wanted ids picks those whose sets are sent on.
     """
+    spark = docs.sparkSession
     sizes = candidates.groupBy("root").agg(F.count("*").alias("size"))
     members = candidates.withColumnRenamed("node", "set_id").join(sizes, "root").join(classes, "set_id")
     blocks = F.ceil(F.col("size") / block_sets)
     wanted = members.select("root", "set_id", "doc_id", blocks.alias("blocks"), F.pmod(F.xxhash64("set_id", F.lit(7)), blocks).alias("block"))
+    wanted = materialise(wanted, "wanted")
+    most_blocks = wanted.agg(F.max("blocks")).first()[0] or 0
+    bits = spark.sparkContext.broadcast(membership_filter(wanted.select("doc_id")))
 
     def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = WordHashes()
         for batch in batches:
+            batch = batch[in_filter(bits.value, batch["doc_id"].to_numpy())]
             sets = [shingle_hashes(words(t), memo, width) for t in batch["text"]]
-            out = batch[["root", "set_id", "blocks", "block"]].assign(shingles=[s.astype("<u8").tobytes() for s in sets])
-            # A repeated id can bring another text along.
-            yield out[[len(s) > 0 and set_identity(s) == i for s, i in zip(sets, batch["set_id"])]]
+            names = [set_identity(s) if len(s) else 0 for s in sets]
+            # A repeated id can bring another text along; its set has another name and finds no partner.
+            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "set_id": names, "shingles": [pack_set(s) for s in sets]})
 
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id")
-    sets = materialise(texts.mapInPandas(shingles, "root long, set_id long, blocks long, block long, shingles binary"), "sets")
+    found = docs.select("doc_id", "text").mapInPandas(shingles, "doc_id long, set_id long, shingles binary")
+    sets = found.join(wanted, ["doc_id", "set_id"])
     first = F.array(F.col("block"))
     # The first block is also sent to every other block of its group.
     tasks = F.when((F.col("block") == 0) & (F.col("blocks") > 1), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(first)
     rows = sets.withColumn("at", F.explode(tasks)).select(F.struct("root", "at").cast("string").alias("task"), "set_id", "shingles")
     links = materialise(_join_tasks(rows), "links")
-    if (sets.agg(F.max("blocks")).first()[0] or 0) > 2:
+    release(spark)
+    if most_blocks > 2:
         label = connected_components(links)
-        labelled = sets.where(F.col("blocks") > 2).select("root", "block", "set_id").join(label, sets["set_id"] == label["node"], "left").select(sets["root"], "block", F.coalesce(label["root"], "set_id").alias("label"))
+        large = wanted.where(F.col("blocks") > 2).select("root", "block", "set_id")
+        labelled = large.join(label.withColumnRenamed("root", "label"), large["set_id"] == label["node"], "left").select("root", "block", F.coalesce("label", "set_id").alias("label"))
         ends = labelled.groupBy("root", "block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         one, two = ends.alias("one"), ends.alias("two")
         apart = (F.col("one.low") != F.col("one.high")) | (F.col("two.low") != F.col("two.high")) | (F.col("one.low") != F.col("two.low"))
         pairs = one.join(two, F.col("one.root") == F.col("two.root")).where((F.col("one.block") > 0) & (F.col("one.block") < F.col("two.block")) & apart)
         pairs = pairs.select(F.col("one.root").alias("root"), F.col("one.block").alias("i"), F.col("two.block").alias("j"))
         pairs = pairs.withColumn("task", F.struct("root", "i", "j").cast("string")).select("root", "task", F.explode(F.array("i", "j")).alias("block"))
-        links = links.unionByName(_join_tasks(sets.join(pairs, ["root", "block"]).select("task", "set_id", "shingles")))
+        pairs = materialise(pairs, "block-pairs")
+        if pairs.limit(1).count():
+            more = materialise(_join_tasks(sets.join(pairs, ["root", "block"]).select("task", "set_id", "shingles")), "links")
+            links = links.unionByName(more)
     return links
 
 
@@ -335,6 +379,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     classes = of_docs.where(F.col("doc_id").isNotNull() & F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     usable = docs.where(F.col("doc_id").isNotNull())
     candidates = materialise(connected_components(candidate_edges(usable, rarity_levels(described), width)), "candidates")
+    release(docs.sparkSession)
     components = connected_components(link_sets(usable, classes, candidates, width))
     named = classes.join(components, classes["set_id"] == components["node"], "left").select("set_id", "doc_id", F.coalesce("root", "set_id").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
