@@ -36,7 +36,7 @@ from .components import connected_components
 LEAST = 75
 WIDTH = 5
 #: Counters of the rarity sketch, and counters that travel together.
-SKETCH_BITS, SKETCH_BLOCK_BITS = 23, 17
+SKETCH_BITS, SKETCH_BLOCK_BITS = 24, 17
 #: Size classes within the largest ratio of linked sets.
 SIZE_STEPS = 16
 #: Postings a task holds before it hands them on.
