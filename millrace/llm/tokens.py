@@ -20,8 +20,8 @@ WHITE = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: Fixed value: marks that often end a chunk; after a letter they are always pieces of their own.
 ENDINGS = ".,;:!?"
-#: Chunks longer than this aren't remembered; chunks that one worker remembers; chunks encoded at a time.
-LONG_CHUNK, MEMO_CHUNKS, AT_ONCE = 64, 500_000, 20_000
+#: Chunks that one worker remembers; chunks encoded at a time.
+MEMO_CHUNKS, AT_ONCE = 800_000, 5_000
 
 
 def vocabulary_path(name: str) -> str:
@@ -31,6 +31,42 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class _Slots(dict):
+    """Number of each chunk in the order in which they were first seen; ``fresh`` lists those not encoded yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self.fresh.append(chunk)
+        number = self[chunk] = len(self)
+        return number
+
+
+class _Runs:
+    """Runs of ids by number, in one flat array."""
+
+    def __init__(self):
+        self.starts, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.flat = np.zeros(0, dtype=np.uint32)
+
+    def put(self, numbers: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Keep the runs that follow each other in ``ids`` under their numbers."""
+        grown = int(numbers.max(initial=-1)) + 1 - len(self.starts)
+        if grown > 0:
+            self.starts, self.lengths = (np.concatenate([x, np.zeros(grown, dtype=np.int64)]) for x in (self.starts, self.lengths))
+        self.starts[numbers] = len(self.flat) + np.cumsum(lengths) - lengths
+        self.lengths[numbers] = lengths
+        self.flat = np.concatenate([self.flat, ids])
+
+    def get(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The runs of some numbers in a row, and their lengths."""
+        first, length = self.starts[numbers], self.lengths[numbers]
+        ends = np.cumsum(length)
+        return self.flat[np.arange(int(length.sum())) + np.repeat(first - (ends - length), length)], length
+
+
 class Encoder:
     """Ids of texts by a vocabulary file of the tokenizers library; special tokens in a text are ordinary text."""
 
@@ -42,8 +78,15 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         #: Whether the vocabulary ignores white space and the case of ASCII letters.
         self.folds = self.whole(" Aa  B") == self.whole("aa b")
-        self.memo: dict[str, list[int]] = {}
+        # A word of letters is one piece, and the ids that begin or end such a piece can be told by their strings.
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.borders = np.array([n.endswith("</w>") if self.folds else n.startswith("Ġ") for n in names])
         self.limit = limit
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slots, self.bodies = _Slots(), _Slots()
+        self.chunk_ids, self.body_ids = _Runs(), _Runs()
 
     def whole(self, text: str) -> list[int]:
         """Ids without the memo."""
@@ -54,30 +97,44 @@ class Encoder:
         body, end = (chunk[:-1], chunk[-1]) if len(chunk) > 2 and chunk[-1] in ENDINGS and chunk[-2].isalpha() else (chunk, "")
         return (body.strip(SPACES).lower() if self.folds and body.isascii() else body), end
 
+    def _encode_words(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters in a row and how many each has, from one text that is cut where a word begins or ends."""
+        ids = np.array(self.whole(" ".join(some) if self.folds else "".join(some)), dtype=np.uint32)
+        cuts = np.flatnonzero(self.borders[ids])
+        cuts = np.concatenate([[0], cuts + 1]) if self.folds else np.append(cuts, len(ids))
+        return (ids, np.diff(cuts)) if len(cuts) == len(some) + 1 and cuts[-1] == len(ids) else self._encode_others(some)
+
+    def _encode_others(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(lengths.sum())), lengths
+
     def _learn(self, fresh: list[str]) -> None:
-        memo = self.memo
+        bodies = self.bodies
         parts = [self._parts(c) for c in fresh]
-        new = list({p for pair in parts for p in pair if p not in memo})
-        for i in range(0, len(new), AT_ONCE):
-            some = new[i : i + AT_ONCE]
-            memo.update(zip(some, (e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False))))
-        for chunk, (body, end) in zip(fresh, parts):
-            memo[chunk] = memo[body] + memo[end] if end else memo[body]
+        # The empty string stands for no mark at the end.
+        pairs = np.fromiter(map(bodies.__getitem__, chain.from_iterable(parts)), dtype=np.int64, count=2 * len(parts))
+        new, bodies.fresh = bodies.fresh, []
+        first = len(bodies) - len(new)
+        plain = np.fromiter((b.isalpha() if self.folds else b[:1] == " " and b[1:].isalpha() for b in new), dtype=bool, count=len(new))
+        for kind, encode in ((True, self._encode_words), (False, self._encode_others)):
+            at = np.flatnonzero(plain == kind)
+            for some in np.array_split(at, -(-len(at) // AT_ONCE)) if len(at) else []:
+                self.body_ids.put(first + some, *encode([new[i] for i in some]))
+        ids, lengths = self.body_ids.get(pairs)
+        self.chunk_ids.put(np.arange(len(self.slots) - len(fresh), len(self.slots)), ids, lengths.reshape(-1, 2).sum(axis=1))
 
     def batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text as unsigned 32-bit integers; a null text has none."""
-        if len(self.memo) > self.limit:
-            self.memo.clear()
+        if len(self.slots) > self.limit or len(self.chunk_ids.flat) > 16 * self.limit:
+            self._forget()
+        slots = self.slots
         chunked = [_CHUNK.findall(t) if t else [] for t in texts]
-        fresh = [c for c in set(chain.from_iterable(chunked)) if c not in self.memo]
-        self._learn(fresh)
-        found = self.memo.__getitem__
-        out = [np.array(list(chain.from_iterable(map(found, chunks))), dtype=np.uint32) for chunks in chunked]
-        for chunk in fresh:
-            if len(chunk) > LONG_CHUNK:
-                for key in (chunk, self._parts(chunk)[0]):
-                    self.memo.pop(key, None)
-        return out
+        numbers = [np.fromiter(map(slots.__getitem__, c), dtype=np.int64, count=len(c)) for c in chunked]
+        fresh, slots.fresh = slots.fresh, []
+        if fresh:
+            self._learn(fresh)
+        return [self.chunk_ids.get(n)[0] for n in numbers]
 
 
 def worker_encoder(path: str) -> Encoder:
