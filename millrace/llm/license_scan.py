@@ -1,17 +1,19 @@
 """Licence scans by a trained paragraph classifier.
 
-A paragraph is a line of a text. Its features are the word pairs and triples that it shares with the
-licence templates; whatever else stands in the paragraph adds nothing. A sparse logistic regression
-over these features names a licence family or the class unknown, which is learned from paragraphs of the
-documents themselves. The probability is calibrated by a temperature and a threshold, both set on
-examples that the fit didn't see. A prediction counts only if comparison with the family's templates
-confirms it: enough of one template's words must stand in the paragraph, in order.
+A paragraph is a run of lines that hold words, so wrapped notices stay whole; comment marks, punctuation
+and white space are no words, and a line of them alone ends a paragraph. A notice is a stretch of a paragraph
+in which enough of one template's words stand in order. Every such stretch is found. Its features are
+the word pairs and triples that it shares with the licence templates; whatever else stands there adds
+nothing. A sparse logistic regression over these features names a licence family or the class unknown,
+which is learned from lines of the documents themselves. The probability is calibrated by a
+temperature and a threshold, both set on examples that the fit didn't see. Of stretches that overlap, the
+likeliest counts.
 
 The fit uses at most ``SAMPLE_DOCS`` documents, those with the least hashed ids, and the templates; every
 paragraph of every text is scored.
 
-Defined cases: null and empty texts have no paragraph; a paragraph that shares no pair of words with a
-template is unknown; a paragraph with notices of two families gets the likelier one that is confirmed;
+Defined cases: null and empty texts have no paragraph; a stretch that shares no pair of words with a
+template is unknown; a paragraph with several notices gives a row for each, with its span in characters;
 repeated lines and rows each count; null ids are carried along; extra columns are ignored; an empty table
 gives an empty result and a model that knows the templates alone.
 """
@@ -19,6 +21,7 @@ gives an empty result and a model that knows the templates alone.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,7 +79,7 @@ CONFIRM = 0.8
 FALSE_SHARE = 0.002
 
 _WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
-HIT_SCHEMA = "doc_id long, paragraph long, family string, probability double, similarity double, text string"
+HIT_SCHEMA = "doc_id long, paragraph long, family string, probability double, similarity double, text string, start long, end long"
 
 
 def tokens(text: str) -> list[str]:
@@ -111,14 +114,84 @@ def similarity(template: list[str], words: list[str]) -> float:
     return best / len(template)
 
 
+def common_places(a: list[str], b: list[str]) -> list[int]:
+    """Places in ``b`` of a longest common subsequence of words."""
+    table = [[0] * (len(b) + 1)]
+    for x in a:
+        above, row = table[-1], [0]
+        for j, y in enumerate(b):
+            row.append(above[j] + 1 if x == y else max(above[j + 1], row[j]))
+        table.append(row)
+    places, i, j = [], len(a), len(b)
+    while i and j:
+        if table[i][j] == table[i][j - 1]:
+            j -= 1
+        elif table[i][j] == table[i - 1][j]:
+            i -= 1
+        else:
+            i, j = i - 1, j - 1
+            places.append(j)
+    return places[::-1]
+
+
+def stretches(template: list[str], words: list[str]) -> list[tuple[int, int, int]]:
+    """(first word, last word, words in common) of every separate stretch that confirms a template.
+
+    Of overlapping stretches of one template, that with most words in common stays, then the shortest.
+    """
+    known = Counter(template)
+    places = [i for i, w in enumerate(words) if w in known]
+    span, needed = len(template) + len(template) // 4 + 1, words_to_confirm(template)
+    found: list[tuple[int, int, int]] = []
+    end = 0
+    for n, i in enumerate(places):
+        while end < len(places) and places[end] < i + span:
+            end += 1
+        if end - n < needed:
+            continue
+        at = common_places(template, [words[j] for j in places[n:end]])
+        if len(at) >= needed:
+            found.append((places[n + at[0]], places[n + at[-1]], len(at)))
+    return apart(sorted(set(found), key=lambda f: (-f[2], f[1] - f[0], f[0])))
+
+
+def apart(ranked: list[tuple]) -> list[tuple]:
+    """Those of some (first, last, ...), best first, that overlap none before them that was taken."""
+    taken: list[tuple] = []
+    for one in ranked:
+        if all(one[1] < other[0] or other[1] < one[0] for other in taken):
+            taken.append(one)
+    return sorted(taken)
+
+
+def words_to_confirm(template: list[str]) -> int:
+    """The least number of words whose share of the template reaches ``CONFIRM``."""
+    return next(n for n in range(len(template) + 1) if n / len(template) >= CONFIRM)
+
+
+def paragraphs(text: str) -> Iterator[list[re.Match]]:
+    """The words of every paragraph: a line without a word lies between one paragraph and the next."""
+    held: list[re.Match] = []
+    for word in _WORD.finditer(text):
+        if held and text.count("\n", held[-1].end(), word.start()) > 1:
+            yield held
+            held = []
+        held.append(word)
+    if held:
+        yield held
+
+
 class Classifier:
     """Weights by n-gram and class, the temperature and the threshold."""
 
     def __init__(self, grams: dict[tuple[str, ...], int], weights: np.ndarray, temperature: float, threshold: float):
         self.grams, self.weights, self.temperature, self.threshold = grams, weights, temperature, threshold
-        self.pairs = {g for g in grams if len(g) == 2}
-        self.anchors = {w for g in grams for w in g}
-        self.templates = {f: [tokens(t) for t in ts] for f, ts in TEMPLATES.items()}
+        self.templates = [(k, tokens(t)) for k, f in enumerate(FAMILIES) for t in TEMPLATES.get(f, [])]
+        self.vocabulary = {w: i for i, w in enumerate(sorted({w for _, t in self.templates for w in t}))}
+        self.times = np.zeros((len(self.templates), len(self.vocabulary)), dtype=np.int64)
+        for row, (_, t) in zip(self.times, self.templates):
+            np.add.at(row, [self.vocabulary[w] for w in t], 1)
+        self.needed = np.array([words_to_confirm(t) for _, t in self.templates])
 
     def features(self, words: list[str]) -> list[int]:
         """Numbers of the known n-grams in a paragraph."""
@@ -132,31 +205,35 @@ class Classifier:
         e = np.exp(z - z.max())
         return e / e.sum()
 
-    def scan(self, text: str | None) -> list[tuple[int, str, float, float, str]]:
-        """(line, family, probability, similarity, line text) of every licence paragraph of a text."""
-        hits = []
-        lowered = (text or "").lower()
-        # Every template holds one of these, so a text without them can't be confirmed.
-        if not any(c in lowered for c in CUES):
-            return hits
-        for number, line in enumerate(text.split("\n")):
-            words = tokens(line)
-            found = self.features(words)
-            if not found:
-                continue
-            p = self.probabilities(found)
-            for k in np.argsort(-p, kind="stable"):
-                if p[k] < self.threshold or FAMILIES[k] == UNKNOWN:
-                    break
-                close = max(similarity(t, words) for t in self.templates[FAMILIES[k]])
-                if close >= CONFIRM:
-                    hits.append((number, FAMILIES[k], float(p[k]), close, line))
-                    break
-        return hits
+    def possible(self, words: set[str]) -> list[tuple[int, list[str]]]:
+        """(family number, template) that a text of these words can confirm: no stretch has more in common with one."""
+        here = [self.vocabulary[w] for w in words & self.vocabulary.keys()]
+        return [self.templates[i] for i in np.flatnonzero(self.times[:, here].sum(axis=1) >= self.needed)]
 
+    def scan(self, text: str | None) -> list[tuple[int, str, float, float, str, int, int]]:
+        """(line where the paragraph begins, family, probability, similarity, lines, start, end) of every notice of a text.
 
-#: At least one of these stands in every template.
-CUES = ("licen", "gnu gpl", "permission", "redistribution", "public domain", "gnu general public", "lesser general public")
+        ``start`` and ``end`` bound the notice in the text's characters; ``lines`` are the whole lines that it is on.
+        """
+        hits = []
+        possible = self.possible(set(tokens(text))) if text else []
+        for paragraph in paragraphs(text) if possible else ():
+            words = [m.group().lower() for m in paragraph]
+            found = []
+            for k, template in possible:
+                for first, last, n in stretches(template, words):
+                    # Words that the template lacks may say which family it is, as a version does.
+                    lost = len(template) - n
+                    features = self.features(words[max(0, first - lost) : last + 1 + lost])
+                    p = self.probabilities(features) if features else None
+                    if p is not None and p[k] >= self.threshold and p[k] > p[0]:
+                        found.append((first, last, k, float(p[k]), n / len(template)))
+            for first, last, k, p, close in apart(sorted(found, key=lambda f: (-f[3], -f[4], f[0] - f[1], f))):
+                start, end = paragraph[first].start(), paragraph[last].end()
+                stop = text.find("\n", end)
+                lines = text[text.rfind("\n", 0, start) + 1 : stop if stop >= 0 else len(text)]
+                hits.append((text.count("\n", 0, paragraph[0].start()), FAMILIES[k], p, close, lines, start, end))
+        return hits
 
 
 def variants(rng: np.random.Generator, words: list[str], filler: list[str]) -> list[str]:
@@ -223,17 +300,25 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Classifier:
     ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     texts = docs.select("doc_id", F.substring("text", 1, 5000).alias("text")).join(F.broadcast(ids), "doc_id").collect()
     texts = sorted(((r[0], r[1] or "") for r in texts))[:sample_docs]
-    return fit([line for _, t in texts for line in t.split("\n") if line.strip()][: 10 * sample_docs])
+    templates = [tokens(t) for ts in TEMPLATES.values() for t in ts]
+    lines = []
+    for _, text in texts:
+        for paragraph in paragraphs(text):
+            words = [m.group().lower() for m in paragraph]
+            # A line of a wrapped notice isn't unknown, though it confirms no template by itself.
+            if not any(stretches(t, words) for t in templates):
+                lines += text[paragraph[0].start() : paragraph[-1].end()].split("\n")
+    return fit(lines[: 10 * sample_docs])
 
 
 def scan(docs: DataFrame, model: Classifier) -> DataFrame:
-    """One row per licence paragraph of every text of ``docs`` (doc_id, text), in one pass without a shuffle."""
+    """One row per licence notice of every text of ``docs`` (doc_id, text), in one pass without a shuffle."""
     tune(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.grams, model.weights, model.temperature, model.threshold))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Classifier(*shared.value)
-        names = ["doc_id", "paragraph", "family", "probability", "similarity", "text"]
+        names = ["doc_id", "paragraph", "family", "probability", "similarity", "text", "start", "end"]
         for batch in batches:
             rows = [(doc, *hit) for doc, text in zip(batch["doc_id"].astype("Int64"), batch["text"]) for hit in known.scan(text)]
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})

@@ -176,6 +176,19 @@ def test_licences(spark, odd):
     assert license_scan.scan(odd, model).count() == 0
 
 
+def test_licences_wrapped_and_several():
+    model = license_scan.fit([text(i, 12) for i in range(60)] + ["the house of the lord"])
+    families = lambda t: [h[1] for h in model.scan(t)]
+    gpl = " * you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 3 of the License, or\n"
+    mit = "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files (the Software)\n"
+    assert families(gpl) == ["GPL-3.0"] and families(mit) == ["MIT"] and families(f"{mit}#\n{gpl}") == ["MIT", "GPL-3.0"]
+    assert families(gpl.replace("General", "General\n *\n *")) == [] and families("Released under the MIT terms") == ["MIT"]
+    line = f"{text(1, 5)} Licensed under the MIT license and {text(2, 3)} Licensed under the Apache License, Version 2.0. {text(3, 3)}"
+    found = model.scan(f"{text(4, 5)}\n\n{line}")
+    assert [(h[0], h[1], h[4]) for h in found] == [(2, "MIT", line), (2, "Apache-2.0", line)]
+    assert [f"{text(4, 5)}\n\n{line}"[h[5] : h[6]] for h in found] == ["Licensed under the MIT license", "Licensed under the Apache License, Version 2.0"]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1)), max_size=700))
 def test_block_round_trip(values):
