@@ -4,9 +4,10 @@ A known word is scored by its log frequency in each language. An unknown word is
 character n-grams of five, then four, down to one character; the longest length of which the model
 knows an n-gram decides for that word. The score of a text is the sum over its words.
 
-Counts cover every training text. The model itself is bounded: at most ``top_words`` words and
-``top_grams`` n-grams of each length per language, the most frequent ones, which is what the driver
-broadcasts. Ties are broken by the word, so the model depends on the rows alone.
+Counts cover every training text, and every counted word and n-gram decides. The driver broadcasts the most
+frequent ones, ``top_words`` words and ``top_grams`` n-grams of each length per language, with their counts
+in all languages. Words of a text that aren't among them are looked up by joins to all counts, which stay
+in a distributed table; if the broadcast holds every entry, no join is needed.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so is every text when no
 labelled row exists. Null languages are not learned from; null ids are scored and learned from; repeated
@@ -21,10 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import doc_crc, mix64, tune
+from .common import doc_crc, materialise, mix64, tune
 
 TOP_WORDS, TOP_GRAMS, LONGEST = 50_000, 4_000, 5
 #: A task hands on its word counts when it holds so many distinct ones.
@@ -100,9 +102,14 @@ def code_points(text: str) -> np.ndarray:
 
 
 class Model:
-    """Log frequencies per language: tables[0] of words, tables[n] of n-grams by their sorted hashes."""
+    """Log frequencies per language: tables[0] of words, tables[n] of n-grams by their sorted hashes.
 
-    def __init__(self, languages: list[str], tables: dict[int, tuple]):
+    ``rest`` is None if the tables hold every counted entry; else it holds them all, as (size, entry, word,
+    times by language), and ``totals`` by size and language belong to it.
+    """
+
+    def __init__(self, languages: list[str], tables: dict[int, tuple], rest: DataFrame | None = None, totals: dict[int, np.ndarray] | None = None):
+        self.rest, self.totals = rest, totals
         self.languages, self.data = languages, (languages, tables)
         self.words = {w: i for i, w in enumerate(tables[0][0])}
         self.word_scores = tables[0][1]
@@ -146,6 +153,8 @@ class Predictor:
     """Scores texts with a model and remembers the vectors of words, up to a bound."""
 
     def __init__(self, model: Model):
+        if model.rest is not None:
+            raise ValueError("this model's words must be looked up by joins")
         self.model, self.ids = model, {}
         self.scores, self.known = np.zeros((0, len(model.languages))), np.zeros(0, dtype=bool)
 
@@ -202,33 +211,111 @@ def train(labelled: DataFrame, top_words: int = TOP_WORDS, top_grams: int = TOP_
                     inside = own == owner[n - 1 :]
                     keys, at = np.unique(h[inside], return_inverse=True)
                     sums = np.bincount(at, weights=times[own[inside]])
-                    yield pd.DataFrame({"lang": lang, "size": n, "entry": keys.astype(np.int64), "word": None, "n": sums.astype(np.int64)})
+                    yield pd.DataFrame({"lang": lang, "size": n, "entry": keys.astype(np.int64), "word": "", "n": sums.astype(np.int64)})
 
     grams = counts.mapInPandas(gram_counts, "lang string, size int, entry long, word string, n long")
     grams = grams.groupBy("lang", "size", "entry", "word").agg(F.sum("n").alias("n"))
     entries = grams.unionByName(counts.select("lang", F.lit(0).alias("size"), F.xxhash64("word").alias("entry"), "word", "n"))
-    best = most_frequent(entries, top_words, top_grams)
-    rows = best.select("lang", "size", "entry", "word", "n").toPandas()
-    languages = sorted(rows["lang"].unique())
+    entries = materialise(entries, "lang-entries")
+    sums = entries.groupBy("lang", "size").agg(F.sum("n")).collect()
+    languages = sorted({r[0] for r in sums})
     at = {lang: i for i, lang in enumerate(languages)}
-    tables = {}
-    for n in range(LONGEST + 1):
-        part = rows[rows["size"] == n]
-        totals = np.ones(len(languages))
-        for lang, total in part.groupby("lang")["n"].sum().items():
-            totals[at[lang]] += total
-        column = part["word"] if n == 0 else part["entry"].to_numpy().astype(np.uint64)
-        entries, row = np.unique(column.to_numpy(dtype=object) if n == 0 else column, return_inverse=True)
-        matrix = np.tile(np.log(0.5 / totals), (len(entries), 1))
-        lang_at = part["lang"].map(at).to_numpy(dtype=np.int64)
-        matrix[row, lang_at] = np.log(part["n"].to_numpy() / totals[lang_at])
-        tables[n] = (list(entries) if n == 0 else entries), matrix
-    return Model(languages, tables)
+    all_totals = {n: np.ones(len(languages)) for n in range(LONGEST + 1)}
+    for lang, n, total in sums:
+        all_totals[n][at[lang]] += total
+    times = F.array(F.lit(0.5), *[F.coalesce(F.max(F.when(F.col("lang") == lang, F.col("n"))).cast("double"), F.lit(0.5)) for lang in languages])
+    rest = materialise(entries.groupBy("size", "entry", "word").agg(F.slice(times, 2, max(1, len(languages))).alias("times")), "lang-model")
+    head = rest.join(most_frequent(entries, top_words, top_grams).select("size", "entry", "word").distinct(), ["size", "entry", "word"])
+    head, tables, held = materialise(head, "lang-head"), {}, 0
+    for n, totals in all_totals.items():
+        # Arrow columns: rows of Python objects would take many times the driver's memory.
+        part = head.where(F.col("size") == n).select("word" if n == 0 else "entry", "times").toArrow()
+        keys = np.array(part.column(0).to_pylist(), dtype=object) if n == 0 else part.column(0).to_numpy().astype(np.uint64)
+        order = np.argsort(keys)
+        matrix = part.column(1).combine_chunks().flatten().to_numpy().reshape(len(keys), len(languages))
+        tables[n] = (list(keys[order]) if n == 0 else keys[order]), np.log(matrix[order] / totals)
+        held += len(keys)
+    if held == rest.count():
+        return Model(languages, tables)
+    return Model(languages, tables, rest, all_totals)
+
+
+def word_vectors(words: DataFrame, model: Model) -> DataFrame:
+    """(word, scores by language) of some distinct words, by all counts; scores are null without one known letter."""
+
+    def logs(n: int) -> Column:
+        return F.array(*[F.log(F.col("times")[k] / F.lit(float(total))) for k, total in enumerate(model.totals[n])]).alias("scores")
+
+    def windows(n: int):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                marked = [f"<{w}>" for w in batch["word"]]
+                points = code_points("".join(marked))
+                owner = np.repeat(np.arange(len(marked)), [len(m) for m in marked])
+                h, own = gram_hashes(points, n), owner[: max(0, len(points) - n + 1)]
+                inside = own == owner[n - 1 :]
+                yield pd.DataFrame({"word": batch["word"].to_numpy(dtype=object)[own[inside]], "entry": h[inside].view(np.int64)})
+
+        return run
+
+    part = materialise(words.join(model.rest.where(F.col("size") == 0).select("word", logs(0)), "word", "left"), "lang-vectors")
+    found = part.where(F.col("scores").isNotNull())
+    for n in range(LONGEST, 0, -1):
+        unknown = part.where(F.col("scores").isNull()).select("word")
+        if not unknown.limit(1).count():
+            return found
+        grams = unknown.mapInPandas(windows(n), "word string, entry long").join(model.rest.where(F.col("size") == n).select("entry", logs(n)), "entry")
+        hits = grams.groupBy("word").agg(F.array(*[F.avg(F.col("scores")[k]) for k in range(len(model.languages))]).alias("scores"))
+        part = materialise(unknown.join(hits, "word", "left"), "lang-vectors")
+        found = found.unionByName(part.where(F.col("scores").isNotNull()))
+    return found
+
+
+def predict_by_joins(docs: DataFrame, model: Model, keys: list[str]) -> DataFrame:
+    """(keys, lang_pred, score) of every row of ``docs`` (keys, text), with words outside the broadcast looked up by joins."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(model.data)
+    columns = ["uid", "lettered", "head_known", "head", "tail"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = Model(*shared.value)
+        uid = TaskContext.get().partitionId() << 36
+        for batch in batches:
+            rows = []
+            for text in batch["text"]:
+                seen = Counter(letters_words(text)) if has_letter(text) else {}
+                at = np.fromiter((known.words.get(w, -1) for w in seen), dtype=np.int64, count=len(seen))
+                times = np.fromiter(seen.values(), dtype=np.float64, count=len(seen))
+                here = at >= 0
+                tail = [{"word": w, "n": n} for (w, n), k in zip(seen.items(), here) if not k]
+                rows.append((uid, has_letter(text), float(times[here].sum()), times[here] @ known.word_scores[at[here]], tail))
+                uid += 1
+            out = pd.DataFrame(rows, columns=columns)
+            for key in keys:
+                out[key] = (batch[key].astype("Int64") if key == "doc_id" else batch[key]).to_numpy()
+            yield out
+
+    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields} | {"doc_id": "bigint"}
+    schema = "uid long, lettered boolean, head_known double, head array<double>, tail array<struct<word: string, n: long>>, "
+    summed = materialise(docs.select(*keys, "text").mapInPandas(run, schema + ", ".join(f"{k} {types[k]}" for k in keys)), "lang-sums")
+    tail = summed.select("uid", F.explode("tail").alias("t")).select("uid", "t.word", "t.n")
+    vectors = word_vectors(tail.select("word").distinct(), model)
+    more = [F.sum(F.col("n") * F.col("scores")[k]) for k in range(len(model.languages))]
+    by_text = tail.join(vectors, "word").groupBy("uid").agg(F.sum("n").alias("tail_known"), F.array(*more).alias("more"))
+    total = F.when(F.col("more").isNull(), F.col("head")).otherwise(F.zip_with("head", "more", lambda a, b: a + b))
+    scored = summed.drop("tail").join(by_text, "uid", "left").withColumn("total", total).withColumn("best", F.array_max("total"))
+    spread = F.sqrt(F.greatest(F.col("head_known") + F.coalesce("tail_known", F.lit(0)), F.lit(1.0)))
+    parts = F.aggregate(F.transform("total", lambda x: F.exp((x - F.col("best")) / spread)), F.lit(0.0), lambda a, x: a + x)
+    named = F.element_at(F.array(*map(F.lit, model.languages)), F.array_position("total", F.col("best")).cast("int"))
+    lettered = F.col("lettered")
+    return scored.select(*keys, F.when(lettered, named).otherwise(UNKNOWN).alias("lang_pred"), F.when(lettered, 1 / parts).otherwise(0.0).alias("score"))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """The predicted language of every row of ``docs`` (doc_id, text), in one pass without a shuffle."""
+    """The predicted language of every row of ``docs`` (doc_id, text): one pass, and a shuffle of the words that aren't broadcast."""
     tune(docs.sparkSession)
+    if model.rest is not None:
+        return predict_by_joins(docs.select("doc_id", "text", held_out().alias("held_out")), model, ["doc_id", "held_out"])
     shared = docs.sparkSession.sparkContext.broadcast(model.data)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -245,6 +332,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 def filter_by_language(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose language is recognised with a score of at least ``least``, with all their columns."""
     tune(docs.sparkSession)
+    if model.rest is not None:
+        rows = materialise(docs.withColumn("lang_row", F.monotonically_increasing_id()), "lang-rows")
+        found = predict_by_joins(rows, model, ["lang_row"]).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+        return rows.join(found, "lang_row", "left_semi").select(*docs.columns)
     shared = docs.sparkSession.sparkContext.broadcast(model.data)
 
     @F.pandas_udf("boolean")

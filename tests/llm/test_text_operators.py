@@ -87,6 +87,17 @@ def test_language(spark, odd):
     assert language_id.filter_by_language(odd, model, 0.0).columns == odd.columns
 
 
+def test_language_keeps_what_is_not_broadcast(spark, odd):
+    labelled = spark.createDataFrame([(lang, f"{text(i + seed, 40)} {common_word}") for i in range(10) for lang, seed, common_word in (("de", 0, "haus"), ("en", 500, "haus " * 3))], "lang string, text string")
+    whole, small = language_id.train(labelled), language_id.train(labelled, 2, 1)
+    assert whole.rest is None and small.rest is not None
+    docs = odd.unionByName(spark.createDataFrame([(50 + i, t, None, "x", 0) for i, t in enumerate([text(3, 9), text(503, 9), "haus", "kalom\u00fc xyz", "\u03c9"])], odd.schema))
+    rows = lambda m: sorted(((r.doc_id or -1, r.held_out, r.lang_pred, round(r.score, 9)) for r in language_id.identify(docs, m).collect()))
+    assert rows(small) == rows(whole)
+    kept = lambda m: sorted(map(str, language_id.filter_by_language(docs, m, 0.6).collect()))
+    assert kept(small) == kept(whole)
+
+
 def brute_components(rows):
     memo = common.WordHashes()
     sets = [(d, set(common.shingle_hashes(common.words(t), memo).tolist())) for d, t in rows if d is not None]
