@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 
@@ -10,17 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
+    """The folder all executors share: ``spark.checkpoint.dir``, else the context's checkpoint folder.
+
+    A machine-local folder takes their place only in local mode, where it is shared; a cluster without such a
+    folder is an error.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="millrace-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
-def materialise(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     This cuts the lineage: a later stage that loses an executor rereads the files and nothing above
@@ -28,10 +33,7 @@ def materialise(df: DataFrame, tag: str, partition_by: list[str] | None = None)
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
