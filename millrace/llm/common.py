@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import gc
-import tempfile
-import uuid
-import zlib
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows per Arrow batch for text: a batch of very long texts must still fit a Python worker.
-TEXT_BATCH_ROWS = 1000
+from millrace.durable import drop_materialised, materialise, release, shared_dir  # noqa: F401  for the text operators
+
+#: Bytes and rows of an Arrow batch for text: a batch of very long texts must still fit a Python worker.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 10_000
 
 #: Fixed value: the characters that separate words, the complement of ``[^\x20\x09-\x0D]``.
 SPACES = " \t\n\x0b\x0c\r"
@@ -26,51 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tune(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> None:
-    """Bound the Arrow batches that text operators hand to Python."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="millrace-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def materialise(df: DataFrame, tag: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    This cuts the lineage: a later stage that loses an executor rereads the files and nothing above
-    them runs again, so values that depend on the partitioning stay as written.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_materialised(*frames: DataFrame) -> None:
-    """Delete tables written by :func:`materialise` whose rows nobody needs any more."""
-    for df in frames:
-        spark = df.sparkSession
-        jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(conf).delete(path, True)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished steps now and not when the driver next collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def tune(spark: SparkSession) -> None:
+    """Bound the Arrow batches that text operators hand to Python, by bytes; the same for all, so callers can't disturb each other."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def doc_crc(column: str = "doc_id"):
@@ -164,8 +120,3 @@ def shingle_hashes(tokens: list[bytes], memo: WordHashes, width: int = 5) -> np.
     for k in range(span):
         acc = mix64(acc * _U64(0x9E3779B97F4A7C15) + h[k : k + n])
     return np.unique(acc)
-
-
-def ids_crc(ids: np.ndarray) -> int:
-    """Unsigned crc32 of ids as little-endian unsigned 32-bit integers."""
-    return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4").tobytes()) & 0xFFFFFFFF

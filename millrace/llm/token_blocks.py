@@ -17,16 +17,18 @@ A text longer than a shard gets one by itself.
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ids_crc, materialise, tune
-from .tokens import vocabulary_path, worker_encoder
+from .common import materialise, tune
+from .tokens import text_runs, vocabulary_path, worker_encoder
 
 MAGIC = b"PFORIDS1"
 BLOCK = 128
@@ -110,17 +112,15 @@ def unpack_stream(data: bytes, at: int = 0) -> tuple[np.ndarray, int]:
     return (grid + low[:, None]).ravel()[:n], at + 8 * n_blocks + ends
 
 
-def pack_shard(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
-    """The file of some documents' ids."""
-    missing = np.array([d is None for d in doc_ids], dtype=np.uint8)
-    known = np.array([0 if d is None else d for d in doc_ids], dtype="<i8")
-    lengths = np.array([len(x) for x in ids], dtype=np.uint32)
-    flat = np.concatenate(ids) if ids else np.empty(0, dtype=np.uint32)
-    return b"".join([MAGIC, struct.pack("<Q", len(doc_ids)), missing.tobytes(), known.tobytes(), pack_stream(lengths), pack_stream(flat)])
+def pack_shard(doc_ids: pa.Array, lengths: np.ndarray, ids: np.ndarray) -> bytes:
+    """The file of some documents' ids, which follow each other in ``ids``."""
+    missing = doc_ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8)
+    known = pc.fill_null(doc_ids, 0).to_numpy().astype("<i8")
+    return b"".join([MAGIC, struct.pack("<Q", len(doc_ids)), missing.tobytes(), known.tobytes(), pack_stream(lengths), pack_stream(ids)])
 
 
-def unpack_shard(data: bytes) -> tuple[list[int | None], list[np.ndarray]]:
-    """The doc ids and the ids of each document in a file."""
+def unpack_shard(data: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The doc ids, the number of ids of each document, and all ids in a row."""
     if data[: len(MAGIC)] != MAGIC:
         raise ValueError("not a file of packed token ids")
     (n,) = struct.unpack_from("<Q", data, len(MAGIC))
@@ -129,8 +129,7 @@ def unpack_shard(data: bytes) -> tuple[list[int | None], list[np.ndarray]]:
     known = np.frombuffer(data, dtype="<i8", count=n, offset=at + n)
     lengths, at = unpack_stream(data, at + 9 * n)
     flat, _ = unpack_stream(data, at)
-    docs = [None if m else int(d) for m, d in zip(missing, known)]
-    return docs, np.split(flat, np.cumsum(lengths.astype(np.int64))[:-1]) if n else []
+    return pa.array(known, mask=missing.astype(bool)), lengths.astype(np.int64), flat
 
 
 def write_shards(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID, shard_ids: int = SHARD_IDS) -> DataFrame:
@@ -143,34 +142,52 @@ def write_shards(docs: DataFrame, vocabulary: str | None = None, end_id: int = E
     tune(spark)
     path = vocabulary or vocabulary_path("byte_bpe_50k.json")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A repeated or null id may stand before many rows: the text's hash deals those out as well.
+    order = [F.col("doc_id"), F.xxhash64("text")]
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = worker_encoder(path), TaskContext.get().partitionId()
-        end = np.array([end_id], dtype=np.uint32)
-        names: list = []
+        names: list[pa.Array] = []
         ids: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
         held = shard = start = 0
 
-        def close() -> pd.DataFrame:
+        def close() -> pa.RecordBatch:
             nonlocal held, shard, start
-            row = pd.DataFrame([(part, shard, len(ids), held, start, pack_shard(names, ids))], columns=["part", "shard", "n_docs", "n_ids", "start_in_part", "payload"])
+            doc_ids = pa.concat_arrays(names)
+            payload = pack_shard(doc_ids, np.concatenate(sizes), np.concatenate(ids))
+            row = [part, shard, len(doc_ids), held, start, payload]
             shard, start, held = shard + 1, start + held, 0
-            names.clear()
-            ids.clear()
-            return row
-
-        for batch in batches:
-            for doc, found in zip(batch["doc_id"].astype(object), encoder.batch(list(batch["text"]))):
-                names.append(None if pd.isna(doc) else int(doc))
-                ids.append(np.concatenate([found, end]))
+            for x in (names, ids, sizes):
+                x.clear()
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=[c.split()[0] for c in SHARD_SCHEMA.split(", ")])
+
+        for batch in text_runs(batches):
+            found, counts = encoder.batch(batch.column("text"))
+            lengths = counts + 1
+            ends = np.cumsum(lengths)
+            flat = np.full(int(lengths.sum()), end_id, dtype=np.uint32)
+            inside = np.ones(len(flat), dtype=bool)
+            inside[ends - 1] = False
+            flat[inside] = found
+            docs_of = batch.column("doc_id").cast(pa.int64())
+            # A shard ends with the document that fills it.
+            a = 0
+            while a < len(ends):
+                b = min(len(ends), int(np.searchsorted(ends, shard_ids - held + (ends[a - 1] if a else 0))) + 1)
+                names.append(docs_of.slice(a, b - a))
+                sizes.append(lengths[a:b].astype(np.uint32))
+                ids.append(flat[ends[a] - lengths[a] : ends[b - 1]])
                 held += len(ids[-1])
                 if held >= shard_ids:
                     yield close()
-        if ids:
+                a = b
+        if held:
             yield close()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    return materialise(ordered.mapInPandas(encode, SHARD_SCHEMA), "token-shards")
+    ordered = docs.select("doc_id", "text").repartitionByRange(n, *order).sortWithinPartitions("doc_id", "text")
+    return materialise(ordered.mapInArrow(encode, SHARD_SCHEMA), "token-shards")
 
 
 def read_shards(shards: DataFrame) -> DataFrame:
@@ -184,13 +201,15 @@ def read_shards(shards: DataFrame) -> DataFrame:
         bases[part] = at
         at += n
 
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, start, payload in zip(batch["part"], batch["start_in_part"], batch["payload"]):
-                docs, ids = unpack_shard(payload)
-                lengths = np.array([len(x) for x in ids], dtype=np.int64)
-                starts = bases[part] + start + np.concatenate([[0], np.cumsum(lengths)[:-1]])
-                yield pd.DataFrame({"doc_id": pd.array(docs, dtype="Int64"), "start": starts, "n_tokens": lengths, "ids_crc32": [ids_crc(x) for x in ids]})
-
-    tune(shards.sparkSession, rows=16)
-    return shards.select("part", "start_in_part", "payload").mapInPandas(decode, DOC_SCHEMA)
+            for part, begin, payload in zip(*(c.to_pylist() for c in batch.columns)):
+                docs, lengths, ids = unpack_shard(payload)
+                ends = np.cumsum(lengths)
+                starts = ends - lengths
+                data = memoryview(ids.astype("<u4").tobytes())
+                crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
+                yield pa.RecordBatch.from_arrays([docs, pa.array(bases[part] + begin + starts), pa.array(lengths), pa.array(crc, pa.int64())], names=[c.split()[0] for c in DOC_SCHEMA.split(", ")])
+
+    tune(shards.sparkSession)
+    return shards.select("part", "start_in_part", "payload").mapInArrow(decode, DOC_SCHEMA)

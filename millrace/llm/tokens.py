@@ -1,27 +1,34 @@
 """Token ids of whole texts by public vocabularies, with a memo over whitespace-bounded chunks.
 
 Both kinds of vocabulary split a text into pieces before merging, and no piece reaches over the start
-of a run of white space, so a text's ids are its chunks' ids in a row. Chunks repeat far more often
-than texts do; only new chunks go through the tokenizers library.
+of a run of white space, so a text's ids are its chunks' ids in a row. Arrow splits a batch of texts at its
+single spaces and names equal chunks once; only chunks that are new to the worker go through the tokenizers
+library. Texts whose white space such a cut could change (longer runs, rare characters) are cut by a pattern
+instead, and texts that hold a special token's string go through the library whole, as it treats those.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import SPACES
 
 # Fixed value: the characters with the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+#: White space that a cut at every space and line end would change: other characters, runs of three, runs of two at the end.
+_UNEVEN = r"[\t\x{0b}-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n]{3}|[ \n]{2}\z"
 #: Fixed value: marks that often end a chunk; after a letter they are always pieces of their own.
 ENDINGS = ".,;:!?"
-#: Chunks that one worker remembers; chunks encoded at a time.
-MEMO_CHUNKS, AT_ONCE = 800_000, 5_000
+#: Chunks that one worker remembers; chunks encoded at a time; bytes of text that are cut together.
+MEMO_CHUNKS, AT_ONCE, CUT_BYTES = 800_000, 5_000, 8 << 20
 
 
 def vocabulary_path(name: str) -> str:
@@ -45,20 +52,24 @@ class _Slots(dict):
 
 
 class _Runs:
-    """Runs of ids by number, in one flat array."""
+    """Runs of ids by number, in one flat array; arrays grow by doubling."""
 
     def __init__(self):
-        self.starts, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        self.flat = np.zeros(0, dtype=np.uint32)
+        self.starts, self.lengths = np.zeros(1024, dtype=np.int64), np.zeros(1024, dtype=np.int64)
+        self.flat, self.used = np.zeros(4096, dtype=np.uint32), 0
+
+    @staticmethod
+    def _room(array: np.ndarray, size: int) -> np.ndarray:
+        return array if size <= len(array) else np.concatenate([array, np.zeros(max(size, 2 * len(array)) - len(array), dtype=array.dtype)])
 
     def put(self, numbers: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
         """Keep the runs that follow each other in ``ids`` under their numbers."""
-        grown = int(numbers.max(initial=-1)) + 1 - len(self.starts)
-        if grown > 0:
-            self.starts, self.lengths = (np.concatenate([x, np.zeros(grown, dtype=np.int64)]) for x in (self.starts, self.lengths))
-        self.starts[numbers] = len(self.flat) + np.cumsum(lengths) - lengths
+        size = int(numbers.max(initial=-1)) + 1
+        self.starts, self.lengths, self.flat = self._room(self.starts, size), self._room(self.lengths, size), self._room(self.flat, self.used + len(ids))
+        self.starts[numbers] = self.used + np.cumsum(lengths) - lengths
         self.lengths[numbers] = lengths
-        self.flat = np.concatenate([self.flat, ids])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
 
     def get(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The runs of some numbers in a row, and their lengths."""
@@ -68,14 +79,15 @@ class _Runs:
 
 
 class Encoder:
-    """Ids of texts by a vocabulary file of the tokenizers library; special tokens in a text are ordinary text."""
+    """Ids of texts by a vocabulary file of the tokenizers library, as its ``encode`` without added special tokens gives them."""
 
     def __init__(self, path: str, limit: int = MEMO_CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Strings that the library takes for one id wherever they stand.
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         #: Whether the vocabulary ignores white space and the case of ASCII letters.
         self.folds = self.whole(" Aa  B") == self.whole("aa b")
         # A word of letters is one piece, and the ids that begin or end such a piece can be told by their strings.
@@ -85,7 +97,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.slots, self.bodies = _Slots(), _Slots()
+        self.slots, self.bodies, self.wholes = _Slots(), _Slots(), set()
         self.chunk_ids, self.body_ids = _Runs(), _Runs()
 
     def whole(self, text: str) -> list[int]:
@@ -94,6 +106,8 @@ class Encoder:
 
     def _parts(self, chunk: str) -> tuple[str, str]:
         """A chunk as what the library has to encode, and a mark at its end that is a piece of its own."""
+        if self.wholes and chunk in self.wholes:
+            return chunk, ""
         body, end = (chunk[:-1], chunk[-1]) if len(chunk) > 2 and chunk[-1] in ENDINGS and chunk[-2].isalpha() else (chunk, "")
         return (body.strip(SPACES).lower() if self.folds and body.isascii() else body), end
 
@@ -124,24 +138,83 @@ class Encoder:
         ids, lengths = self.body_ids.get(pairs)
         self.chunk_ids.put(np.arange(len(self.slots) - len(fresh), len(self.slots)), ids, lengths.reshape(-1, 2).sum(axis=1))
 
-    def batch(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text as unsigned 32-bit integers; a null text has none."""
-        if len(self.slots) > self.limit or len(self.chunk_ids.flat) > 16 * self.limit:
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of all chunks in a row, chunks of each text) for texts whose white space is even."""
+        texts = pc.replace_substring(pc.ascii_lower(texts), "\n", " ") if self.folds else pc.replace_substring(texts, "\n", " \n")
+        lists = pc.split_pattern(texts, " ")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.values.dictionary_encode()
+        names, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        if self.folds:
+            chunks = names
+        else:
+            # A space stands before every piece but a text's first; a line end is a chunk's own beginning.
+            chunks = [n if n[:1] == "\n" else " " + n for n in names]
+        numbers = np.fromiter(map(self.slots.__getitem__, chunks), dtype=np.int64, count=len(chunks))[at]
+        counts = np.diff(offsets)
+        if not self.folds:
+            first = offsets[:-1][counts > 0]
+            numbers[first] = np.fromiter((self.slots[names[k]] for k in at[first]), dtype=np.int64, count=len(first))
+        return numbers, counts
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row as unsigned 32-bit integers, ids of each text); a null text has none."""
+        if len(self.slots) > self.limit or self.chunk_ids.used > 16 * self.limit:
             self._forget()
         slots = self.slots
-        chunked = [_CHUNK.findall(t) if t else [] for t in texts]
-        numbers = [np.fromiter(map(slots.__getitem__, c), dtype=np.int64, count=len(c)) for c in chunked]
+        odd = np.zeros(len(texts), dtype=bool)
+        for name in self.specials:
+            odd |= pc.fill_null(pc.match_substring(texts, name), False).to_numpy(zero_copy_only=False)
+        special = odd.copy()
+        if not self.folds:
+            odd |= pc.fill_null(pc.match_substring_regex(texts, _UNEVEN), False).to_numpy(zero_copy_only=False)
+        numbers, counts = self._cut(texts if not odd.any() else texts.filter(pa.array(~odd)))
+        if odd.any():
+            even, runs = iter(np.split(numbers, np.cumsum(counts)[:-1]) if len(counts) else []), []
+            for k, aside in enumerate(odd):
+                if aside:
+                    text = texts[k].as_py()
+                    chunks = [text] if special[k] else _CHUNK.findall(text)
+                    self.wholes.update(chunks if special[k] else ())
+                    runs.append(np.fromiter(map(slots.__getitem__, chunks), dtype=np.int64, count=len(chunks)))
+                else:
+                    runs.append(next(even))
+            numbers, counts = np.concatenate(runs), np.array(list(map(len, runs)), dtype=np.int64)
         fresh, slots.fresh = slots.fresh, []
         if fresh:
             self._learn(fresh)
-        return [self.chunk_ids.get(n)[0] for n in numbers]
+        ids, lengths = self.chunk_ids.get(numbers)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
+        return ids, np.diff(ends)
+
+
+def text_runs(batches: Iterable[pa.RecordBatch], size: int = CUT_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches put together or cut so that each has about ``size`` bytes, or one row that is longer."""
+    held, bytes_held = [], 0
+
+    def close() -> pa.RecordBatch:
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        each = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(np.diff(np.cumsum(each) // size)) + 1
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+            held.append(batch.slice(a, b - a))
+            bytes_held += int(each[a:b].sum())
+            if bytes_held >= size:
+                yield close()
+                held, bytes_held = [], 0
+    if held:
+        yield close()
+
+
+_encoders: dict[str, Encoder] = {}
 
 
 def worker_encoder(path: str) -> Encoder:
     """The encoder of this worker process; the tasks it runs one after another share the memo."""
-    import tokenizers
-
-    kept = tokenizers.__dict__.setdefault("_encoders_of_worker", {})
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]

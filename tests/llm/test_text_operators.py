@@ -7,13 +7,16 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from millrace.llm import chat_format, common, context_mixing, decontaminate, jaccard_join, language_id, license_scan, packing, pu_quality, quality_rules, token_blocks, tokens
 
+PLAIN: dict = {}
 WORDS = "ka lo mi ren tu sa vek pol dur nim".split()
 
 
@@ -213,15 +216,38 @@ def test_memo_gives_the_librarys_ids(name):
     encoder = tokens.Encoder(tokens.vocabulary_path(name), limit=5)
     odd_texts = ["a\xa0\n\nb  c\t\td ", "<|endoftext|> x", "", None, "   ", "don't it's 　 x  y", "É Σας ΟΔΟΣ\x1c\x1dz", "a\x85\x85b 12345 ½²", "x" * 300, "foo, foo. foo!? FOO", text(1, 50)]
     for _ in range(2):
-        assert [list(x) for x in encoder.batch(odd_texts)] == [encoder.whole(t) if t else [] for t in odd_texts]
+        ids, counts = encoder.batch(pa.array(odd_texts))
+        plain = Tokenizer.from_file(tokens.vocabulary_path(name))
+        expected = [plain.encode(t, add_special_tokens=False).ids if t else [] for t in odd_texts]
+        assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])] == expected
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([" ", "  ", "\n", "\n\n", "\t", "ab", "B", "é", ".", "1", "'s", "<|endoftext|>", "\x00", "\u3000", "e\u0301"]), max_size=12).map("".join), max_size=4))
+def test_ids_of_any_white_space(texts):
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        encoder = tokens.worker_encoder(tokens.vocabulary_path(name))
+        plain = PLAIN.setdefault(name, Tokenizer.from_file(tokens.vocabulary_path(name)))
+        ids, counts = encoder.batch(pa.array(texts, pa.string()))
+        assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])][: len(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def library_ids(name, text):
+    plain = PLAIN.setdefault(name, Tokenizer.from_file(tokens.vocabulary_path(name)))
+    return plain.encode(text or "", add_special_tokens=False).ids + [0]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
 
 
 def test_shards(odd):
-    shards = token_blocks.write_shards(odd, shard_ids=50)
-    rows = sorted(token_blocks.read_shards(shards).collect(), key=lambda r: r.start)
-    assert [r.start for r in rows] == list(np.cumsum([0] + [r.n_tokens for r in rows])[:-1]) and len(rows) == 13
-    ids = [r.doc_id for r in rows]
-    assert ids == sorted(ids, key=lambda d: (d is not None, d or 0)) and all(r.n_tokens == 1 for r in rows if r.doc_id in (3, 4))
+    rows = sorted(token_blocks.read_shards(token_blocks.write_shards(odd, shard_ids=50)).collect(), key=lambda r: r.start)
+    docs = sorted((r.doc_id is not None, r.doc_id or 0, r.text or "", r.text) for r in odd.collect())
+    ids = [library_ids("byte_bpe_50k.json", t) for *_, t in docs]
+    assert [r.start for r in rows] == list(np.cumsum([0] + [len(x) for x in ids])[:-1])
+    assert sorted((r.doc_id or 0, r.n_tokens, r.ids_crc32) for r in rows) == sorted((d, len(x), crc(x)) for (_, d, *_), x in zip(docs, ids))
+    assert [r.doc_id or 0 for r in rows] == [d for _, d, *_ in docs]
     assert token_blocks.read_shards(token_blocks.write_shards(empty(odd))).count() == 0
 
 
@@ -231,10 +257,51 @@ def test_packing(odd):
     for r in rows:
         by.setdefault(r.sequence_id, []).append((r.offset, r.length))
     assert all([o for o, _ in sorted(v)] == list(np.cumsum([0] + [n for _, n in sorted(v)])[:-1]) and sum(n for _, n in v) <= 2048 for v in by.values())
-    assert sum(r.start == 0 for r in rows) == 13 and max(r.piece for r in rows if r.doc_id == 8) > 0
+    expected = []
+    for d, t in odd.select("doc_id", "text").collect():
+        ids = library_ids("word_bpe_49k.json", t)
+        expected += [(d or 0, k // 2048, k, len(ids[k : k + 2048]), crc(ids[k : k + 2048])) for k in range(0, len(ids), 2048)]
+    assert sorted((r.doc_id or 0, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == sorted(expected)
     assert packing.pack(empty(odd)).count() == 0
 
 
+def fewest_sequences(lengths, capacity):
+    """The optimum, by trying every place for every piece."""
+    best = len(lengths)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(lengths):
+            best = len(rooms)
+            return
+        for k in {r: k for k, r in enumerate(rooms) if r >= lengths[i]}.values():
+            rooms[k] -= lengths[i]
+            place(i + 1, rooms)
+            rooms[k] += lengths[i]
+        place(i + 1, [*rooms, capacity - lengths[i]])
+
+    lengths = sorted(lengths, reverse=True)
+    place(0, [])
+    return best
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 20), max_size=9))
+def test_few_pieces_take_the_fewest_sequences(lengths):
+    assert packing.plan_sequences(np.bincount(lengths, minlength=21), 20)[1] == fewest_sequences(lengths, 20)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 26), min_size=1, max_size=9), st.integers(5, 60), st.sampled_from([0, 3000]))
+def test_fillings_waste_the_least(lengths, room, nodes):
+    sums = {sum(c) for n in range(len(lengths) + 1) for c in itertools.combinations(lengths, n)}
+    filling = packing.complete_bin(np.bincount(lengths, minlength=room + 1), room, nodes)
+    assert sum(s * t for s, t in filling) == max(x for x in sums if x <= room)
+    assert all(Counter(lengths)[s] >= t for s, t in filling)
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.integers(1, 20), max_size=40))
 def test_plans_are_whole_and_near_the_bound(lengths):
