@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,75 +52,147 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U64(32))
 
 
-#: Bits of a membership filter, and bits that travel together.
-FILTER_BITS, FILTER_BLOCK_BITS = 1 << 26, 1 << 20
-
-
-def filter_slots(ids: np.ndarray) -> np.ndarray:
-    """The bit of each 64-bit id in a membership filter."""
-    return (mix64(ids.astype(np.int64).view(np.uint64)) % _U64(FILTER_BITS)).astype(np.int64)
-
-
-def membership_filter(ids: DataFrame) -> np.ndarray:
-    """Bits, eight to a byte, that are set for every id of a one-column table; of a fixed size, whatever the table's."""
-
-    def slots(batches):
-        for batch in batches:
-            at = np.unique(filter_slots(batch.iloc[:, 0].to_numpy()))
-            yield pd.DataFrame({"block": at // FILTER_BLOCK_BITS, "bit": at % FILTER_BLOCK_BITS})
-
-    def join(batches):
-        blocks: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, bits in batch.groupby("block")["bit"]:
-                blocks.setdefault(block, np.zeros(FILTER_BLOCK_BITS, dtype=bool))[bits.to_numpy()] = True
-        for block, bits in blocks.items():
-            yield pd.DataFrame({"block": [block], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
-
-    n = FILTER_BITS // FILTER_BLOCK_BITS
-    parts = ids.mapInPandas(slots, "block long, bit long").repartition(n, "block").mapInPandas(join, "block long, bits binary")
-    out = np.zeros((n, FILTER_BLOCK_BITS // 8), dtype=np.uint8)
-    for block, bits in parts.collect():
-        out[block] = np.frombuffer(bits, dtype=np.uint8)
-    return out.ravel()
-
-
-def in_filter(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Whether each id may be a member; never false for a member."""
-    at = filter_slots(ids)
-    return (bits[at >> 3] >> (at & 7) & 1).astype(bool)
-
-
-class WordHashes(dict):
-    """Memo from a word's bytes to a 64-bit hash; forgets all when full, which changes no hash."""
-
-    def __init__(self, limit: int = 400_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def array(self, tokens: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
-
-
-def shingle_hashes(tokens: list[bytes], memo: WordHashes, width: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the ``width``-word shingles of a text.
+#: Keys of the exchanges below have so many bits.
+KEY_BITS = 56
+#: Bytes of text that are hashed together, and the length from which a word is hashed by itself.
+SEGMENT_BYTES, LONG_WORD = 1 << 21, 256
+_BASE = 0x9E3779B97F4A7C15
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+_IS_SPACE = np.zeros(256, dtype=bool)
+_IS_SPACE[list(map(ord, SPACES))] = True
+_powers: list[np.ndarray] = []
+
+
+def text_runs(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together or cut so that each has about ``size`` bytes of ``text``, or one row that is longer."""
+    held, bytes_held = [], 0
+
+    def close() -> pa.RecordBatch:
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        each = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(np.diff(np.cumsum(each, dtype=np.int64) // size)) + 1
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+            held.append(batch.slice(a, b - a))
+            bytes_held += int(each[a:b].sum())
+            if bytes_held >= size:
+                yield close()
+                held, bytes_held = [], 0
+    if held:
+        yield close()
+
+
+def _power_tables(size: int) -> list[np.ndarray]:
+    """Powers of an odd base and of its inverse, modulo 2^64."""
+    if not _powers or len(_powers[0]) < size:
+        inverse = pow(_BASE, -1, 1 << 64)
+        _powers[:] = [np.cumprod(np.concatenate([np.ones(1, dtype=np.uint64), np.full(size, x, dtype=np.uint64)])) for x in (_BASE, inverse)]
+    return _powers
+
+
+class WordStream:
+    """The words of some texts in a row, with A-Z in lower case: ``hashes`` of 64 bits, and the number of words of each text.
+
+    A word's hash is a polynomial of its bytes, from running sums over all bytes, scrambled; long words are
+    hashed by themselves. ``word(i)`` gives a word's bytes.
+    """
 
-    With fewer words the whole sequence is one shingle; without words the set is empty.
+    def __init__(self, texts: pa.Array):
+        texts = pc.fill_null(texts, "")
+        _, offsets, data = texts.buffers()
+        if not len(texts) or data is None:
+            self.data, self.starts, self.ends = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+            return
+        at = np.frombuffer(offsets, dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        self.data = _FOLD[np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]]]
+        at -= at[0]
+        space = _IS_SPACE[self.data]
+        before = np.concatenate([[True], space[:-1]])
+        before[at[:-1][at[:-1] < len(space)]] = True
+        after = np.concatenate([space[1:], [True]])
+        after[at[1:][at[1:] > 0] - 1] = True
+        self.starts = np.flatnonzero(~space & before[: len(space)])
+        self.ends = np.flatnonzero(~space & after[: len(space)]) + 1
+        self.counts = np.diff(np.searchsorted(self.starts, at))
+        self.hashes = self._hash()
+
+    def _hash(self) -> np.ndarray:
+        starts, ends = self.starts, self.ends
+        out = np.empty(len(starts), dtype=np.uint64)
+        cuts = np.flatnonzero(np.diff(starts // SEGMENT_BYTES)) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(starts)]):
+            low, high = int(starts[a]) if a < b else 0, min(int(ends[b - 1]), int(starts[b - 1]) + LONG_WORD) if a < b else 0
+            ahead, back = _power_tables(SEGMENT_BYTES + LONG_WORD + 1)
+            sums = np.zeros(high - low + 1, dtype=np.uint64)
+            np.cumsum((self.data[low:high].astype(np.uint64) + _U64(1)) * ahead[: high - low], out=sums[1:])
+            first = starts[a:b] - low
+            out[a:b] = (sums[np.minimum(ends[a:b] - low, high - low)] - sums[first]) * back[first]
+        lengths = ends - starts
+        out = mix64(out + lengths.astype(np.uint64) * _U64(0xD1342543DE82EF95))
+        for i in np.flatnonzero(lengths >= LONG_WORD):
+            out[i] = xxhash.xxh3_64_intdigest(self.word(i))
+        return out
+
+    def word(self, i: int) -> bytes:
+        return self.data[self.starts[i] : self.ends[i]].tobytes()
+
+
+def shingle_keys(stream: WordStream, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(keys in a row, keys of each text): sorted distinct ``KEY_BITS``-bit hashes of each text's word shingles.
+
+    With fewer words the whole sequence is one shingle; without words there is none.
     """
-    if not tokens:
-        return np.empty(0, dtype=np.uint64)
-    h = memo.array(tokens)
-    span = min(width, len(h))
-    n = len(h) - span + 1
-    acc = np.full(n, span, dtype=np.uint64)
-    for k in range(span):
-        acc = mix64(acc * _U64(0x9E3779B97F4A7C15) + h[k : k + n])
-    return np.unique(acc)
+    h, counts = stream.hashes, stream.counts
+    ends = np.cumsum(counts)
+
+    def fold(at: np.ndarray, span: int) -> np.ndarray:
+        acc = np.full(len(at), span, dtype=np.uint64)
+        for k in range(span):
+            acc = mix64(acc * _U64(0x9E3779B97F4A7C15) + h[at + k])
+        return acc >> _U64(64 - KEY_BITS)
+
+    text = np.repeat(np.arange(len(counts)), counts)
+    whole = np.flatnonzero(np.arange(len(h)) + width <= ends[text])
+    keys, owner = fold(whole, width), text[whole]
+    for span in range(1, width):
+        short = np.flatnonzero(counts == span)
+        keys, owner = np.concatenate([keys, fold(ends[short] - span, span)]), np.concatenate([owner, short])
+    order = np.argsort(owner, kind="stable")
+    keys, owner = keys[order], owner[order]
+    cuts = np.searchsorted(owner, np.arange(len(counts) + 1)).tolist()
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        keys[a:b].sort()
+    new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])])[: len(keys)]
+    return keys[new], np.bincount(owner[new], minlength=len(counts))
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    """Ascending unsigned integers as the first one, a width, and differences of that many bytes."""
+    if not len(keys):
+        return b""
+    steps = np.diff(keys).astype("<u8")
+    wide = max(1, -(-int(steps.max(initial=0)).bit_length() // 8))
+    return int(keys[0]).to_bytes(8, "little") + bytes([wide]) + steps.view(np.uint8).reshape(-1, 8)[:, :wide].tobytes()
+
+
+def unpack_sorted(data: bytes | None) -> np.ndarray:
+    """What :func:`pack_sorted` wrote."""
+    if not data:
+        return np.zeros(0, dtype=np.uint64)
+    wide = data[8]
+    parts = np.frombuffer(data, dtype=np.uint8, offset=9).reshape(-1, wide)
+    out = np.zeros((len(parts) + 1, 8), dtype=np.uint8)
+    out[0] = np.frombuffer(data, dtype=np.uint8, count=8)
+    out[1:, :wide] = parts
+    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
+
+
+def bucket_cuts(keys: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Where each of ``n_buckets`` equal ranges of ``KEY_BITS``-bit keys begins in ascending keys, and the end."""
+    bounds = [-(-(b << KEY_BITS) // n_buckets) for b in range(1, n_buckets)]
+    return np.concatenate([[0], np.searchsorted(keys, np.array(bounds, dtype=np.uint64)), [len(keys)]])

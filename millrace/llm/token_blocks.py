@@ -27,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, tune
-from .tokens import text_runs, vocabulary_path, worker_encoder
+from .common import materialise, text_runs, tune
+from .tokens import RUN_BYTES, vocabulary_path, worker_encoder
 
 MAGIC = b"PFORIDS1"
 BLOCK = 128
@@ -163,7 +163,7 @@ def write_shards(docs: DataFrame, vocabulary: str | None = None, end_id: int = E
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=[c.split()[0] for c in SHARD_SCHEMA.split(", ")])
 
-        for batch in text_runs(batches):
+        for batch in text_runs(batches, RUN_BYTES):
             found, counts = encoder.batch(batch.column("text"))
             lengths = counts + 1
             ends = np.cumsum(lengths)

@@ -1,9 +1,9 @@
-"""Token ids of whole texts by public vocabularies, with a memo over whitespace-bounded chunks.
+"""Token ids of whole texts by public vocabularies; equal chunks of a run of texts are encoded once.
 
 Both kinds of vocabulary split a text into pieces before merging, and no piece reaches over the start
-of a run of white space, so a text's ids are its chunks' ids in a row. Arrow splits a batch of texts at its
-single spaces and names equal chunks once; only chunks that are new to the worker go through the tokenizers
-library. Texts whose white space such a cut could change (longer runs, rare characters) are cut by a pattern
+of a run of white space, so a text's ids are its chunks' ids in a row. Arrow splits a run of texts at its
+single spaces and finds the distinct chunks, and the tokenizers library encodes those, thousands in one
+text whose ids are cut where a chunk begins or ends. Nothing is kept from one run to the next. Texts whose white space such a cut could change (longer runs, rare characters) are cut by a pattern
 instead, and texts that hold a special token's string go through the library whole, as it treats those.
 """
 
@@ -11,14 +11,12 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import SPACES
 
 # Fixed value: the characters with the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -27,8 +25,8 @@ _CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 _UNEVEN = r"[\t\x{0b}-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n]{3}|[ \n]{2}\z"
 #: Fixed value: marks that often end a chunk; after a letter they are always pieces of their own.
 ENDINGS = ".,;:!?"
-#: Chunks that one worker remembers; chunks encoded at a time; bytes of text that are cut together.
-MEMO_CHUNKS, AT_ONCE, CUT_BYTES = 800_000, 5_000, 8 << 20
+#: Chunks encoded at a time; bytes of text whose chunks are encoded together.
+AT_ONCE, RUN_BYTES = 5_000, 24 << 20
 
 
 def vocabulary_path(name: str) -> str:
@@ -38,50 +36,38 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class _Slots(dict):
-    """Number of each chunk in the order in which they were first seen; ``fresh`` lists those not encoded yet."""
-
-    def __init__(self):
-        super().__init__()
-        self.fresh: list[str] = []
-
-    def __missing__(self, chunk: str) -> int:
-        self.fresh.append(chunk)
-        number = self[chunk] = len(self)
-        return number
+def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The chosen runs of ``flat`` in a row, and their lengths."""
+    length = lengths[chosen]
+    ends = np.cumsum(length)
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.arange(total, dtype=np.int32 if total < 1 << 30 and len(flat) < 1 << 30 else np.int64)
+    at += np.repeat((starts[chosen] - (ends - length)).astype(at.dtype), length)
+    return flat[at], length
 
 
 class _Runs:
-    """Runs of ids by number, in one flat array; arrays grow by doubling."""
+    """Runs of ids, collected one batch after another; the first run is empty."""
 
     def __init__(self):
-        self.starts, self.lengths = np.zeros(1024, dtype=np.int64), np.zeros(1024, dtype=np.int64)
-        self.flat, self.used = np.zeros(4096, dtype=np.uint32), 0
+        self.ids, self.lengths, self.n = [np.zeros(0, dtype=np.uint32)], [np.zeros(1, dtype=np.int64)], 1
 
-    @staticmethod
-    def _room(array: np.ndarray, size: int) -> np.ndarray:
-        return array if size <= len(array) else np.concatenate([array, np.zeros(max(size, 2 * len(array)) - len(array), dtype=array.dtype)])
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Numbers of the added runs."""
+        self.ids.append(ids)
+        self.lengths.append(lengths)
+        self.n += len(lengths)
+        return np.arange(self.n - len(lengths), self.n)
 
-    def put(self, numbers: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
-        """Keep the runs that follow each other in ``ids`` under their numbers."""
-        size = int(numbers.max(initial=-1)) + 1
-        self.starts, self.lengths, self.flat = self._room(self.starts, size), self._room(self.lengths, size), self._room(self.flat, self.used + len(ids))
-        self.starts[numbers] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[numbers] = lengths
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-
-    def get(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The runs of some numbers in a row, and their lengths."""
-        first, length = self.starts[numbers], self.lengths[numbers]
-        ends = np.cumsum(length)
-        return self.flat[np.arange(int(length.sum())) + np.repeat(first - (ends - length), length)], length
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lengths = np.concatenate(self.lengths)
+        return np.concatenate(self.ids), np.cumsum(lengths) - lengths, lengths
 
 
 class Encoder:
     """Ids of texts by a vocabulary file of the tokenizers library, as its ``encode`` without added special tokens gives them."""
 
-    def __init__(self, path: str, limit: int = MEMO_CHUNKS):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -90,131 +76,101 @@ class Encoder:
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         #: Whether the vocabulary ignores white space and the case of ASCII letters.
         self.folds = self.whole(" Aa  B") == self.whole("aa b")
-        # A word of letters is one piece, and the ids that begin or end such a piece can be told by their strings.
+        # Each chunk of a joined text begins or ends at ids that can be told by their strings.
         names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
-        self.borders = np.array([n.endswith("</w>") if self.folds else n.startswith("Ġ") for n in names])
-        self.limit = limit
-        self._forget()
-
-    def _forget(self) -> None:
-        self.slots, self.bodies, self.wholes = _Slots(), _Slots(), set()
-        self.chunk_ids, self.body_ids = _Runs(), _Runs()
+        self.borders = np.array([n.endswith("</w>") if self.folds else n[:1] in ("Ġ", "Ċ") for n in names])
 
     def whole(self, text: str) -> list[int]:
-        """Ids without the memo."""
+        """Ids of a text by the library alone."""
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _parts(self, chunk: str) -> tuple[str, str]:
-        """A chunk as what the library has to encode, and a mark at its end that is a piece of its own."""
-        if self.wholes and chunk in self.wholes:
-            return chunk, ""
-        body, end = (chunk[:-1], chunk[-1]) if len(chunk) > 2 and chunk[-1] in ENDINGS and chunk[-2].isalpha() else (chunk, "")
-        return (body.strip(SPACES).lower() if self.folds and body.isascii() else body), end
-
-    def _encode_words(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words of letters in a row and how many each has, from one text that is cut where a word begins or ends."""
-        ids = np.array(self.whole(" ".join(some) if self.folds else "".join(some)), dtype=np.uint32)
-        cuts = np.flatnonzero(self.borders[ids])
-        cuts = np.concatenate([[0], cuts + 1]) if self.folds else np.append(cuts, len(ids))
-        return (ids, np.diff(cuts)) if len(cuts) == len(some) + 1 and cuts[-1] == len(ids) else self._encode_others(some)
-
-    def _encode_others(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _each(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some strings in a row and how many each has."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         return np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(lengths.sum())), lengths
 
-    def _learn(self, fresh: list[str]) -> None:
-        bodies = self.bodies
-        parts = [self._parts(c) for c in fresh]
-        # The empty string stands for no mark at the end.
-        pairs = np.fromiter(map(bodies.__getitem__, chain.from_iterable(parts)), dtype=np.int64, count=2 * len(parts))
-        new, bodies.fresh = bodies.fresh, []
-        first = len(bodies) - len(new)
-        plain = np.fromiter((b.isalpha() if self.folds else b[:1] == " " and b[1:].isalpha() for b in new), dtype=bool, count=len(new))
-        for kind, encode in ((True, self._encode_words), (False, self._encode_others)):
-            at = np.flatnonzero(plain == kind)
-            for some in np.array_split(at, -(-len(at) // AT_ONCE)) if len(at) else []:
-                self.body_ids.put(first + some, *encode([new[i] for i in some]))
-        ids, lengths = self.body_ids.get(pairs)
-        self.chunk_ids.put(np.arange(len(self.slots) - len(fresh), len(self.slots)), ids, lengths.reshape(-1, 2).sum(axis=1))
-
-    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(numbers of all chunks in a row, chunks of each text) for texts whose white space is even."""
-        texts = pc.replace_substring(pc.ascii_lower(texts), "\n", " ") if self.folds else pc.replace_substring(texts, "\n", " \n")
-        lists = pc.split_pattern(texts, " ")
-        offsets = lists.offsets.to_numpy().astype(np.int64)
-        coded = lists.values.dictionary_encode()
-        names, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    def _joined(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for chunks that are one text when put together."""
+        (found,) = self.tokenizer.encode_batch_fast([(" " if self.folds else "").join(some)], add_special_tokens=False)
+        ids = np.array(found.ids, dtype=np.uint32)
+        cuts = np.flatnonzero(self.borders[ids])
+        cuts = np.concatenate([[0], cuts + 1]) if self.folds else np.append(cuts, len(ids))
+        return (ids, np.diff(cuts)) if len(cuts) == len(some) + 1 and cuts[0] == 0 and cuts[-1] == len(ids) else self._each(some)
+
+    def _add(self, runs: _Runs, some: list[str], joined: bool = False) -> np.ndarray:
+        encode = self._joined if joined else self._each
+        return np.concatenate([np.zeros(0, dtype=np.int64), *(runs.add(*encode(some[a : a + AT_ONCE])) for a in range(0, len(some), AT_ONCE))])
+
+    def _chunks(self, runs: _Runs, names: pa.Array) -> np.ndarray:
+        """Two runs of each of some distinct chunks, which have a space before them if the vocabulary minds: words of letters
+        and the marks after them, or the whole chunk and nothing."""
+        cores = pc.utf8_rtrim(names, characters=ENDINGS)
+        plain = pc.utf8_is_alpha(cores).to_numpy(zero_copy_only=False)
+        pairs = np.zeros((len(names), 2), dtype=np.int64)
+        coded = cores.filter(pa.array(plain)).dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        pairs[plain, 0] = self._add(runs, words if self.folds else [" " + w for w in words], joined=True)[coded.indices.to_numpy()]
+        marked = np.flatnonzero(plain & (pc.binary_length(names).to_numpy() > pc.binary_length(cores).to_numpy()))
+        endings = [n[len(c) :] for n, c in zip(names.take(pa.array(marked)).to_pylist(), cores.take(pa.array(marked)).to_pylist())]
+        known = {e: k for k, e in enumerate(dict.fromkeys(endings))}
+        pairs[marked, 1] = self._add(runs, list(known))[[known[e] for e in endings]] if endings else 0
+        rest = names.filter(pa.array(~plain)).to_pylist()
         if self.folds:
-            chunks = names
+            pairs[~plain, 0] = self._add(runs, rest)
         else:
-            # A space stands before every piece but a text's first; a line end is a chunk's own beginning.
-            chunks = [n if n[:1] == "\n" else " " + n for n in names]
-        numbers = np.fromiter(map(self.slots.__getitem__, chunks), dtype=np.int64, count=len(chunks))[at]
-        counts = np.diff(offsets)
-        if not self.folds:
-            first = offsets[:-1][counts > 0]
-            numbers[first] = np.fromiter((self.slots[names[k]] for k in at[first]), dtype=np.int64, count=len(first))
-        return numbers, counts
+            # Chunks that are white space would run into the next one.
+            bare = np.array([n in ("", "\n") for n in rest], dtype=bool)
+            other = np.flatnonzero(~plain)
+            rest = [n if n[:1] == "\n" else " " + n for n in rest]
+            pairs[other[~bare], 0] = self._add(runs, [n for n, b in zip(rest, bare) if not b], joined=True)
+            pairs[other[bare], 0] = self._add(runs, [n for n, b in zip(rest, bare) if b])
+        return pairs
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row as unsigned 32-bit integers, ids of each text); a null text has none."""
-        if len(self.slots) > self.limit or self.chunk_ids.used > 16 * self.limit:
-            self._forget()
-        slots = self.slots
-        odd = np.zeros(len(texts), dtype=bool)
+        special = np.zeros(len(texts), dtype=bool)
         for name in self.specials:
-            odd |= pc.fill_null(pc.match_substring(texts, name), False).to_numpy(zero_copy_only=False)
-        special = odd.copy()
+            special |= pc.fill_null(pc.match_substring(texts, name), False).to_numpy(zero_copy_only=False)
+        odd = special.copy()
         if not self.folds:
             odd |= pc.fill_null(pc.match_substring_regex(texts, _UNEVEN), False).to_numpy(zero_copy_only=False)
-        numbers, counts = self._cut(texts if not odd.any() else texts.filter(pa.array(~odd)))
+        even = texts if not odd.any() else texts.filter(pa.array(~odd))
+        even = pc.replace_substring(pc.ascii_lower(even), "\n", " ") if self.folds else pc.replace_substring(even, "\n", " \n")
+        lists = pc.split_pattern(even, " ")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.values.dictionary_encode()
+        chosen, counts = coded.indices.to_numpy().astype(np.int64), np.diff(offsets)
+        runs = _Runs()
+        pairs = self._chunks(runs, coded.dictionary)
+        if not self.folds:
+            # A text's first chunk has no space before it.
+            first = offsets[:-1][counts > 0]
+            known, at = np.unique(chosen[first], return_inverse=True)
+            more = self._add(runs, coded.dictionary.take(pa.array(known)).to_pylist())
+            chosen[first] = len(pairs) + at
+            pairs = np.concatenate([pairs, np.stack([more, np.zeros_like(more)], axis=1)])
         if odd.any():
-            even, runs = iter(np.split(numbers, np.cumsum(counts)[:-1]) if len(counts) else []), []
-            for k, aside in enumerate(odd):
-                if aside:
-                    text = texts[k].as_py()
-                    chunks = [text] if special[k] else _CHUNK.findall(text)
-                    self.wholes.update(chunks if special[k] else ())
-                    runs.append(np.fromiter(map(slots.__getitem__, chunks), dtype=np.int64, count=len(chunks)))
-                else:
-                    runs.append(next(even))
-            numbers, counts = np.concatenate(runs), np.array(list(map(len, runs)), dtype=np.int64)
-        fresh, slots.fresh = slots.fresh, []
-        if fresh:
-            self._learn(fresh)
-        ids, lengths = self.chunk_ids.get(numbers)
+            cut = [[t] if s else _CHUNK.findall(t) for t, s in zip(texts.filter(pa.array(odd)).to_pylist(), special[odd])]
+            known = {c: k for k, c in enumerate(dict.fromkeys(chain.from_iterable(cut)))}
+            more = self._add(runs, list(known))
+            aside = iter([np.array([known[c] for c in chunks], dtype=np.int64) + len(pairs) for chunks in cut])
+            pairs = np.concatenate([pairs, np.stack([more, np.zeros_like(more)], axis=1)])
+            rest = iter(np.split(chosen, offsets[1:-1]) if len(counts) else [])
+            mixed = [next(aside if o else rest) for o in odd]
+            chosen, counts = np.concatenate(mixed), np.array(list(map(len, mixed)), dtype=np.int64)
+        flat, lengths = _gather(*runs.table(), pairs.ravel())
+        per_chunk = lengths.reshape(-1, 2).sum(axis=1)
+        ids, lengths = _gather(flat, np.cumsum(per_chunk) - per_chunk, per_chunk, chosen)
         ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
         return ids, np.diff(ends)
 
 
-def text_runs(batches: Iterable[pa.RecordBatch], size: int = CUT_BYTES) -> Iterator[pa.RecordBatch]:
-    """Batches put together or cut so that each has about ``size`` bytes, or one row that is longer."""
-    held, bytes_held = [], 0
-
-    def close() -> pa.RecordBatch:
-        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        each = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-        cuts = np.flatnonzero(np.diff(np.cumsum(each) // size)) + 1
-        for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
-            held.append(batch.slice(a, b - a))
-            bytes_held += int(each[a:b].sum())
-            if bytes_held >= size:
-                yield close()
-                held, bytes_held = [], 0
-    if held:
-        yield close()
-
-
 _encoders: dict[str, Encoder] = {}
 
 
 def worker_encoder(path: str) -> Encoder:
-    """The encoder of this worker process; the tasks it runs one after another share the memo."""
+    """The encoder of this worker process, which its tasks share."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
