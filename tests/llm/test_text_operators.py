@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -101,9 +102,13 @@ def test_language_keeps_what_is_not_broadcast(spark, odd):
     assert kept(small) == kept(whole)
 
 
-def brute_components(rows):
-    memo = common.WordHashes()
-    sets = [(d, set(common.shingle_hashes(common.words(t), memo).tolist())) for d, t in rows if d is not None]
+def shingles(text):
+    w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def components(sets):
+    """The least key reachable from each key by links of its set."""
     root = {d: d for d, _ in sets}
     find = lambda x: x if root[x] == x else find(root[x])
     for (a, x), (b, y) in itertools.combinations(sets, 2):
@@ -113,20 +118,54 @@ def brute_components(rows):
     return {d: find(d) for d, _ in sets}
 
 
-@pytest.mark.parametrize("block_sets", [2000, 3])
-def test_jaccard_is_exact(spark, monkeypatch, block_sets):
-    monkeypatch.setattr(jaccard_join.link_sets, "__defaults__", (5, block_sets))
+def near_copies():
     rng, rows = np.random.default_rng(5), []
-    base = text(11, 60).split()
+    base, passage = text(11, 60).split(), text(99, 45)
     for i in range(24):
         w = list(base)
         for _ in range(i % 5):
             w[rng.integers(0, len(w))] = f"w{i}"
         rows.append((i, " ".join(w[: 60 - i // 2])))
-    rows += [(100, text(12, 40)), (101, text(12, 40).upper()), (102, None), (103, ""), (None, text(12, 40)), (104, "a b"), (105, "A  b"), (100, text(12, 40))]
-    found = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r.doc_id: r.component_id for r in found if r.doc_id is not None} == brute_components(rows)
-    assert len(found) == len(rows) and [r.component_id for r in found if r.doc_id is None] == [None]
+    # Many texts that are mostly one passage but are no near copies of each other.
+    rows += [(200 + i, f"{text(300 + i, 22 + i)} {passage}") for i in range(12)]
+    return rows + [(100, text(12, 40)), (101, text(12, 40).upper()), (102, None), (103, ""), (None, text(12, 40)), (104, "a b"), (105, "A  b"), (100, text(12, 40)), (106, "x" * 300), (107, "X" * 300 + "\n"), (108, "x" * 301)]
+
+
+@pytest.mark.parametrize("block_bytes,flush", [(8 << 20, 3_000_000), (500, 200)])
+def test_jaccard_is_exact(spark, monkeypatch, block_bytes, flush):
+    monkeypatch.setattr(jaccard_join, "FLUSH_KEYS", flush)
+    monkeypatch.setattr(jaccard_join, "HELD_POSTINGS", flush)
+    rows = near_copies()
+    found = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), block_bytes=block_bytes).collect()
+    assert {r.doc_id: r.component_id for r in found if r.doc_id is not None} == components([(d, shingles(t)) for d, t in rows if d is not None])
+    assert sorted((r.doc_id or -1, r.n_shingles) for r in found) == sorted((d or -1, len(shingles(t))) for d, t in rows)
+    assert [r.component_id for r in found if r.doc_id is None] == [None]
+
+
+def test_one_of_each_component_stays(spark, odd):
+    a, b, b2 = text(61, 60), text(62, 60), text(62, 59) + " ende"
+    rows = [(1, a), (5, a), (5, b), (7, b2), (5, text(63, 40)), (5, text(64, 40)), (None, a), (None, text(65, 40)), (None, text(65, 40)), (8, None), (8, None), (9, " ")]
+    docs = spark.createDataFrame([(d, t, i, 0) for i, (d, t) in enumerate(rows)], "doc_id long, text string, id int, root int")
+    kept = jaccard_join.keep_one_of_each(docs)
+    assert kept.columns == docs.columns and sorted(r.id for r in kept.collect()) in ([0, 2, 4, 5, 7, 9, 10, 11], [0, 2, 4, 5, 8, 9, 10, 11])
+    again = jaccard_join.keep_one_of_each(spark.createDataFrame(near_copies(), "doc_id long, text string")).collect()
+    sets = [(i, shingles(t)) for i, (_, t) in enumerate(near_copies())]
+    assert len(again) == len(set(components(sets).values()))
+    assert jaccard_join.keep_one_of_each(empty(odd)).count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(st.sampled_from(["a", "B", "ab", " ", "  ", "\n", "é", "x" * 300, "\xa0"]), max_size=14).map("".join)), max_size=5))
+def test_words_and_shingles_of_a_stream(texts):
+    stream = common.WordStream(pa.array(["zz", *texts], pa.string())[1:])
+    expected = [re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()) for t in texts]
+    flat = [w for ws in expected for w in ws]
+    assert list(stream.counts) == list(map(len, expected)) and [stream.word(i) for i in range(len(stream.starts))] == flat
+    assert len(set(zip(stream.hashes.tolist(), flat))) == len(set(flat)) == len(set(stream.hashes.tolist()))
+    keys, sizes = common.shingle_keys(stream)
+    assert list(sizes) == [len(shingles(t)) for t in texts]
+    assert all((np.diff(k.astype(np.int64)) > 0).all() for k in np.split(keys, np.cumsum(sizes)))
+    assert np.array_equal(common.unpack_sorted(common.pack_sorted(np.sort(keys))), np.sort(keys))
 
 
 def test_signature_tree_links_what_brute_force_links():
@@ -146,8 +185,8 @@ def test_signature_tree_links_what_brute_force_links():
             root[max(a, b)] = min(a, b)
         return [find(i) for i in range(len(root))]
 
-    every = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if jaccard_join.linked(sets[i], sets[j])]
-    assert parts(every) == parts(jaccard_join.SignatureTree(sets).join())
+    every = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if jaccard_join.linked(sets[i], sets[j], len(sets[i]), len(sets[j]))]
+    assert parts(every) == parts(jaccard_join.SignatureTree(sets, list(map(len, sets))).join())
 
 
 def test_passages():
@@ -212,8 +251,8 @@ def test_block_round_trip(values):
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
-def test_memo_gives_the_librarys_ids(name):
-    encoder = tokens.Encoder(tokens.vocabulary_path(name), limit=5)
+def test_chunks_give_the_librarys_ids(name):
+    encoder = tokens.Encoder(tokens.vocabulary_path(name))
     odd_texts = ["a\xa0\n\nb  c\t\td ", "<|endoftext|> x", "", None, "   ", "don't it's 　 x  y", "É Σας ΟΔΟΣ\x1c\x1dz", "a\x85\x85b 12345 ½²", "x" * 300, "foo, foo. foo!? FOO", text(1, 50)]
     for _ in range(2):
         ids, counts = encoder.batch(pa.array(odd_texts))
