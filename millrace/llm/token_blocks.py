@@ -47,6 +47,32 @@ def _bits(values: np.ndarray) -> np.ndarray:
     return np.ceil(np.log2(values.astype(np.float64) + 1)).astype(np.int64)
 
 
+def _overlaps(w: int) -> Iterator[tuple[int, int, int]]:
+    """(value, byte, shift) for each value of eight and each of their ``w`` bytes that hold bits of it."""
+    for value in range(8):
+        for byte in range(value * w // 8, ((value + 1) * w - 1) // 8 + 1):
+            yield value, byte, 8 * byte - value * w
+
+
+def _pack_bits(values: np.ndarray, w: int) -> np.ndarray:
+    """The low ``w`` bits of each value of each row one after the other; eight values make ``w`` bytes."""
+    columns = np.ascontiguousarray((values & np.uint32((1 << w) - 1)).reshape(-1, 8).T)
+    out = np.zeros((w, columns.shape[1]), dtype=np.uint8)
+    for value, byte, shift in _overlaps(w):
+        moved = columns[value] >> np.uint32(shift) if shift >= 0 else columns[value] << np.uint32(-shift)
+        out[byte] |= moved.astype(np.uint8)
+    return np.ascontiguousarray(out.T).reshape(len(values), -1)
+
+
+def _unpack_bits(packed: np.ndarray, w: int) -> np.ndarray:
+    """What :func:`_pack_bits` packed."""
+    columns = np.ascontiguousarray(packed.reshape(-1, w).T).astype(np.uint32)
+    out = np.zeros((8, columns.shape[1]), dtype=np.uint32)
+    for value, byte, shift in _overlaps(w):
+        out[value] |= columns[byte] << np.uint32(shift) if shift >= 0 else columns[byte] >> np.uint32(-shift)
+    return np.ascontiguousarray((out & np.uint32((1 << w) - 1)).T).reshape(len(packed), -1)
+
+
 def pack_stream(values: np.ndarray) -> bytes:
     """Header (count, blocks), index of block starts, blocks."""
     n = len(values)
@@ -72,8 +98,7 @@ def pack_stream(values: np.ndarray) -> bytes:
     out[starts + 5] = n_patched
     for w in np.unique(width[width > 0]):
         rows = np.flatnonzero(width == w)
-        bits = (rest[rows][:, :, None] >> np.arange(w, dtype=np.uint32)) & np.uint32(1)
-        packed = np.packbits(bits.astype(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
+        packed = _pack_bits(rest[rows], int(w))
         out[(starts[rows] + 6)[:, None] + np.arange(packed.shape[1])] = packed
     block, position = np.nonzero(patched)
     if len(block):
@@ -99,9 +124,7 @@ def unpack_stream(data: bytes, at: int = 0) -> tuple[np.ndarray, int]:
     grid = np.zeros((n_blocks, BLOCK), dtype=np.uint32)
     for w in np.unique(width[width > 0]):
         rows = np.flatnonzero(width == w)
-        packed = body[(starts[rows] + 6)[:, None] + np.arange(w * (BLOCK // 8))]
-        bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
-        grid[rows] = (bits.astype(np.uint32) << np.arange(w, dtype=np.uint32)).sum(axis=2, dtype=np.uint32)
+        grid[rows] = _unpack_bits(body[(starts[rows] + 6)[:, None] + np.arange(w * (BLOCK // 8))], int(w))
     block = np.repeat(np.arange(n_blocks), n_patched)
     if len(block):
         rank = np.arange(len(block)) - np.concatenate([[0], np.cumsum(n_patched)])[block]

@@ -26,7 +26,7 @@ _UNEVEN = r"[\t\x{0b}-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{
 #: Fixed value: marks that often end a chunk; after a letter they are always pieces of their own.
 ENDINGS = ".,;:!?"
 #: Chunks encoded at a time; bytes of text whose chunks are encoded together.
-AT_ONCE, RUN_BYTES = 5_000, 24 << 20
+AT_ONCE, RUN_BYTES = 5_000, 12 << 20
 
 
 def vocabulary_path(name: str) -> str:
