@@ -8,8 +8,9 @@ output can be read back exactly.
 Defined cases: null texts and roles are empty; rows of a conversation with equal ``turn`` are ordered
 by role and text, and repeated rows are repeated turns; rows with a null conversation id form one
 conversation with a null id; a null ``turn`` sorts first; extra columns are ignored; an empty table
-gives an empty result. A record whose fingerprint has no mapping gives ``turns`` null in
-:func:`canonical_turns`, so nothing is lost silently.
+gives an empty result; texts may be of any length. A record whose fingerprint has no mapping, as when a number
+stands for a text or an item lacks a field, gives ``turns`` null in :func:`canonical_turns`, so nothing is
+lost silently.
 """
 
 from __future__ import annotations
@@ -51,12 +52,15 @@ def unescape(text: str) -> str:
 
 
 def field_paths(value, prefix: str = "") -> set[str]:
-    """Nested field paths of a record with the kind of each leaf; list items share one path."""
+    """Nested field paths of a record with the kind of each leaf; null counts as text.
+
+    Every layout that occurs among a list's items is one path, so items that lack a field aren't hidden by others.
+    """
     if isinstance(value, dict):
         return set().union({f"{prefix}{{}}"}, *(field_paths(v, f"{prefix}.{k}") for k, v in value.items()))
     if isinstance(value, list):
-        return set().union({f"{prefix}[]"}, *(field_paths(v, f"{prefix}[]") for v in value))
-    return {f"{prefix}:text"}
+        return {f"{prefix}[]"} | {f"{prefix}[{fingerprint(field_paths(v))}]" for v in value}
+    return {f"{prefix}:{'text' if value is None or isinstance(value, str) else type(value).__name__}"}
 
 
 def fingerprint(paths: set[str]) -> str:
@@ -64,11 +68,6 @@ def fingerprint(paths: set[str]) -> str:
     return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]
 
 
-def layout_paths(fields: dict, required: list[str]) -> set[str]:
-    """The paths of an example record of a mapping that has the given optional fields too."""
-    return field_paths({k: fields[k] for k in required})
-
-
 #: Declarative mappings. example: a record that shows all fields; optional: fields that may be missing;
 #: pairs: (role, fields) in order; list: a list field and the names of role and text in its items, which
 #: follow the pairs; roles: whether the layout has its own role names.
