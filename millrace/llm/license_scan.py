@@ -9,7 +9,7 @@ which is learned from lines of the documents themselves. The probability is cali
 temperature and a threshold, both set on examples that the fit didn't see. Of stretches that overlap, the
 likeliest counts.
 
-The fit uses at most ``SAMPLE_DOCS`` documents, those with the least hashed ids, and the templates; every
+The fit uses the templates and at most ``SAMPLE`` paragraphs, those with the least hashes; every
 paragraph of every text is scored.
 
 Defined cases: null and empty texts have no paragraph; a stretch that shares no pair of words with a
@@ -70,7 +70,9 @@ TEMPLATES = {
 UNKNOWN = "unknown"
 FAMILIES = [UNKNOWN, *TEMPLATES]
 
-SAMPLE_DOCS = 400
+#: Paragraphs of documents that the fit sees, and what lies between two paragraphs (Java's syntax).
+SAMPLE = 400
+BLANK = "\\n[^\\p{L}\\p{N}]*\\n"
 #: Examples made of each template, passes over them, step size.
 VARIANTS, EPOCHS, RATE = 30, 200, 2.0
 #: Share of a template's words that must stand in a paragraph in order.
@@ -254,7 +256,7 @@ def fit(paragraphs: list[str], seed: int = 3) -> Classifier:
                 grams.setdefault(g, len(grams))
     blank = Classifier(grams, np.zeros((len(grams) + 1, len(FAMILIES))), 1.0, 0.5)
     unknown = [w for w in map(tokens, paragraphs) if not any(similarity(t, w) >= CONFIRM for ts in templates.values() for t in ts)]
-    filler = sorted({w for words in unknown for w in words})[:5000]
+    filler = sorted({w for words in unknown for w in words})
     rows: list[tuple[list[int], int]] = [(blank.features(w), 0) for w in unknown]
     rows += [([], 0)] * 20
     # Pieces of templates are unknown too: a few words of a notice name no family.
@@ -295,20 +297,19 @@ def fit(paragraphs: list[str], seed: int = 3) -> Classifier:
     return Classifier(grams, weights, temperature, float(max(0.3, np.quantile(outside, 1 - FALSE_SHARE))) if len(outside) else 0.5)
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Classifier:
-    """Fit on the templates and the paragraphs of a bounded sample of documents."""
-    ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    texts = docs.select("doc_id", F.substring("text", 1, 5000).alias("text")).join(F.broadcast(ids), "doc_id").collect()
-    texts = sorted(((r[0], r[1] or "") for r in texts))[:sample_docs]
+def train(docs: DataFrame, sample: int = SAMPLE) -> Classifier:
+    """Fit on the templates and a bounded sample of paragraphs, drawn from all paragraphs of all texts by their hashes."""
+    parts = docs.select(F.explode(F.split("text", BLANK)).alias("p")).where(F.col("p").rlike("[\\p{L}\\p{N}]"))
+    drawn = parts.orderBy(F.xxhash64("p"), "p").limit(sample).collect()
     templates = [tokens(t) for ts in TEMPLATES.values() for t in ts]
     lines = []
-    for _, text in texts:
+    for text in sorted(r[0] for r in drawn):
         for paragraph in paragraphs(text):
             words = [m.group().lower() for m in paragraph]
             # A line of a wrapped notice isn't unknown, though it confirms no template by itself.
             if not any(stretches(t, words) for t in templates):
                 lines += text[paragraph[0].start() : paragraph[-1].end()].split("\n")
-    return fit(lines[: 10 * sample_docs])
+    return fit(lines)
 
 
 def scan(docs: DataFrame, model: Classifier) -> DataFrame:

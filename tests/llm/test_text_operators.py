@@ -2,8 +2,10 @@
 
 import hashlib
 import itertools
+import json
 import math
 import re
+import resource
 import zlib
 from collections import Counter
 
@@ -18,6 +20,7 @@ import corpus_pipeline
 from millrace.llm import chat_format, common, context_mixing, decontaminate, jaccard_join, language_id, license_scan, packing, pu_quality, quality_rules, token_blocks, tokens
 
 PLAIN: dict = {}
+TEMPLATE = "This project is licensed under the terms of the MIT license."
 WORDS = "ka lo mi ren tu sa vek pol dur nim".split()
 
 
@@ -51,6 +54,9 @@ def test_layouts():
     turns = lambda r: chat_format.canonical_turns(r, known)
     assert turns('{"instruction": "i", "input": "", "output": "o"}') == ("instruction", [("user", "i"), ("assistant", "o")])
     assert turns('{"conversations": [{"from": "human", "value": "h"}, {"from": "gpt", "value": null}]}') == ("sharegpt", [("user", "h"), ("assistant", "")])
+    for other in ({"prompt": 5, "completion": "x"}, {"prompt": True, "completion": "x"}, {"messages": [{"role": 1, "content": "a"}]}, {"messages": [{"role": "user"}, {"content": "a"}]}, {"messages": [None]}, {"messages": None}, [], 5, None):
+        assert turns(json.dumps(other)) == (None, None)
+    assert turns(json.dumps({"messages": [{"role": None, "content": None}]})) == ("messages", [("", "")])
     assert turns('{"messages": []}') == ("messages", []) and turns('{"b": 1}') == (None, None) and turns("no") == (None, None)
 
 
@@ -189,28 +195,91 @@ def test_signature_tree_links_what_brute_force_links():
     assert parts(every) == parts(jaccard_join.SignatureTree(sets, list(map(len, sets))).join())
 
 
+def distance(item, region):
+    """Edits of the best occurrence of an item in a region."""
+    row = [0] * (len(region) + 1)
+    for n, x in enumerate(item, 1):
+        above, row[0] = row[:], n
+        for j, y in enumerate(region, 1):
+            row[j] = min(above[j] + 1, row[j - 1] + 1, above[j - 1] + (x != y))
+    return min(row)
+
+
 def test_passages():
-    items = [(1, text(21, 40)), (2, text(22, 30)), (3, "short"), (4, None)]
+    items = [(1, text(21, 40)), (2, text(22, 30)), (3, "short"), (4, None), (5, "  ! ")]
     index = decontaminate.Index(items)
     spoiled = items[0][1].split()
     spoiled[10] = "zzz"
-    docs = [text(23, 50) + "  " + items[0][1].upper().replace(" ", ",  ") + ". " + text(24, 20), " ".join(spoiled), text(25, 300), None, "", items[1][1][:60], items[1][1] + " " + text(26, 9) + " " + items[1][1]]
+    emoji = items[1][1].replace(" ", " \U0001f600 ")
+    docs = [text(23, 50) + "  " + items[0][1].upper().replace(" ", ",  ") + ". " + text(24, 20), " ".join(spoiled), text(25, 300), None, "", items[1][1][:60], items[1][1] + " " + text(26, 9) + " " + items[1][1], "a short!", "shorts", emoji, "SHORT"]
     found = decontaminate.matches_of(index, docs)
-    assert {(t, index.ids[i]) for t, i, *_ in found} == {(0, 1), (1, 1), (6, 2)} and len([m for m in found if m[0] == 6]) == 2
+    assert {(t, index.ids[i]) for t, i, *_ in found} == {(0, 1), (1, 1), (6, 2), (7, 3), (9, 2), (10, 3)} and len([m for m in found if m[0] == 6]) == 2
     t, i, a, b, edits = next(m for m in found if m[0] == 0)
     assert docs[0][a:b] == items[0][1].upper().replace(" ", ",  ") and edits == 0
+    assert [docs[7][a:b] for t, _, a, b, _ in found if t == 7] == ["short"]
 
-    def distance(item, region):
-        row = [0] * (len(region) + 1)
-        for n, x in enumerate(item, 1):
-            above, row[0] = row[:], n
-            for j, y in enumerate(region, 1):
-                row[j] = min(above[j] + 1, row[j - 1] + 1, above[j - 1] + (x != y))
-        return min(row)
 
-    rng = np.random.default_rng(2)
-    pairs = [(rng.integers(0, 3, 12).astype(np.uint32), rng.integers(0, 3, n).astype(np.uint32)) for n in (5, 20, 30)]
-    assert [c for c, *_ in decontaminate.align_many(*map(list, zip(*pairs)))] == [distance(x, y) for x, y in pairs]
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.integers(0, 2), min_size=1, max_size=12), st.lists(st.integers(0, 2), max_size=30)), min_size=1, max_size=5), st.integers(0, 6))
+def test_bands_are_aligned_exactly(pairs, slack):
+    """A band that holds every cell gives the true distance; a narrow one, the distance of what lies within it."""
+    points = np.concatenate([np.array([*r, 9], dtype=np.uint32) for _, r in pairs])
+    ends = np.cumsum([len(r) + 1 for _, r in pairs]) - 1
+    spans = [(int(e) - len(r), int(e)) for e, (_, r) in zip(ends, pairs)]
+    items = [np.array(x, dtype=np.uint32) for x, _ in pairs]
+    whole = [(a - len(x), z) for (a, z), x in zip(spans, items)]
+    assert [c for c, *_ in decontaminate.align_many(items, points, spans, whole)] == [distance(x, r) for x, r in pairs]
+    for (cost, begin, end), (a, z), x in zip(decontaminate.align_many(items, points, spans, whole), spans, items):
+        assert a <= begin <= end <= z and distance(x, points[begin:end]) == cost
+    narrow = [(a - slack, a + slack) for a, _ in spans]
+    for (cost, *_), x, (a, z) in zip(decontaminate.align_many(items, points, spans, narrow), items, spans):
+        rows = {(0, j): 0 for j in range(0, z - a + 1) if j <= slack}
+        for i in range(1, len(x) + 1):
+            for j in range(0, z - a + 1):
+                if abs(j - i) <= slack:
+                    options = [rows.get((i - 1, j), 1e9) + 1, rows.get((i, j - 1), 1e9) + 1]
+                    options += [rows.get((i - 1, j - 1), 1e9) + (x[i - 1] != points[a + j - 1])] if j else []
+                    rows[i, j] = min(options)
+        best = min([rows.get((len(x), j), 1e9) for j in range(0, z - a + 1)])
+        assert cost == best if best < 1e9 else cost > 1000
+
+
+def test_every_edited_item_is_found():
+    """Items planted with as many edits as their budget allows, at any place: full recall."""
+    rng = np.random.default_rng(8)
+    items = [(i, text(500 + i, int(rng.integers(3, 60)))) for i in range(40)]
+    index = decontaminate.Index(items)
+    docs, planted = [], set()
+    for t in range(60):
+        i = int(rng.integers(0, 40))
+        chars = list(decontaminate.normalise(decontaminate._code_points(items[i][1]), index.folding)[0])
+        for _ in range(decontaminate.edit_budget(len(chars))[0]):
+            at = int(rng.integers(0, len(chars)))
+            kind = rng.integers(0, 3)
+            if kind == 0:
+                chars[at] = ord("q")
+            elif kind == 1:
+                chars.insert(at, ord("x"))
+            else:
+                del chars[at]
+        docs.append(f"{text(700 + t, int(rng.integers(0, 40)))} {''.join(map(chr, chars))} {text(800 + t, int(rng.integers(0, 40)))}")
+        planted.add((t, i))
+    found = decontaminate.matches_of(index, docs)
+    assert planted <= {(t, i) for t, i, *_ in found}
+    for t, i, a, b, edits in found:
+        x = decontaminate.normalise(decontaminate._code_points(items[i][1]), index.folding)[0]
+        region = decontaminate.normalise(decontaminate._code_points(docs[t][a:b]), index.folding)[0]
+        assert distance(x, region) <= edits <= decontaminate.edit_budget(len(x))[0]
+
+
+def test_many_short_items_stay_small():
+    items = [(i, f"question number {i} asks {i * 7}") for i in range(50_000)]
+    index = decontaminate.Index(items)
+    doc = " ".join(text(900 + i, 400) for i in range(20)) + " question number 777 asks 5439 " + text(950, 400)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    found = decontaminate.matches_of(index, [doc])
+    assert 777 in {index.ids[i] for _, i, *_ in found}
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 600_000
 
 
 def test_decontamination_tables(spark, odd):
@@ -227,6 +296,22 @@ def test_licences(spark, odd):
     assert all([h[1] for h in model.scan(f"{text(1, 9)}\n{text(2, 5)} {t} {text(3, 5)}")] == [f] for f, t in lines)
     assert not any(model.scan(x) for x in (None, "", "the license of poets", "permission was denied", text(4, 99)))
     assert license_scan.scan(odd, model).count() == 0
+    notice = TEMPLATE
+    rows = [(1, notice), (1, notice), (None, f"{text(5, 9)}\n\n{notice}"), (2, None), (3, ""), (4, text(6, 3000) + "\n" + notice)]
+    docs = spark.createDataFrame([(d, t, "x", 0) for d, t in rows], "doc_id long, text string, family string, start int")
+    found = sorted((r.doc_id or 0, r.family, r.text) for r in license_scan.scan(docs, license_scan.train(docs)).collect())
+    assert found == [(0, "MIT", notice), (1, "MIT", notice), (1, "MIT", notice), (4, "MIT", notice)]
+    assert license_scan.scan(docs, license_scan.train(empty(odd))).count() == 4
+
+
+def test_scan_without_the_filter_finds_the_same(monkeypatch):
+    model = license_scan.fit([text(i, 12) for i in range(60)] + ["the house of the lord"])
+    rng, words = np.random.default_rng(9), "licensed under the terms of mit apache license version 2 0 gnu general public gpl v3 bsd cc by sa 4 released".split()
+    texts = ["\n".join(" ".join(rng.choice(words, rng.integers(1, 9))) for _ in range(rng.integers(1, 6))) for _ in range(150)]
+    texts += [" ".join(t.split()[: 1 + i % 9]) + " " + text(i, 4) for i, t in enumerate(t for ts in license_scan.TEMPLATES.values() for t in ts)]
+    filtered = [model.scan(t) for t in texts]
+    monkeypatch.setattr(license_scan.Classifier, "possible", lambda self, words: self.templates)
+    assert filtered == [model.scan(t) for t in texts] and any(filtered)
 
 
 def test_licences_wrapped_and_several():
