@@ -5,10 +5,11 @@ label. A linear model over hashed word features and measurements of style minimi
 unbiased risk: the negative part of the risk is estimated as that of the unlabelled texts less the
 prior times that of the positives, and where this estimate falls under zero its gradient is reversed.
 The class prior comes from the labelled rows themselves, as the share of good ones among them with one
-added to each class.
+added to each class. A fifth of both samples is kept back from the fit, and the same risk on it sets the
+scale and the shift that turn margins into probabilities.
 
 Fitting uses at most ``SAMPLE`` positives and ``SAMPLE`` unlabelled texts, those whose hashed ids are least;
-every text is scored.
+every text is scored. Of rows that share an id, one is sampled.
 
 Defined cases: null and empty texts are scored as texts without words; without any positive the score of
 every text is the prior; a null id is not learned from; a label that is null is ignored; an id labelled
@@ -32,6 +33,8 @@ STYLE = 28
 STYLE_WEIGHT, WORD_WEIGHT = 5.0, 0.3
 THRESHOLD = 0.3
 EPOCHS, BATCH, RATE, DECAY = 40, 512, 0.3, 1e-5
+#: Scales and shifts of margins that the calibration chooses from.
+SCALES, SHIFTS = np.geomspace(0.25, 4, 25), np.linspace(-6, 6, 49)
 
 SCORE_SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
@@ -140,6 +143,29 @@ def fit(positive: list[tuple[np.ndarray, np.ndarray]], unlabelled: list[tuple[np
     return weights
 
 
+def calibration(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[float, float]:
+    """(scale, shift) of margins for the least non-negative risk of the logistic loss, on a grid."""
+
+    def risk(scale: float, shift: float) -> float:
+        p, u = scale * positive + shift, scale * unlabelled + shift
+        negative = np.logaddexp(0, u).mean() - prior * np.logaddexp(0, p).mean()
+        return prior * np.logaddexp(0, -p).mean() + max(0.0, negative)
+
+    return min(((a, b) for a in SCALES for b in SHIFTS), key=lambda x: (risk(*x), abs(np.log(x[0])), abs(x[1])))
+
+
+def fit_calibrated(positive: list, unlabelled: list, prior: float) -> np.ndarray:
+    """Weights of :func:`fit` on four fifths of the samples, scaled and shifted by the rest."""
+    weights = fit([f for i, f in enumerate(positive) if i % 5], [f for i, f in enumerate(unlabelled) if i % 5], prior)
+    kept = [np.array([float(v @ weights[a]) for a, v in some[::5]]) for some in (positive, unlabelled)]
+    if len(positive) >= 10 and len(unlabelled) >= 10:
+        scale, shift = calibration(*kept, prior)
+        weights *= scale
+        # The first measurement is the same for all texts.
+        weights[0] += shift / (STYLE_WEIGHT * 0.2)
+    return weights
+
+
 def sample_features(docs: DataFrame, ids: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
     """Features of the documents with the given ids, of which the caller has bounded the number."""
 
@@ -149,7 +175,8 @@ def sample_features(docs: DataFrame, ids: DataFrame) -> list[tuple[np.ndarray, n
             found = [features(t, slots) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "at": [a.astype("<i4").tobytes() for a, _ in found], "v": [v.astype("<f4").tobytes() for _, v in found]})
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").mapInPandas(run, "doc_id long, at binary, v binary").collect()
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").mapInPandas(run, "doc_id long, at binary, v binary")
+    rows = [(r[0], *r[1]) for r in rows.groupBy("doc_id").agg(F.min(F.struct("at", "v"))).collect()]
     rows.sort(key=lambda r: (r[0], r[1], r[2]))
     return [(np.frombuffer(r[1], dtype="<i4").astype(np.int64), np.frombuffer(r[2], dtype="<f4").astype(np.float64)) for r in rows]
 
@@ -165,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
 
     positive = sample_features(docs, least(usable.where(F.col("quality") == 1), 1))
     unlabelled = sample_features(docs, least(docs.where(F.col("doc_id").isNotNull() & ~held_out()), 2))
-    return fit(positive, unlabelled, prior), prior
+    return fit_calibrated(positive, unlabelled, prior), prior
 
 
 def score_texts(texts: list[str | None], weights: np.ndarray, slots: WordSlots) -> np.ndarray:

@@ -442,6 +442,8 @@ def test_quality_classifier(odd):
     weights = pu_quality.fit(features(good[:40]), features(good[40:] + bad[:20]), 0.5)
     scores = pu_quality.score_texts(good[40:] + bad[20:], weights, slots)
     assert scores[:20].min() > scores[20:].max()
+    ready = pu_quality.fit_calibrated(features(good[:40]), features(good[40:] + bad[:20]), 0.5)
+    assert ((pu_quality.score_texts(good + bad, ready, slots) >= 0.3) == np.repeat([True, False], 60)).mean() > 0.95
     rows = pu_quality.score(odd, weights).collect()
     assert len(rows) == 13 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
     labels = odd.selectExpr("doc_id", "cast(null as int) as quality")
@@ -535,6 +537,23 @@ def slow_scores(rows):
     return out
 
 
+def test_quality_on_held_out_rows(spark):
+    docs, labels = (common.table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "labels"))
+    weights, prior = pu_quality.train(docs, labels)
+    rows = pu_quality.score(docs, weights).join(labels, "doc_id").where("held_out and quality is not null").collect()
+    good, bad = ([r.score for r in rows if r.quality == q] for q in (1, 0))
+    assert 0.5 < prior < 1 and len(rows) > 50
+    assert np.mean([a > b for a in good for b in bad]) > 0.97
+    assert np.mean([r.predicted == r.quality for r in rows]) > 0.95
+
+
+def test_language_on_held_out_rows(spark):
+    docs = common.table(spark, "/root/testdata/sf0.01", "documents")
+    model = language_id.train(docs.where(~language_id.held_out()))
+    rows = language_id.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null and lang_pred <> 'und'").collect()
+    assert len(rows) > 100 and np.mean([r.lang_pred == r.lang for r in rows]) > 0.97
+
+
 @pytest.mark.parametrize("flush", [1_500_000, 300])
 def test_scores_bit_by_bit(spark, monkeypatch, flush):
     monkeypatch.setattr(context_mixing, "FLUSH_TOKENS", flush)
