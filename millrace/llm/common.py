@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -74,7 +76,8 @@ def text_runs(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Recor
     for batch in batches:
         if not batch.num_rows:
             continue
-        each = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        # A row counts for a few bytes more than its text, so that empty texts don't gather without end.
+        each = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16
         cuts = np.flatnonzero(np.diff(np.cumsum(each, dtype=np.int64) // size)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
             held.append(batch.slice(a, b - a))
@@ -86,6 +89,13 @@ def text_runs(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Recor
         yield close()
 
 
+def trim() -> None:
+    """Give freed memory of a worker back to the system, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _power_tables(size: int) -> list[np.ndarray]:
     """Powers of an odd base and of its inverse, modulo 2^64."""
     if not _powers or len(_powers[0]) < size:

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY_BITS, WordStream, bucket_cuts, drop_materialised, materialise, pack_sorted, release, shingle_keys, text_runs, tune, unpack_sorted
+from .common import KEY_BITS, WordStream, bucket_cuts, drop_materialised, materialise, pack_sorted, release, shingle_keys, text_runs, trim, tune, unpack_sorted
 from .components import connected_components
 
 #: Similarity as a share of 100: links have 100 * intersection >= LEAST * union.
@@ -50,7 +50,7 @@ RUN_BYTES, FLUSH_KEYS, FLUSH_SETS = 4 << 20, 1_500_000, 60_000
 #: Postings of prefixes that a task holds before it hands them on.
 HELD_POSTINGS = 1_000_000
 #: Bytes of sets of a candidate group in one block.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 #: Signature trees: 64-bit words of a bitmap, sets of a leaf, children of a node.
 BITMAP_WORDS, LEAF, FANOUT = 16, 16, 8
 
@@ -120,6 +120,7 @@ def shared_elements(docs: DataFrame, id_column: str = "doc_id", width: int = WID
             for x in (keys, metas, slots, seen):
                 x.clear()
             held, flush_id = 0, flush_id + 1
+            trim()
             return _batch(EXCHANGE_SCHEMA, rows)
 
         for batch in text_runs(batches, RUN_BYTES):
@@ -174,6 +175,7 @@ def shared_elements(docs: DataFrame, id_column: str = "doc_id", width: int = WID
                 rows.append((None, r[1], r[2], pack_sorted(one[mine]), slot.tobytes(), None, level[at : at + len(one)][mine].tobytes(), level[after : after + len(many)].tobytes(), None))
                 at, after = at + len(one), after + len(many)
             held.clear()
+            trim()
             return _batch(EXCHANGE_SCHEMA, rows)
 
         for batch in batches:

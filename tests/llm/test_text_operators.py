@@ -554,17 +554,16 @@ def test_language_on_held_out_rows(spark):
     assert len(rows) > 100 and np.mean([r.lang_pred == r.lang for r in rows]) > 0.97
 
 
-@pytest.mark.parametrize("flush", [1_500_000, 300])
+@pytest.mark.parametrize("flush", [4 << 20, 1200])
 def test_scores_bit_by_bit(spark, monkeypatch, flush):
-    monkeypatch.setattr(context_mixing, "FLUSH_TOKENS", flush)
-    monkeypatch.setattr(context_mixing, "RUN_BYTES", 4 * flush)
+    monkeypatch.setattr(context_mixing, "FLUSH_BYTES", flush)
     monkeypatch.setattr(context_mixing, "fit_weights", lambda bit, *_: np.tile(np.array(context_mixing.START), (context_mixing.GATES, 1)))
     few = "the of and in to a is".split()
     rng = np.random.default_rng(3)
     rows = [(i, " ".join([*rng.choice(few, 30), *text(i % 7, 12).split(), *rng.choice(few, 20)]) + (" " + text(70 + i, 25) if i % 3 else "")) for i in range(30)]
     rows += [(40, " ".join(["the of and in"] * 90)), (41, None), (None, "the of zzz"), (42, "a" * 300), (40, "the of zzz")]
     # Letters are learned from words that a flush has once, so with several flushes only known words can be compared.
-    rows = rows if flush > 300 else [(d, " ".join(few * (3 + i % 4)) + " " + " ".join(rng.choice(few, 9 + i % 3))) for i, (d, _) in enumerate(rows)]
+    rows = rows if flush > 1200 else [(d, " ".join(few * (3 + i % 4)) + " " + " ".join(rng.choice(few, 9 + i % 3))) for i, (d, _) in enumerate(rows)]
     expected = slow_scores(rows)
     found = context_mixing.score(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
     assert [r.doc_id for r in found] == [d for d, _ in rows]
