@@ -25,8 +25,8 @@ _CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 _UNEVEN = r"[\t\x{0b}-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n]{3}|[ \n]{2}\z"
 #: Fixed value: marks that often end a chunk; after a letter they are always pieces of their own.
 ENDINGS = ".,;:!?"
-#: Chunks encoded at a time; bytes of text whose chunks are encoded together.
-AT_ONCE, RUN_BYTES = 5_000, 12 << 20
+#: Chunks put together in one string; strings encoded at a time; bytes of text whose chunks are encoded together.
+JOINED, AT_ONCE, RUN_BYTES = 500, 5_000, 12 << 20
 
 
 def vocabulary_path(name: str) -> str:
@@ -90,17 +90,24 @@ class Encoder:
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         return np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(lengths.sum())), lengths
 
-    def _joined(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for chunks that are one text when put together."""
-        (found,) = self.tokenizer.encode_batch_fast([(" " if self.folds else "").join(some)], add_special_tokens=False)
-        ids = np.array(found.ids, dtype=np.uint32)
-        cuts = np.flatnonzero(self.borders[ids])
-        cuts = np.concatenate([[0], cuts + 1]) if self.folds else np.append(cuts, len(ids))
-        return (ids, np.diff(cuts)) if len(cuts) == len(some) + 1 and cuts[0] == 0 and cuts[-1] == len(ids) else self._each(some)
-
-    def _add(self, runs: _Runs, some: list[str], joined: bool = False) -> np.ndarray:
-        encode = self._joined if joined else self._each
-        return np.concatenate([np.zeros(0, dtype=np.int64), *(runs.add(*encode(some[a : a + AT_ONCE])) for a in range(0, len(some), AT_ONCE))])
+    def _joined(self, runs: _Runs, chunks: pa.Array, before: str) -> np.ndarray:
+        """Numbers of runs for chunks that are one text when put together with ``before`` in front of each."""
+        cuts = np.append(np.arange(0, len(chunks), JOINED), len(chunks)).astype(np.int32)
+        numbers = [np.zeros(0, dtype=np.int64)]
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), chunks), before).to_pylist() if len(chunks) else []
+        for k, text in enumerate(texts):
+            (found,) = self.tokenizer.encode_batch_fast([before + text], add_special_tokens=False)
+            ids = np.array(found.ids, dtype=np.uint32)
+            ends = np.flatnonzero(self.borders[ids])
+            ends = np.concatenate([[0], ends + 1]) if self.folds else np.append(ends, len(ids))
+            if len(ends) == cuts[k + 1] - cuts[k] + 1 and ends[0] == 0 and ends[-1] == len(ids):
+                numbers.append(runs.add(ids, np.diff(ends)))
+            else:
+                numbers.append(self._add(runs, [before + c for c in chunks[cuts[k] : cuts[k + 1]].to_pylist()]))
+        return np.concatenate(numbers)
+
+    def _add(self, runs: _Runs, some: list[str]) -> np.ndarray:
+        return np.concatenate([np.zeros(0, dtype=np.int64), *(runs.add(*self._each(some[a : a + AT_ONCE])) for a in range(0, len(some), AT_ONCE))])
 
     def _chunks(self, runs: _Runs, names: pa.Array) -> np.ndarray:
         """Two runs of each of some distinct chunks, which have a space before them if the vocabulary minds: words of letters
@@ -109,22 +116,21 @@ class Encoder:
         plain = pc.utf8_is_alpha(cores).to_numpy(zero_copy_only=False)
         pairs = np.zeros((len(names), 2), dtype=np.int64)
         coded = cores.filter(pa.array(plain)).dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        pairs[plain, 0] = self._add(runs, words if self.folds else [" " + w for w in words], joined=True)[coded.indices.to_numpy()]
-        marked = np.flatnonzero(plain & (pc.binary_length(names).to_numpy() > pc.binary_length(cores).to_numpy()))
-        endings = [n[len(c) :] for n, c in zip(names.take(pa.array(marked)).to_pylist(), cores.take(pa.array(marked)).to_pylist())]
-        known = {e: k for k, e in enumerate(dict.fromkeys(endings))}
-        pairs[marked, 1] = self._add(runs, list(known))[[known[e] for e in endings]] if endings else 0
-        rest = names.filter(pa.array(~plain)).to_pylist()
+        pairs[plain, 0] = self._joined(runs, coded.dictionary, " ")[coded.indices.to_numpy()]
+        marks = pc.binary_length(names).to_numpy() - pc.binary_length(cores).to_numpy()
+        for size in np.unique(marks[plain & (marks > 0)]).tolist():
+            marked = np.flatnonzero(plain & (marks == size))
+            coded = pc.utf8_slice_codeunits(names.take(pa.array(marked)), start=-size, stop=None).dictionary_encode()
+            pairs[marked, 1] = self._add(runs, coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         if self.folds:
-            pairs[~plain, 0] = self._add(runs, rest)
-        else:
-            # Chunks that are white space would run into the next one.
-            bare = np.array([n in ("", "\n") for n in rest], dtype=bool)
-            other = np.flatnonzero(~plain)
-            rest = [n if n[:1] == "\n" else " " + n for n in rest]
-            pairs[other[~bare], 0] = self._add(runs, [n for n, b in zip(rest, bare) if not b], joined=True)
-            pairs[other[bare], 0] = self._add(runs, [n for n, b in zip(rest, bare) if b])
+            pairs[~plain, 0] = self._add(runs, names.filter(pa.array(~plain)).to_pylist())
+            return pairs
+        # Chunks that are white space would run into the next one, and a line end takes the place of a space.
+        line = pc.starts_with(names, "\n").to_numpy(zero_copy_only=False)
+        bare = pc.binary_length(names).to_numpy() - line == 0
+        for some, before in ((~plain & ~bare & ~line, " "), (~plain & ~bare & line, "")):
+            pairs[some, 0] = self._joined(runs, names.filter(pa.array(some)), before)
+        pairs[bare, 0] = self._add(runs, [n or " " for n in names.filter(pa.array(bare)).to_pylist()])
         return pairs
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
