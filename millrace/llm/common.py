@@ -182,24 +182,29 @@ def shingle_keys(stream: WordStream, width: int = 5) -> tuple[np.ndarray, np.nda
 
 
 def pack_sorted(keys: np.ndarray) -> bytes:
-    """Ascending unsigned integers as the first one, a width, and differences of that many bytes."""
+    """Ascending unsigned integers as the first one and the differences, in as few bytes as most need, with a list of larger ones."""
     if not len(keys):
         return b""
     steps = np.diff(keys).astype("<u8")
-    wide = max(1, -(-int(steps.max(initial=0)).bit_length() // 8))
-    return int(keys[0]).to_bytes(8, "little") + bytes([wide]) + steps.view(np.uint8).reshape(-1, 8)[:, :wide].tobytes()
+    over = [np.count_nonzero(steps >> _U64(8 * w)) if w < 8 else 0 for w in range(9)]
+    wide = min(range(1, 9), key=lambda w: w * len(steps) + 12 * over[w])
+    at = np.flatnonzero(steps >> _U64(8 * wide)) if over[wide] else np.zeros(0, dtype=np.int64)
+    head = int(keys[0]).to_bytes(8, "little") + bytes([wide]) + len(at).to_bytes(4, "little")
+    return head + at.astype("<u4").tobytes() + steps[at].tobytes() + steps.view(np.uint8).reshape(-1, 8)[:, :wide].tobytes()
 
 
 def unpack_sorted(data: bytes | None) -> np.ndarray:
     """What :func:`pack_sorted` wrote."""
     if not data:
         return np.zeros(0, dtype=np.uint64)
-    wide = data[8]
-    parts = np.frombuffer(data, dtype=np.uint8, offset=9).reshape(-1, wide)
+    wide, n = data[8], int.from_bytes(data[9:13], "little")
+    parts = np.frombuffer(data, dtype=np.uint8, offset=13 + 12 * n).reshape(-1, wide)
     out = np.zeros((len(parts) + 1, 8), dtype=np.uint8)
     out[0] = np.frombuffer(data, dtype=np.uint8, count=8)
     out[1:, :wide] = parts
-    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
+    steps = out.view("<u8").ravel()
+    steps[1 + np.frombuffer(data, dtype="<u4", count=n, offset=13).astype(np.int64)] = np.frombuffer(data, dtype="<u8", count=n, offset=13 + 4 * n)
+    return np.cumsum(steps, dtype=np.uint64)
 
 
 def bucket_cuts(keys: np.ndarray, n_buckets: int) -> np.ndarray:
