@@ -11,13 +11,9 @@ def hamming(a: Column, b: Column) -> Column:
 
 
 def band_layout(n_bands: int) -> list[tuple[int, int]]:
-    """(first bit, width) of each band; the widths add up to 64 and later bands take what is left."""
-    layout, start = [], 0
-    for k in range(n_bands):
-        width = (64 - start) // (n_bands - k)
-        layout.append((start, width))
-        start += width
-    return layout
+    """(first bit, width) of each band: 64 bits cut as evenly as whole bits allow."""
+    cuts = [64 * k // n_bands for k in range(n_bands + 1)]
+    return [(a, z - a) for a, z in zip(cuts, cuts[1:])]
 
 
 def bands(h: Column, n_bands: int) -> Column:
@@ -40,7 +36,10 @@ def probe_keys(h: Column, bits: int = 12) -> Column:
 
 
 def median_hash(values: Column) -> Column:
-    """Hash of 64 numbers: a bit per number that is over their median, the first number in the top bit."""
-    ordered = F.array_sort(values)
-    middle = (ordered[31] + ordered[32]) / 2
-    return F.aggregate(values, F.lit(0).cast("long"), lambda acc, v: F.shiftleft(acc, 1).bitwiseOR((v > middle).cast("long")))
+    """Hash of 64 numbers: a bit per number that is over their median, the first number in the top bit.
+
+    The median is bound once, as the only item of an array, and not worked out again for each number.
+    """
+    middle = F.transform(F.array(F.array_sort(values)), lambda s: (s[31] + s[32]) / 2)
+    bits = F.transform(middle, lambda m: F.aggregate(values, F.lit(0).cast("long"), lambda acc, v: F.shiftleft(acc, 1).bitwiseOR((v > m).cast("long"))))
+    return bits[0]

@@ -14,6 +14,10 @@ from ..functions.scores import softmax
 from ..operators.metrics import with_predictions
 
 
+#: Bits that are turned in the near copies, none to five.
+TURNED = [0, 1 << 63, 1 << 5 | 1 << 40, 7 << 51, 15 << 11, 1 << 2 | 1 << 15 | 1 << 30 | 1 << 45 | 1 << 60]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -31,8 +35,11 @@ def scored(spark: SparkSession, sf_dir: str, temperature: float = 1.0) -> DataFr
 
 
 def hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(ordinal, h, class)."""
-    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("ordinal"), median_hash(F.transform("embedding", lambda v: v.cast("double"))).alias("h"), F.col("label").alias("class"))
+    """(ordinal, h, class): a hash of each embedding, and for a quarter of them a near copy with up to five bits turned."""
+    plain = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("ordinal"), median_hash(F.transform("embedding", lambda v: v.cast("double"))).alias("h"), F.col("label").alias("class"))
+    turned = F.array(*[F.lit(m - (1 << 64) if m >> 63 else m) for m in TURNED])
+    near = plain.where("ordinal % 4 = 0").select((F.col("ordinal") + 1_000_001).alias("ordinal"), F.col("h").bitwiseXOR(turned[(F.col("ordinal") % len(TURNED)).cast("int")]).alias("h"), "class")
+    return plain.unionByName(near)
 
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,9 +48,9 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, class, split, grp, n_chars); documents are split by their id."""
+    """(id, class, split, grp, n_chars); documents are split by their id, and three in a row are a group, so groups leak."""
     split = F.when(F.col("doc_id") % 10 < 7, "train").when(F.col("doc_id") % 10 < 9, "val").otherwise("test")
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("class"), split.alias("split"), F.col("source").alias("grp"), "n_chars")
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("class"), split.alias("split"), F.floor(F.col("doc_id") / 3).alias("grp"), "n_chars")
 
 
 #: The same in DuckDB's SQL, as common table expressions.
@@ -61,7 +68,8 @@ scored AS (SELECT *, list_max(p) AS conf, list_position(p, list_max(p)) - 1 AS p
 
 SQL_HASHES = """ordered AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e, list_sort(list_transform(embedding, lambda x: x::DOUBLE)) AS s FROM embeddings),
 bits AS (SELECT vec_id, label, unnest(e) AS v, generate_subscripts(e, 1) AS i, (s[32] + s[33]) / 2 AS m FROM ordered),
-hashes AS (SELECT vec_id AS ordinal, label AS class, sum(CASE WHEN v > m THEN (1::HUGEINT << (64 - i)::INT) ELSE 0::HUGEINT END)::HUGEINT AS h FROM bits GROUP BY ALL)"""
+plain AS (SELECT vec_id AS ordinal, label AS class, sum(CASE WHEN v > m THEN (1::HUGEINT << (64 - i)::INT) ELSE 0::HUGEINT END)::HUGEINT AS h FROM bits GROUP BY ALL),
+hashes AS (SELECT ordinal, class, h FROM plain UNION ALL SELECT ordinal + 1000001, class, xor(h, ([""" + ", ".join(f"{m}::HUGEINT" for m in TURNED) + f"""])[ordinal % {len(TURNED)} + 1]) FROM plain WHERE ordinal % 4 = 0)"""
 
 SQL_RECORDS = """records AS (SELECT o_orderkey AS id, o_custkey AS grp, o_orderpriority AS class FROM orders),
 composed AS (SELECT grp, class, count(*) AS n, min(id) AS first FROM records GROUP BY ALL),
@@ -75,5 +83,5 @@ two AS (SELECT *, least(t, greatest(0, n - 2)) AS nt FROM one),
 three AS (SELECT *, least(v, greatest(0, n - nt - 1)) AS nv FROM two),
 splits AS (SELECT grp, class, CASE WHEN r <= nt THEN 'test' WHEN r <= nt + nv THEN 'val' ELSE 'train' END AS split FROM three)"""
 
-SQL_DOCS = """recs AS (SELECT doc_id AS id, lang AS class, source AS grp, n_chars,
+SQL_DOCS = """recs AS (SELECT doc_id AS id, lang AS class, doc_id // 3 AS grp, n_chars,
   CASE WHEN doc_id % 10 < 7 THEN 'train' WHEN doc_id % 10 < 9 THEN 'val' ELSE 'test' END AS split FROM documents)"""

@@ -240,42 +240,54 @@ def exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup.exact_duplicates(docs).select("ordinal", "kept")
 
 
+SQL_UNIQUE = SQL_HASHES + ", uniques AS (SELECT h, min(ordinal) AS ordinal FROM hashes GROUP BY 1)"
 HAMMING = "(bit_count((xor(a.h, b.h) & 9223372036854775807::HUGEINT)::BIGINT) + (xor(a.h, b.h) >> 63)::BIGINT)"
 
 
-@query(f"WITH {SQL_HASHES} SELECT a.ordinal AS a, b.ordinal AS b, {HAMMING}::INT AS distance FROM hashes a JOIN hashes b ON a.ordinal < b.ordinal AND a.h <> b.h WHERE {HAMMING} <= 16")
+@query(f"WITH {SQL_UNIQUE} SELECT a.ordinal AS a, b.ordinal AS b, {HAMMING}::INT AS distance FROM uniques a JOIN uniques b ON a.ordinal < b.ordinal AND a.h <> b.h WHERE {HAMMING} <= 4")
 def hamming_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.hamming_pairs(dedup.distinct_hashes(hashes(spark, d)), 16)
+    return dedup.hamming_pairs(dedup.distinct_hashes(hashes(spark, d)), 4)
 
 
-@query(f"""WITH {SQL_HASHES} SELECT a.ordinal AS a, b.ordinal AS b, {HAMMING}::INT AS distance FROM hashes a JOIN hashes b
-ON a.ordinal < b.ordinal AND a.h <> b.h AND bit_count((xor(a.h >> 52, b.h >> 52))::BIGINT) <= 1 WHERE {HAMMING} <= 20""")
+@query(f"""WITH {SQL_UNIQUE} SELECT a.ordinal AS a, b.ordinal AS b, {HAMMING}::INT AS distance FROM uniques a JOIN uniques b
+ON a.ordinal < b.ordinal AND bit_count((xor(a.h >> 52, b.h >> 52))::BIGINT) <= 1 WHERE {HAMMING} <= 4""")
 def prefix_bucket_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.hamming_pairs(dedup.distinct_hashes(hashes(spark, d)), 20, mode="prefix")
+    return dedup.hamming_pairs(dedup.distinct_hashes(hashes(spark, d)), 4, mode="prefix")
 
 
-@query(f"WITH {SQL_HASHES} SELECT a.ordinal AS id FROM hashes a WHERE a.ordinal % 5 = 0 AND EXISTS (SELECT 1 FROM hashes b WHERE b.ordinal % 5 <> 0 AND {HAMMING} <= 18)")
+@query(f"WITH {SQL_HASHES} SELECT a.ordinal AS id FROM hashes a WHERE a.ordinal % 5 = 0 AND EXISTS (SELECT 1 FROM hashes b WHERE b.ordinal % 5 <> 0 AND {HAMMING} <= 4)")
 def leak_semi_join(spark: SparkSession, d: str) -> DataFrame:
     h = hashes(spark, d).withColumnRenamed("ordinal", "id")
-    return dedup.leaked(h.where("id % 5 = 0"), h.where("id % 5 <> 0"), 18)
+    return dedup.leaked(h.where("id % 5 = 0"), h.where("id % 5 <> 0"), 4)
 
 
-@query(f"""WITH {SQL_HASHES}, e AS (SELECT * FROM hashes WHERE ordinal % 5 = 0), l AS (SELECT count(*) AS leaked FROM e a WHERE EXISTS (SELECT 1 FROM hashes b WHERE b.ordinal % 5 <> 0 AND {HAMMING} <= 18))
+@query(f"""WITH {SQL_HASHES}, e AS (SELECT * FROM hashes WHERE ordinal % 5 = 0), l AS (SELECT count(*) AS leaked FROM e a WHERE EXISTS (SELECT 1 FROM hashes b WHERE b.ordinal % 5 <> 0 AND {HAMMING} <= 4))
 SELECT (SELECT count(*) FROM e) AS evaluated, leaked, round(100.0 * leaked / (SELECT count(*) FROM e), 6) AS percent FROM l""")
 def perceptual_leak_pct(spark: SparkSession, d: str) -> DataFrame:
     rows = hashes(spark, d).select(F.col("ordinal").alias("id"), "h", "class", F.when(F.col("ordinal") % 5 == 0, "test").otherwise("train").alias("split"))
-    return rounded(audit.leak_percentage(rows, 18, per_class=None), "percent")
+    return rounded(audit.leak_percentage(rows, 4, per_class=None), "percent")
 
 
-@query()
+def sql_greedy(near: str) -> str:
+    """Item by item: it stays if no kept hash is near; ``near`` is a condition on x, a kept hash, and s.h."""
+    return f"""WITH RECURSIVE {SQL_UNIQUE}, seq AS (SELECT ordinal, h, row_number() OVER (ORDER BY ordinal) AS rn FROM uniques),
+g AS (SELECT 0::BIGINT AS rn, []::BIGINT[] AS ids, []::HUGEINT[] AS hs UNION ALL
+  SELECT s.rn, CASE WHEN free THEN list_append(ids, s.ordinal) ELSE ids END, CASE WHEN free THEN list_append(hs, s.h) ELSE hs END
+  FROM (SELECT seq.*, g.ids, g.hs, len(list_filter(g.hs, lambda x: {near})) = 0 AS free FROM g JOIN seq ON seq.rn = g.rn + 1) s)
+SELECT unnest(ids) AS ordinal FROM g WHERE rn = (SELECT max(rn) FROM seq)"""
+
+
+NEAR = HAMMING.replace("a.h", "x").replace("b.h", "seq.h") + " <= 4"
+
+
+@query(sql_greedy(NEAR))
 def greedy_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """Sequential by nature, so without SQL; the tests hold it against a loop."""
-    return dedup.greedy_dedup(hashes(spark, d), 18)
+    return dedup.greedy_dedup(hashes(spark, d), 4)
 
 
-@query()
+@query(sql_greedy(NEAR + " AND bit_count((xor(x >> 52, seq.h >> 52))::BIGINT) <= 1"))
 def greedy_dedup_prefix(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.greedy_dedup(hashes(spark, d), 20, mode="prefix")
+    return dedup.greedy_dedup(hashes(spark, d), 4, mode="prefix")
 
 
 @query(f"WITH {SQL_DOCS} SELECT id, class, rank FROM (SELECT id, class, row_number() OVER (PARTITION BY class ORDER BY md5(id::VARCHAR || ':1234'), id) AS rank FROM recs) WHERE rank <= 60")

@@ -34,5 +34,5 @@ def test_same_rows_as_sql(spark, duck, name):
     expected = duck.sql(ORACLES[name])
     assert sorted(expected.columns) == columns
     a = sorted((tuple(map(plain, r)) for r in found.select(*columns).collect()), key=repr)
-    b = sorted((tuple(map(plain, r)) for r in duck.sql(f"SELECT {', '.join(columns)} FROM ({ORACLES[name]})").fetchall()), key=repr)
+    b = sorted((tuple(map(plain, r)) for r in duck.sql("SELECT " + ", ".join(f'"{c}"' for c in columns) + f" FROM ({ORACLES[name]})").fetchall()), key=repr)
     assert a == b
