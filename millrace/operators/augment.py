@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rasters
 from ..sources.images import to_raster
+from .splitting import seeded_number, seeded_order
 
 FEATURES_SCHEMA = "path string, h long, blur double, brightness double"
 
@@ -69,29 +70,46 @@ def mix(a: Column, b: Column, share: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: x * share + y * (1 - share))
 
 
-def uniform(*key: Column) -> Column:
+def uniform(*key: Column, seed: int) -> Column:
     """A number from 0 to 1 that depends on the key alone."""
-    return (F.pmod(F.xxhash64(*key), F.lit(1 << 30)) + 0.5) / float(1 << 30)
+    return (seeded_number(*key, seed=seed) % (1 << 30) + 0.5) / float(1 << 30)
+
+
+def beta_quantiles(alpha: float, n: int = 1001) -> list[float]:
+    """The quantiles 0, 1/(n-1), ..., 1 of the beta distribution with both parameters ``alpha``.
+
+    In the log odds of its values the density is smooth whatever the parameter, so its sums are exact enough.
+    """
+    reach = 40 + 60 / min(1.0, alpha)
+    t = np.linspace(-reach, reach, 200_001)
+    density = np.exp(-alpha * (np.logaddexp(0, t) + np.logaddexp(0, -t)))
+    mass = np.concatenate([[0], np.cumsum((density[1:] + density[:-1]) / 2)])
+    at = np.interp(np.linspace(0, 1, n), mass / mass[-1], t)
+    values = 1 / (1 + np.exp(-at))
+    values[0], values[-1] = 0.0, 1.0
+    return values.tolist()
+
+
+def beta_draw(u: Column, alpha: float) -> Column:
+    """The beta quantile of a uniform number, between tabulated ones by a straight line."""
+    table = beta_quantiles(alpha)
+    place = u * (len(table) - 1)
+    values = F.transform(F.array(F.array(*map(F.lit, table))), lambda q: q[F.floor(place).cast("int")] + (q[F.floor(place).cast("int") + 1] - q[F.floor(place).cast("int")]) * (place - F.floor(place)))
+    return values[0]
 
 
 def partners(rows: DataFrame, seed: int = 0) -> DataFrame:
     """Each row beside the next one of its batch in a seeded order, the last beside the first."""
-    order = Window.partitionBy("batch").orderBy(F.xxhash64("id", F.lit(seed)), "id")
+    order = Window.partitionBy("batch").orderBy(seeded_order(F.col("id"), seed), "id")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     other = F.coalesce(F.lead(F.struct("pixels", "target")).over(order), F.first(F.struct("pixels", "target")).over(whole))
     return rows.withColumn("other", other)
 
 
 def mixup(rows: DataFrame, alpha: float = 0.2, seed: int = 0) -> DataFrame:
-    """Rows (batch, id, pixels, target) mixed with a partner, whose share is never the larger one.
-
-    The share follows a Kumaraswamy curve with both parameters ``alpha``, which has the shape of the
-    symmetric beta distribution and, other than that one, an inverse that is an expression.
-    """
-    u = uniform(F.col("id"), F.lit(seed))
-    drawn = F.pow(1 - F.pow(1 - u, F.lit(1 / alpha)), F.lit(1 / alpha))
-    share = F.greatest(drawn, 1 - drawn)
-    both = partners(rows, seed).withColumn("share", share)
+    """Rows (batch, id, pixels, target) mixed with a partner by a beta-distributed share, whose part is never the larger one."""
+    drawn = beta_draw(uniform(F.col("id"), seed=seed), alpha)
+    both = partners(rows, seed).withColumn("drawn", drawn).withColumn("share", F.greatest("drawn", 1 - F.col("drawn")))
     return both.select("batch", "id", mix(F.col("pixels"), F.col("other.pixels"), F.col("share")).alias("pixels"), mix(F.col("target"), F.col("other.target"), F.col("share")).alias("target"), "share")
 
 
@@ -100,16 +118,16 @@ def cut_box(height: int, width: int, share: Column, seed: int = 0) -> Column:
     ratio = F.sqrt(1 - share)
     ends = []
     for k, side in enumerate((height, width)):
-        centre = F.floor(uniform(F.col("batch"), F.lit(seed), F.lit(k)) * side)
+        centre = F.floor(uniform(F.col("batch"), F.lit(k), seed=seed) * side)
         half = F.floor(F.floor(side * ratio) / 2)
         ends += [F.greatest(F.lit(0), F.least(F.lit(side), centre - half)).cast("int"), F.greatest(F.lit(0), F.least(F.lit(side), centre + half)).cast("int")]
     return F.struct(*[e.alias(n) for e, n in zip(ends, ("y1", "y2", "x1", "x2"))])
 
 
-def cutmix(rows: DataFrame, height: int, width: int, seed: int = 0) -> DataFrame:
-    """A box of the partner in each row, one box for a batch; targets are mixed by the area it covers after clipping."""
-    drawn = uniform(F.col("batch"), F.lit(seed), F.lit(9))
-    both = partners(rows, seed).withColumn("box", cut_box(height, width, F.greatest(drawn, 1 - drawn), seed))
+def cutmix(rows: DataFrame, height: int, width: int, alpha: float = 1.0, seed: int = 0) -> DataFrame:
+    """A box of the partner in each row, one box for a batch, whose area is a beta-distributed share; targets are mixed by the area it covers after clipping."""
+    both = partners(rows, seed).withColumn("drawn", beta_draw(uniform(F.col("batch"), F.lit(9), seed=seed), alpha))
+    both = both.withColumn("box", cut_box(height, width, F.greatest("drawn", 1 - F.col("drawn")), seed))
     share = 1 - (F.col("box.y2") - F.col("box.y1")) * (F.col("box.x2") - F.col("box.x1")) / float(height * width)
     y, x = lambda i: F.floor(i / width), lambda i: i % width
     inside = lambda i: (y(i) >= F.col("box.y1")) & (y(i) < F.col("box.y2")) & (x(i) >= F.col("box.x1")) & (x(i) < F.col("box.x2"))
@@ -117,11 +135,11 @@ def cutmix(rows: DataFrame, height: int, width: int, seed: int = 0) -> DataFrame
     return both.select("batch", "id", pixels.alias("pixels"), mix(F.col("target"), F.col("other.target"), share).alias("target"), share.alias("share"))
 
 
-def mix_batches(rows: DataFrame, height: int, width: int, chance: float = 0.35, alpha: float = 0.2, seed: int = 0) -> DataFrame:
+def mix_batches(rows: DataFrame, height: int, width: int, chance: float = 0.35, alpha: float = 0.2, cut_alpha: float = 1.0, seed: int = 0) -> DataFrame:
     """Batches as they are, or by chance mixed one way or the other, half and half."""
-    u = uniform(F.col("batch"), F.lit(seed), F.lit(17))
+    u = uniform(F.col("batch"), F.lit(17), seed=seed)
     kind = F.when(u >= chance, "none").when(u < chance / 2, "mixup").otherwise("cutmix")
     tagged = rows.withColumn("kind", kind)
     part = lambda k: tagged.where(F.col("kind") == k).drop("kind")
     plain = part("none").select("batch", "id", "pixels", "target", F.lit(1.0).alias("share"))
-    return plain.unionByName(mixup(part("mixup"), alpha, seed)).unionByName(cutmix(part("cutmix"), height, width, seed))
+    return plain.unionByName(mixup(part("mixup"), alpha, seed)).unionByName(cutmix(part("cutmix"), height, width, cut_alpha, seed))

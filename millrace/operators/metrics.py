@@ -70,15 +70,35 @@ def top_confusions(predicted: DataFrame, names: Column | None = None, most: int
     return wrong.orderBy(F.desc("n"), F.desc("label"), F.desc("pred")).limit(most)
 
 
-def robustness_gap(clean: DataFrame, stressed: DataFrame) -> DataFrame:
-    """Accuracy of both, and how far the second falls."""
+#: Falls of accuracy over which a stressed variant counts as large or moderate, by what is compared.
+GAPS = {"stress": (0.15, 0.07), "framing": (0.20, 0.10)}
+
+
+def robustness_gap(clean: DataFrame, stressed: DataFrame, kind: str = "stress") -> DataFrame:
+    """Accuracy of both, and how far the second falls, by the cut-offs of a kind of stress."""
+    large, moderate = GAPS[kind]
     one = accuracy(clean).select(F.col("accuracy").alias("clean"))
     two = accuracy(stressed).select(F.col("accuracy").alias("stressed"))
     gap = F.col("clean") - F.col("stressed")
-    level = F.when(gap > 0.15, "large").when(gap > 0.07, "moderate").otherwise("small")
+    level = F.when(gap > large, "large").when(gap > moderate, "moderate").otherwise("small")
     return one.crossJoin(two).select("clean", "stressed", gap.alias("gap"), level.alias("level"))
 
 
+def gray_level(predicted: DataFrame, n: int = 7, over_chance: float = 1.6, good: float = 0.55) -> DataFrame:
+    """(accuracy, level) without colour: poor under 1.6 times chance, fair under 0.55, good from there."""
+    a = F.col("accuracy")
+    level = F.when(a < over_chance / n, "poor").when(a < good, "fair").otherwise("good")
+    return accuracy(predicted).select("accuracy", level.alias("level"))
+
+
+def variant_drop(base: DataFrame, other: DataFrame, n: int = 7, most_total: float = 0.02, most_class: float = 0.05) -> DataFrame:
+    """One row: accuracy of two variants of a model, the fall, the class whose recall falls most, and whether either is too much."""
+    one, two = accuracy(base).select(F.col("accuracy").alias("base")), accuracy(other).select(F.col("accuracy").alias("other"))
+    worst = recall_drop(base, other, n).agg(F.min(F.struct("change", "class")).alias("w")).select(F.col("w.class").alias("worst_class"), F.col("w.change").alias("worst_change"))
+    both = one.crossJoin(two).crossJoin(worst).withColumn("fall", F.col("base") - F.col("other"))
+    return both.select("base", "other", "fall", "worst_class", "worst_change", (F.col("fall") > most_total).alias("total_worse"), (F.col("worst_change") < -most_class).alias("class_worse"))
+
+
 def recall_drop(base: DataFrame, other: DataFrame, n: int = 7) -> DataFrame:
     """Recall by class of two variants of a model and the change; flags a drop of over 0.05."""
     one = class_report(base, n).select("class", F.col("recall").alias("base"))

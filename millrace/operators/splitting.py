@@ -11,6 +11,12 @@ def seeded_order(key: Column, seed: int) -> Column:
     return F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed))))
 
 
+def seeded_number(*key: Column, seed: int) -> Column:
+    """A number of 60 bits that depends on the key and the seed alone; the same in any SQL engine."""
+    digest = F.md5(F.concat_ws(":", *[k.cast("string") for k in key], F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
 def dominant_class(records: DataFrame) -> DataFrame:
     """(grp, class): the most frequent class of each group, on ties the one seen first (ordinal)."""
     counted = records.groupBy("grp", "class").agg(F.count("*").alias("n"), F.min("ordinal").alias("first"))
@@ -29,11 +35,26 @@ def split_sizes(groups: Column, val: float, test: float) -> tuple[Column, Column
     return n_test, n_val
 
 
+def ranks(rows: DataFrame, order: Column, key: str, column: str = "rank") -> DataFrame:
+    """Rows with their place, from 1, within their class in a seeded order, without a task that holds a class.
+
+    ``order`` is a hash as hex digits, so its first three cut a class into 4096 even runs: a run is ranked by itself,
+    and starts after the sizes of the runs before it.
+    """
+    cut = rows.withColumn("_run", F.substring(order, 1, 3))
+    within = F.row_number().over(Window.partitionBy("class", "_run").orderBy(order, key))
+    sizes = cut.groupBy("class", "_run").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("class").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.withColumn("_start", F.coalesce(before, F.lit(0))).select(F.col("class").alias("_class"), F.col("_run").alias("_of"), "_start")
+    placed = cut.withColumn("_in", within).join(starts, F.col("class").eqNullSafe(F.col("_class")) & (F.col("_run") == F.col("_of")))
+    return placed.withColumn(column, (F.col("_start") + F.col("_in")).cast("int")).drop("_run", "_in", "_class", "_of", "_start")
+
+
 def group_split(records: DataFrame, val: float = 0.15, test: float = 0.10, seed: int = 42) -> DataFrame:
     """(grp, class, split): groups of each dominant class in a seeded order, first test, then val, then train."""
     dominant = dominant_class(records)
-    rank = F.row_number().over(Window.partitionBy("class").orderBy(seeded_order(F.col("grp"), seed), "grp"))
-    sized = dominant.withColumn("r", rank).withColumn("n", F.count("*").over(Window.partitionBy("class")))
+    sizes = dominant.groupBy(F.col("class").alias("_of")).agg(F.count("*").alias("n"))
+    sized = ranks(dominant, seeded_order(F.col("grp"), seed), "grp", "r").join(sizes, F.col("class").eqNullSafe(F.col("_of")))
     n_test, n_val = split_sizes(F.col("n"), val, test)
     split = F.when(F.col("r") <= n_test, "test").when(F.col("r") <= n_test + n_val, "val").otherwise("train")
     return sized.select("grp", "class", split.alias("split"))
@@ -45,9 +66,12 @@ def assign(records: DataFrame, splits: DataFrame) -> DataFrame:
 
 
 def sample_per_class(records: DataFrame, k: int, seed: int, key: str = "id") -> DataFrame:
-    """The first ``k`` records of each class in a seeded order."""
-    w = Window.partitionBy("class").orderBy(seeded_order(F.col(key), seed), key)
-    return records.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    """The first ``k`` records of each class in a seeded order, chosen within even runs of a class first."""
+    order = seeded_order(F.col(key), seed)
+    some = records.withColumn("_run", F.substring(order, 1, 2))
+    for keys in (["class", "_run"], ["class"]):
+        some = some.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(order, key))).where(F.col("rank") <= k)
+    return some.drop("_run")
 
 
 def representative_set(records: DataFrame, n: int, n_classes: int, seed: int = 0, key: str = "id") -> DataFrame:
@@ -63,25 +87,26 @@ def evaluation_subset(records: DataFrame, most: int = 400, seed: int = 0, key: s
 
 def epoch_order(records: DataFrame, epoch: int, key: str = "id") -> DataFrame:
     """Records in the order of an epoch: a global shuffle that needs no buffer."""
-    return records.orderBy(F.xxhash64(F.col(key), F.lit(epoch)), key)
+    return records.orderBy(seeded_order(F.col(key), epoch), key)
 
 
 def balanced_draws(records: DataFrame, draws: int, seed: int = 42) -> DataFrame:
     """``draws`` draws with replacement, all non-empty classes equally likely: (draw, class, rank, ...).
 
-    A draw picks a class by its hash and then steps through that class, whose order changes with every
-    pass, so a class is drawn from evenly.
+    A draw picks a class by its hash and then steps through that class, whose order starts elsewhere with every
+    pass, so a class is drawn from evenly. Records without a class aren't drawn.
     """
     order = seeded_order(F.col("id"), seed)
+    records = records.where(F.col("class").isNotNull())
     ranked = records.withColumn("rank", F.row_number().over(Window.partitionBy("class").orderBy(order, "id")) - 1)
     classes = ranked.groupBy("class").agg(F.count("*").alias("size"))
-    listed = classes.agg(F.sort_array(F.collect_list(F.struct("class", "size"))).alias("list"))
+    listed = classes.agg(F.sort_array(F.collect_list(F.struct("class", "size"))).alias("list")).where(F.size("list") > 0)
     drawn = records.sparkSession.range(draws).withColumnRenamed("id", "draw").join(F.broadcast(listed))
-    picked = drawn.withColumn("c", F.col("list")[F.pmod(F.xxhash64("draw", F.lit(seed)), F.size("list")).cast("int")]).select("draw", "c.class", "c.size")
-    nth = F.row_number().over(Window.partitionBy("class").orderBy("draw")) - 1
-    # A step coprime to nothing in particular, but one that shifts the start of every pass.
-    picked = picked.withColumn("nth", nth).withColumn("rank", F.pmod(F.col("nth") + F.pmod(F.xxhash64(F.floor(F.col("nth") / F.col("size")), F.lit(seed)), F.col("size")), F.col("size")).cast("int"))
-    return picked.join(ranked.drop("size"), ["class", "rank"]).drop("nth", "size")
+    picked = drawn.withColumn("c", F.col("list")[(seeded_number(F.col("draw"), seed=seed) % F.size("list")).cast("int")]).select("draw", "c.class", "c.size")
+    picked = picked.withColumn("nth", F.row_number().over(Window.partitionBy("class").orderBy("draw")) - 1)
+    lap = F.floor(F.col("nth") / F.col("size"))
+    place = (F.col("nth") + seeded_number(lap, seed=seed) % F.col("size")) % F.col("size")
+    return picked.withColumn("rank", place.cast("int")).join(ranked.drop("size"), ["class", "rank"]).drop("nth", "size")
 
 
 def balanced_epoch_size(counts: DataFrame, batch: int) -> DataFrame:

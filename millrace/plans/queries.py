@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..durable import shared_dir
 from ..functions import geometry, hashing, labels, scores
 from ..operators import audit, augment, calibration, curation, dedup, metrics, splitting
+from ..sources import images
 from .bindings import SQL_DOCS, SQL_HASHES, SQL_LOGITS, SQL_RECORDS, SQL_SPLIT, document_records, hashes, logits, order_records, scored, sql_scored, table
 
 QUERIES: dict = {}
@@ -27,6 +30,11 @@ def query(sql: str | None = None):
     return keep
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
     """Six digits of the columns that come out of exponentials and logarithms, whose last bit differs by engine."""
     return df.withColumns({c: F.round(c, 6) for c in columns})
@@ -81,11 +89,24 @@ def temperature_grid_best(spark: SparkSession, d: str) -> DataFrame:
     return rounded(found.orderBy("nll", "temperature").limit(1), "nll")
 
 
-@query()
+def sql_temperature(rounds: int = 6, points: int = 16) -> str:
+    """The same grids within grids."""
+    parts = [SQL_LOGITS, f"r0 AS (SELECT {calibration.LOW}::DOUBLE AS low, {calibration.HIGH}::DOUBLE AS high)"]
+    for k in range(1, rounds + 1):
+        parts += [
+            f"t{k} AS (SELECT low + i * ((high - low) / {points - 1}) AS t, (high - low) / {points - 1} AS step FROM r{k - 1}, range({points}) g(i))",
+            f"e{k} AS (SELECT t, step, label, list_transform(z, lambda x: exp((x - list_max(z)) / t)) AS e FROM logits CROSS JOIN t{k} WHERE split = 'val')",
+            f"b{k} AS (SELECT t, step FROM (SELECT t, step, avg(-ln(e[label + 1] / list_sum(e) + 1e-12)) AS nll FROM e{k} GROUP BY ALL) ORDER BY nll, t LIMIT 1)",
+            f"r{k} AS (SELECT greatest({calibration.LOW}, t - step) AS low, least({calibration.HIGH}, t + step) AS high FROM b{k})",
+        ]
+    return f"WITH {', '.join(parts)} SELECT round(t, 3) AS temperature FROM b{rounds}"
+
+
+@query(sql_temperature())
 def temperature_fit(spark: SparkSession, d: str) -> DataFrame:
-    """The fitted temperature to four digits, whose NLL is checked against a fine grid in the tests."""
+    """The fitted temperature to three digits."""
     t = calibration.fit_temperature(logits(spark, d).where("split = 'val'"))
-    return spark.createDataFrame([(round(t, 4),)], "temperature double")
+    return spark.createDataFrame([(round(t, 3),)], "temperature double")
 
 
 @query(f"WITH {sql_scored()} SELECT id, pred::INT AS pred, round(conf, 6) AS conf, round(-list_sum(list_transform(p, lambda x: x * ln(x + 1e-12))), 6) AS entropy FROM scored")
@@ -306,12 +327,26 @@ def evaluation_subset(spark: SparkSession, d: str) -> DataFrame:
     return splitting.evaluation_subset(document_records(spark, d)).select("id")
 
 
-@query()
+def sql_number(*key: str, seed: int) -> str:
+    return "('0x' || md5(" + " || ':' || ".join([*(f"({k})::VARCHAR" for k in key), f"'{seed}'"]) + ")[1:15])::BIGINT"
+
+
+@query(f"""WITH {SQL_DOCS}, ranked AS (SELECT id, class, row_number() OVER (PARTITION BY class ORDER BY md5(id::VARCHAR || ':42'), id) - 1 AS rank, count(*) OVER (PARTITION BY class) AS size FROM recs WHERE class IS NOT NULL),
+classes AS (SELECT class, max(size) AS size, row_number() OVER (ORDER BY class) - 1 AS k FROM ranked GROUP BY class),
+draws AS (SELECT i AS draw, {sql_number('i', seed=42)} % (SELECT count(*) FROM classes) AS k FROM range(800) r(i)),
+picked AS (SELECT draw, class, size, row_number() OVER (PARTITION BY class ORDER BY draw) - 1 AS nth FROM draws JOIN classes USING (k))
+SELECT draw, picked.class, id FROM picked JOIN ranked ON ranked.class = picked.class AND ranked.rank = (nth + {sql_number('nth // picked.size', seed=42)} % picked.size) % picked.size""")
 def balanced_draws(spark: SparkSession, d: str) -> DataFrame:
-    """Draws depend on a hash that DuckDB lacks; the tests check balance and coverage."""
     return splitting.balanced_draws(document_records(spark, d), 800).select("draw", "class", "id")
 
 
+@query(f"WITH {SQL_DOCS} SELECT id, row_number() OVER (ORDER BY md5(id::VARCHAR || ':3'), id) AS place FROM recs ORDER BY place LIMIT 200")
+def epoch_order(spark: SparkSession, d: str) -> DataFrame:
+    """The first records of an epoch, which a reader would take from the sorted table."""
+    first = splitting.epoch_order(document_records(spark, d), 3).limit(200)
+    return first.withColumn("place", F.row_number().over(Window.orderBy(splitting.seeded_order(F.col("id"), 3), "id")).cast("long")).select("id", "place")
+
+
 @query("WITH c AS (SELECT lang, count(*) AS n FROM documents GROUP BY 1) SELECT greatest(1, floor(floor(avg(n)) * count(*) / 64))::BIGINT AS steps FROM c WHERE n > 0")
 def balanced_epoch_size(spark: SparkSession, d: str) -> DataFrame:
     return splitting.balanced_epoch_size(document_records(spark, d).groupBy("class").agg(F.count("*").alias("n")), 64)
@@ -322,27 +357,76 @@ def numbered_outputs(spark: SparkSession, d: str) -> DataFrame:
     return curation.numbered(document_records(spark, d).withColumn("ordinal", F.col("id"))).select("id", "file")
 
 
-# Label lines of the fixtures, with the id each is given here.
-LINES = ["0 0.5 0.5 0.2 0.4", "3 0.1 0.1 0.9 0.1 0.9 0.8 0.1 0.8", "2 0.9 0.9 0.6 0.6", "1 0.5 0.5 0.2 0.4 0.9", "a 1 2 3 4", "1 0.5", "1.0 .5 .5 .2 .2", "4 0.5 0.5 0.00001 0.2", "5 0.2 0.2 0.4 0.2 0.4 0.6", ""]
+#: Label lines made of order lines: boxes, polygons, odd numbers of values, ids that are none, boxes that are too thin.
+DECIMAL = "concat('0.', lpad(cast(({}) % 1000 AS STRING), 3, '0'))"
+LINE_PARTS = [
+    "concat_ws(' ', cast(l_suppkey % 9 AS STRING), {a}, {b}, {c}, {d})", "concat_ws('  ', cast(l_suppkey % 9 AS STRING), {a}, {b}, {c}, {d}, {e}, {f}) || ' '",
+    "concat_ws(' ', 'x', {a}, {b}, {c}, {d})", "concat_ws(' ', '3', {a}, {b})", "concat_ws(' ', '4', {a}, {b}, {c}, {d}, {e})", "concat_ws(' ', '+5', {a}, {b}, '0.00001', {d})", "concat_ws(' ', '6', {a}, 'y', {c}, {d})",
+]
 
 
-@query("SELECT id, cls, x0::DOUBLE AS x0, y0::DOUBLE AS y0, x1::DOUBLE AS x1, y1::DOUBLE AS y1 FROM (VALUES (0, 0, 0.4, 0.3, 0.6, 0.7), (1, 3, 0.1, 0.1, 0.9, 0.8), (2, 2, 0.6, 0.6, 1.0, 1.0), (8, 5, 0.2, 0.2, 0.4, 0.6)) t(id, cls, x0, y0, x1, y1)")
-def parse_labels(spark: SparkSession, d: str) -> DataFrame:
-    lines = spark.createDataFrame(list(enumerate(LINES)), "id int, line string")
-    return rounded(lines.withColumn("b", labels.parse_label_line(F.col("line"))).where("b IS NOT NULL").select("id", "b.*"), "x0", "y0", "x1", "y1")
+def label_line(kind: str = "STRING") -> str:
+    """SQL of a label line; both engines understand it."""
+    numbers = {k: DECIMAL.format(f"l_orderkey * {m} + l_linenumber * {p}") for k, m, p in (("a", 7, 131), ("b", 11, 57), ("c", 13, 211), ("d", 3, 97), ("e", 17, 31), ("f", 19, 71))}
+    cases = " ".join(f"WHEN {i} THEN {part.format(**numbers)}" for i, part in enumerate(LINE_PARTS))
+    return f"CASE (l_orderkey + l_linenumber) % {len(LINE_PARTS)} {cases} END".replace("STRING", kind)
 
 
-# Class names of the fixtures and their classes.
-NAMES = [
-    ("1000_koin", "1000"), ("500 koin", None), ("koin seribu", None), ("2ribu belakang", None), ("uang lima ribu", "5000"), ("20,000", "20000"), ("200", None), ("2022", None), ("dollar", None),
-    ("0", None), ("", None), ("15000", "5000"), ("15k", "5000"), ("500000", "50000"), ("class2", "2000"), ("dua puluh lima", "20000"), ("1 USD", "1000"), ("50", "50000"),
-]
+SQL_BOXES = f"""lines AS (SELECT l_orderkey AS o, l_linenumber AS l, {label_line('VARCHAR')} AS line FROM lineitem),
+parts AS (SELECT o, l, string_split_regex(trim(line), '\\s+') AS p FROM lines),
+vals AS (SELECT o, l, CASE WHEN regexp_full_match(p[1], '[+-]?\\d+') THEN try_cast(p[1] AS INT) END AS cls, list_transform(p[2:], lambda x: try_cast(x AS DOUBLE)) AS v FROM parts),
+sane AS (SELECT * FROM vals WHERE cls IS NOT NULL AND len(v) >= 4 AND len(list_filter(v, lambda x: x IS NULL)) = 0 AND len(v) % 2 = 0),
+ends AS (SELECT o, l, cls, CASE WHEN len(v) = 4 THEN [v[1] - v[3] / 2, v[2] - v[4] / 2, v[1] + v[3] / 2, v[2] + v[4] / 2]
+  ELSE [list_min(list_filter(v, lambda x, i: i % 2 = 1)), list_min(list_filter(v, lambda x, i: i % 2 = 0)), list_max(list_filter(v, lambda x, i: i % 2 = 1)), list_max(list_filter(v, lambda x, i: i % 2 = 0))] END AS e FROM sane),
+boxes AS (SELECT o, l, cls, least(greatest(e[1], 0), 1) AS x0, least(greatest(e[2], 0), 1) AS y0, least(greatest(e[3], 0), 1) AS x1, least(greatest(e[4], 0), 1) AS y1 FROM ends),
+parsed AS (SELECT * FROM boxes WHERE x1 - x0 >= 1e-4 AND y1 - y0 >= 1e-4)"""
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{n}', {repr(c) if c else 'NULL'})" for n, c in NAMES) + ") t(name, class)")
+@query(f"WITH {SQL_BOXES} SELECT o, l, cls, round(x0, 6) AS x0, round(y0, 6) AS y0, round(x1, 6) AS x1, round(y1, 6) AS y1 FROM parsed")
+def parse_labels(spark: SparkSession, d: str) -> DataFrame:
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("l"), F.expr(label_line()).alias("line"))
+    return rounded(lines.withColumn("b", labels.parse_label_line(F.col("line"))).where("b IS NOT NULL").select("o", "l", "b.*"), "x0", "y0", "x1", "y1")
+
+
+#: Class names made of orders: a beginning, an amount and an end.
+NAME_PIECES = (
+    ["", "koin ", "uang ", "RP. ", "class", "Background ", "dua "],
+    ["1000", "2", "50k", "20,000", "seribu", "Lima Puluh ribu", "15", "100.000", "", "10rb", "3000", "2022", "dollar", "500"],
+    ["", " belakang", " IDR", "_2", " logam"],
+)
+NAME_SQL = " || ".join(f"list_element([{', '.join(repr(x) for x in xs)}], (o_orderkey // {m}) % {len(xs)} + 1)" for xs, m in zip(NAME_PIECES, (1, 7, 98)))
+SQL_HOLDS = lambda parts: "(" + " OR ".join(f"contains(s, '{p}')" for p in parts) + ")"
+SQL_CLASS = (
+    f"CASE WHEN name = '' OR ({SQL_HOLDS(labels.NOT_NOTES)} AND NOT {SQL_HOLDS([c for c, *_ in labels.CLASSES] + [f'{int(c) // 1000}k' for c, *_ in labels.CLASSES])}) THEN NULL "
+    + " ".join(f"WHEN {SQL_HOLDS(parts)} THEN '{c}'" for c, parts in labels.NAME_PARTS)
+    + " "
+    + " ".join(f"WHEN digits IN ('{c}', '{int(c) // 1000}') THEN '{c}'" for c, *_ in labels.CLASSES)
+    + " END"
+)
+
+
+@query(f"WITH n AS (SELECT o_orderkey AS id, {NAME_SQL} AS name FROM orders), p AS (SELECT *, trim(lower(name)) AS s, regexp_replace(trim(lower(name)), '[^0-9]', '', 'g') AS digits FROM n) SELECT id, name, {SQL_CLASS} AS class FROM p")
 def normalize_class(spark: SparkSession, d: str) -> DataFrame:
-    names = spark.createDataFrame([(n,) for n, _ in NAMES], "name string")
-    return names.select("name", labels.normalize_class(F.col("name")).alias("class"))
+    pieces = [F.array(*map(F.lit, xs))[F.pmod(F.floor(F.col("o_orderkey") / m), F.lit(len(xs))).cast("int")] for xs, m in zip(NAME_PIECES, (1, 7, 98))]
+    names = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.concat(*pieces).alias("name"))
+    return names.select("id", "name", labels.normalize_class(F.col("name")).alias("class"))
+
+
+@query(f"""WITH {SQL_BOXES}, i AS (SELECT doc_id AS stem, CASE WHEN n_chars % 11 = 0 THEN -1 ELSE 480 END AS height FROM documents),
+f AS (SELECT DISTINCT o AS stem FROM lines), j AS (SELECT i.stem, height, f.stem IS NOT NULL AS has_label, l, cls FROM i LEFT JOIN f USING (stem) LEFT JOIN parsed ON parsed.o = i.stem),
+k AS (SELECT *, row_number() OVER (PARTITION BY stem ORDER BY l NULLS FIRST) AS nth FROM j WHERE NOT has_label OR height < 0 OR l IS NOT NULL),
+r AS (SELECT CASE WHEN NOT has_label THEN 'no_label' WHEN height < 0 THEN 'unreadable' WHEN cls IS NULL OR cls NOT IN (0, 2, 4) THEN 'unknown_class' ELSE 'gated' END AS reason FROM k WHERE (has_label AND height >= 0) OR nth = 1)
+SELECT reason, count(*) AS n FROM r GROUP BY 1""")
+def label_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """Images met with their label lines and class names; documents stand for images, order lines for label lines."""
+    keys = [F.lit("set").alias("dataset"), F.lit("train").alias("split")]
+    height = F.when(F.col("n_chars") % 11 == 0, -1).otherwise(480)
+    pictures = table(spark, d, "documents").select(*keys, F.col("doc_id").cast("string").alias("stem"), F.lit(640).alias("width"), height.alias("height"))
+    lines = table(spark, d, "lineitem").select(*keys, F.col("l_orderkey").cast("string").alias("stem"), F.col("l_linenumber").alias("line_no"), F.expr(label_line()).alias("line"))
+    names = spark.createDataFrame([("set", 0, "1000"), ("set", 1, "koin"), ("set", 2, "5k"), ("set", 4, "seratus")], "dataset string, cls int, name string")
+    found = curation.reason()
+    gated = F.when(found.isNull() | (found == "too_small"), "gated").otherwise(found)
+    return curation.label_rows(pictures, lines, names).select(gated.alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
 @query("""WITH b AS (SELECT p_partkey AS id, p_size * 10.0::DOUBLE AS w, p_retailprice / 4 AS h FROM part), s AS (SELECT *, least(greatest(300 / greatest(1.0, least(w, h)), 1.0), 2.5) AS f FROM b)
@@ -397,13 +481,33 @@ def mixup_labels(spark: SparkSession, d: str) -> DataFrame:
     return y.select("id", F.transform(augment.mix(F.col("y"), other, F.lit(0.7)), lambda v: F.round(v, 6)).alias("target"))
 
 
-@query()
+def sql_uniform(*key: str, seed: int = 0) -> str:
+    return f"(({sql_number(*key, seed=seed)} % 1073741824 + 0.5::DOUBLE) / 1073741824)"
+
+
+def sql_beta(u: str, alpha: float) -> str:
+    q = "[" + ", ".join(f"{v!r}::DOUBLE" for v in augment.beta_quantiles(alpha)) + "]"
+    return f"(SELECT q[i + 1] + (q[i + 2] - q[i + 1]) * (p - i) FROM (SELECT {q} AS q, {u} * 1000 AS p, floor({u} * 1000)::INT AS i))"
+
+
+@query(f"""WITH rows_ AS (SELECT vec_id AS id, vec_id // 32 AS batch, list_transform(embedding, lambda x: x::DOUBLE) AS px, list_transform(range(7), lambda k: (k = label % 7)::INT::DOUBLE) AS y FROM embeddings),
+paired AS (SELECT *, coalesce(lead(px) OVER w, first_value(px) OVER w) AS opx, coalesce(lead(y) OVER w, first_value(y) OVER w) AS oy, {sql_uniform('batch', seed=17)} AS u0 FROM rows_ WINDOW w AS (PARTITION BY batch ORDER BY md5(id::VARCHAR || ':0'), id)),
+kinds AS (SELECT *, {sql_uniform('batch', "'17'")} AS u FROM paired),
+draws AS (SELECT *, CASE WHEN u >= 0.9 THEN 'none' WHEN u < 0.45 THEN 'mixup' ELSE 'cutmix' END AS kind, {sql_uniform('id')} AS um, {sql_uniform('batch', "'9'")} AS uc, {sql_uniform('batch', "'0'")} AS uy, {sql_uniform('batch', "'1'")} AS ux FROM kinds),
+betas AS (SELECT *, {sql_beta('um', 0.2)} AS bm, {sql_beta('uc', 1.0)} AS bc FROM draws),
+shares AS (SELECT *, greatest(bm, 1 - bm) AS sm, floor(floor(8 * sqrt(1 - greatest(bc, 1 - bc))) / 2) AS half, floor(uy * 8) AS cy, floor(ux * 8) AS cx FROM betas),
+boxes AS (SELECT *, greatest(0, least(8, cy - half)) AS y1, greatest(0, least(8, cy + half)) AS y2, greatest(0, least(8, cx - half)) AS x1, greatest(0, least(8, cx + half)) AS x2 FROM shares),
+final AS (SELECT *, CASE kind WHEN 'none' THEN 1.0 WHEN 'mixup' THEN sm ELSE 1 - (y2 - y1) * (x2 - x1) / 64 END AS share FROM boxes)
+SELECT batch, id, round(share, 6) AS share, list_transform(range(7), lambda k: round(y[k + 1] * share + oy[k + 1] * (1 - share), 6)) AS target,
+  list_transform(range(64), lambda i: round(CASE WHEN kind = 'none' THEN px[i + 1] WHEN kind = 'mixup' THEN px[i + 1] * share + opx[i + 1] * (1 - share)
+    WHEN i // 8 >= y1 AND i // 8 < y2 AND i % 8 >= x1 AND i % 8 < x2 THEN opx[i + 1] ELSE px[i + 1] END, 6)) AS pixels FROM final""")
 def batch_mixing(spark: SparkSession, d: str) -> DataFrame:
-    """Mixed batches of 8 x 8 rasters; shares depend on a hash that DuckDB lacks, the tests check their sums."""
+    """Mixed batches of 8 x 8 rasters."""
     rows = table(spark, d, "embeddings").select(
         F.col("vec_id").alias("id"), F.floor(F.col("vec_id") / 32).alias("batch"), F.transform("embedding", lambda v: v.cast("double")).alias("pixels"), scores.one_hot(F.col("label") % 7, 7).alias("target")
     )
-    return augment.mix_batches(rows, 8, 8, chance=0.9)
+    six = lambda c: F.transform(c, lambda v: F.round(v, 6)).alias(c)
+    return augment.mix_batches(rows, 8, 8, chance=0.9).select("batch", "id", F.round("share", 6).alias("share"), six("target"), six("pixels"))
 
 
 @query("""WITH c AS (SELECT vec_id AS id, i // 8 AS y, i % 8 AS x, embedding[i + 1]::DOUBLE AS v, embedding AS e FROM embeddings CROSS JOIN range(64) r(i)),
@@ -444,13 +548,95 @@ def hash_bands(spark: SparkSession, d: str) -> DataFrame:
     return hashes(spark, d).select("ordinal", hashing.prefix(F.col("h")).alias("prefix"), F.transform(hashing.bands(F.col("h"), 5), lambda b: b["key"]).alias("bands"))
 
 
-@query()
+@query("""WITH e AS (SELECT vec_id, list_transform(embedding, lambda v: least(greatest(floor((v::DOUBLE + 1) * 127.5), 0), 255)) AS g FROM embeddings),
+m AS (SELECT k, i, sum(sqrt(2 / 32.0::DOUBLE) * cos(pi() * (2 * (4 * i + s) + 1) * k / 64) * CASE WHEN k = 0 THEN 1 / sqrt(2) ELSE 1 END) AS w FROM range(8) a(k), range(8) b(i), range(4) c(s) GROUP BY ALL),
+cells AS (SELECT vec_id, p // 8 AS y, p % 8 AS x, g[p + 1] AS v FROM e, range(64) r(p)),
+half AS (SELECT vec_id, m.k, x, sum(w * v) AS v FROM cells JOIN m ON m.i = y GROUP BY ALL),
+coef AS (SELECT vec_id, half.k AS k, m.k AS l, sum(w * v) AS c FROM half JOIN m ON m.i = x GROUP BY ALL),
+middle AS (SELECT vec_id, median(c) AS c FROM coef WHERE k > 0 AND l > 0 GROUP BY 1),
+hash AS (SELECT vec_id, sum(CASE WHEN coef.c > middle.c THEN 1::HUGEINT << (63 - 8 * k - l)::INT ELSE 0 END)::HUGEINT AS h FROM coef JOIN middle USING (vec_id) GROUP BY 1),
+lap AS (SELECT vec_id, g[8 * abs(y - 1) + x + 1] + g[8 * (7 - abs(6 - y)) + x + 1] + g[8 * y + abs(x - 1) + 1] + g[8 * y + 7 - abs(6 - x) + 1] - 4 * v AS d FROM cells JOIN e USING (vec_id)),
+blur AS (SELECT vec_id, var_pop(d) AS blur FROM lap GROUP BY 1)
+SELECT vec_id::VARCHAR AS path, CASE WHEN h >= 9223372036854775808::HUGEINT THEN h - 18446744073709551616::HUGEINT ELSE h END::BIGINT AS h, round(blur * 4096, 0) AS blur_4096, round(list_avg(g) * 64, 0) AS brightness_64
+FROM e JOIN hash USING (vec_id) JOIN blur USING (vec_id)""")
 def image_features(spark: SparkSession, d: str) -> DataFrame:
-    """Perceptual hash, sharpness and brightness of the embeddings drawn as 8 x 8 gray images."""
+    """Perceptual hash, sharpness and brightness of the embeddings drawn as 8 x 8 gray images; the last two as whole multiples of their unit."""
     pixels = F.transform("embedding", lambda v: F.least(F.greatest(F.floor((v.cast("double") + 1) * 127.5), F.lit(0)), F.lit(255)).cast("int"))
     data = F.unhex(F.array_join(F.transform(pixels, lambda p: F.lpad(F.hex(p), 2, "0")), ""))
-    images = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("path"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("n_channels"), data.alias("data"))
-    return augment.image_features(images)
+    drawn = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("path"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("n_channels"), data.alias("data"))
+    return augment.image_features(drawn).select("path", "h", F.round(F.col("blur") * 4096, 0).alias("blur_4096"), F.round(F.col("brightness") * 64, 0).alias("brightness_64"))
+
+
+MANIFEST_ROWS = "SELECT doc_id AS id, lang AS class, CASE WHEN doc_id % 10 < 7 THEN 'train' WHEN doc_id % 10 < 9 THEN 'val' ELSE 'test' END AS split, doc_id // 3 AS grp, n_chars AS w FROM documents WHERE lang IS NOT NULL"
+
+
+@query(f"""WITH r AS ({MANIFEST_ROWS}), n AS (SELECT *, greatest(w, 300) AS m, row_number() OVER (PARTITION BY class, split ORDER BY id) - 1 AS k FROM r)
+SELECT format('{{}}_{{}}_{{:05d}}.jpg', class, split, k) AS file, class, split, grp::VARCHAR AS group, 'origin' AS origin, 'table' AS source,
+  CASE WHEN m <= 640 THEN 300 ELSE round_even(300 * (640.0::DOUBLE / m), 0) END::INT AS h, CASE WHEN m <= 640 THEN w ELSE round_even(w * (640.0::DOUBLE / m), 0) END::INT AS w FROM n""")
+def manifest_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """The manifest as its sink wrote it and its source read it."""
+    records = document_records(spark, d).where("class IS NOT NULL").withColumns({"ordinal": F.col("id"), "origin": F.lit("origin"), "source": F.lit("table"), "w": F.col("n_chars").cast("int"), "h": F.lit(300), "grp": F.col("grp").cast("string")})
+    path = fresh_path(spark, "manifest")
+    images.write_json(curation.manifest(records), path)
+    return images.read_manifest(spark, path)
+
+
+@query(f"SELECT id, label, list_transform(z, lambda x: round(x, 6)) AS logits FROM ({'WITH ' + SQL_LOGITS + ' SELECT * FROM logits'}) WHERE split = 'test'")
+def logits_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Logits as written and read; the reader takes one split's folder only."""
+    path = fresh_path(spark, "logits")
+    images.write_table(logits(spark, d), path, ("split",))
+    rows = images.read_logits(spark, path).where("split = 'test'")
+    return rows.select("id", "label", F.transform("logits", lambda x: F.round(x, 6)).alias("logits"))
+
+
+@query("SELECT vec_id AS id, (label % 7)::VARCHAR AS class, length(embedding) AS n FROM embeddings WHERE vec_id % 2 = 1 AND label % 7 = 3")
+def crops_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Crops in folders by split and class, of which a reader opens one."""
+    path = fresh_path(spark, "crops")
+    rows = logits(spark, d).select("id", "split", (F.col("label") % 7).cast("string").alias("class"))
+    pixels = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.transform("embedding", lambda v: F.floor((v + 1) * 127)).alias("data"))
+    images.write_crops(rows.join(pixels, "id"), path)
+    read = spark.read.schema("id long, data array<long>, split string, class string").parquet(path).where("split = 'test' AND class = '3'")
+    return read.select("id", "class", F.size("data").cast("long").alias("n"))
+
+
+@query(f"""WITH r AS (SELECT p_brand AS class, quantile_cont(greatest(p_size, p_retailprice / 100) / greatest(1, least(p_size, p_retailprice / 100)), 0.5) AS median FROM part GROUP BY 1)
+SELECT 'aspect' AS "check", 'warning' AS severity, class AS metric, round(abs(median - 1.5), 6) AS value, 0.45::DOUBLE AS threshold, 'median ratio is off the class''s' AS message FROM r WHERE abs(median - 1.5) > 0.45""")
+def aspect_findings(spark: SparkSession, d: str) -> DataFrame:
+    parts = table(spark, d, "part").select(F.col("p_brand").alias("class"), F.col("p_size").alias("w"), (F.col("p_retailprice") / 100).alias("h"))
+    ideals = parts.select("class").distinct().withColumn("aspect", F.lit(1.5))
+    return rounded(audit.check_aspect(parts, ideals), "value")
+
+
+@query(f"""WITH {SQL_TEST}, {SQL_SWEEP}, {sql_scored('3.0').replace('logits AS', 'logits3 AS').replace('FROM logits)', 'FROM logits3)').replace('powers AS', 'powers3 AS').replace('FROM powers)', 'FROM powers3)').replace('probs AS', 'probs3 AS').replace('FROM probs)', 'FROM probs3)').replace('scored AS', 'scored3 AS')},
+test3 AS (SELECT * FROM scored3 WHERE split = 'test'), {SQL_SWEEP.replace('grid AS', 'grid3 AS').replace('FROM grid ', 'FROM grid3 ').replace('JOIN test', 'JOIN test3').replace('hit AS', 'hit3 AS').replace('FROM hit)', 'FROM hit3)').replace('swept AS', 'swept3 AS')}
+SELECT 'raw' AS curve, round(threshold, 6) AS threshold, round(coverage, 6) AS coverage, round(1 - selective_accuracy, 6) AS risk FROM swept
+UNION ALL SELECT 'calibrated', round(threshold, 6), round(coverage, 6), round(1 - selective_accuracy, 6) FROM swept3""")
+def risk_curves(spark: SparkSession, d: str) -> DataFrame:
+    both = calibration.risk_coverage(test_rows(spark, d), scored(spark, d, 3.0).where("split = 'test'"))
+    return rounded(both, "threshold", "coverage", "risk")
+
+
+@query("SELECT count(*) AS n, count(*) FILTER (n_chars % 40 = 0) AS failed, round(count(*) FILTER (n_chars % 40 = 0) / count(*), 6) AS ratio, count(*) FILTER (n_chars % 40 = 0) / count(*) >= 0.02 AS warn FROM documents")
+def failure_ratio(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").select(F.when(F.col("n_chars") % 40 == 0, F.lit("failed")).alias("error"))
+    return rounded(augment.failure_ratio(rows), "ratio")
+
+
+@query(f"WITH {sql_scored()}, a AS (SELECT avg(correct::INT) AS a FROM scored) SELECT round(a, 6) AS accuracy, CASE WHEN a < 1.6 / 7 THEN 'poor' WHEN a < 0.55 THEN 'fair' ELSE 'good' END AS level FROM a")
+def gray_level(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(metrics.gray_level(scored(spark, d)), "accuracy")
+
+
+@query(f"""WITH {sql_scored()}, q AS (SELECT label, correct, list_position(list_transform(z, lambda x: round_even(x / 2, 0)), list_max(list_transform(z, lambda x: round_even(x / 2, 0)))) - 1 = label AS other FROM scored JOIN logits USING (id, label)),
+r AS (SELECT label AS class, avg(other::INT) - avg(correct::INT) AS change FROM q GROUP BY 1), c AS (SELECT k AS class, coalesce(change, 0) AS change FROM range(7) c(k) LEFT JOIN r ON k = class),
+w AS (SELECT class, change FROM c ORDER BY round(change, 12), class LIMIT 1), t AS (SELECT avg(correct::INT) AS base, avg(other::INT) AS other FROM q)
+SELECT round(base, 6) AS base, round(other, 6) AS other, round(base - other, 6) AS fall, class AS worst_class, round(change, 6) AS worst_change, base - other > 0.02 AS total_worse, change < -0.05 AS class_worse FROM t, w""")
+def quantized_drop(spark: SparkSession, d: str) -> DataFrame:
+    rows = scored(spark, d)
+    coarse = metrics.with_predictions(rows.withColumn("probs", F.transform("logits", lambda v: F.bround(v / 2, 0))))
+    return rounded(metrics.variant_drop(rows, coarse), "base", "other", "fall", "worst_change")
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
