@@ -4,49 +4,74 @@ A known word is scored by its log frequency in each language. An unknown word is
 character n-grams of five, then four, down to one character; the longest length of which the model
 knows an n-gram decides for that word. The score of a text is the sum over its words.
 
+A word is a run of letters in lower case; batches of texts are cut by table look-ups over their code points.
+
 Counts cover every training text, and every counted word and n-gram decides. The driver broadcasts the most
-frequent ones, ``top_words`` words and ``top_grams`` n-grams of each length per language, with their counts
+frequent ones, ``top_words`` words and ``top_grams`` n-grams of each length per language at most, with their counts
 in all languages. Words of a text that aren't among them are looked up by joins to all counts, which stay
 in a distributed table; if the broadcast holds every entry, no join is needed.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so is every text when no
 labelled row exists. Null languages are not learned from; null ids are scored and learned from; repeated
-rows count as often as they stand there; extra columns are ignored; an empty table gives an empty result.
+rows count as often as they stand there; a text of any length is one run at most; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_crc, materialise, mix64, tune
+from .common import doc_crc, materialise, mix64, text_runs, tune
 
 TOP_WORDS, TOP_GRAMS, LONGEST = 50_000, 4_000, 5
-#: A task hands on its word counts when it holds so many distinct ones.
-FLUSH_WORDS = 300_000
-#: Slices in which the most frequent entries are first chosen, so that no task sorts a whole language.
-SLICES = 64
+#: Bytes of text cut together; words whose n-grams are counted together.
+RUN_BYTES, WORDS_AT_ONCE = 8 << 20, 200_000
+#: Steps of a doubling in which counts are compared with the bounds of the broadcast.
+STEPS = 8
 
-_WORD = re.compile(r"[^\W\d_]+")
-_ASCII_LETTER = re.compile(r"[A-Za-z]")
 UNKNOWN = "und"
 
 PREDICTION_SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
-def has_letter(text: str | None) -> bool:
-    return bool(text) and (bool(_ASCII_LETTER.search(text)) or any(map(str.isalpha, text)))
+def _letter(ch: str) -> int:
+    """The lower case of a letter, else a space."""
+    low = ch.lower()
+    return (ord(low) if len(low) == 1 else ord(ch)) if ch.isalpha() else 32
+
 
+_LETTERS: list[np.ndarray] = []
 
-def letters_words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+
+def cut_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct words, number of each word of all texts in a row, words of each text)."""
+    if not _LETTERS:
+        _LETTERS.append(np.array([_letter(chr(c)) for c in range(65536)], dtype=np.uint32))
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    whole = "\n".join(texts.to_pylist()) + "\n"
+    points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    folded = _LETTERS[0][np.minimum(points, 65535)]
+    far = np.flatnonzero(points >= 65536)
+    if len(far):
+        kinds, at = np.unique(points[far], return_inverse=True)
+        folded[far] = np.array([_letter(chr(c)) for c in kinds], dtype=np.uint32)[at]
+    inside = folded != 32
+    after = np.concatenate([[False], inside[:-1]])
+    starts = np.flatnonzero(inside & ~after)
+    bounds = np.concatenate([[0], np.cumsum(pc.utf8_length(texts).to_numpy().astype(np.int64) + 1)])
+    counts = np.diff(np.searchsorted(starts, bounds))
+    # Every word with the space after it.
+    row = folded[inside | after].tobytes().decode("utf-32-le", "surrogatepass")
+    pieces = pc.split_pattern(pa.array([row[:-1]], pa.large_string()), " ").values if len(starts) else pa.array([], pa.large_string())
+    coded = pieces.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), counts
 
 
 def held_out() -> Column:
@@ -57,36 +82,41 @@ def held_out() -> Column:
 def word_counts(labelled: DataFrame) -> DataFrame:
     """(lang, word, n) over all labelled texts (lang, text), counted in the tasks before the shuffle."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
-
-        def flush() -> pd.DataFrame:
-            out = pd.DataFrame(((k[0], k[1], n) for k, n in seen.items()), columns=["lang", "word", "n"])
-            seen.clear()
-            return out
-
-        for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"]):
-                if text:
-                    for w, n in Counter(letters_words(text)).items():
-                        seen[lang, w] += n
-                if len(seen) > FLUSH_WORDS:
-                    yield flush()
-        if seen:
-            yield flush()
-
-    parts = labelled.select("lang", "text").mapInPandas(count, "lang string, word string, n long")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_runs(batches, RUN_BYTES):
+            names, at, counts = cut_words(batch.column("text"))
+            langs = batch.column("lang").dictionary_encode()
+            of_word = np.repeat(langs.indices.to_numpy(), counts)
+            for k, lang in enumerate(langs.dictionary.to_pylist()):
+                times = np.bincount(at[of_word == k], minlength=len(names))
+                seen = np.flatnonzero(times)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(seen), pa.string()), names.take(pa.array(seen)).cast(pa.string()), pa.array(times[seen])], names=["lang", "word", "n"])
+
+    parts = labelled.select("lang", "text").mapInArrow(count, "lang string, word string, n long")
     return parts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def most_frequent(counts: DataFrame, top_words: int, top_grams: int) -> DataFrame:
-    """The most frequent entries of each (lang, size), chosen within slices first."""
-    order = [F.desc("n"), F.asc("entry"), F.asc("word")]
-    kept = F.when(F.col("size") == 0, top_words).otherwise(top_grams)
-    near = counts.withColumn("slice", F.pmod("entry", F.lit(SLICES)))
-    for keys in (["lang", "size", "slice"], ["lang", "size"]):
-        near = near.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where((F.col("r") <= max(top_words, top_grams)) & (F.col("r") <= kept))
-    return near
+    """The entries of each (lang, size) over a count that at most ``top_words`` or ``top_grams`` of them exceed.
+
+    The driver gets the number of entries by language, size and eighth of a doubling, so nothing is sorted.
+    """
+    level = F.floor(F.log2("n") * STEPS).cast("int")
+    by_size: dict[tuple, list[tuple[int, int]]] = {}
+    for lang, size, at, n in counts.groupBy("lang", "size", level.alias("level")).agg(F.count("*")).collect():
+        by_size.setdefault((lang, size), []).append((at, n))
+    floors = []
+    for (lang, size), levels in by_size.items():
+        room, floor = top_grams if size else top_words, None
+        for at, n in sorted(levels, reverse=True):
+            room -= n
+            if room < 0:
+                break
+            floor = at
+        if floor is not None:
+            floors.append((lang, size, floor))
+    least = counts.sparkSession.createDataFrame(floors, "lang string, size int, least int")
+    return counts.join(F.broadcast(least), ["lang", "size"]).where(level >= F.col("least"))
 
 
 def gram_hashes(points: np.ndarray, n: int) -> np.ndarray:
@@ -101,6 +131,24 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
 
 
+def _marked_points(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of some words in a row, each between angle brackets, and the word of each."""
+    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
+    return code_points("".join([f"<{w}>" for w in words])), np.repeat(np.arange(len(words)), lengths)
+
+
+def _word_runs(batches: Iterable[pa.RecordBatch], size: int = WORDS_AT_ONCE) -> Iterator[pa.Table]:
+    """Batches put together until they have ``size`` rows."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= size:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held and any(b.num_rows for b in held):
+        yield pa.Table.from_batches(held)
+
+
 class Model:
     """Log frequencies per language: tables[0] of words, tables[n] of n-grams by their sorted hashes.
 
@@ -129,10 +177,7 @@ class Model:
             keys, scores = self.grams[n]
             if not rest or not len(keys):
                 continue
-            marked = [f"<{words[i]}>" for i in rest]
-            lengths = np.array([len(m) for m in marked])
-            points = code_points("".join(marked))
-            owner = np.repeat(np.arange(len(rest)), lengths)
+            points, owner = _marked_points([words[i] for i in rest])
             h = gram_hashes(points, n)
             inside = owner[: len(h)] == owner[n - 1 :]
             h, owner = h[inside], owner[: len(h)][inside]
@@ -150,47 +195,32 @@ class Model:
 
 
 class Predictor:
-    """Scores texts with a model and remembers the vectors of words, up to a bound."""
+    """Scores runs of texts with a model."""
 
     def __init__(self, model: Model):
         if model.rest is not None:
             raise ValueError("this model's words must be looked up by joins")
-        self.model, self.ids = model, {}
-        self.scores, self.known = np.zeros((0, len(model.languages))), np.zeros(0, dtype=bool)
+        self.model = model
 
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+    def predict(self, texts: list[str | None] | pa.Array) -> list[tuple[str, float]]:
         """Language and score of whole texts.
 
         The score is the posterior of the best language, with the evidence of all words divided by the
         square root of their number, since words of a text aren't independent.
         """
-        if len(self.ids) > FLUSH_WORDS:
-            self.__init__(self.model)
-        counted, fresh, languages = [], [], self.model.languages
-        for text in texts:
-            if not languages or not has_letter(text):
-                counted.append(None)
-                continue
-            seen = Counter(letters_words(text))
-            for w in seen:
-                if w not in self.ids:
-                    self.ids[w] = len(self.ids)
-                    fresh.append(w)
-            counted.append((np.fromiter(map(self.ids.__getitem__, seen), dtype=np.int64, count=len(seen)), np.fromiter(seen.values(), dtype=np.float64, count=len(seen))))
-        if fresh:
-            scores, known = self.model.vectors(fresh)
-            self.scores, self.known = np.concatenate([self.scores, scores]), np.concatenate([self.known, known])
-        found = []
-        for item in counted:
-            if item is None:
-                found.append((UNKNOWN, 0.0))
-                continue
-            ids, times = item
-            n = float(times @ self.known[ids])
-            total = times @ self.scores[ids]
-            best = int(total.argmax())
-            found.append((languages[best], float(1.0 / np.exp((total - total[best]) / np.sqrt(max(n, 1.0))).sum())))
-        return found
+        languages = self.model.languages
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        names, at, counts = cut_words(texts)
+        if not languages:
+            return [(UNKNOWN, 0.0)] * len(texts)
+        scores, known = self.model.vectors(names.to_pylist())
+        text = np.repeat(np.arange(len(counts)), counts)
+        total = np.stack([np.bincount(text, weights=scores[at, k], minlength=len(counts)) for k in range(len(languages))], axis=1)
+        n = np.bincount(text, weights=known[at], minlength=len(counts))
+        best = total.argmax(axis=1)
+        spread = (total - total[np.arange(len(best)), best][:, None]) / np.sqrt(np.maximum(n, 1.0))[:, None]
+        score = 1.0 / np.exp(spread).sum(axis=1)
+        return [(languages[b], float(s)) if c else (UNKNOWN, 0.0) for b, s, c in zip(best, score, counts)]
 
 
 def train(labelled: DataFrame, top_words: int = TOP_WORDS, top_grams: int = TOP_GRAMS) -> Model:
@@ -199,21 +229,22 @@ def train(labelled: DataFrame, top_words: int = TOP_WORDS, top_grams: int = TOP_
     spark = counts.sparkSession
     tune(spark)
 
-    def gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for lang, part in batch.groupby("lang"):
-                marked = [f"<{w}>" for w in part["word"]]
-                points = code_points("".join(marked))
-                owner = np.repeat(np.arange(len(marked)), [len(m) for m in marked])
-                times = part["n"].to_numpy()
+    def gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _word_runs(batches):
+            langs = table.column("lang").combine_chunks().dictionary_encode()
+            words, times, lang = table.column("word").to_pylist(), table.column("n").to_numpy(), langs.indices.to_numpy()
+            for k, name in enumerate(langs.dictionary.to_pylist()):
+                mine = np.flatnonzero(lang == k)
+                points, owner = _marked_points([words[i] for i in mine])
                 for n in range(1, LONGEST + 1):
-                    h, own = gram_hashes(points, n), owner[: len(points) - n + 1]
+                    h, own = gram_hashes(points, n), owner[: max(0, len(points) - n + 1)]
                     inside = own == owner[n - 1 :]
                     keys, at = np.unique(h[inside], return_inverse=True)
-                    sums = np.bincount(at, weights=times[own[inside]])
-                    yield pd.DataFrame({"lang": lang, "size": n, "entry": keys.astype(np.int64), "word": "", "n": sums.astype(np.int64)})
+                    sums = np.bincount(at, weights=times[mine][own[inside]]).astype(np.int64)
+                    columns = [pa.array([name] * len(keys), pa.string()), pa.array(np.full(len(keys), n, np.int32)), pa.array(keys.view(np.int64)), pa.array([""] * len(keys), pa.string()), pa.array(sums, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "size", "entry", "word", "n"])
 
-    grams = counts.mapInPandas(gram_counts, "lang string, size int, entry long, word string, n long")
+    grams = counts.mapInArrow(gram_counts, "lang string, size int, entry long, word string, n long")
     grams = grams.groupBy("lang", "size", "entry", "word").agg(F.sum("n").alias("n"))
     entries = grams.unionByName(counts.select("lang", F.lit(0).alias("size"), F.xxhash64("word").alias("entry"), "word", "n"))
     entries = materialise(entries, "lang-entries")
@@ -249,9 +280,7 @@ def word_vectors(words: DataFrame, model: Model) -> DataFrame:
     def windows(n: int):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                marked = [f"<{w}>" for w in batch["word"]]
-                points = code_points("".join(marked))
-                owner = np.repeat(np.arange(len(marked)), [len(m) for m in marked])
+                points, owner = _marked_points(batch["word"].tolist())
                 h, own = gram_hashes(points, n), owner[: max(0, len(points) - n + 1)]
                 inside = own == owner[n - 1 :]
                 yield pd.DataFrame({"word": batch["word"].to_numpy(dtype=object)[own[inside]], "entry": h[inside].view(np.int64)})
@@ -275,29 +304,32 @@ def predict_by_joins(docs: DataFrame, model: Model, keys: list[str]) -> DataFram
     """(keys, lang_pred, score) of every row of ``docs`` (keys, text), with words outside the broadcast looked up by joins."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model.data)
-    columns = ["uid", "lettered", "head_known", "head", "tail"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Model(*shared.value)
         uid = TaskContext.get().partitionId() << 36
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                seen = Counter(letters_words(text)) if has_letter(text) else {}
-                at = np.fromiter((known.words.get(w, -1) for w in seen), dtype=np.int64, count=len(seen))
-                times = np.fromiter(seen.values(), dtype=np.float64, count=len(seen))
-                here = at >= 0
-                tail = [{"word": w, "n": n} for (w, n), k in zip(seen.items(), here) if not k]
-                rows.append((uid, has_letter(text), float(times[here].sum()), times[here] @ known.word_scores[at[here]], tail))
-                uid += 1
-            out = pd.DataFrame(rows, columns=columns)
-            for key in keys:
-                out[key] = (batch[key].astype("Int64") if key == "doc_id" else batch[key]).to_numpy()
-            yield out
+        for batch in text_runs(batches, RUN_BYTES):
+            names, at, counts = cut_words(batch.column("text"))
+            text, rows = np.repeat(np.arange(len(counts)), counts), len(counts)
+            place = np.fromiter((known.words.get(w, -1) for w in names.to_pylist()), dtype=np.int64, count=len(names))[at]
+            here = place >= 0
+            sums = [np.bincount(text[here], weights=known.word_scores[place[here], k], minlength=rows) for k in range(len(known.languages))]
+            # The words of each text that aren't in the broadcast, with their numbers.
+            pairs, times = np.unique(text[~here] * max(1, len(names)) + at[~here], return_counts=True)
+            tail = pa.StructArray.from_arrays([names.take(pa.array(pairs % max(1, len(names)))).cast(pa.string()), pa.array(times.astype(np.int64))], names=["word", "n"])
+            ends = np.cumsum(np.bincount(pairs // max(1, len(names)), minlength=rows))
+            columns = [
+                pa.array(uid + np.arange(rows)), pa.array(counts > 0), pa.array(np.bincount(text[here], minlength=rows).astype(np.float64)),
+                pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * len(sums), pa.int32()), pa.array(np.stack(sums, axis=1).ravel() if sums else [], pa.float64())),
+                pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), tail),
+            ]
+            columns += [batch.column(k).cast(pa.int64()) if k == "doc_id" else batch.column(k) for k in keys]
+            yield pa.RecordBatch.from_arrays(columns, names=["uid", "lettered", "head_known", "head", "tail", *keys])
+            uid += rows
 
     types = {f.name: f.dataType.simpleString() for f in docs.schema.fields} | {"doc_id": "bigint"}
     schema = "uid long, lettered boolean, head_known double, head array<double>, tail array<struct<word: string, n: long>>, "
-    summed = materialise(docs.select(*keys, "text").mapInPandas(run, schema + ", ".join(f"{k} {types[k]}" for k in keys)), "lang-sums")
+    summed = materialise(docs.select(*keys, "text").mapInArrow(run, schema + ", ".join(f"{k} {types[k]}" for k in keys)), "lang-sums")
     tail = summed.select("uid", F.explode("tail").alias("t")).select("uid", "t.word", "t.n")
     vectors = word_vectors(tail.select("word").distinct(), model)
     more = [F.sum(F.col("n") * F.col("scores")[k]) for k in range(len(model.languages))]
@@ -318,30 +350,37 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         return predict_by_joins(docs.select("doc_id", "text", held_out().alias("held_out")), model, ["doc_id", "held_out"])
     shared = docs.sparkSession.sparkContext.broadcast(model.data)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = Predictor(Model(*shared.value))
-        for batch in batches:
-            out = pd.DataFrame(predictor.predict(list(batch["text"])), columns=["lang_pred", "score"])
-            out.insert(0, "held_out", batch["held_out"].to_numpy())
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
-            yield out
+        for batch in text_runs(batches, RUN_BYTES):
+            names, scores = zip(*predictor.predict(batch.column("text")))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
-    return docs.select("doc_id", "text", held_out().alias("held_out")).mapInPandas(run, PREDICTION_SCHEMA)
+    return docs.select("doc_id", "text", held_out().alias("held_out")).mapInArrow(run, PREDICTION_SCHEMA)
 
 
 def filter_by_language(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose language is recognised with a score of at least ``least``, with all their columns."""
+    """The rows of ``docs`` whose language is recognised, with all their columns.
+
+    A row goes if it has no letter, if its best language has a score under ``least``, or if its own
+    ``lang`` is another one than the best. A null ``lang`` contradicts nothing.
+    """
     tune(docs.sparkSession)
+    right = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)
+    agrees = F.coalesce(F.col("lang_pred") == F.col("lang"), F.lit(True))
     if model.rest is not None:
-        rows = materialise(docs.withColumn("lang_row", F.monotonically_increasing_id()), "lang-rows")
-        found = predict_by_joins(rows, model, ["lang_row"]).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-        return rows.join(found, "lang_row", "left_semi").select(*docs.columns)
+        number, found_at = (f"{name}_of_{'_'.join(docs.columns)}" for name in ("row", "found"))
+        rows = materialise(docs.withColumn(number, F.monotonically_increasing_id()), "lang-rows")
+        asked = rows.select(F.col(number).alias("row"), "text", "lang")
+        found = predict_by_joins(asked, model, ["row", "lang"]).where(right & agrees).select(F.col("row").alias(found_at))
+        return rows.join(found.hint("shuffle_hash"), F.col(number) == F.col(found_at), "left_semi").select(*docs.columns)
     shared = docs.sparkSession.sparkContext.broadcast(model.data)
 
-    @F.pandas_udf("boolean")
-    def keep(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("struct<lang_pred: string, score: double>")
+    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         predictor = Predictor(Model(*shared.value))
         for texts in batches:
-            yield pd.Series([lang != UNKNOWN and score >= least for lang, score in predictor.predict(list(texts))], dtype=bool)
+            yield pd.DataFrame(predictor.predict(texts.tolist()), columns=["lang_pred", "score"])
 
-    return docs.where(keep(F.col("text")))
+    guess = predicted(F.col("text"))
+    return docs.where((guess["lang_pred"] != UNKNOWN) & (guess["score"] >= least) & F.coalesce(guess["lang_pred"] == F.col("lang"), F.lit(True)))

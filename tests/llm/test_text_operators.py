@@ -97,6 +97,22 @@ def test_language(spark, odd):
     assert language_id.filter_by_language(odd, model, 0.0).columns == odd.columns
 
 
+def test_the_language_stage_rejects(spark):
+    labelled = spark.createDataFrame([(i, f"{a} {text(i, 3)}", lang) for i in range(20) for lang, a in (("de", "der und nicht strasse haus"), ("en", "the and not street house"))], "doc_id long, text string, lang string")
+    docs = spark.createDataFrame([(1, "the house and street", "en"), (2, "the house and street", "de"), (3, "12 !", "en"), (4, None, "de"), (5, "das haus und der", None), (6, "the haus", None), (6, "THE HOUSE", "en")], labelled.schema)
+    for model in (language_id.train(labelled), language_id.train(labelled, 2, 1)):
+        assert sorted((r.doc_id, r.text) for r in language_id.filter_by_language(docs, model, 0.9).collect() if r.doc_id != 6) == [(1, "the house and street"), (5, "das haus und der")]
+        assert (6, "THE HOUSE", "en") in [tuple(r) for r in language_id.filter_by_language(docs, model, 0.9).collect()]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(st.sampled_from("aBéΣ1² _\n\U0001d400\U00010400\u0301"), max_size=12)), max_size=5))
+def test_words_of_letters(texts):
+    names, at, counts = language_id.cut_words(pa.array(texts, pa.string()))
+    expected = [["".join(chr(language_id._letter(c)) for c in w) for w in "".join(c if c.isalpha() else " " for c in t or "").split()] for t in texts]
+    assert list(counts) == list(map(len, expected)) and [names[i].as_py() for i in at.tolist()] == [w for ws in expected for w in ws]
+
+
 def test_language_keeps_what_is_not_broadcast(spark, odd):
     labelled = spark.createDataFrame([(lang, f"{text(i + seed, 40)} {common_word}") for i in range(10) for lang, seed, common_word in (("de", 0, "haus"), ("en", 500, "haus " * 3))], "lang string, text string")
     whole, small = language_id.train(labelled), language_id.train(labelled, 2, 1)
