@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import re
 import tempfile
+import time
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,21 +36,49 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    for paths in _recorders:
+        paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Lists that note the paths of tables while they are written; see :func:`recorded`.
+_recorders: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Note the paths of all tables that are written meanwhile, so that :func:`delete_paths` can drop them later."""
+    _recorders.append(paths)
+    try:
+        yield
+    finally:
+        _recorders.remove(paths)
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders by Spark's file system, and forget their paths; ones that are gone already do no harm."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    paths.clear()
+
+
 def drop_materialised(*frames: DataFrame) -> None:
     """Delete tables written by :func:`materialise` whose rows nobody needs any more."""
     for df in frames:
-        spark = df.sparkSession
-        jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(conf).delete(path, True)
+        delete_paths(df.sparkSession, sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()}))
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished steps now and not when the driver next collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete the shuffle files of finished steps now and not when the driver next collects garbage.
+
+    Events of finished queries hold on to their plans, so those are waited for, where the session lets us.
+    """
+    with contextlib.suppress(Exception):
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.1)
