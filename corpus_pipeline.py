@@ -1,33 +1,70 @@
-"""The corpus pipeline: language ID, quality rules, near-duplicate removal, decontamination, packing."""
+"""The corpus pipeline: language ID, quality rules, near-duplicate removal, decontamination, packing.
+
+Every stage takes all rows that its predecessor kept, and returns whole rows of documents with all their columns, but
+for the last, which returns pieces. Defined cases, for all stages: a null or empty text has no letter, so
+the language stage rejects it, and any stage called by itself takes it as a text without words; rows
+without an id stay, and are the last choice among copies; rows that share an id are told apart by
+their texts; repeated rows are copies, of which one stays; texts of any length are handled whole; extra
+columns are carried along whatever their names; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.durable import delete_paths, recorded, release
 from millrace.llm import decontaminate, jaccard_join, language_id, packing, quality_rules
 from millrace.llm.common import materialise, table
 
 
+#: Tables that the stage before this one wrote for its own use.
+_left: list[str] = []
+
+
+def stage(run: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage drops what the one before it left behind, whose result has been written and read again by then."""
+
+    @functools.wraps(run)
+    def step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        delete_paths(spark, _left)
+        release(spark)
+        with recorded(_left):
+            return run(spark, docs, sf_dir)
+
+    return step
+
+
+@stage
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the word-first model recognises; it learns from the stage's own documents."""
+    """Documents whose language the word-first model recognises and their label, if any, doesn't contradict.
+
+    The model learns from the labels of the stage's own documents.
+    """
     return language_id.filter_by_language(docs, language_id.train(docs))
 
 
+@stage
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
     return quality_rules.filter_by_quality(docs)
 
 
+@stage
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component."""
     return jaccard_join.keep_one_of_each(docs)
 
 
+@stage
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@stage
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents that are left, each with its sequence."""
     return packing.pack(docs)
@@ -48,6 +85,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each stage's result is written and read again."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for name, run_stage in STAGES:
+        docs = materialise(run_stage(spark, docs, sf_dir), f"pipeline-{name}")
+    delete_paths(spark, _left)
     return docs
