@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_crc, materialise, mix64, text_runs, tune
+from .common import doc_crc, drop_materialised, materialise, mix64, text_runs, tune
 
 TOP_WORDS, TOP_GRAMS, LONGEST = 50_000, 4_000, 5
 #: Bytes of text cut together; words whose n-grams are counted together.
@@ -266,6 +266,7 @@ def train(labelled: DataFrame, top_words: int = TOP_WORDS, top_grams: int = TOP_
         matrix = part.column(1).combine_chunks().flatten().to_numpy().reshape(len(keys), len(languages))
         tables[n] = (list(keys[order]) if n == 0 else keys[order]), np.log(matrix[order] / totals)
         held += len(keys)
+    drop_materialised(entries, head)
     if held == rest.count():
         return Model(languages, tables)
     return Model(languages, tables, rest, all_totals)
