@@ -28,13 +28,18 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_crc, drop_materialised, materialise, mix64, text_runs, tune
+from .common import doc_crc, drop_materialised, materialise, mix64, text_runs, trim, tune
 
 TOP_WORDS, TOP_GRAMS, LONGEST = 50_000, 4_000, 5
 #: Bytes of text cut together; words whose n-grams are counted together.
-RUN_BYTES, WORDS_AT_ONCE = 8 << 20, 200_000
+RUN_BYTES, WORDS_AT_ONCE = 2 << 20, 60_000
 #: Steps of a doubling in which counts are compared with the bounds of the broadcast.
 STEPS = 8
+#: Times that an entry counts for in a language that never showed it.
+UNSEEN = 0.5
+#: Nats a word by which a label must fall behind the best language to be contradicted. On the 0.1 tables right labels
+#: fall behind by up to 2.8, texts of two languages included, and 99 % of wrong ones by over 4.1.
+CONTRADICTED = 3.5
 
 UNKNOWN = "und"
 
@@ -91,6 +96,7 @@ def word_counts(labelled: DataFrame) -> DataFrame:
                 times = np.bincount(at[of_word == k], minlength=len(names))
                 seen = np.flatnonzero(times)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(seen), pa.string()), names.take(pa.array(seen)).cast(pa.string()), pa.array(times[seen])], names=["lang", "word", "n"])
+            trim()
 
     parts = labelled.select("lang", "text").mapInArrow(count, "lang string, word string, n long")
     return parts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
@@ -208,11 +214,15 @@ class Predictor:
         The score is the posterior of the best language, with the evidence of all words divided by the
         square root of their number, since words of a text aren't independent.
         """
+        return [x[:2] for x in self.judge(texts)]
+
+    def judge(self, texts: list[str | None] | pa.Array, labels: list[str | None] | None = None) -> list[tuple[str, float, float]]:
+        """The same, and how many nats a word the text's label falls behind the best language; 0 without a known label."""
         languages = self.model.languages
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         names, at, counts = cut_words(texts)
         if not languages:
-            return [(UNKNOWN, 0.0)] * len(texts)
+            return [(UNKNOWN, 0.0, 0.0)] * len(texts)
         scores, known = self.model.vectors(names.to_pylist())
         text = np.repeat(np.arange(len(counts)), counts)
         total = np.stack([np.bincount(text, weights=scores[at, k], minlength=len(counts)) for k in range(len(languages))], axis=1)
@@ -220,7 +230,10 @@ class Predictor:
         best = total.argmax(axis=1)
         spread = (total - total[np.arange(len(best)), best][:, None]) / np.sqrt(np.maximum(n, 1.0))[:, None]
         score = 1.0 / np.exp(spread).sum(axis=1)
-        return [(languages[b], float(s)) if c else (UNKNOWN, 0.0) for b, s, c in zip(best, score, counts)]
+        top = total[np.arange(len(best)), best]
+        own = np.array([languages.index(x) if x in languages else -1 for x in labels or [None] * len(best)], dtype=np.int64)
+        behind = np.where(own >= 0, (top - total[np.arange(len(best)), own]) / np.maximum(n, 1.0), 0.0)
+        return [(languages[b], float(s), float(g)) if c else (UNKNOWN, 0.0, 0.0) for b, s, g, c in zip(best, score, behind, counts)]
 
 
 def train(labelled: DataFrame, top_words: int = TOP_WORDS, top_grams: int = TOP_GRAMS) -> Model:
@@ -254,7 +267,7 @@ def train(labelled: DataFrame, top_words: int = TOP_WORDS, top_grams: int = TOP_
     all_totals = {n: np.ones(len(languages)) for n in range(LONGEST + 1)}
     for lang, n, total in sums:
         all_totals[n][at[lang]] += total
-    times = F.array(F.lit(0.5), *[F.coalesce(F.max(F.when(F.col("lang") == lang, F.col("n"))).cast("double"), F.lit(0.5)) for lang in languages])
+    times = F.array(F.lit(UNSEEN), *[F.coalesce(F.max(F.when(F.col("lang") == lang, F.col("n"))).cast("double"), F.lit(UNSEEN)) for lang in languages])
     rest = materialise(entries.groupBy("size", "entry", "word").agg(F.slice(times, 2, max(1, len(languages))).alias("times")), "lang-model")
     head = rest.join(most_frequent(entries, top_words, top_grams).select("size", "entry", "word").distinct(), ["size", "entry", "word"])
     head, tables, held = materialise(head, "lang-head"), {}, 0
@@ -264,7 +277,9 @@ def train(labelled: DataFrame, top_words: int = TOP_WORDS, top_grams: int = TOP_
         keys = np.array(part.column(0).to_pylist(), dtype=object) if n == 0 else part.column(0).to_numpy().astype(np.uint64)
         order = np.argsort(keys)
         matrix = part.column(1).combine_chunks().flatten().to_numpy().reshape(len(keys), len(languages))
-        tables[n] = (list(keys[order]) if n == 0 else keys[order]), np.log(matrix[order] / totals)
+        # What a language never showed is as rare in all languages, however little text they had.
+        shares = np.where(matrix[order] < 1, UNSEEN / totals.max(initial=1.0), matrix[order] / totals)
+        tables[n] = (list(keys[order]) if n == 0 else keys[order]), np.log(shares)
         held += len(keys)
     drop_materialised(entries, head)
     if held == rest.count():
@@ -276,7 +291,8 @@ def word_vectors(words: DataFrame, model: Model) -> DataFrame:
     """(word, scores by language) of some distinct words, by all counts; scores are null without one known letter."""
 
     def logs(n: int) -> Column:
-        return F.array(*[F.log(F.col("times")[k] / F.lit(float(total))) for k, total in enumerate(model.totals[n])]).alias("scores")
+        unseen = F.lit(float(np.log(UNSEEN / model.totals[n].max())))
+        return F.array(*[F.when(F.col("times")[k] < 1, unseen).otherwise(F.log(F.col("times")[k] / F.lit(float(total)))) for k, total in enumerate(model.totals[n])]).alias("scores")
 
     def windows(n: int):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -327,6 +343,7 @@ def predict_by_joins(docs: DataFrame, model: Model, keys: list[str]) -> DataFram
             columns += [batch.column(k).cast(pa.int64()) if k == "doc_id" else batch.column(k) for k in keys]
             yield pa.RecordBatch.from_arrays(columns, names=["uid", "lettered", "head_known", "head", "tail", *keys])
             uid += rows
+            trim()
 
     types = {f.name: f.dataType.simpleString() for f in docs.schema.fields} | {"doc_id": "bigint"}
     schema = "uid long, lettered boolean, head_known double, head array<double>, tail array<struct<word: string, n: long>>, "
@@ -339,9 +356,15 @@ def predict_by_joins(docs: DataFrame, model: Model, keys: list[str]) -> DataFram
     scored = summed.drop("tail").join(by_text, "uid", "left").withColumn("total", total).withColumn("best", F.array_max("total"))
     spread = F.sqrt(F.greatest(F.col("head_known") + F.coalesce("tail_known", F.lit(0)), F.lit(1.0)))
     parts = F.aggregate(F.transform("total", lambda x: F.exp((x - F.col("best")) / spread)), F.lit(0.0), lambda a, x: a + x)
-    named = F.element_at(F.array(*map(F.lit, model.languages)), F.array_position("total", F.col("best")).cast("int"))
+    languages = F.array(*map(F.lit, model.languages))
+    named = F.element_at(languages, F.array_position("total", F.col("best")).cast("int"))
     lettered = F.col("lettered")
-    return scored.select(*keys, F.when(lettered, named).otherwise(UNKNOWN).alias("lang_pred"), F.when(lettered, 1 / parts).otherwise(0.0).alias("score"))
+    more = []
+    if "lang" in keys:
+        place = F.array_position(languages, F.col("lang")).cast("int")
+        gap = (F.col("best") - F.element_at("total", F.when(place > 0, place).otherwise(1))) / F.pow(spread, 2)
+        more = [F.when(lettered & (place > 0), gap).otherwise(0.0).alias("behind")]
+    return scored.select(*keys, *more, F.when(lettered, named).otherwise(UNKNOWN).alias("lang_pred"), F.when(lettered, 1 / parts).otherwise(0.0).alias("score"))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -360,28 +383,28 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text", held_out().alias("held_out")).mapInArrow(run, PREDICTION_SCHEMA)
 
 
-def filter_by_language(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+def filter_by_language(docs: DataFrame, model: Model, least: float = 0.5, contradicted: float = CONTRADICTED) -> DataFrame:
     """The rows of ``docs`` whose language is recognised, with all their columns.
 
-    A row goes if it has no letter, if its best language has a score under ``least``, or if its own
-    ``lang`` is another one than the best. A null ``lang`` contradicts nothing.
+    A row goes if it has no letter, if its best language has a score under ``least``, or if its own ``lang``, one
+    that the model knows, falls ``contradicted`` nats a word behind the best; a text of two languages, one of
+    them its own, is within that. A null ``lang`` contradicts nothing.
     """
     tune(docs.sparkSession)
-    right = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)
-    agrees = F.coalesce(F.col("lang_pred") == F.col("lang"), F.lit(True))
+    good = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least) & (F.col("behind") < contradicted)
     if model.rest is not None:
         number, found_at = (f"{name}_of_{'_'.join(docs.columns)}" for name in ("row", "found"))
         rows = materialise(docs.withColumn(number, F.monotonically_increasing_id()), "lang-rows")
         asked = rows.select(F.col(number).alias("row"), "text", "lang")
-        found = predict_by_joins(asked, model, ["row", "lang"]).where(right & agrees).select(F.col("row").alias(found_at))
+        found = predict_by_joins(asked, model, ["row", "lang"]).where(good).select(F.col("row").alias(found_at))
         return rows.join(found.hint("shuffle_hash"), F.col(number) == F.col(found_at), "left_semi").select(*docs.columns)
     shared = docs.sparkSession.sparkContext.broadcast(model.data)
 
-    @F.pandas_udf("struct<lang_pred: string, score: double>")
-    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("boolean")
+    def keep(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         predictor = Predictor(Model(*shared.value))
-        for texts in batches:
-            yield pd.DataFrame(predictor.predict(texts.tolist()), columns=["lang_pred", "score"])
+        for texts, langs in batches:
+            judged = predictor.judge(texts.tolist(), langs.tolist())
+            yield pd.Series([lang != UNKNOWN and score >= least and behind < contradicted for lang, score, behind in judged], dtype=bool)
 
-    guess = predicted(F.col("text"))
-    return docs.where((guess["lang_pred"] != UNKNOWN) & (guess["score"] >= least) & F.coalesce(guess["lang_pred"] == F.col("lang"), F.lit(True)))
+    return docs.where(keep(F.col("text"), F.col("lang")))

@@ -101,8 +101,9 @@ def test_the_language_stage_rejects(spark):
     labelled = spark.createDataFrame([(i, f"{a} {text(i, 3)}", lang) for i in range(20) for lang, a in (("de", "der und nicht strasse haus"), ("en", "the and not street house"))], "doc_id long, text string, lang string")
     docs = spark.createDataFrame([(1, "the house and street", "en"), (2, "the house and street", "de"), (3, "12 !", "en"), (4, None, "de"), (5, "das haus und der", None), (6, "the haus", None), (6, "THE HOUSE", "en")], labelled.schema)
     for model in (language_id.train(labelled), language_id.train(labelled, 2, 1)):
-        assert sorted((r.doc_id, r.text) for r in language_id.filter_by_language(docs, model, 0.9).collect() if r.doc_id != 6) == [(1, "the house and street"), (5, "das haus und der")]
-        assert (6, "THE HOUSE", "en") in [tuple(r) for r in language_id.filter_by_language(docs, model, 0.9).collect()]
+        for gap in (2.0, 99.0):
+            kept = [tuple(r) for r in language_id.filter_by_language(docs, model, 0.6, gap).collect()]
+            assert sorted(d for d, *_ in kept if d != 6) == ([1, 5] if gap < 9 else [1, 2, 5]) and (6, "THE HOUSE", "en") in kept
 
 
 @settings(max_examples=200, deadline=None)
