@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import CLASSES, DEFAULT_CLASS_IDS
@@ -41,6 +43,37 @@ def to_raster(data: bytes, height: int, width: int, channels: int) -> np.ndarray
     return raster[..., 2::-1] if channels >= 3 else raster[..., 0]
 
 
+def read_backgrounds(spark: SparkSession, folder: str, most: int = 400, side: int = 720) -> DataFrame:
+    """(slot, height, width, pixels): the first ``most`` readable pictures of a folder by path, none with a side over ``side``.
+
+    A picture for every slot; a row draws its slot by its key, see :func:`with_background`.
+    """
+    from ..functions.rasters import as_bytes, resize_area
+
+    found = read_images(spark, folder, recursive=True).where(F.col("height") > 0)
+    first = found.select("path").orderBy("path").limit(most).withColumn("slot", F.row_number().over(Window.orderBy("path")) - 1)
+
+    def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for slot, h, w, c, data in zip(batch["slot"], batch["height"], batch["width"], batch["n_channels"], batch["data"]):
+                image, f = to_raster(data, int(h), int(w), int(c)), side / max(h, w)
+                image = as_bytes(resize_area(image, max(1, int(h * f)), max(1, int(w * f)))) if f < 1 else image
+                image = np.repeat(image[..., None], 3, axis=2) if image.ndim == 2 else image
+                rows.append((slot, image.shape[0], image.shape[1], np.ascontiguousarray(image).tobytes()))
+            yield pd.DataFrame(rows, columns=["slot", "height", "width", "pixels"])
+
+    return found.join(F.broadcast(first), "path").select("slot", "height", "width", "n_channels", "data").mapInPandas(shrink, "slot int, height int, width int, pixels binary")
+
+
+def with_background(rows: DataFrame, backgrounds: DataFrame, number: Column) -> DataFrame:
+    """Rows with the ``background`` (height, width, pixels) that a number of theirs draws; null where there is none."""
+    slots = backgrounds.count()
+    picked = F.when(F.lit(slots > 0), F.pmod(number, F.lit(max(1, slots))).cast("int"))
+    packed = backgrounds.select(F.col("slot").alias("_slot"), F.struct("height", "width", "pixels").alias("background"))
+    return rows.withColumn("_drawn", picked).join(packed, F.col("_drawn") == F.col("_slot"), "left").drop("_drawn", "_slot")
+
+
 def read_label_lines(spark: SparkSession, folder: str) -> DataFrame:
     """(stem, line_no, line) of all text files in a folder."""
     whole = spark.read.text(f"{folder}/*.txt", wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")

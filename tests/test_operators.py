@@ -143,6 +143,33 @@ def test_curation_end_to_end(spark, dataset):
     assert (ratio.n, ratio.failed, ratio.warn) == (4, 4, True)
 
 
+def test_background_pool(spark, dataset):
+    root, pixels = dataset
+    pool = sources.read_backgrounds(spark, str(root / "train/images"), most=2, side=100)
+    rows = {r.slot: r for r in pool.collect()}
+    assert {k: (r.height, r.width, len(r.pixels)) for k, r in rows.items()} == {0: (66, 100, 66 * 100 * 3), 1: (100, 100, 100 * 100 * 3)}
+    drawn = sources.with_background(spark.range(6), pool, F.col("id")).collect()
+    assert sorted((r.id, r.background.height) for r in drawn) == [(i, 66 if i % 2 == 0 else 100) for i in range(6)]
+    none = sources.with_background(spark.range(2), pool.where("false"), F.col("id")).collect()
+    assert [r.background for r in none] == [None, None]
+
+
+def test_folders_and_splits(spark, dataset, tmp_path):
+    import shutil
+
+    root, _ = dataset
+    for split, label in (("train", "1000"), ("train", "5000"), ("val", "1000"), ("train", "other")):
+        (tmp_path / "set" / split / label).mkdir(parents=True, exist_ok=True)
+        shutil.copy(root / "train/images/a.png", tmp_path / "set" / split / label / f"{label}.png")
+    found = sorted((r["class"], r.label) for r in sources.read_splits(spark, str(tmp_path / "set"), "train").collect())
+    assert found == [("1000", 0), ("5000", 2)]
+    assert {r["class"]: len(r.paths) for r in sources.paths_by_class(sources.read_splits(spark, str(tmp_path / "set"), "train")).collect()} == {"1000": 1, "5000": 1}
+    extra = sources.read_class_folders(spark, str(tmp_path / "set" / "train")).collect()
+    assert sorted((r["class"], r.grp) for r in extra) == [("1000", "extra::manual::1000"), ("5000", "extra::manual::5000"), ("other", "extra::manual::other")]
+    assert [p.rsplit("/", 1)[-1] for p in sources.discover_sets(spark, str(tmp_path / "set" / "*"))] == ["train", "val"]
+    assert sources.list_images(spark, str(root / "train/images")).count() == 4
+
+
 def test_manifest_and_summary(spark, tmp_path):
     rows = document_records(spark, DATA).select("class", "split", "grp", F.col("id").alias("ordinal"), F.lit("o").alias("origin"), F.lit("s").alias("source"), F.lit(900).alias("w"), F.lit(300).alias("h"))
     made = curation.manifest(rows)
