@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import leaked
+from .quantiles import exact_percentiles
 from .splitting import sample_per_class
 
 
@@ -84,8 +85,8 @@ def check_leakage(records: DataFrame, most: int = 4, per_class: int | None = 60)
 
 def distribution(records: DataFrame, column: str) -> DataFrame:
     """(p10, p50, p90, std): exact percentiles by linear interpolation and the population deviation."""
-    q = F.percentile(column, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
-    return records.agg(q.alias("q"), F.stddev_pop(column).alias("std")).select(F.col("q")[0].alias("p10"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p90"), "std")
+    found = exact_percentiles(records, F.col(column), [0.1, 0.5, 0.9])
+    return records.agg(*[F.lit(q).cast("double").alias(name) for q, name in zip(found, ("p10", "p50", "p90"))], F.stddev_pop(column).alias("std"))
 
 
 def check_brightness(records: DataFrame, least_std: float = 22.0) -> DataFrame:
@@ -112,17 +113,23 @@ def verdict(findings: DataFrame, strict: bool = False) -> DataFrame:
     return findings.agg(count("error").alias("errors"), count("warning").alias("warnings"), (fatal == 0).alias("passed"))
 
 
-def audit(records: DataFrame, classes: list[str], strict: bool = False, per_class: int | None = 60) -> DataFrame:
-    """All findings. Errors of structure end the audit, as later checks presume it."""
+def audit(records: DataFrame, classes: list[str], per_class: int | None = 60, ideals: DataFrame | None = None) -> DataFrame:
+    """All findings. Errors of structure end the audit, as later checks presume it.
+
+    Leakage needs a column h64, brightness one of that name, and aspect the sides w and h and ``ideals`` (class,
+    aspect); :func:`verdict` says whether the findings let a set pass, strictly or not.
+    """
     structure = check_structure(records, classes)
     if structure.limit(1).count():
         return structure
     checks = [check_balance(records), check_groups(records)]
     columns = set(records.columns)
     if "h64" in columns:
-        checks.append(check_leakage(records.withColumnRenamed("h64", "h"), per_class=per_class))
+        checks.append(check_leakage(records.drop("h").withColumnRenamed("h64", "h"), per_class=per_class))
     if "brightness" in columns:
         checks.append(check_brightness(records))
+    if ideals is not None and {"w", "h"} <= columns:
+        checks.append(check_aspect(records, ideals))
     for check in checks:
         structure = structure.unionByName(check)
     return structure

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scores import entropy, nll, softmax
 from .metrics import accuracy, calibration_error, with_predictions
+from .quantiles import exact_percentiles
 
 #: Bounds between which a temperature is sought.
 LOW, HIGH = 0.05, 10.0
@@ -81,7 +82,8 @@ def entropy_threshold(predicted: DataFrame, confidence: float, target: float = 0
     widest = math.log(n_classes)
     accepted = predicted.where(F.col("conf") >= confidence).select(entropy(F.col("probs")).alias("ent"), "correct")
     shares = [0.5 + 0.5 * i / (steps - 1) for i in range(steps)]
-    grid = accepted.agg(F.percentile("ent", F.array(*map(F.lit, shares))).alias("q")).select(F.posexplode("q").alias("place", "threshold"))
+    found = exact_percentiles(accepted, F.col("ent"), shares)
+    grid = predicted.sparkSession.createDataFrame([(i, q) for i, q in enumerate(found) if q is not None], "place int, threshold double")
     # Rows under their first quantile, then running sums over the few quantiles.
     placed = accepted.crossJoin(F.broadcast(grid.agg(F.collect_list("threshold").alias("qs")))).select(F.size(F.filter("qs", lambda t: F.col("ent") > t)).alias("first"), "correct")
     counted = placed.groupBy("first").agg(F.count("*").alias("n"), F.sum(F.col("correct").cast("long")).alias("hits"))
