@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,6 +96,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM base
 """
 
+CONTROL_PATTERN = "|".join(rf"{re.escape(c[0])}\\*{re.escape(c[1:])}" for c in chat_format.CONTROL_STRINGS).replace("'", "''")
+OP2_SQL = rf"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))),
+t AS (SELECT *, length(role) + len(regexp_extract_all(role, '{CONTROL_PATTERN}')) + length(text) + len(regexp_extract_all(text, '{CONTROL_PATTERN}')) + {len(chat_format.TURN + chat_format.TEXT + chat_format.END)} AS chars FROM r)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+OP6_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, list_aggregate(w[i : i + 4], 'string_agg', ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)
+  UNION SELECT doc_id, list_aggregate(w, 'string_agg', ' ') FROM w WHERE len(w) BETWEEN 1 AND 4),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS least FROM documents UNION SELECT edges.b, reach.least FROM reach JOIN edges ON edges.a = reach.doc_id WHERE reach.least < edges.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(least) FROM reach WHERE reach.doc_id = d.doc_id) AS component_id FROM documents d LEFT JOIN n USING (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_context_mixing": op1_context_mixing,
     "op2_chat_formatting": op2_chat_formatting,
@@ -107,4 +133,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_blocks": op9_token_blocks,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLES: dict[str, str] = {"op10_quality_rules": OP10_SQL}
+ORACLES: dict[str, str] = {"op2_chat_formatting": OP2_SQL, "op6_jaccard_join": OP6_SQL, "op10_quality_rules": OP10_SQL}
