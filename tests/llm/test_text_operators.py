@@ -573,7 +573,6 @@ def test_language_on_held_out_rows(spark):
 
 @pytest.mark.parametrize("flush", [4 << 20, 1200])
 def test_scores_bit_by_bit(spark, monkeypatch, flush):
-    monkeypatch.setattr(context_mixing, "FLUSH_BYTES", flush)
     monkeypatch.setattr(context_mixing, "fit_weights", lambda bit, *_: np.tile(np.array(context_mixing.START), (context_mixing.GATES, 1)))
     few = "the of and in to a is".split()
     rng = np.random.default_rng(3)
@@ -582,7 +581,7 @@ def test_scores_bit_by_bit(spark, monkeypatch, flush):
     # Letters are learned from words that a flush has once, so with several flushes only known words can be compared.
     rows = rows if flush > 1200 else [(d, " ".join(few * (3 + i % 4)) + " " + " ".join(rng.choice(few, 9 + i % 3))) for i, (d, _) in enumerate(rows)]
     expected = slow_scores(rows)
-    found = context_mixing.score(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    found = context_mixing.score(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), flush).collect()
     assert [r.doc_id for r in found] == [d for d, _ in rows]
     assert np.allclose([r.score for r in found], expected, rtol=1e-4, atol=1e-4)
 
