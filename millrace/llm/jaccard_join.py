@@ -46,9 +46,9 @@ WIDTH = 5
 #: Size classes within the largest ratio of linked sets.
 SIZE_STEPS = 16
 #: Bytes of text hashed together; elements, and sets, that a task holds before it hands them on.
-RUN_BYTES, FLUSH_KEYS, FLUSH_SETS = 4 << 20, 1_500_000, 60_000
+RUN_BYTES, FLUSH_KEYS, FLUSH_SETS = 2 << 20, 1_000_000, 60_000
 #: Postings of prefixes that a task holds before it hands them on.
-HELD_POSTINGS = 1_000_000
+HELD_POSTINGS = 500_000
 #: Bytes of sets of a candidate group in one block.
 BLOCK_BYTES = 2 << 20
 #: Signature trees: 64-bit words of a bitmap, sets of a leaf, children of a node.
