@@ -147,6 +147,27 @@ def entropy_threshold(spark: SparkSession, d: str) -> DataFrame:
     return found.select(F.round("entropy_threshold", 5).alias("entropy_threshold"))
 
 
+SQL_FITTED = sql_temperature().removeprefix("WITH ").rsplit(" SELECT ", 1)[0]
+
+
+@query(f"""WITH {SQL_FITTED}, {sql_scored('tt').removeprefix(SQL_LOGITS + ",").replace('FROM logits)', 'FROM logits, (SELECT t AS tt FROM b6))')}, test AS (SELECT * FROM scored WHERE split = 'test'), {SQL_SWEEP},
+picked AS (SELECT threshold FROM (SELECT *, CASE WHEN selective_accuracy >= 0.3 AND coverage >= 0.5 THEN 1 WHEN selective_accuracy >= 0.3 THEN 2 ELSE 3 END AS tier FROM swept)
+  ORDER BY tier, CASE WHEN tier < 3 THEN threshold END NULLS LAST, selective_accuracy DESC, coverage DESC, threshold LIMIT 1),
+acc AS (SELECT -list_sum(list_transform(p, lambda x: x * ln(x + 1e-12))) AS ent, correct FROM test WHERE conf >= (SELECT threshold FROM picked)),
+qs AS (SELECT quantile_cont(ent, [{', '.join(repr(0.5 + 0.5 * i / 39) for i in range(40))}]::DOUBLE[]) AS l FROM acc), q AS (SELECT unnest(range(40)) AS i, unnest(l) AS threshold FROM qs),
+tried AS (SELECT i, threshold, avg(correct::INT) FILTER (ent <= threshold) AS a FROM q CROSS JOIN acc GROUP BY ALL),
+down AS (SELECT *, min((a >= 0.3)::INT) OVER (ORDER BY threshold DESC, i DESC ROWS UNBOUNDED PRECEDING) AS ok FROM tried WHERE a IS NOT NULL),
+lim AS (SELECT coalesce(min(threshold), ln(7)) AS e FROM down WHERE ok = 1), taken AS (SELECT * FROM acc WHERE ent <= (SELECT e FROM lim))
+SELECT round((SELECT t FROM b6), 3) AS temperature, round((SELECT threshold FROM picked), 6) AS confidence_threshold, round((SELECT e FROM lim), 4) AS entropy_threshold, round(ln(7), 6) AS max_entropy, 0.3::DOUBLE AS target_precision,
+  count(*) AS n_accepted, round(count(*) / (SELECT count(*) FROM test), 6) AS coverage, round(coalesce(avg(correct::INT), 1), 6) AS selective_accuracy FROM taken""")
+def calibration_report(spark: SparkSession, d: str) -> DataFrame:
+    """The whole calibration in one row; the wrong pairs that are left have a query of their own."""
+    found = calibration.calibrate(logits(spark, d), 0.3, 0.5)
+    rounds = {"temperature": 3, "confidence_threshold": 6, "entropy_threshold": 4, "max_entropy": 6}
+    plain = found.select(*[F.round(c, n).alias(c) for c, n in rounds.items()], "target_precision", "measured.n_accepted", "measured.coverage", "measured.selective_accuracy")
+    return rounded(plain, "coverage", "selective_accuracy")
+
+
 @query(f"WITH {SQL_TEST} SELECT label::INT AS label, pred::INT AS pred, count(*) AS n FROM test WHERE conf >= 0.4 AND NOT correct GROUP BY ALL ORDER BY n DESC, label, pred LIMIT 8")
 def residual_pairs(spark: SparkSession, d: str) -> DataFrame:
     return calibration.residual_errors(calibration.accepted_rows(test_rows(spark, d), 0.4, math.log(7) + 1))
@@ -157,12 +178,6 @@ def top_confusions(spark: SparkSession, d: str) -> DataFrame:
     return metrics.top_confusions(scored(spark, d))
 
 
-@query()
-def calibration_report(spark: SparkSession, d: str) -> DataFrame:
-    """The whole calibration in one row; its parts have their own queries and SQL."""
-    return calibration.calibrate(logits(spark, d), 0.3, 0.5)
-
-
 @query(f"""WITH {sql_scored()}, b AS (SELECT ceil(conf * 15) AS bin, count(*) AS n, avg(conf) AS c, avg(correct::INT) AS a FROM scored GROUP BY 1),
 {sql_scored('3.0').replace('logits AS', 'logits3 AS').replace('FROM logits)', 'FROM logits3)').replace('powers AS', 'powers3 AS').replace('FROM powers)', 'FROM powers3)').replace('probs AS', 'probs3 AS').replace('FROM probs)', 'FROM probs3)').replace('scored AS', 'scored3 AS')},
 b3 AS (SELECT ceil(conf * 15) AS bin, count(*) AS n, avg(conf) AS c, avg(correct::INT) AS a FROM scored3 GROUP BY 1)
