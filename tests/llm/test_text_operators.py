@@ -518,6 +518,7 @@ def slow_scores(rows):
             for o in (1, 2):
                 f = Counter(follow[o].get(tuple(["^", "^", *ws][i + 2 - o : i + 2]), {}))
                 top = sorted(f.items(), key=lambda x: (-x[1], -x[0]))[:2]
+                top = top if len(top) < 2 or top[1][1] == top[0][1] else top[:1]
                 seen = max(0, sum(f.values()) - own)
                 top = [(k, v - own * (k == c)) for k, v in top]
                 best = max(top, key=lambda x: x[1], default=(None, 0)) if not (len(top) == 2 and top[1][1] <= top[0][1]) else top[0]
