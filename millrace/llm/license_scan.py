@@ -71,7 +71,7 @@ UNKNOWN = "unknown"
 FAMILIES = [UNKNOWN, *TEMPLATES]
 
 #: Paragraphs of documents that the fit sees, and what lies between two paragraphs (Java's syntax).
-SAMPLE = 400
+SAMPLE = 200
 BLANK = "\\n[^\\p{L}\\p{N}]*\\n"
 #: Examples made of each template, passes over them, step size.
 VARIANTS, EPOCHS, RATE = 30, 200, 2.0
@@ -255,7 +255,7 @@ def fit(paragraphs: list[str], seed: int = 3) -> Classifier:
             for g in [*zip(t, t[1:]), *zip(t, t[1:], t[2:])]:
                 grams.setdefault(g, len(grams))
     blank = Classifier(grams, np.zeros((len(grams) + 1, len(FAMILIES))), 1.0, 0.5)
-    unknown = [w for w in map(tokens, paragraphs) if not any(similarity(t, w) >= CONFIRM for ts in templates.values() for t in ts)]
+    unknown = [w for w in map(tokens, paragraphs) if not any(similarity(t, w) >= CONFIRM for _, t in blank.possible(set(w)))]
     filler = sorted({w for words in unknown for w in words})
     rows: list[tuple[list[int], int]] = [(blank.features(w), 0) for w in unknown]
     rows += [([], 0)] * 20
@@ -273,15 +273,19 @@ def fit(paragraphs: list[str], seed: int = 3) -> Classifier:
     y = np.array([k for _, k in rows])
     check = rng.random(len(rows)) < 0.2
     weights = np.zeros((x.shape[1], len(FAMILIES)), dtype=np.float32)
-    one_hot = np.eye(len(FAMILIES), dtype=np.float32)[y]
-    use = ~check
-    balance = (1 / np.maximum(1, np.bincount(y[use], minlength=len(FAMILIES))))[y[use]][:, None].astype(np.float32)
-    balance /= balance.sum()
+    one_hot, use = np.eye(len(FAMILIES), dtype=np.float32)[y], ~check
+    share = (1 / np.maximum(1, np.bincount(y[use], minlength=len(FAMILIES))))[y[use]]
+    # Equal examples are one with their shares added up; most unknown lines have no known n-gram at all.
+    kinds: dict[tuple, int] = {}
+    number = np.array([kinds.setdefault((tuple(found), k), len(kinds)) for (found, k), taken in zip(rows, use) if taken], dtype=np.int64)
+    first = np.flatnonzero(use)[np.unique(number, return_index=True)[1]] if len(number) else np.zeros(0, dtype=np.int64)
+    balance = (np.bincount(number, weights=share) / share.sum())[:, None].astype(np.float32)
+    seen, wanted = x[first], one_hot[first]
     for epoch in range(EPOCHS):
-        z = x[use] @ weights
+        z = seen @ weights
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        weights -= RATE * (x[use].T @ (balance * (p - one_hot[use])) + 1e-5 * weights)
+        weights -= RATE * (seen.T @ (balance * (p - wanted)) + 1e-5 * weights)
     # Small weights go, so that the model is sparse.
     weights[:-1][np.abs(weights[:-1]) < 0.01] = 0
     z = x[check] @ weights
@@ -299,15 +303,19 @@ def fit(paragraphs: list[str], seed: int = 3) -> Classifier:
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Classifier:
     """Fit on the templates and a bounded sample of paragraphs, drawn from all paragraphs of all texts by their hashes."""
-    parts = docs.select(F.explode(F.split("text", BLANK)).alias("p")).where(F.col("p").rlike("[\\p{L}\\p{N}]"))
-    drawn = parts.orderBy(F.xxhash64("p"), "p").limit(sample).collect()
-    templates = [tokens(t) for ts in TEMPLATES.values() for t in ts]
+    parts = docs.select(F.explode(F.split("text", BLANK)).alias("p")).where(F.col("p").rlike("[\\p{L}\\p{N}]")).withColumn("h", F.xxhash64("p"))
+    # Hashes are even, so a bound under which twice the sample is expected lets few rows through; equal ones are one.
+    distinct = parts.agg(F.approx_count_distinct("h")).first()[0]
+    bound = -(1 << 63) + int((1 << 64) * min(1.0, 2 * sample / max(1, distinct))) - 1
+    few = parts.where(F.col("h") <= bound).groupBy("h").agg(F.min("p").alias("p"))
+    drawn = few.orderBy("h").limit(sample).select("p").collect()
+    blank = Classifier({}, np.zeros((1, len(FAMILIES))), 1.0, 0.5)
     lines = []
     for text in sorted(r[0] for r in drawn):
         for paragraph in paragraphs(text):
             words = [m.group().lower() for m in paragraph]
             # A line of a wrapped notice isn't unknown, though it confirms no template by itself.
-            if not any(stretches(t, words) for t in templates):
+            if not any(stretches(t, words) for _, t in blank.possible(set(words))):
                 lines += text[paragraph[0].start() : paragraph[-1].end()].split("\n")
     return fit(lines)
 
