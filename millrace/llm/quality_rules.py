@@ -5,7 +5,8 @@ not depend on their order, but the cost does: the cascade measures each rule's c
 rate on a bounded sample and evaluates the rules by rejection per second, stopping at the first hit.
 
 Defined cases: a null or empty text has no words and is rejected by ``few_words``; repeated rows each
-get their own verdict; an empty table gives an empty result; other columns of the input are ignored
+get their own verdict; a null id is carried along, and labels or languages are never looked at; a text of any
+length is judged whole; an empty table gives an empty result; other columns of the input are ignored
 by :func:`quality_verdicts` and kept by :func:`filter_by_quality`, whatever their names.
 """
 
