@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import re
 from collections.abc import Iterator
 
@@ -14,8 +15,6 @@ from ..functions.labels import CLASSES, DEFAULT_CLASS_IDS
 
 # File name endings of images, in lower case.
 IMAGE_ENDINGS = ("jpg", "jpeg", "png", "bmp", "webp")
-#: What detection data sets call their splits.
-SPLITS = ("train", "valid", "val", "test")
 
 
 def with_stem(files: DataFrame, column: str = "path") -> DataFrame:
@@ -168,15 +167,18 @@ def read_logits(spark: SparkSession, path: str) -> DataFrame:
 
 
 def logits_from_npz(spark: SparkSession, path: str) -> DataFrame:
-    """The same from an archive with logits, labels, val_logits and val_labels; one file, read by one task."""
-    import io
-
-    data = spark.read.format("binaryFile").load(path).select("content").first()[0]
-    archive, rows = np.load(io.BytesIO(bytes(data))), []
-    for split, prefix in (("test", ""), ("val", "val_")):
-        for i, (x, y) in enumerate(zip(archive[f"{prefix}logits"], archive[f"{prefix}labels"])):
-            rows.append((split, i, int(y), [float(v) for v in x]))
-    return spark.createDataFrame(rows, "split string, id long, label int, logits array<double>")
+    """The same from archives with logits, labels, val_logits and val_labels; a task reads each archive, the driver none."""
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for content in batch["content"]:
+                archive = np.load(io.BytesIO(bytes(content)))
+                for split, prefix in (("test", ""), ("val", "val_")):
+                    values, labels = archive[f"{prefix}logits"].astype(np.float64), archive[f"{prefix}labels"]
+                    yield pd.DataFrame({"split": split, "id": np.arange(len(labels)), "label": labels.astype(np.int32), "logits": list(values)})
+
+    found = spark.read.format("binaryFile").load(path).select("content")
+    return found.mapInPandas(unpack, "split string, id long, label int, logits array<double>")
 
 
 def read_manifest(spark: SparkSession, path: str, array: bool = False) -> DataFrame:

@@ -143,6 +143,16 @@ def test_curation_end_to_end(spark, dataset):
     assert (ratio.n, ratio.failed, ratio.warn) == (4, 4, True)
 
 
+def test_logits_of_an_archive(spark, tmp_path):
+    rng = np.random.default_rng(0)
+    parts = {"logits": rng.normal(size=(5, 7)), "labels": np.arange(5) % 7, "val_logits": rng.normal(size=(3, 7)).astype(np.float32), "val_labels": np.array([6, 0, 1])}
+    np.savez(tmp_path / "scores.npz", **parts)
+    rows = {(r.split, r.id): r for r in sources.logits_from_npz(spark, str(tmp_path / "scores.npz")).collect()}
+    assert len(rows) == 8 and rows["val", 0].label == 6 and np.allclose(rows["test", 4].logits, parts["logits"][4]) and np.allclose(rows["val", 2].logits, parts["val_logits"][2])
+    sources.write_table(spark.createDataFrame(list(rows.values())), str(tmp_path / "t"), ("split",))
+    assert sources.read_logits(spark, str(tmp_path / "t")).where("split = 'val'").count() == 3
+
+
 def test_background_pool(spark, dataset):
     root, pixels = dataset
     pool = sources.read_backgrounds(spark, str(root / "train/images"), most=2, side=100)
