@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, context_mixing, decontaminate, jaccard_join, language_id, license_scan, packing, pu_quality, quality_rules, token_blocks
+from . import chat_format, context_mixing, decontaminate, jaccard_join, language_id, license_scan, packing, phrases, piece_codec, pu_quality, quality_rules, token_blocks, word_runs
 from .common import table
 
 
@@ -70,6 +70,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every document, a tenth of which are made to repeat themselves."""
+    return word_runs.digests(word_runs.periodic_runs(word_runs.with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
+def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the text that they are decoded to."""
+    return piece_codec.digests(piece_codec.encode(table(spark, sf_dir, "documents"), decoded=True))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 OP10_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM d),
@@ -109,7 +124,8 @@ FROM t GROUP BY conv_id
 """
 
 OP6_SQL = r"""
-WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents),
 s AS (
   SELECT DISTINCT doc_id, list_aggregate(w[i : i + 4], 'string_agg', ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)
   UNION SELECT doc_id, list_aggregate(w, 'string_agg', ' ') FROM w WHERE len(w) BETWEEN 1 AND 4),
@@ -121,6 +137,29 @@ reach AS (SELECT doc_id, doc_id AS least FROM documents UNION SELECT edges.b, re
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(least) FROM reach WHERE reach.doc_id = d.doc_id) AS component_id FROM documents d LEFT JOIN n USING (doc_id)
 """
 
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT rid, lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+f1 AS (SELECT lang, word, count(*) AS f FROM (SELECT lang, unnest(w) AS word FROM w) GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY 1),
+at2 AS (SELECT lang, w, unnest(range(1, len(w))) AS i FROM w WHERE len(w) > 1),
+f2 AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS a FROM at2 GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS a FROM at2 WHERE i + 2 <= len(w) GROUP BY ALL HAVING count(*) >= 10),
+over AS (SELECT lang, w1, w2, max(a) AS longest FROM (SELECT lang, w1, w2, a FROM f3 UNION ALL SELECT lang, w2, w3, a FROM f3) GROUP BY ALL),
+two AS (
+  SELECT f2.lang, f2.w1 || ' ' || f2.w2 AS phrase, f2.a, x.f AS l, y.f AS r FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.word = f2.w1
+  JOIN f1 y ON y.lang = f2.lang AND y.word = f2.w2 LEFT JOIN over o ON o.lang = f2.lang AND o.w1 = f2.w1 AND o.w2 = f2.w2 WHERE o.longest IS NULL OR 100 * o.longest < 50 * f2.a),
+cuts AS (
+  SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3 AS phrase, f3.a, x.f AS x, h.a AS head, t.a AS tail, z.f AS z,
+    f3.a::HUGEINT * f3.a * 1000000 // (x.f::HUGEINT * t.a) AS s1, f3.a::HUGEINT * f3.a * 1000000 // (h.a::HUGEINT * z.f) AS s2
+  FROM f3 JOIN f1 x ON x.lang = f3.lang AND x.word = f3.w1 JOIN f1 z ON z.lang = f3.lang AND z.word = f3.w3
+  JOIN f2 h ON h.lang = f3.lang AND h.w1 = f3.w1 AND h.w2 = f3.w2 JOIN f2 t ON t.lang = f3.lang AND t.w1 = f3.w2 AND t.w2 = f3.w3),
+every AS (SELECT * FROM two UNION ALL SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN x ELSE head END, CASE WHEN s1 <= s2 THEN tail ELSE z END FROM cuts),
+scored AS (SELECT *, (a::HUGEINT * a * 1000000 // (l::HUGEINT * r))::BIGINT AS score FROM every)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored) JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_context_mixing": op1_context_mixing,
     "op2_chat_formatting": op2_chat_formatting,
@@ -132,5 +171,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_token_blocks": op9_token_blocks,
     "op10_quality_rules": op10_quality_rules,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_piece_codec": op12_piece_codec,
+    "op13_phrases": op13_phrases,
 }
-ORACLES: dict[str, str] = {"op2_chat_formatting": OP2_SQL, "op6_jaccard_join": OP6_SQL, "op10_quality_rules": OP10_SQL}
+ORACLES: dict[str, str] = {"op2_chat_formatting": OP2_SQL, "op6_jaccard_join": OP6_SQL, "op10_quality_rules": OP10_SQL, "op13_phrases": OP13_SQL}
