@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import leaked
-from .quantiles import exact_percentiles
+from .quantiles import exact_percentiles, percentiles_by
+from .sizes import broadcast_if_small
 from .splitting import sample_per_class
 
 
@@ -40,7 +41,7 @@ def check_structure(records: DataFrame, classes: list[str]) -> DataFrame:
     spark = records.sparkSession
     wanted = spark.createDataFrame([(s, c) for s in ("train", "val", "test") for c in classes], "split string, class string")
     counted = records.groupBy("split", "class").agg(F.count("*").alias("n"))
-    missing = wanted.join(F.broadcast(counted), ["split", "class"], "left_anti")
+    missing = wanted.join(broadcast_if_small(counted), ["split", "class"], "left_anti")
     return missing.select(*finding("structure", F.lit("error"), F.concat_ws("/", "split", "class"), F.lit(0), 1, "no records"))
 
 
@@ -95,14 +96,14 @@ def check_brightness(records: DataFrame, least_std: float = 22.0) -> DataFrame:
 
 
 def median_aspect(records: DataFrame) -> DataFrame:
-    """(class, median) of the sides' ratio of records (class, w, h)."""
+    """(class, median) of the sides' ratio of records (class, w, h); a class of any size is ranked by ranges."""
     ratio = F.greatest("w", "h") / F.greatest(F.lit(1), F.least("w", "h"))
-    return records.groupBy("class").agg(F.percentile(ratio, F.lit(0.5)).alias("median"))
+    return percentiles_by(records, ["class"], ratio, [0.5], ["median"])
 
 
 def check_aspect(records: DataFrame, ideals: DataFrame, most: float = 0.45) -> DataFrame:
     """Warnings for classes whose median ratio is off the ideal (class, aspect)."""
-    off = median_aspect(records).join(F.broadcast(ideals), "class").withColumn("off", F.abs(F.col("median") - F.col("aspect"))).where(F.col("off") > most)
+    off = median_aspect(records).join(broadcast_if_small(ideals), "class").withColumn("off", F.abs(F.col("median") - F.col("aspect"))).where(F.col("off") > most)
     return off.select(*finding("aspect", F.lit("warning"), F.col("class"), F.col("off"), most, "median ratio is off the class's"))
 
 

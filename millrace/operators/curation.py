@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import capped_size, crop_rectangle
 from ..functions.labels import normalize_class, parse_label_line
+from .numbering import dense_numbers
+from .sizes import broadcast_if_small
 
 #: Gates: shorter side in pixels; sharpness of crops from detection sets and of given crops.
 LEAST_SIDE, LEAST_BLUR, LEAST_BLUR_EXTRA = 48, 25.0, 3.0
@@ -25,7 +27,7 @@ def label_rows(images: DataFrame, labels: DataFrame, class_map: DataFrame) -> Da
     # An image whose label file has no parsable line gives nothing; one without a file or unreadable is counted.
     unreadable, no_label = F.col("height") < 0, F.col("has_label").isNull()
     joined = joined.where(no_label | unreadable | F.col("box").isNotNull())
-    named = joined.withColumn("cls", F.col("box.cls")).join(F.broadcast(class_map), ["dataset", "cls"], "left")
+    named = joined.withColumn("cls", F.col("box.cls")).join(broadcast_if_small(class_map), ["dataset", "cls"], "left")
     per_image = F.row_number().over(Window.partitionBy(*keys).orderBy("line_no"))
     named = named.withColumn("_n", per_image).where(~(no_label | unreadable) | (F.col("_n") == 1)).drop("_n")
     rect = crop_rectangle(F.col("box.x0"), F.col("box.y0"), F.col("box.x1"), F.col("box.y1"), F.col("width"), F.col("height"))
@@ -49,13 +51,9 @@ def reason(blur: Column | None = None, least_side: int = LEAST_SIDE, least_blur:
 def ordered(rows: DataFrame) -> DataFrame:
     """Add the global ordinal that order-dependent steps follow: data set, split, path, line.
 
-    Numbers are dealt from counts per (dataset, split), so no task sorts everything.
+    Rows are dealt out by ranges of that order, so no task sorts everything, nor all rows of one split.
     """
-    parts = rows.groupBy("dataset", "split").agg(F.count("*").alias("_rows"))
-    before = Window.orderBy("dataset", "split").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("_base", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
-    nth = F.row_number().over(Window.partitionBy("dataset", "split").orderBy("stem", "line_no"))
-    return rows.withColumn("_nth", nth).join(F.broadcast(parts), ["dataset", "split"]).withColumn("ordinal", F.col("_base") + F.col("_nth") - 1).drop("_nth", "_base")
+    return dense_numbers(rows, ["dataset", "split", "stem", "line_no"], "ordinal")
 
 
 def tag_duplicates(rows: DataFrame, kept: DataFrame) -> DataFrame:
@@ -69,9 +67,9 @@ def reason_counts(rows: DataFrame) -> DataFrame:
 
 
 def numbered(records: DataFrame) -> DataFrame:
-    """Add ``file``: class, split and a running number within both, in the order of ordinals."""
-    nth = F.row_number().over(Window.partitionBy("class", "split").orderBy("ordinal")) - 1
-    return records.withColumn("file", F.format_string("%s_%s_%05d.jpg", F.col("class"), F.col("split"), nth))
+    """Add ``file``: class, split and a running number within both, in the order of ordinals; a class of any size is numbered by ranges."""
+    numbers = dense_numbers(records, ["ordinal"], "_nth", by=["class", "split"])
+    return numbers.withColumn("file", F.format_string("%s_%s_%05d.jpg", F.col("class"), F.col("split"), F.col("_nth"))).drop("_nth")
 
 
 def manifest(records: DataFrame, most_side: int = 640) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..durable import materialise
@@ -15,27 +15,18 @@ def dense_numbers(rows: DataFrame, order: list[Column | str], column: str = "num
     """Rows with ``column``: their place, from 0, in the given order, within each value of ``by`` if that is given.
 
     One range shuffle deals the rows out, each task sorts its range, and the written rows keep their place in it; a
-    range starts after the sizes of the ranges before it, of which the driver sees one number each. Rows
-    that are equal in the whole order get different numbers. ``order`` should tell rows apart, since equal ones
-    share a range. Nulls come first; they are a value of ``by`` like any other.
+    range starts after the ranges before it, or its part of a group after the group's parts there. Of those there is one row each, so a
+    group that holds all rows is numbered by all tasks. Rows that are equal in the whole order get different numbers. ``order``
+    should tell rows apart, since equal ones share a range. Nulls come first; they are a value of ``by`` like any other.
     """
     by = by or []
     keys = [F.col(c) if isinstance(c, str) else c for c in [*by, *order]]
     placed = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id())
     placed = materialise(placed, "numbered").withColumn("_range", F.shiftright("_place", PLACE_BITS))
-    sizes = sorted(placed.groupBy("_range").agg(F.count("*")).collect())
-    starts, total = [], 0
-    for part, n in sizes:
-        starts.append((part, total))
-        total += n
-    spark = rows.sparkSession
-    offsets = spark.createDataFrame(starts, "_range long, _start long")
-    # As many rows as there are ranges.
-    placed = placed.join(F.broadcast(offsets), "_range")
-    number = F.col("_start") + F.col("_place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
-    if not by:
-        return placed.select(*rows.columns, number.alias(column))
-    placed = placed.withColumn("_number", number)
-    firsts = placed.groupBy(*[F.col(c).alias(f"_by{k}") for k, c in enumerate(by)]).agg(F.min("_number").alias("_first"))
-    same = [placed[c].eqNullSafe(firsts[f"_by{k}"]) for k, c in enumerate(by)]
-    return placed.join(firsts, same).select(*[placed[c] for c in rows.columns], (F.col("_number") - F.col("_first")).alias(column))
+    groups = [f"_by{k}" for k in range(len(by))]
+    parts = placed.groupBy(F.col("_range").alias("_part"), *[F.col(c).alias(g) for c, g in zip(by, groups)]).agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
+    # A window over as many rows as there are ranges, for each group.
+    before = F.sum("_n").over(Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
+    parts = parts.withColumn("_start", before).drop("_n")
+    same = [F.col("_range") == F.col("_part"), *(F.col(c).eqNullSafe(F.col(g)) for c, g in zip(by, groups))]
+    return placed.join(parts, same).select(*rows.columns, (F.col("_start") + F.col("_place") - F.col("_first")).alias(column))

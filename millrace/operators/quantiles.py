@@ -34,3 +34,33 @@ def exact_percentiles(rows: DataFrame, value: Column, shares: list[float]) -> li
     found = dict(here.select(F.explode(hits).alias("w"), "v").select("w.rank", "v").collect())
     drop_materialised(counted)
     return [found[math.floor(p)] + (found[math.ceil(p)] - found[math.floor(p)]) * (p - math.floor(p)) for p in places]
+
+
+def percentiles_by(rows: DataFrame, by: list[str], value: Column, shares: list[float], names: list[str]) -> DataFrame:
+    """(by..., names...): percentiles of every group, with linear interpolation; nulls don't count, and a group of nulls has null percentiles.
+
+    The counted values of all groups are dealt out by ranges of (group, value). A range's part of a group starts after the group's
+    values in the ranges before it, so running counts are only ever taken within a part: a group that holds all rows
+    is worked on by all tasks, and no task buffers its values.
+    """
+    groups = [f"_g{k}" for k in range(len(by))]
+    values = rows.select(*[F.col(c).alias(g) for c, g in zip(by, groups)], value.cast("double").alias("v"))
+    counted = values.groupBy(*groups, "v").agg(F.count("v").alias("n"))
+    counted = materialise(counted.repartitionByRange(*groups, "v").withColumn("part", F.spark_partition_id()), "percentiles")
+    # One row for each group and range that holds some of it.
+    parts = counted.groupBy(*groups, "part").agg(F.sum("n").alias("size"))
+    whole = Window.partitionBy(*groups)
+    parts = parts.withColumn("start", F.sum("size").over(whole.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).withColumn("total", F.sum("size").over(whole))
+    parts = parts.select(*[F.col(g).alias(f"{g}_") for g in groups], F.col("part").alias("part_"), "start", "total")
+    same = [F.col(g).eqNullSafe(F.col(f"{g}_")) for g in groups]
+    running = F.sum("n").over(Window.partitionBy(*groups, "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    placed = counted.withColumn("to", running).join(parts, [*same, F.col("part") == F.col("part_")])
+    placed = placed.withColumn("to", F.col("to") + F.col("start")).withColumn("from", F.col("to") - F.col("n"))
+    held = lambda rank: F.max(F.when((rank >= F.col("from")) & (rank < F.col("to")), F.col("v")))
+    ends = []
+    for k, share in enumerate(shares):
+        place = F.lit(share) * (F.col("total") - 1)
+        ends += [held(F.floor(place)).alias(f"low{k}"), held(F.ceil(place)).alias(f"high{k}"), F.max(place - F.floor(place)).alias(f"rest{k}")]
+    found = placed.groupBy(*groups).agg(*ends)
+    between = [(F.col(f"low{k}") + (F.col(f"high{k}") - F.col(f"low{k}")) * F.col(f"rest{k}")).alias(n) for k, n in enumerate(names)]
+    return found.select(*[F.col(g).alias(c) for g, c in zip(groups, by)], *between)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import dense_numbers
+
 
 def seeded_order(key: Column, seed: int) -> Column:
     """A pseudo-random order of keys that depends on the seed alone; the same in any SQL engine."""
@@ -47,7 +49,7 @@ def ranks(rows: DataFrame, order: Column, key: str, column: str = "rank") -> Dat
     before = F.sum("_n").over(Window.partitionBy("class").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1))
     starts = sizes.withColumn("_start", F.coalesce(before, F.lit(0))).select(F.col("class").alias("_class"), F.col("_run").alias("_of"), "_start")
     placed = cut.withColumn("_in", within).join(starts, F.col("class").eqNullSafe(F.col("_class")) & (F.col("_run") == F.col("_of")))
-    return placed.withColumn(column, (F.col("_start") + F.col("_in")).cast("int")).drop("_run", "_in", "_class", "_of", "_start")
+    return placed.withColumn(column, F.col("_start") + F.col("_in")).drop("_run", "_in", "_class", "_of", "_start")
 
 
 def group_split(records: DataFrame, val: float = 0.15, test: float = 0.10, seed: int = 42) -> DataFrame:
@@ -90,23 +92,36 @@ def epoch_order(records: DataFrame, epoch: int, key: str = "id") -> DataFrame:
     return records.orderBy(seeded_order(F.col(key), epoch), key)
 
 
+def running_numbers(rows: DataFrame, number: str, by: str, column: str, run: int = 1 << 16) -> DataFrame:
+    """Rows with ``column``: their place, from 0, within their value of ``by``, in the order of a column of distinct numbers.
+
+    Numbers are cut into runs of equal reach; a run's part of a value is counted through by itself, and starts after the parts before it.
+    """
+    cut = rows.withColumn("_run", F.floor(F.col(number) / run))
+    within = F.row_number().over(Window.partitionBy(by, "_run").orderBy(number)) - 1
+    sizes = cut.groupBy(F.col(by).alias("_by"), F.col("_run").alias("_of")).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_by").orderBy("_of").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
+    starts = sizes.withColumn("_start", before).drop("_n")
+    placed = cut.withColumn("_in", within).join(starts, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_run") == F.col("_of")))
+    return placed.withColumn(column, F.col("_start") + F.col("_in")).drop("_run", "_in", "_by", "_of", "_start")
+
+
 def balanced_draws(records: DataFrame, draws: int, seed: int = 42) -> DataFrame:
     """``draws`` draws with replacement, all non-empty classes equally likely: (draw, class, rank, ...).
 
-    A draw picks a class by its hash and then steps through that class, whose order starts elsewhere with every
-    pass, so a class is drawn from evenly. Records without a class aren't drawn.
+    A draw picks a class by its hash, then a place there, then the record of that place in the class's seeded order. Places step through
+    a class, starting elsewhere with every pass, so a class is drawn from evenly. Both the draws and the records of a class
+    are counted through in runs, so no task holds a class. Records without a class aren't drawn.
     """
-    order = seeded_order(F.col("id"), seed)
     records = records.where(F.col("class").isNotNull())
-    ranked = records.withColumn("rank", F.row_number().over(Window.partitionBy("class").orderBy(order, "id")) - 1)
-    classes = ranked.groupBy("class").agg(F.count("*").alias("size"))
-    listed = classes.agg(F.sort_array(F.collect_list(F.struct("class", "size"))).alias("list")).where(F.size("list") > 0)
-    drawn = records.sparkSession.range(draws).withColumnRenamed("id", "draw").join(F.broadcast(listed))
-    picked = drawn.withColumn("c", F.col("list")[(seeded_number(F.col("draw"), seed=seed) % F.size("list")).cast("int")]).select("draw", "c.class", "c.size")
-    picked = picked.withColumn("nth", F.row_number().over(Window.partitionBy("class").orderBy("draw")) - 1)
+    ranked = ranks(records, seeded_order(F.col("id"), seed), "id").withColumn("rank", F.col("rank") - 1)
+    classes = dense_numbers(records.groupBy("class").agg(F.count("*").alias("size")), ["class"], "_k")
+    n_classes = max(1, classes.count())
+    drawn = records.sparkSession.range(draws).select(F.col("id").alias("draw"), (seeded_number(F.col("id"), seed=seed) % n_classes).alias("_k"))
+    picked = running_numbers(drawn, "draw", "_k", "nth").join(classes, "_k")
     lap = F.floor(F.col("nth") / F.col("size"))
     place = (F.col("nth") + seeded_number(lap, seed=seed) % F.col("size")) % F.col("size")
-    return picked.withColumn("rank", place.cast("int")).join(ranked.drop("size"), ["class", "rank"]).drop("nth", "size")
+    return picked.select("draw", "class", place.alias("rank")).join(ranked, ["class", "rank"])
 
 
 def balanced_epoch_size(counts: DataFrame, batch: int) -> DataFrame:

@@ -42,6 +42,23 @@ def hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain.unionByName(near)
 
 
+#: Links of a chain of near hashes: each step turns three bits more.
+LINKS = 6
+
+
+def chain_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ordinal, h): of each embedding's hash a chain, whose neighbours are three bits apart and others six or more."""
+    plain = hashes(spark, sf_dir).where("ordinal < 1000000")
+    step = F.explode(F.sequence(F.lit(0), F.lit(LINKS - 1))).alias("k")
+    return plain.select("ordinal", "h", step).select((F.col("ordinal") * LINKS + F.col("k")).alias("ordinal"), F.expr("h ^ (shiftleft(1L, 3 * k) - 1)").alias("h"))
+
+
+def crowded_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ordinal, h): hashes of which a third have the same lowest band."""
+    low = (1 << 12) - 1
+    return hashes(spark, sf_dir).select("ordinal", F.when(F.col("ordinal") % 3 == 0, F.col("h").bitwiseAND(F.lit(~low)).bitwiseOR(F.lit(1911))).otherwise(F.col("h")).alias("h"))
+
+
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, ordinal, grp, class)."""
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("ordinal"), F.col("o_custkey").alias("grp"), F.col("o_orderpriority").alias("class"))
@@ -71,6 +88,9 @@ bits AS (SELECT vec_id, label, unnest(e) AS v, generate_subscripts(e, 1) AS i, (
 plain AS (SELECT vec_id AS ordinal, label AS class, sum(CASE WHEN v > m THEN (1::HUGEINT << (64 - i)::INT) ELSE 0::HUGEINT END)::HUGEINT AS h FROM bits GROUP BY ALL),
 hashes AS (SELECT ordinal, class, h FROM plain UNION ALL SELECT ordinal + 1000001, class, xor(h, ([""" + ", ".join(f"{m}::HUGEINT" for m in TURNED) + f"""])[ordinal % {len(TURNED)} + 1]) FROM plain WHERE ordinal % 4 = 0)"""
 
+SQL_CHAINS = SQL_HASHES.rsplit("hashes AS (", 1)[0] + f"hashes AS (SELECT ordinal * {LINKS} + k AS ordinal, xor(h, (1::HUGEINT << (3 * k)::INT) - 1) AS h FROM plain CROSS JOIN range({LINKS}) r(k))"
+SQL_CROWDED = SQL_HASHES.replace("hashes AS (", "before AS (", 1) + ", hashes AS (SELECT ordinal, CASE WHEN ordinal % 3 = 0 THEN ((h >> 12) << 12) + 1911 ELSE h END AS h FROM before)"
+
 SQL_RECORDS = """records AS (SELECT o_orderkey AS id, o_custkey AS grp, o_orderpriority AS class FROM orders),
 composed AS (SELECT grp, class, count(*) AS n, min(id) AS first FROM records GROUP BY ALL),
 dominant AS (SELECT grp, class FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY n DESC, first) AS r FROM composed) WHERE r = 1)"""

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ..durable import shared_dir
 from ..functions import geometry, hashing, labels, scores
-from ..operators import audit, augment, calibration, curation, dedup, metrics, splitting
+from ..operators import audit, augment, calibration, curation, dedup, metrics, numbering, quantiles, splitting
 from ..sources import images
-from .bindings import SQL_DOCS, SQL_HASHES, SQL_LOGITS, SQL_RECORDS, SQL_SPLIT, document_records, hashes, logits, order_records, scored, sql_scored, table
+from .bindings import SQL_CHAINS, SQL_CROWDED, SQL_DOCS, SQL_HASHES, SQL_LOGITS, SQL_RECORDS, SQL_SPLIT, chain_hashes, crowded_hashes, document_records, hashes, logits, order_records, scored, sql_scored, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -270,6 +270,25 @@ def median_ratio_check(spark: SparkSession, d: str) -> DataFrame:
     return rounded(audit.median_aspect(parts), "median")
 
 
+@query("""SELECT 'all' AS class, round(quantile_cont(l_extendedprice, 0.1), 6) AS p10, round(quantile_cont(l_extendedprice, 0.5), 6) AS p50, round(quantile_cont(l_extendedprice, 0.9), 6) AS p90 FROM lineitem
+UNION ALL SELECT l_returnflag, round(quantile_cont(l_quantity, 0.1), 6), round(quantile_cont(l_quantity, 0.5), 6), round(quantile_cont(l_quantity, 0.9), 6) FROM lineitem GROUP BY 1""")
+def class_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """Percentiles by class: one class that holds all rows with many values, and a few with repeated ones."""
+    lines, names = table(spark, d, "lineitem"), ["p10", "p50", "p90"]
+    one = quantiles.percentiles_by(lines.withColumn("class", F.lit("all")), ["class"], F.col("l_extendedprice"), [0.1, 0.5, 0.9], names)
+    some = quantiles.percentiles_by(lines.withColumnRenamed("l_returnflag", "class"), ["class"], F.col("l_quantity"), [0.1, 0.5, 0.9], names)
+    return rounded(one.unionByName(some), *names)
+
+
+@query("SELECT l_orderkey AS o, l_linenumber AS l, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice) - 1 AS number, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice) - 1 AS within FROM lineitem")
+def dense_numbering(spark: SparkSession, d: str) -> DataFrame:
+    """Places in an order, in the whole table and within a flag."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate", "l_returnflag")
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
+    both = numbering.dense_numbers(numbering.dense_numbers(lines, order, "number"), order, "within", by=["l_returnflag"])
+    return both.select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("l"), "number", "within")
+
+
 @query("SELECT doc_id AS ordinal, doc_id = min(doc_id) OVER (PARTITION BY text) AS kept FROM documents")
 def exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("ordinal"), F.sha2("text", 256).alias("h"))
@@ -326,6 +345,18 @@ def greedy_dedup_prefix(spark: SparkSession, d: str) -> DataFrame:
     return dedup.greedy_dedup(hashes(spark, d), 4, mode="prefix")
 
 
+@query(sql_greedy(NEAR).replace(SQL_UNIQUE, SQL_CHAINS + ", uniques AS (SELECT h, min(ordinal) AS ordinal FROM hashes GROUP BY 1)"))
+def greedy_chains(spark: SparkSession, d: str) -> DataFrame:
+    """Removal where near hashes form chains, in which every other one stays, by components of more pairs than a task is given."""
+    return dedup.greedy_dedup(chain_hashes(spark, d), 4, task_edges=500)
+
+
+@query(f"WITH {SQL_CROWDED}, uniques AS (SELECT h, min(ordinal) AS ordinal FROM hashes GROUP BY 1) SELECT a.ordinal AS a, b.ordinal AS b, {HAMMING}::INT AS distance FROM uniques a JOIN uniques b ON a.ordinal < b.ordinal WHERE {HAMMING} <= 4")
+def crowded_band_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Near pairs where a third of the hashes have one band in common, with a limit that makes such bands be cut."""
+    return dedup.hamming_pairs(dedup.distinct_hashes(crowded_hashes(spark, d)), 4, hot=100)
+
+
 @query(f"WITH {SQL_DOCS} SELECT id, class, rank FROM (SELECT id, class, row_number() OVER (PARTITION BY class ORDER BY md5(id::VARCHAR || ':1234'), id) AS rank FROM recs) WHERE rank <= 60")
 def sample_per_class(spark: SparkSession, d: str) -> DataFrame:
     return splitting.sample_per_class(document_records(spark, d), 60, 1234).select("id", "class", "rank")

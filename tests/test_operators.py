@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import augment, calibration, curation, dedup, metrics, splitting
+from millrace.operators import augment, calibration, curation, dedup, metrics, numbering, quantiles, splitting
 from millrace.plans.bindings import document_records, hashes, logits, order_records, scored
 from millrace.sources import images as sources
 from millrace.streaming import curation as streams
@@ -28,6 +28,63 @@ def test_equal_hashes_make_no_pairs(spark):
     assert dedup.exact_duplicates(items).where("kept").count() == 2
 
 
+def in_order(rows, most):
+    """The sequential rule, item by item."""
+    kept = []
+    for o, h in rows:
+        if all((h ^ k).bit_count() > most for _, k in kept):
+            kept.append((o, h))
+    return {o for o, _ in kept}
+
+
+def hash_table(spark, rows):
+    return spark.createDataFrame([(o, h - 2**64 if h >> 63 else h) for o, h in rows], "ordinal long, h long")
+
+
+def test_a_chain_of_5000_near_hashes(spark):
+    rng = np.random.default_rng(3)
+    h, rows = 5, []
+    for i in range(5000):
+        rows.append((i, h))
+        for b in rng.choice(64, 4, replace=False).tolist():
+            h ^= 1 << b
+    rows = sorted({h: (o, h) for o, h in reversed(rows)}.values())
+    assert {r.ordinal for r in dedup.greedy_dedup(hash_table(spark, rows), 4).collect()} == in_order(rows, 4)
+
+
+@pytest.mark.parametrize("hot, task_edges", [(20_000, 40), (6, 40), (6, 10_000)])
+def test_components_blocks_and_stretches_give_the_sequential_answer(spark, hot, task_edges):
+    rng = np.random.default_rng(7)
+    walk = [(i, 1 << 40 | ((1 << 3 * i) - 1)) for i in range(12)]
+    crowd = [(100 + i, 0xABC << 52 | int(x)) for i, x in enumerate(rng.integers(0, 1 << 14, 150))]
+    rows = sorted({h: (o, h) for o, h in reversed(walk + crowd)}.values())
+    items = hash_table(spark, rows)
+    assert {r.ordinal for r in dedup.greedy_dedup(items, 4, hot=hot, task_edges=task_edges).collect()} == in_order(rows, 4)
+    for mode in ("exact", "prefix"):
+        found = sorted(tuple(r) for r in dedup.hamming_pairs(items, 4, mode, hot=hot).collect())
+        near = lambda a, b: (a ^ b).bit_count() <= 4 and (mode == "exact" or (a >> 52 ^ b >> 52).bit_count() <= 1)
+        assert found == [(o, p, (a ^ b).bit_count()) for i, (o, a) in enumerate(rows) for p, b in rows[i + 1 :] if near(a, b)]
+
+
+def test_numbers_and_percentiles_by_class(spark):
+    rng = np.random.default_rng(1)
+    data = [(i, [None, "a", "b", "b", "b"][i % 5], float(rng.integers(0, 9)) if i % 7 else None) for i in range(300)]
+    rows = spark.createDataFrame(data, "id long, class string, v double")
+    nth = {r.id: (r["class"], r.n) for r in numbering.dense_numbers(rows, ["id"], "n", by=["class"]).collect()}
+    expected, seen = {}, {}
+    for i, c, _ in data:
+        expected[i] = (c, seen.setdefault(c, 0))
+        seen[c] += 1
+    assert nth == expected
+    assert [r.n for r in numbering.dense_numbers(rows, [F.desc("id")], "n").orderBy("id").collect()] == list(range(299, -1, -1))
+    found = {r["class"]: (r.low, r.mid) for r in quantiles.percentiles_by(rows, ["class"], F.col("v"), [0.1, 0.5], ["low", "mid"]).collect()}
+    for c in (None, "a", "b"):
+        assert np.allclose(found[c], np.percentile([v for _, k, v in data if k == c and v is not None], [10, 50]))
+    empty = quantiles.percentiles_by(rows.withColumn("v", F.lit(None).cast("double")), ["class"], F.col("v"), [0.5], ["mid"]).collect()
+    assert {(r["class"], r.mid) for r in empty} == {(None, None), ("a", None), ("b", None)}
+    assert numbering.dense_numbers(rows.where("false"), ["id"], "n").count() == 0 == quantiles.percentiles_by(rows.where("false"), ["class"], F.col("v"), [0.5], ["mid"]).count()
+
+
 @pytest.mark.parametrize("n, expected", [(1, (0, 0)), (2, (0, 0)), (3, (0, 0)), (9, (1, 1)), (10, (1, 2)), (11, (1, 2)), (100, (10, 15))])
 def test_split_sizes(spark, n, expected):
     t, v = splitting.split_sizes(F.lit(n).cast("long"), 0.15, 0.10)
