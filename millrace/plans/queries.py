@@ -8,10 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..durable import shared_dir
+from ..durable import materialise, shared_dir
 from ..functions import geometry, hashing, labels, scores
 from ..operators import audit, augment, calibration, curation, dedup, metrics, numbering, quantiles, splitting
-from ..sources import images
+from ..sources import folders, images
 from .bindings import SQL_CHAINS, SQL_CROWDED, SQL_DOCS, SQL_HASHES, SQL_LOGITS, SQL_RECORDS, SQL_SPLIT, chain_hashes, crowded_hashes, document_records, hashes, logits, order_records, scored, sql_scored, table
 
 QUERIES: dict = {}
@@ -648,6 +648,65 @@ def logits_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("id", "label", F.transform("logits", lambda x: F.round(x, 6)).alias("logits"))
 
 
+def drawn_rasters(spark: SparkSession, d: str) -> DataFrame:
+    """(id, class, split, height, width, pixels): the embeddings as 8 x 8 gray images of few, smooth grays, which a JPEG keeps nearly as they are."""
+    gray = F.transform("embedding", lambda v: F.least(F.greatest(F.floor((v.cast("double") + 1) * 8) * 16, F.lit(0)), F.lit(255)).cast("int"))
+    pixels = F.unhex(F.array_join(F.transform(gray, lambda p: F.lpad(F.hex(p), 2, "0")), ""))
+    split = F.when(F.col("vec_id") % 10 < 7, "train").when(F.col("vec_id") % 10 < 9, "val").otherwise("test")
+    return table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.concat(F.lit("c"), F.col("label")).alias("class"), split.alias("split"), F.lit(8).alias("height"), F.lit(8).alias("width"), pixels.alias("pixels"), gray.alias("gray"))
+
+
+SQL_RASTERS = """rasters AS (SELECT vec_id AS id, 'c' || label AS class, CASE WHEN vec_id % 10 < 7 THEN 'train' WHEN vec_id % 10 < 9 THEN 'val' ELSE 'test' END AS split,
+  list_transform(embedding, lambda v: least(greatest(floor((v::DOUBLE + 1) * 8) * 16, 0), 255)::INT) AS gray FROM embeddings),
+files AS (SELECT *, format('{}_{}_{:05d}', class, split, row_number() OVER (PARTITION BY class, split ORDER BY id) - 1) AS stem FROM rasters)"""
+
+
+@query(f"WITH {SQL_RASTERS} SELECT id, stem, split, class, 8 AS height, 8 AS width, true AS close FROM files")
+def jpeg_files(spark: SparkSession, d: str) -> DataFrame:
+    """Numbered JPEG files as the sink wrote them, decoded by Spark's own reader and held against the rasters that they were made of."""
+    records = curation.numbered(drawn_rasters(spark, d).withColumn("ordinal", F.col("id")))
+    path = fresh_path(spark, "jpeg")
+    folders.write_jpeg_files(records, path)
+    read = images.read_images(spark, path, recursive=True).select("stem", F.regexp_extract("path", r"/([^/]+)/[^/]+/[^/]+$", 1).alias("split"), F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("class"), "height", "width", "data")
+    byte = F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.conv(F.hex(F.substring(F.col("data"), i, F.lit(1))), 16, 10).cast("int"))
+    both = read.join(records.select(F.expr("substring_index(file, '.', 1)").alias("stem"), "id", "gray"), "stem")
+    off = F.aggregate(F.zip_with(byte, F.col("gray"), lambda x, y: F.abs(x - y)), F.lit(0), lambda m, x: F.greatest(m, x))
+    return both.select("id", "stem", "split", "class", "height", "width", (off <= 12).alias("close"))
+
+
+@query(f"WITH {SQL_RASTERS}, known AS (SELECT DISTINCT class FROM rasters) SELECT stem, split, files.class, 8 AS height, 8 AS width, dense_rank() OVER (ORDER BY files.class) - 1 AS label FROM files WHERE split = 'val'")
+def labelled_split(spark: SparkSession, d: str) -> DataFrame:
+    """One split of a folder of classes, by the data source that lists only that split's folders, with labels in class order and sizes from the files' heads."""
+    path = fresh_path(spark, "folders")
+    folders.write_jpeg_files(curation.numbered(drawn_rasters(spark, d).withColumn("ordinal", F.col("id"))), path)
+    found = folders.with_sizes(folders.read_image_folders(spark, path, splits=["val"])).drop("label", "content")
+    names = numbering.dense_numbers(found.select("class").distinct(), ["class"], "label")
+    return found.join(names, "class").select("stem", "split", "class", "height", "width", "label")
+
+
+#: Label texts of a detection set made of order lines, one line for each of an order's first lines.
+DETECTION_LINES = "array_join(transform(array_sort(collect_list(struct(l_linenumber AS n, {line} AS line))), x -> x.line), chr(10))"
+
+
+@query(f"""WITH {SQL_BOXES}, i AS (SELECT doc_id AS stem FROM documents WHERE doc_id % 3 > 0),
+f AS (SELECT DISTINCT o AS stem FROM lines), j AS (SELECT i.stem, f.stem IS NOT NULL AS has_label, l, cls FROM i LEFT JOIN f USING (stem) LEFT JOIN parsed ON parsed.o = i.stem),
+r AS (SELECT CASE WHEN NOT has_label THEN 'no_label' WHEN cls NOT IN (0, 2, 4) THEN 'unknown_class' ELSE 'gated' END AS reason FROM j WHERE NOT has_label OR l IS NOT NULL)
+SELECT reason, count(*) AS n FROM r GROUP BY 1""")
+def detection_set(spark: SparkSession, d: str) -> DataFrame:
+    """A detection set written as files, read by the data source and met with its class map: reasons of its label lines."""
+    texts = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.expr(DETECTION_LINES.format(line=label_line())).alias("label"))
+    pictures = table(spark, d, "documents").where("doc_id % 3 > 0").select("doc_id").join(texts, "doc_id", "left")
+    split = F.when(F.col("doc_id") % 10 < 8, "train").otherwise("valid")
+    gray = F.unhex(F.repeat(F.lpad(F.hex(F.col("doc_id") % 256), 2, "0"), 64))
+    path = fresh_path(spark, "detection")
+    folders.write_jpeg_files(pictures.select(F.format_string("%d.jpg", "doc_id").alias("file"), split.alias("split"), F.lit(8).alias("height"), F.lit(8).alias("width"), gray.alias("pixels"), "label"), path, layout="detection")
+    read = materialise(folders.with_sizes(folders.read_image_folders(spark, path, "detection", dataset="set")), "detection")
+    names = spark.createDataFrame([("set", 0, "1000"), ("set", 1, "koin"), ("set", 2, "5k"), ("set", 4, "seratus")], "dataset string, cls int, name string")
+    found = curation.reason()
+    gated = F.when(found.isNull() | (found == "too_small"), "gated").otherwise(found)
+    return curation.label_rows(read.select("dataset", "split", "stem", "height", "width"), folders.label_lines(read), names).select(gated.alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
 @query("SELECT vec_id AS id, (label % 7)::VARCHAR AS class, length(embedding) AS n FROM embeddings WHERE vec_id % 2 = 1 AND label % 7 = 3")
 def crops_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Crops in folders by split and class, of which a reader opens one."""

@@ -1,11 +1,14 @@
 """Invariants and differential tests of the curation operators."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.functions.jpeg import encode_jpeg, image_size
 from millrace.operators import augment, calibration, curation, dedup, metrics, numbering, quantiles, splitting
 from millrace.plans.bindings import document_records, hashes, logits, order_records, scored
+from millrace.sources import folders
 from millrace.sources import images as sources
 from millrace.streaming import curation as streams
 
@@ -258,3 +261,65 @@ def test_stream_dedup(spark, tmp_path):
         assert spark.table("deduped").count() == 2
     finally:
         q.stop()
+
+
+def smooth_rows():
+    y, x = np.mgrid[0:37, 0:53]
+    colour = np.stack([np.sin(x / 9) * 100 + 128, y * 6, (x + y) * 2], axis=2).astype(np.uint8)
+    rasters = [colour, colour[..., 0], np.full((1, 1, 3), 200, np.uint8), np.zeros((8, 8), np.uint8), np.random.default_rng(1).integers(0, 256, (16, 24), dtype=np.uint8)]
+    return [(f"i{k}.jpg", ["train", "val", None][k % 3], "a", r.shape[0], r.shape[1], bytearray(r.tobytes()), None if k % 2 else "0 0.5 0.5 0.6 0.6\n") for k, r in enumerate(rasters)]
+
+
+def test_jpeg_files_are_read_by_spark(spark, tmp_path):
+    rows = [*smooth_rows(), ("none.jpg", "train", "a", 1, 1, None, None)]
+    records = spark.createDataFrame(rows, "file string, split string, class string, height int, width int, pixels binary, label string")
+    path = f"{tmp_path}/set"
+    folders.write_jpeg_files(records, path)
+    found = {r.stem: r for r in sources.read_images(spark, path, recursive=True).collect()}
+    assert len(found) == 5
+    for file, _, _, h, w, pixels, _ in rows[:4]:
+        r = found[file[:-4]]
+        raster = sources.to_raster(r.data, r.height, r.width, r.n_channels)
+        assert np.abs(raster.astype(int) - np.frombuffer(bytes(pixels), np.uint8).reshape(raster.shape)).max() <= 6
+    assert "5 files, 1 rows" in (tmp_path / "set/_SUCCESS").read_text() and not list((tmp_path / "set").glob("_temporary*"))
+    read = folders.with_sizes(folders.read_image_folders(spark, path, splits=["train", "gone"]))
+    assert {(r.split, r["class"], r.stem, r.height, r.width) for r in read.collect()} == {("train", "a", f[:-4], h, w) for f, s, _, h, w, p, _ in rows if s == "train" and p}
+    assert folders.read_image_folders(spark, path, classes=["b"]).count() == 0 == folders.read_image_folders(spark, f"{path}/none").count()
+    every = folders.read_image_folders(spark, path, "classes", shards=3)
+    # Filters don't change what the table is.
+    assert every.where("class = 'val'").count() == 2 and every.count() == 5 and every.where("class = 'train'").count() == 2
+    folders.write_jpeg_files(records.where("split = 'train'"), path, layout="detection")
+    detection = folders.read_image_folders(spark, path, "detection", dataset="d", contents=False)
+    assert sorted((r.dataset, r.split, r.stem, r.label) for r in detection.collect()) == [("d", "train", "i0", "0 0.5 0.5 0.6 0.6\n"), ("d", "train", "i3", None)]
+    assert [tuple(r) for r in folders.label_lines(detection).collect()] == [("d", "train", "i0", 0, "0 0.5 0.5 0.6 0.6")]
+    with pytest.raises(Exception, match="not the name"):
+        folders.write_jpeg_files(records.withColumn("file", F.lit("../x.jpg")), path)
+
+
+def test_a_task_that_runs_again_leaves_one_file_per_row(tmp_path):
+    names = ["file", "split", "class", "height", "width", "pixels", "label"]
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in smooth_rows()])
+    writer = folders.JpegWriter({"path": f"{tmp_path}/out"}, overwrite=True)
+
+    def broken():
+        yield batch.slice(0, 3)
+        raise OSError("lost")
+
+    with pytest.raises(OSError):
+        writer.write(broken())
+    first = writer.write(iter([batch]))
+    again = writer.write(iter([batch]))
+    assert first == again == folders.WrittenFiles(5, 0)
+    writer.commit([again, None])
+    files = [p for p in (tmp_path / "out").rglob("*") if p.is_file()]
+    assert sorted(p.name for p in files) == ["_SUCCESS", *(f"i{k}.jpg" for k in range(5))]
+    assert all(image_size(p.read_bytes()) == (r[3], r[4]) for p, r in zip(sorted(p for p in files if p.suffix), sorted(smooth_rows(), key=lambda r: (r[1] or "")) ) if p.name == r[0])
+    folders.JpegWriter({"path": f"{tmp_path}/out"}, overwrite=True).abort([])
+    assert not any((tmp_path / "out").iterdir())
+
+
+def test_heads_of_files():
+    assert image_size(b"") is None and image_size(b"\xff\xd8\xff") is None and image_size(b"no image") is None
+    assert image_size(encode_jpeg(np.zeros((3, 5), np.uint8))) == (3, 5)
+    with pytest.raises(ValueError):
+        encode_jpeg(np.zeros((0, 5), np.uint8))
