@@ -4,15 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
+from .jpeg import BRIGHTNESS_STEPS, steps
 from .rasters import as_bytes, gaussian_blur, gray, resize_bilinear
 
-# The luminance table of the JPEG standard at quality 50.
-JPEG_LUMA = np.array([
-    [16, 11, 10, 16, 24, 40, 51, 61], [12, 12, 14, 19, 26, 58, 60, 55], [14, 13, 16, 24, 40, 57, 69, 56], [14, 17, 22, 29, 51, 87, 80, 62],
-    [18, 22, 37, 56, 68, 109, 103, 77], [24, 35, 55, 64, 81, 104, 113, 92], [49, 64, 78, 87, 103, 121, 120, 101], [72, 92, 95, 98, 112, 100, 103, 99],
-])
-
-
 def take(image: np.ndarray, cover: np.ndarray, y: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pixels and cover at fractional source coordinates, by two weights each way; nothing comes from outside."""
     h, w = cover.shape
@@ -141,7 +135,7 @@ def marks(image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     return as_bytes(image * (1 - weight) + ink * weight)
 
 
-def wear(image: np.ndarray, rng: np.random.Generator, crumples: float = 0.35, creases: float = 0.5, marked: float = 0.35) -> np.ndarray:
+def wear(image: np.ndarray, rng: np.random.Generator, crumples: float = 0.55, creases: float = 0.55, marked: float = 0.30) -> np.ndarray:
     """Crumples, then folds, then marks, each by its own chance."""
     for chance, step in ((crumples, crumple), (creases, crease), (marked, marks)):
         if rng.random() < chance:
@@ -182,9 +176,9 @@ def _convolved(image: np.ndarray, kernel: np.ndarray) -> np.ndarray:
     return as_bytes(sum(kernel[i, j] * wide[i : i + h, j : j + w] for i, j in zip(*np.nonzero(kernel))) / kernel.sum())
 
 
-def motion_blur(image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """The mean along a short line."""
-    r, a = int(rng.integers(1, 4)), rng.uniform(0, np.pi)
+def motion_blur(image: np.ndarray, rng: np.random.Generator, least: int = 1, most: int = 3) -> np.ndarray:
+    """The mean along a short line, of one pixel and ``least`` to ``most`` on both sides."""
+    r, a = int(rng.integers(least, most + 1)), rng.uniform(0, np.pi)
     kernel, along = np.zeros((2 * r + 1, 2 * r + 1)), np.linspace(-r, r, 4 * r + 1)
     kernel[np.rint(r + along * np.sin(a)).astype(int), np.rint(r + along * np.cos(a)).astype(int)] = 1
     return _convolved(image, kernel)
@@ -207,8 +201,7 @@ def sensor_noise(image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
 
 def jpeg_blocks(image: np.ndarray, quality: int) -> np.ndarray:
     """What rounding the cosine coefficients of 8 x 8 blocks leaves of an image."""
-    scale = (5000 / quality if quality < 50 else 200 - 2 * quality) / 100
-    table = np.clip(np.floor(JPEG_LUMA * scale + 0.5), 1, 255)
+    table = steps(BRIGHTNESS_STEPS, quality).reshape(8, 8)
     k = np.arange(8)
     basis = np.cos(np.pi * (2 * k[None, :] + 1) * k[:, None] / 16) * np.where(k[:, None] == 0, np.sqrt(1 / 8), 0.5)
     h, w = image.shape[:2]

@@ -74,3 +74,8 @@ def parse_label_line(line: Column) -> Column:
     shaped = box | ((n >= 6) & (n % 2 == 0))
     wide = (x1 - x0 >= 1e-4) & (y1 - y0 >= 1e-4)
     return F.when(usable & shaped & wide, F.struct(class_id.alias("cls"), x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1")))
+
+
+def lookup(entries: Column, key: Column, default: Column) -> Column:
+    """The value of a key in a map, or a default where the map is null or has no such key."""
+    return F.coalesce(F.try_element_at(entries, key), default)

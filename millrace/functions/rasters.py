@@ -67,21 +67,41 @@ def as_bytes(image: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(image), 0, 255).astype(np.uint8)
 
 
+def grays(images: np.ndarray, order: str = "rgb") -> np.ndarray:
+    """Gray images (n, h, w) of a stack of equal size, gray (n, h, w) or coloured (n, h, w, channels)."""
+    return images.astype(np.float64) if images.ndim == 3 else images[..., :3].astype(np.float64) @ (GRAY if order == "rgb" else GRAY[::-1])
+
+
+#: Rows of the cosine transform of 32 values that a hash uses.
+_LOW = np.sqrt(2 / 32) * np.cos(np.pi * (2 * np.arange(32)[None, :] + 1) * np.arange(8)[:, None] / 64) * np.where(np.arange(8)[:, None] == 0, np.sqrt(0.5), 1)
+
+
+def perceptual_hashes(gray_images: np.ndarray) -> np.ndarray:
+    """64 bits each, signed: the low 8 x 8 cosine coefficients over the median of those without first row and column.
+
+    Shrinking to 32 x 32 by areas and the transform are both linear, so each side is one matrix for the whole stack.
+    """
+    down, across = (_LOW @ _spread(n, 32) for n in gray_images.shape[1:])
+    low = down @ gray_images @ across.T
+    middle = np.median(low[:, 1:, 1:].reshape(len(low), -1), axis=1)
+    bits = np.packbits((low > middle[:, None, None]).reshape(len(low), -1), axis=1)
+    return np.ascontiguousarray(bits).view(">i8").ravel().astype(np.int64)
+
+
+def blur_scores(gray_images: np.ndarray) -> np.ndarray:
+    """Variance of the Laplacian of each; the border is mirrored without its edge pixel."""
+    g = np.pad(gray_images, ((0, 0), (1, 1), (1, 1)), mode="reflect" if min(gray_images.shape[1:]) > 1 else "edge")
+    return (g[:, :-2, 1:-1] + g[:, 2:, 1:-1] + g[:, 1:-1, :-2] + g[:, 1:-1, 2:] - 4 * g[:, 1:-1, 1:-1]).var(axis=(1, 2))
+
+
 def perceptual_hash(image: np.ndarray, order: str = "rgb") -> int:
-    """64 bits, signed: the low 8 x 8 cosine coefficients over the median of those without first row and column."""
-    n = 32
-    k = np.arange(n)
-    basis = np.sqrt(2 / n) * np.cos(np.pi * (2 * k[None, :] + 1) * k[:, None] / (2 * n))
-    basis[0] /= np.sqrt(2)
-    low = (basis @ resize_area(gray(image, order), n, n) @ basis.T)[:8, :8]
-    bits = np.packbits((low > np.median(low[1:, 1:])).ravel())
-    return int.from_bytes(bits.tobytes(), "big", signed=True)
+    """:func:`perceptual_hashes` of one image."""
+    return int(perceptual_hashes(gray(image, order)[None])[0])
 
 
 def blur_score(image: np.ndarray, order: str = "rgb") -> float:
-    """Variance of the Laplacian; the border is mirrored without its edge pixel."""
-    g = np.pad(gray(image, order), 1, mode="reflect" if min(image.shape[:2]) > 1 else "edge")
-    return float((g[:-2, 1:-1] + g[2:, 1:-1] + g[1:-1, :-2] + g[1:-1, 2:] - 4 * g[1:-1, 1:-1]).var())
+    """:func:`blur_scores` of one image."""
+    return float(blur_scores(gray(image, order)[None])[0])
 
 
 def brightness(image: np.ndarray) -> tuple[float, float]:
@@ -137,23 +157,3 @@ def decolor(image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
 
 def gray_stress(image: np.ndarray) -> np.ndarray:
     return as_bytes(np.repeat(gray(image)[..., None], 3, axis=2))
-
-
-def hard_stress(image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Low detail, blur and noise at once."""
-    h, w = image.shape[:2]
-    low = resize_bilinear(resize_area(image, max(2, h // 4), max(2, w // 4)), h, w)
-    return as_bytes(gaussian_blur(low, 1.2) + rng.normal(0, 10, image.shape))
-
-
-def quick_augment(image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """The light augmentation: half a turn, brightness and contrast, a zoomed crop."""
-    if rng.random() < 0.5:
-        image = image[::-1, ::-1]
-    image = as_bytes((image.astype(np.float64) - 128) * rng.uniform(0.8, 1.2) + 128 + rng.uniform(-25, 25))
-    if rng.random() < 0.5:
-        h, w = image.shape[:2]
-        ch, cw = max(1, int(h * 0.85)), max(1, int(w * 0.85))
-        y, x = rng.integers(0, h - ch + 1), rng.integers(0, w - cw + 1)
-        image = as_bytes(resize_bilinear(image[y : y + ch, x : x + cw], h, w))
-    return image

@@ -16,8 +16,12 @@ from .rasters import as_bytes, gaussian_blur, resize_area, resize_bilinear
 CANVAS_ASPECTS = [(9.0, 19.5, 0.26), (9.0, 16.0, 0.20), (3.0, 4.0, 0.16), (1.0, 1.0, 0.12), (4.0, 3.0, 0.16), (16.0, 9.0, 0.10)]
 #: Spread of the canvas size, its least side, and the deviation of a position as a share of the free room.
 JITTER, LEAST_SIDE, DRIFT = 0.15, 64, 0.2
+#: How much larger than needed a picture may be drawn as a ground.
+ZOOM = 1.4
+# Colours of made grounds (skin, wood, tiles, asphalt, cloth, walls, paper).
+GROUND_COLOURS = [(206, 170, 140), (150, 110, 84), (120, 84, 56), (196, 196, 190), (96, 98, 102), (48, 50, 58), (176, 186, 168), (222, 214, 198)]
 #: Uniform numbers that one plan takes.
-DRAWS = 7
+DRAWS = 8
 
 
 class Plan(NamedTuple):
@@ -94,27 +98,31 @@ def lay(image: np.ndarray, cover: np.ndarray, where: Plan, ground: np.ndarray, s
 
 
 def ground_from(picture: np.ndarray, where: Plan, u: np.ndarray) -> np.ndarray:
-    """A window of a picture, as large as fits the canvas's shape, at a place that two uniform numbers choose."""
-    step = min(picture.shape[0] / where.height, picture.shape[1] / where.width)
+    """A window of a picture in the canvas's shape: its place by two uniform numbers, and by a third how much smaller it is than what would fit."""
+    step = min(picture.shape[0] / where.height, picture.shape[1] / where.width) / (1 + (ZOOM - 1) * u[2])
     rows, columns = max(1, int(where.height * step)), max(1, int(where.width * step))
     top, left = int((picture.shape[0] - rows) * u[0]), int((picture.shape[1] - columns) * u[1])
-    return as_bytes(resize_bilinear(picture[top : top + rows, left : left + columns], where.height, where.width))
+    window = picture[top : top + rows, left : left + columns]
+    return as_bytes((resize_area if rows >= where.height and columns >= where.width else resize_bilinear)(window, where.height, where.width))
 
 
 def made_ground(where: Plan, rng: np.random.Generator) -> np.ndarray:
-    """A ground for when there is no picture: a colour that changes across, tiles' joints at times, and noise of two sizes."""
-    yy, xx = np.mgrid[0:1:where.height * 1j, 0:1:where.width * 1j]
+    """A ground for when there is no picture: one of a few colours in some light, brighter to one side, mottled, at times with joints of tiles or boards, and grainy."""
+    h, w = where.height, where.width
+    light = np.full((h, w), rng.uniform(0.55, 1.25))
     turn = rng.uniform(0, 2 * np.pi)
-    blend = np.clip(0.5 + (xx - 0.5) * np.cos(turn) + (yy - 0.5) * np.sin(turn), 0, 1)[..., None]
-    palette = rng.uniform(20, 235, (2, 3))
-    out = palette[0] + blend * (palette[1] - palette[0])
-    if rng.random() < 0.35:
-        pitch = rng.integers(24, 120)
-        joints = (np.arange(where.height)[:, None] % pitch < 2) | (np.arange(where.width)[None, :] % pitch < 2)
-        out[joints] *= rng.uniform(0.6, 0.9)
-    cells = rng.integers(3, 10)
-    out += rng.uniform(4, 20) * resize_bilinear(rng.normal(0, 1, (cells, cells, 3)), where.height, where.width)
-    return as_bytes(out + rng.normal(0, 4, out.shape))
+    slope = np.add.outer(np.linspace(0, np.sin(turn), h), np.linspace(0, np.cos(turn), w))
+    light *= 1 + rng.uniform(0.15, 0.55) * ((slope - slope.min()) / max(1e-6, np.ptp(slope)) - 0.5)
+    cells = int(rng.integers(3, 12))
+    mottle = resize_bilinear(rng.uniform(-1, 1, (cells, cells)), h, w)
+    light *= 1 + rng.uniform(0.08, 0.30) * mottle / max(1e-6, np.abs(mottle).max())
+    if rng.random() < 0.30:
+        upright, short = bool(rng.integers(2)), min(h, w)
+        pitch = int(rng.integers(max(12, short // 8), max(20, short // 2)))
+        joint = (np.arange(w if upright else h) + rng.integers(pitch)) % pitch < rng.integers(1, 4)
+        light[(slice(None), joint) if upright else joint] *= rng.uniform(0.55, 0.88)
+    colour = np.array(GROUND_COLOURS[int(rng.integers(len(GROUND_COLOURS)))], dtype=np.float64)
+    return as_bytes(light[..., None] * colour + rng.normal(0, rng.uniform(1.5, 7.0), (h, w, 3)))
 
 
 class Framer:

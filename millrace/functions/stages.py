@@ -72,3 +72,42 @@ def one_stage_augment(image: np.ndarray, rng: np.random.Generator, strength: str
 def scene_evaluation(image: np.ndarray, scale: float = 0.38) -> np.ndarray:
     """A scene for evaluation: its choices depend on the pixels alone."""
     return scenes.Framer().compose(*scenes.with_margins(image), generator("scene", int(image.sum())), scale, scale)
+
+
+# The light fallback's reach of brightness, contrast, saturation and hue (in degrees), and its least crop.
+QUICK = {"brightness": 45.0, "contrast": (0.65, 1.35), "saturation": (0.7, 1.3), "hue": 8.0, "crop": 0.8}
+# Chances of the hard degrade's steps, the reach of its light and contrast, and of its artefacts of compression.
+HARD = {"perspective": 0.8, "wear": (0.8, 0.8, 0.4), "light": 0.9, "colour": 0.7, "motion": 0.6, "jpeg": 0.7, "darker": (-0.40, -0.10), "flatter": (-0.25, 0.0), "quality": (25, 55)}
+
+
+def hard_stress(image: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """A clean image as a worn note in a dark room: tilted, worn, darker and paler, shaken and compressed, each but the wear by chance."""
+    cover = np.ones(image.shape[:2], dtype=np.float32)
+    if rng.random() < HARD["perspective"]:
+        image, _ = d.perspective(image, cover, rng)
+    image = d.wear(image, rng, *HARD["wear"])
+    if rng.random() < HARD["light"]:
+        image = as_bytes((image.astype(np.float64) - 128) * (1 + rng.uniform(*HARD["flatter"])) + 128 + 255 * rng.uniform(*HARD["darker"]))
+    if image.ndim == 3 and rng.random() < HARD["colour"]:
+        image = as_bytes(d.hue_shift(image, rng, share=0.08) * 0.94)
+    if rng.random() < HARD["motion"]:
+        image = d.motion_blur(image, rng, 2, 5)
+    return d.jpeg_blocks(image, int(rng.integers(HARD["quality"][0], HARD["quality"][1] + 1))) if rng.random() < HARD["jpeg"] else image
+
+
+def quick_augment(image: np.ndarray, rng: np.random.Generator, size: int = 224) -> np.ndarray:
+    """The light augmentation, without warps or wear: half a turn, brightness, contrast, saturation and hue, a square, and a zoomed crop of it."""
+    if rng.random() < 0.5:
+        image = image[::-1, ::-1]
+    moved = image.astype(np.float64) + rng.uniform(-QUICK["brightness"], QUICK["brightness"])
+    middle = moved.mean(axis=(0, 1))
+    moved = middle + (moved - middle) * rng.uniform(*QUICK["contrast"])
+    if image.ndim == 3:
+        low, high = QUICK["saturation"]
+        moved = d.hue_shift(as_bytes(moved), rng, QUICK["hue"], (high - low) / 2)
+    image = letterbox(as_bytes(moved), size)
+    if rng.random() < 0.5:
+        side = int(rng.integers(int(size * QUICK["crop"]), size + 1))
+        y, x = rng.integers(0, size - side + 1, 2)
+        image = as_bytes(resize_bilinear(image[y : y + side, x : x + side], size, size))
+    return image

@@ -6,32 +6,91 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import rasters
+from ..functions import rasters, scenes
 from ..sources.images import to_raster
 from .splitting import seeded_number, seeded_order
 
 FEATURES_SCHEMA = "path string, h long, blur double, brightness double"
 
 
+#: Pixels that are worked on as one stack.
+STACK_PIXELS = 1 << 22
+
+
 def image_features(images: DataFrame) -> DataFrame:
-    """(path, h, blur, brightness) of rows of images; unreadable ones give nulls."""
+    """(path, h, blur, brightness) of rows of images; unreadable ones give nulls.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Images of one size in an Arrow batch are one stack, and each kernel is a few matrix products over it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for path, h, w, c, data in zip(batch["path"], batch["height"], batch["width"], batch["n_channels"], batch["data"]):
-                if h is None or h < 1 or w < 1:
-                    rows.append((path, None, None, None))
-                    continue
-                image = to_raster(data, int(h), int(w), int(c))
-                rows.append((path, rasters.perceptual_hash(image), rasters.blur_score(image), float(rasters.gray(image).mean())))
-            out = pd.DataFrame(rows, columns=["path", "h", "blur", "brightness"])
-            yield out.assign(h=pd.array(out["h"].tolist(), dtype="Int64"))
+            sizes = np.stack([pc.fill_null(batch.column(c), 0).to_numpy() for c in ("height", "width", "n_channels")], axis=1)
+            found, features = np.full(len(sizes), False), np.zeros((len(sizes), 2))
+            hashes = np.zeros(len(sizes), dtype=np.int64)
+            data = batch.column("data")
+            for h, w, c in np.unique(sizes[(sizes > 0).all(axis=1)], axis=0).tolist():
+                rows = np.flatnonzero((sizes == (h, w, c)).all(axis=1))
+                for some in np.array_split(rows, -(-len(rows) * h * w // STACK_PIXELS)):
+                    stack = np.frombuffer(b"".join(data.take(pa.array(some)).to_pylist()), dtype=np.uint8).reshape(len(some), h, w, c)
+                    gray = rasters.grays(stack[..., 2::-1] if c >= 3 else stack[..., 0])
+                    found[some], hashes[some] = True, rasters.perceptual_hashes(gray)
+                    features[some] = np.stack([rasters.blur_scores(gray), gray.mean(axis=(1, 2))], axis=1)
+            columns = [pa.array(x, mask=~found) for x in (hashes, features[:, 0], features[:, 1])]
+            yield pa.RecordBatch.from_arrays([batch.column("path"), *columns], names=["path", "h", "blur", "brightness"])
+
+    return images.select("path", "height", "width", "n_channels", "data").mapInArrow(run, FEATURES_SCHEMA)
+
+
+def scene_plans(rows: DataFrame, key: Column, slots: int = 0, seed: int = 0, low: float = 0.28, high: float = 1.0, base: int = 640) -> DataFrame:
+    """Rows with ``u``, the uniform numbers of their scene, ``plan``, what is laid where, and ``slot``, the background that is drawn, null if there is none.
+
+    All of it follows from the key and the seed, by expressions alone.
+    """
+    u = F.array(*[uniform(key, F.lit(k), seed=seed) for k in range(scenes.DRAWS)])
+    slot = F.pmod(seeded_number(key, F.lit("ground"), seed=seed), F.lit(max(1, slots))).cast("int") if slots else F.lit(None).cast("int")
+    planned = rows.withColumn("u", u)
+    return planned.withColumn("plan", scenes.plan_columns(F.col("u"), low, high, base)).withColumn("slot", slot)
 
-    return images.select("path", "height", "width", "n_channels", "data").mapInPandas(run, FEATURES_SCHEMA)
+
+def compose_scenes(images: DataFrame, backgrounds: DataFrame, seed: int = 0, low: float = 0.28, high: float = 1.0, base: int = 640, per_group: int = 32) -> DataFrame:
+    """(path, width, height, pixels, error): each image (path, height, width, n_channels, data) on the scene that its path draws.
+
+    Scenes are planned first. Images that draw the same background (slot, height, width, pixels) then meet it in groups of about ``per_group``,
+    so a background travels once for a group and not once for an image, and no group grows with the data. Without
+    backgrounds, or where one is missing, the ground is made. An image that can't be read or laid gives null pixels and the error.
+    """
+    slots = backgrounds.count()
+    planned = scene_plans(images, F.col("path"), slots, seed, low, high, base)
+    parts = max(1, -(-images.count() // (per_group * max(1, slots))))
+    part = F.pmod(F.xxhash64(F.lit("part"), F.col("path")), F.lit(parts)).cast("int")
+    planned = planned.select("path", F.col("height").alias("h"), F.col("width").alias("w"), "n_channels", "data", "u", "plan", F.coalesce("slot", F.lit(-1)).alias("slot"), part.alias("part"))
+    grounds = backgrounds.select("slot", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.col("height").alias("gh"), F.col("width").alias("gw"), "pixels")
+
+    def lay(key: tuple, rows: pd.DataFrame, ground: pd.DataFrame) -> pd.DataFrame:
+        picture = None if ground.empty else np.frombuffer(ground["pixels"][0], dtype=np.uint8).reshape(int(ground["gh"][0]), int(ground["gw"][0]), 3)
+        out = []
+        for path, h, w, c, data, u, where in zip(*(rows[n] for n in ("path", "h", "w", "n_channels", "data", "u", "plan"))):
+            try:
+                if data is None or not h > 0:
+                    raise ValueError("unreadable")
+                image, place = to_raster(data, int(h), int(w), int(c)), scenes.Plan(**where)
+                image = image if image.ndim == 3 else np.repeat(image[..., None], 3, axis=2)
+                own = scenes.made_ground(place, rasters.generator(path, seed)) if picture is None else scenes.ground_from(picture, place, np.array(u[5:]))
+                done = scenes.lay(*scenes.with_margins(image), place, own)
+                out.append((path, done.shape[1], done.shape[0], np.ascontiguousarray(done).tobytes(), None))
+            except Exception as e:  # noqa: BLE001
+                out.append((path, None, None, None, f"{type(e).__name__}: {e}"))
+        done = pd.DataFrame(out, columns=["path", "width", "height", "pixels", "error"])
+        return done.assign(width=done["width"].astype("Int32"), height=done["height"].astype("Int32"))
+
+    both = planned.groupBy("slot", "part").cogroup(grounds.groupBy("slot", "part"))
+    return both.applyInPandas(lay, "path string, width int, height int, pixels binary, error string").where("path IS NOT NULL OR error IS NOT NULL")
 
 
 def transform_images(images: DataFrame, kernel: Callable[[np.ndarray, np.random.Generator], np.ndarray], seed: int = 0, size: int = 224) -> DataFrame:

@@ -104,3 +104,20 @@ def recall_drop(base: DataFrame, other: DataFrame, n: int = 7) -> DataFrame:
     one = class_report(base, n).select("class", F.col("recall").alias("base"))
     two = class_report(other, n).select("class", F.col("recall").alias("other"))
     return one.join(two, "class").withColumn("change", F.col("other") - F.col("base")).withColumn("worse", F.col("change") < -0.05)
+
+
+# What a client must do to an image before it asks a model.
+CONTRACT = {"resize": "letterbox, centred, filled with 0", "normalization": "x / 127.5 - 1", "channel_order": "RGB"}
+
+
+def export_summary(sizes: DataFrame, predicted: DataFrame, classes: list[str], img_size: int = 224) -> DataFrame:
+    """One row on the variants of a model: sizes (variant, size_mb), accuracy and recall by class of predictions (variant, label, pred, correct), the contract and the classes.
+
+    A variant without predictions has no entry among the evaluations.
+    """
+    recalls = predicted.groupBy("variant", "label").agg(F.avg(F.col("correct").cast("double")).alias("recall")).groupBy("variant").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("label", "recall")))).alias("recall"))
+    accuracies = predicted.groupBy("variant").agg(F.avg(F.col("correct").cast("double")).alias("accuracy"))
+    evaluated = accuracies.join(recalls, "variant").agg(F.map_from_entries(F.collect_list(F.struct("variant", F.struct("accuracy", "recall")))).alias("evaluation"))
+    sized = sizes.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("variant", "size_mb")))).alias("sizes_mb"))
+    contract = F.create_map(*[F.lit(x) for pair in CONTRACT.items() for x in pair])
+    return sized.crossJoin(evaluated).select("sizes_mb", "evaluation", F.lit(img_size).alias("img_size"), contract.alias("preprocessing_contract"), F.array(*map(F.lit, classes)).alias("classes"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..durable import materialise, shared_dir
-from ..functions import geometry, hashing, labels, scores
+from ..functions import geometry, hashing, labels, scenes, scores
 from ..operators import audit, augment, calibration, curation, dedup, metrics, numbering, quantiles, splitting
 from ..sources import folders, images
 from .bindings import SQL_CHAINS, SQL_CROWDED, SQL_DOCS, SQL_HASHES, SQL_LOGITS, SQL_RECORDS, SQL_SPLIT, chain_hashes, crowded_hashes, document_records, hashes, logits, order_records, scored, sql_scored, table
@@ -625,6 +625,41 @@ def image_features(spark: SparkSession, d: str) -> DataFrame:
     return augment.image_features(drawn).select("path", "h", F.round(F.col("blur") * 4096, 0).alias("blur_4096"), F.round(F.col("brightness") * 64, 0).alias("brightness_64"))
 
 
+SQL_UNIFORMS = ", ".join(sql_uniform("vec_id", f"'{k}'") for k in range(8))
+SQL_SHAPE = lambda k: "CASE " + " ".join(f"WHEN u[1] * {sum(w for *_, w in scenes.CANVAS_ASPECTS)!r} < {sum(w for *_, w in scenes.CANVAS_ASPECTS[: i + 1])!r} THEN {a[k] / max(a[:2])!r}::DOUBLE" for i, a in enumerate(scenes.CANVAS_ASPECTS[:-1])) + f" ELSE {scenes.CANVAS_ASPECTS[-1][k] / max(scenes.CANVAS_ASPECTS[-1][:2])!r}::DOUBLE END"
+
+
+@query(f"""WITH d AS (SELECT vec_id AS id, [{SQL_UNIFORMS}] AS u, {sql_number('vec_id', "'ground'", seed=0)} % 40 AS slot FROM embeddings),
+p AS (SELECT *, 640 * (0.85::DOUBLE + 0.3::DOUBLE * u[2]) AS longer, sqrt(-2 * ln(greatest(u[4], 1e-12))) AS r FROM d)
+SELECT id, greatest(64, round_even(longer * ({SQL_SHAPE(0)}), 0))::INT AS width, greatest(64, round_even(longer * ({SQL_SHAPE(1)}), 0))::INT AS height, round(0.28::DOUBLE + 0.72::DOUBLE * u[3], 6) AS share,
+  round(least(greatest(0.5 + 0.2 * r * cos(2 * pi() * u[5]), 0), 1), 6) AS across, round(least(greatest(0.5 + 0.2 * r * sin(2 * pi() * u[5]), 0), 1), 6) AS down, slot::INT AS slot FROM p""")
+def scene_plans(spark: SparkSession, d: str) -> DataFrame:
+    """What is laid where, and which of 40 backgrounds is drawn, for every embedding."""
+    planned = augment.scene_plans(table(spark, d, "embeddings"), F.col("vec_id"), 40)
+    return rounded(planned.select(F.col("vec_id").alias("id"), "plan.*", "slot"), "share", "across", "down")
+
+
+#: The embeddings as 64 x 64 gray images: each pixel is the product of two entries.
+SQL_DRAWN = """drawn AS (SELECT vec_id, list_transform(range(4096), lambda p: least(greatest(floor((embedding[p // 64 + 1]::DOUBLE * embedding[(7 * (p % 64) + 3) % 64 + 1]::DOUBLE * 16 + 1) * 127.5), 0), 255)) AS g FROM embeddings)"""
+
+
+@query(f"""WITH {SQL_DRAWN},
+m AS (SELECT k, i, sqrt(2 / 32.0::DOUBLE) * cos(pi() * (2 * i + 1) * k / 64) * CASE WHEN k = 0 THEN 1 / sqrt(2) ELSE 1 END AS w FROM range(8) a(k), range(32) b(i)),
+cells AS (SELECT vec_id, c // 32 AS y, c % 32 AS x, (g[128 * (c // 32) + 2 * (c % 32) + 1] + g[128 * (c // 32) + 2 * (c % 32) + 2] + g[128 * (c // 32) + 2 * (c % 32) + 65] + g[128 * (c // 32) + 2 * (c % 32) + 66]) / 4 AS v FROM drawn, range(1024) r(c)),
+half AS (SELECT vec_id, m.k, x, sum(w * v) AS v FROM cells JOIN m ON m.i = y GROUP BY ALL),
+coef AS (SELECT vec_id, half.k AS k, m.k AS l, sum(w * v) AS c FROM half JOIN m ON m.i = x GROUP BY ALL),
+middle AS (SELECT vec_id, median(c) AS c FROM coef WHERE k > 0 AND l > 0 GROUP BY 1),
+hash AS (SELECT vec_id, sum(CASE WHEN coef.c > middle.c THEN 1::HUGEINT << (63 - 8 * k - l)::INT ELSE 0 END)::HUGEINT AS h FROM coef JOIN middle USING (vec_id) GROUP BY 1)
+SELECT vec_id::VARCHAR AS path, CASE WHEN h >= 9223372036854775808::HUGEINT THEN h - 18446744073709551616::HUGEINT ELSE h END::BIGINT AS h, round(list_avg(g) * 4096, 0) AS brightness_4096 FROM drawn JOIN hash USING (vec_id)""")
+def image_features_64(spark: SparkSession, d: str) -> DataFrame:
+    """Hashes and brightness of images that are shrunk for it, in stacks of one size."""
+    e, p = F.transform("embedding", lambda v: v.cast("double")), F.sequence(F.lit(0), F.lit(4095))
+    gray = F.transform(p, lambda i: F.least(F.greatest(F.floor((F.col("e")[F.floor(i / 64).cast("int")] * F.col("e")[(7 * (i % 64) + 3) % 64] * 16 + 1) * 127.5), F.lit(0)), F.lit(255)).cast("int"))
+    data = F.unhex(F.array_join(F.transform(gray, lambda g: F.lpad(F.hex(g), 2, "0")), ""))
+    drawn = table(spark, d, "embeddings").select("vec_id", e.alias("e")).select(F.col("vec_id").cast("string").alias("path"), F.lit(64).alias("height"), F.lit(64).alias("width"), F.lit(1).alias("n_channels"), data.alias("data"))
+    return augment.image_features(drawn).select("path", "h", F.round(F.col("brightness") * 4096, 0).alias("brightness_4096"))
+
+
 MANIFEST_ROWS = "SELECT doc_id AS id, lang AS class, CASE WHEN doc_id % 10 < 7 THEN 'train' WHEN doc_id % 10 < 9 THEN 'val' ELSE 'test' END AS split, doc_id // 3 AS grp, n_chars AS w FROM documents WHERE lang IS NOT NULL"
 
 
@@ -756,6 +791,44 @@ def quantized_drop(spark: SparkSession, d: str) -> DataFrame:
     return rounded(metrics.variant_drop(rows, coarse), "base", "other", "fall", "worst_change")
 
 
+@query(f"""WITH {sql_scored()}, q AS (SELECT label, correct, list_position(list_transform(z, lambda x: round_even(x / 2, 0)), list_max(list_transform(z, lambda x: round_even(x / 2, 0)))) - 1 = label AS other FROM scored JOIN logits USING (id, label)),
+v AS (SELECT 'fp32' AS variant, label, correct FROM q UNION ALL SELECT 'int8', label, other FROM q), n AS (SELECT count(*) AS n FROM q)
+SELECT x.variant, round(n * 7 * x.bytes / 1e6, 6) AS size_mb, round(coalesce((SELECT avg(correct::INT) FROM v WHERE v.variant = x.variant), -1.0), 6) AS accuracy, round(coalesce((SELECT avg(correct::INT) FROM v WHERE v.variant = x.variant AND label = 3), -1.0), 6) AS recall_of_3,
+  'RGB' AS channel_order, 7 AS n_classes FROM n, (VALUES ('fp32', 8), ('fp16', 4), ('int8', 1)) x(variant, bytes)""")
+def export_summary(spark: SparkSession, d: str) -> DataFrame:
+    """The summary of a model's variants as its sink wrote it and as it is read, by look-ups in its maps; half precision has no evaluation."""
+    rows = scored(spark, d)
+    coarse = metrics.with_predictions(rows.withColumn("probs", F.transform("logits", lambda v: F.bround(v / 2, 0))))
+    both = rows.select(F.lit("fp32").alias("variant"), "label", "correct").unionByName(coarse.select(F.lit("int8").alias("variant"), "label", "correct"))
+    width = F.explode(F.array(*[F.struct(F.lit(n).alias("variant"), F.lit(b).alias("bytes")) for n, b in (("fp32", 8), ("fp16", 4), ("int8", 1))])).alias("w")
+    sizes = rows.agg(F.count("*").alias("n")).select("n", width).select("w.variant", (F.col("n") * 7 * F.col("w.bytes") / 1e6).alias("size_mb"))
+    path, made = fresh_path(spark, "export"), metrics.export_summary(sizes, both, [f"c{k}" for k in range(7)])
+    images.write_json(made, path)
+    read = spark.read.schema(made.schema).json(path).select("*", F.explode(F.map_keys("sizes_mb")).alias("variant"))
+    found = labels.lookup(F.col("evaluation"), F.col("variant"), F.lit(None))
+    recall = labels.lookup(found["recall"], F.lit(3), F.lit(-1.0))
+    size = labels.lookup(F.col("sizes_mb"), F.col("variant"), F.lit(0.0))
+    read = read.select("variant", size.alias("size_mb"), F.coalesce(found["accuracy"], F.lit(-1.0)).alias("accuracy"), recall.alias("recall_of_3"), labels.lookup(F.col("preprocessing_contract"), F.lit("channel_order"), F.lit("")).alias("channel_order"), F.size("classes").alias("n_classes"))
+    return rounded(read, "size_mb", "accuracy", "recall_of_3")
+
+
+@query(f"""WITH {sql_scored()}, g AS (SELECT avg((label = 0)::INT) AS stressed, (SELECT avg(correct::INT) FROM scored) AS clean FROM scored)
+SELECT round(clean, 6) AS clean, round(stressed, 6) AS stressed, round(clean - stressed, 6) AS gap, CASE WHEN clean - stressed > 0.20 THEN 'large' WHEN clean - stressed > 0.10 THEN 'moderate' ELSE 'small' END AS level FROM g""")
+def framing_gap(spark: SparkSession, d: str) -> DataFrame:
+    """The fall of accuracy on scenes, with the cut-offs for framing."""
+    rows = scored(spark, d)
+    return rounded(metrics.robustness_gap(rows, rows.withColumn("correct", F.col("label") == 0), "framing"), "clean", "stressed", "gap")
+
+
+@query(f"""WITH {SQL_HASHES}, r AS (SELECT ordinal AS id, h, class, ordinal % 5 = 0 AS held FROM hashes), s AS (SELECT *, row_number() OVER (PARTITION BY class, held ORDER BY md5(id::VARCHAR || ':1234'), id) AS rank FROM r),
+e AS (SELECT * FROM s WHERE held AND rank <= 60), l AS (SELECT count(*) AS leaked FROM e a WHERE EXISTS (SELECT 1 FROM s b WHERE NOT b.held AND b.rank <= 60 AND {HAMMING} <= 4))
+SELECT (SELECT count(*) FROM e) AS evaluated, leaked, round(100.0 * leaked / (SELECT count(*) FROM e), 6) AS percent FROM l""")
+def sampled_leakage(spark: SparkSession, d: str) -> DataFrame:
+    """Leakage of at most 60 records of each class, the sample that the audit compares by default."""
+    rows = hashes(spark, d).select(F.col("ordinal").alias("id"), "h", "class", F.when(F.col("ordinal") % 5 == 0, "test").otherwise("train").alias("split"))
+    return rounded(audit.leak_percentage(rows, 4), "percent")
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Calibration error, accuracy and the risk-coverage curve of the scores, in one table."""
     rows = scored(spark, d)

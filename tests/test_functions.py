@@ -117,7 +117,7 @@ def test_scene_plans_agree(spark):
     where = scenes.Plan(200, 100, 0.5, 0.5, 0.5)
     scene = scenes.lay(*scenes.with_margins(red), where, np.zeros((100, 200, 3), dtype=np.uint8), 0)
     assert scene.shape == (100, 200, 3) and scene[50, 100].tolist() == [255, 0, 0] and abs(int((scene[..., 0] > 127).sum()) - 100 * 50) < 400
-    ground = scenes.ground_from(np.random.default_rng(5).integers(0, 256, (300, 90, 3), dtype=np.uint8), where, np.array([0.3, 0.9]))
+    ground = scenes.ground_from(np.random.default_rng(5).integers(0, 256, (300, 90, 3), dtype=np.uint8), where, np.array([0.3, 0.9, 0.5]))
     assert ground.shape == (100, 200, 3)
 
 

@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.functions import rasters, stages
 from millrace.functions.jpeg import encode_jpeg, image_size
 from millrace.operators import augment, calibration, curation, dedup, metrics, numbering, quantiles, splitting
 from millrace.plans.bindings import document_records, hashes, logits, order_records, scored
@@ -263,6 +264,45 @@ def test_stream_dedup(spark, tmp_path):
         q.stop()
 
 
+def test_scenes_of_many_images_on_few_grounds(spark):
+    rng = np.random.default_rng(2)
+    rows = [(f"p{i}", 20, 30, 3, bytearray(rng.integers(0, 256, (20, 30, 3), dtype=np.uint8).tobytes())) for i in range(40)] + [("gray", 9, 9, 1, bytearray(range(81))), ("bad", -1, -1, 0, None)]
+    images = spark.createDataFrame(rows, "path string, height int, width int, n_channels int, data binary")
+    grounds = spark.createDataFrame([(k, 50, 40, bytearray([10 + 200 * k]) * 6000) for k in range(2)], "slot int, height int, width int, pixels binary")
+    planned = {r.path: r for r in augment.scene_plans(images, F.col("path"), 2, base=100).collect()}
+    one, other = (sorted(map(tuple, augment.compose_scenes(images, grounds, base=100, per_group=n).collect()), key=lambda r: r[0]) for n in (3, 1000))
+    assert one == other and len(one) == 42
+    for path, w, h, pixels, error in one:
+        plan = planned[path].plan
+        if path == "bad":
+            assert (w, h, pixels) == (None, None, None) and "unreadable" in error
+        else:
+            assert (w, h, error) == (plan.width, plan.height, None) and len(pixels) == w * h * 3
+            corner = np.frombuffer(bytes(pixels), np.uint8).reshape(h, w, 3)
+            assert 10 + 200 * planned[path].slot in corner
+    made = augment.compose_scenes(images.limit(3), grounds.where("false"), base=80).collect()
+    assert len(made) == 3 and all(r.error is None for r in made)
+
+
+def test_stacks_and_single_images_agree(spark):
+    rng = np.random.default_rng(6)
+    rows = [(str(i), int(h), int(w), c, bytearray(rng.integers(0, 256, (h, w, c), dtype=np.uint8).tobytes())) for i, (h, w, c) in enumerate([(40, 50, 3), (40, 50, 3), (8, 8, 1), (70, 20, 4), (8, 8, 1), (1, 1, 3)] * 3)]
+    found = {r.path: r for r in augment.image_features(spark.createDataFrame(rows, "path string, height int, width int, n_channels int, data binary")).collect()}
+    for path, h, w, c, data in rows:
+        image = sources.to_raster(bytes(data), h, w, c)
+        assert (found[path].h, round(found[path].blur, 6)) == (rasters.perceptual_hash(image), round(rasters.blur_score(image), 6))
+
+
+def test_stages_keep_the_size_and_follow_the_generator():
+    image = np.random.default_rng(0).integers(0, 256, (40, 60, 3), dtype=np.uint8)
+    for stage, shape in ((stages.hard_stress, (40, 60, 3)), (stages.quick_augment, (224, 224, 3))):
+        a, b, c = (stage(image, rasters.generator("k", seed)) for seed in (1, 1, 2))
+        assert a.shape == shape and a.dtype == np.uint8 and np.array_equal(a, b) and not np.array_equal(a, c)
+    assert stages.hard_stress(image[..., 0], rasters.generator(3)).shape == (40, 60)
+    darker = [stages.hard_stress(image, rasters.generator("d", k)).mean() for k in range(20)]
+    assert np.mean(darker) < image.mean() - 20
+
+
 def smooth_rows():
     y, x = np.mgrid[0:37, 0:53]
     colour = np.stack([np.sin(x / 9) * 100 + 128, y * 6, (x + y) * 2], axis=2).astype(np.uint8)
