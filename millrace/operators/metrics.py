@@ -115,7 +115,7 @@ def export_summary(sizes: DataFrame, predicted: DataFrame, classes: list[str], i
 
     A variant without predictions has no entry among the evaluations.
     """
-    recalls = predicted.groupBy("variant", "label").agg(F.avg(F.col("correct").cast("double")).alias("recall")).groupBy("variant").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("label", "recall")))).alias("recall"))
+    recalls = predicted.groupBy("variant", "label").agg(F.avg(F.col("correct").cast("double")).alias("recall")).groupBy("variant").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("label").cast("string").alias("label"), "recall")))).alias("recall"))
     accuracies = predicted.groupBy("variant").agg(F.avg(F.col("correct").cast("double")).alias("accuracy"))
     evaluated = accuracies.join(recalls, "variant").agg(F.map_from_entries(F.collect_list(F.struct("variant", F.struct("accuracy", "recall")))).alias("evaluation"))
     sized = sizes.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("variant", "size_mb")))).alias("sizes_mb"))

@@ -806,7 +806,7 @@ def export_summary(spark: SparkSession, d: str) -> DataFrame:
     images.write_json(made, path)
     read = spark.read.schema(made.schema).json(path).select("*", F.explode(F.map_keys("sizes_mb")).alias("variant"))
     found = labels.lookup(F.col("evaluation"), F.col("variant"), F.lit(None))
-    recall = labels.lookup(found["recall"], F.lit(3), F.lit(-1.0))
+    recall = labels.lookup(found["recall"], F.lit("3"), F.lit(-1.0))
     size = labels.lookup(F.col("sizes_mb"), F.col("variant"), F.lit(0.0))
     read = read.select("variant", size.alias("size_mb"), F.coalesce(found["accuracy"], F.lit(-1.0)).alias("accuracy"), recall.alias("recall_of_3"), labels.lookup(F.col("preprocessing_contract"), F.lit("channel_order"), F.lit("")).alias("channel_order"), F.size("classes").alias("n_classes"))
     return rounded(read, "size_mb", "accuracy", "recall_of_3")
