@@ -30,8 +30,8 @@ from .tokens import RUN_BYTES, vocabulary_path, worker_encoder
 CAPACITY, END_ID = 2048, 0
 #: Nodes of the search for one filling, after which the exact sums decide.
 SEARCH_NODES = 3000
-#: Fillings that the search over whole plans may try, around one piece and in all, and the sequences it may be deep.
-FILLINGS, PLAN_NODES, DEPTH = 200, 5000, 400
+#: Fillings that the search over whole plans may try around one piece, and the steps that it may take; how many a new piece costs.
+FILLINGS, PLAN_STEPS, NODE_STEPS = 200, 20_000, 10
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank_in_part long"
 
@@ -128,26 +128,63 @@ def complete_bin(left: np.ndarray, room: int, nodes: int = SEARCH_NODES) -> list
     return best if waste == 0 or budget > 0 else least_waste(sizes, counts, room)
 
 
-def _fillings(left: np.ndarray, room: int, most_waste: int) -> list[dict[int, int]]:
-    """Undominated fillings of ``room`` that waste at most ``most_waste``, the fullest first; ``FILLINGS`` of them at most."""
+class Budget:
+    """Steps that a search may still take."""
+
+    def __init__(self, steps: int):
+        self.left = steps
+
+    def spend(self, steps: int = 1) -> bool:
+        self.left -= steps
+        return self.left >= 0
+
+
+def _sums_from(sizes: list[int], counts: list[int], room: int) -> list[int]:
+    """For each place in ``sizes`` a number whose bit ``k`` says whether the sizes from there on can fill ``k`` of the room."""
+    mask, sums = (1 << (room + 1)) - 1, [1]
+    for size, count in zip(reversed(sizes), reversed(counts)):
+        reach, step, left = sums[-1], 1, min(count, room // size)
+        while left > 0:
+            step = min(step, left)
+            reach |= reach << (size * step) & mask
+            left -= step
+            step *= 2
+        sums.append(reach)
+    return sums[::-1]
+
+
+def _fillings(left: np.ndarray, room: int, most_waste: int, budget: Budget) -> list[dict[int, int]]:
+    """Undominated fillings of ``room`` that waste at most ``most_waste``, the fullest first; ``FILLINGS`` of them at most.
+
+    A branch is only entered if the pieces still to come can bring its waste to the bound, which their sums tell exactly, so
+    none ends in vain. Branches are taken from a stack, each a step of the budget.
+    """
     sizes = [int(s) for s in np.flatnonzero(left[: room + 1])[::-1] if s]
+    counts = [int(left[s]) for s in sizes]
+    sums = _sums_from(sizes, counts, room)
+    most_waste = min(most_waste, room)
     found: list[tuple[int, dict[int, int]]] = []
 
-    def grow(at: int, rest: int, chosen: dict[int, int]) -> None:
-        if len(found) >= FILLINGS:
-            return
-        fits = [s for s in sizes[at:] if s <= rest and left[s] > chosen.get(s, 0)]
-        if not fits:
-            # Maximal already; it is dominated if one of its pieces could be a larger one that is left.
-            if rest <= most_waste and not any(left[s] > chosen.get(s, 0) for size in chosen for s in range(size + 1, min(size + rest, room) + 1)):
-                found.append((rest, dict(chosen)))
-            return
-        for i in range(at, len(sizes)):
-            size = sizes[i]
-            for times in range(min(int(left[size]), rest // size), 0, -1):
-                grow(i + 1, rest - size * times, {**chosen, size: times})
-
-    grow(0, room, {})
+    def fits(at: int, rest: int) -> bool:
+        low = max(0, rest - most_waste)
+        return bool(sums[at] >> low & ((1 << (rest - low + 1)) - 1))
+
+    stack: list[tuple[int, int, tuple[tuple[int, int], ...]]] = [(0, room, ())] if fits(0, room) else []
+    while stack and len(found) < FILLINGS and budget.spend():
+        at, rest, chosen = stack.pop()
+        while at < len(sizes) and sizes[at] > rest:
+            at += 1
+        if at == len(sizes):
+            used = dict(chosen)
+            # Maximal if nothing that is left fits; dominated if one of its pieces could be a larger one that is left.
+            if not any(s <= rest and left[s] > used.get(s, 0) for s in sizes) and not any(left[s] > used.get(s, 0) for size in used for s in range(size + 1, min(size + rest, room) + 1)):
+                found.append((rest, used))
+            continue
+        size = sizes[at]
+        # Pushed from none to as many as fit: the fullest are tried first.
+        for times in range(min(counts[at], rest // size) + 1):
+            if fits(at + 1, rest - size * times):
+                stack.append((at + 1, rest - size * times, (*chosen, (size, times)) if times else chosen))
     return [f for _, f in sorted(found, key=lambda x: x[0])]
 
 
@@ -169,55 +206,71 @@ def _greedy(left: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]
     return plan
 
 
-def best_patterns(counts: np.ndarray, capacity: int, nodes: int = PLAN_NODES) -> list[tuple[dict[int, int], int]]:
+def best_patterns(counts: np.ndarray, capacity: int, steps: int = PLAN_STEPS) -> list[tuple[dict[int, int], int]]:
     """(pattern, times) for all pieces, in as few sequences as found.
 
-    The incumbent fills one sequence after the other. If it needs more than the pieces' sum asks for, other
-    fillings around each largest piece are tried depth first; a branch may waste no more in all than leaves
-    it fewer sequences than the incumbent. The search ends when it is exhausted, reaches the bound, or
-    has seen ``nodes`` fillings; the incumbent is then the answer.
+    The incumbent fills one sequence after the other. No sequence can hold more than the fullest sum of pieces that there is, so the
+    pieces' sum and that give a bound. If the incumbent needs more, other fillings around each largest piece are tried depth first, each
+    as often as the counts allow and then less often; a branch may waste no more in all than leaves
+    it fewer sequences than the incumbent. A level of the search is a pattern and not a sequence, so its depth
+    depends on the lengths there are and not on how many pieces have them. The search ends when it is exhausted, reaches the bound, or
+    has taken ``steps`` steps; the best plan so far is then the answer.
     """
-    sizes = np.arange(len(counts))
-    total = int((counts * sizes).sum())
-    bound = max(-(-total // capacity), int(counts[capacity // 2 + 1 :].sum()))
+    sizes = np.flatnonzero(counts)
+    sizes = sizes[sizes > 0]
+    total = int((counts[sizes] * sizes).sum())
+    fullest = _sums_from(sizes.tolist(), counts[sizes].tolist(), capacity)[0].bit_length() - 1
+    bound = max(-(-total // max(1, fullest)), int(counts[capacity // 2 + 1 :].sum()))
     best = _greedy(counts, capacity)
-    fewest, budget = sum(t for _, t in best), nodes
+    fewest, budget = sum(t for _, t in best), Budget(steps)
     if fewest <= bound:
         return best
     left, path = counts.copy(), []
+    sequences = wasted = 0
 
-    def search(wasted: int) -> bool:
-        nonlocal best, fewest, budget
-        # With one sequence fewer than the incumbent, this much may be wasted over all.
-        spare = (fewest - 1) * capacity - total - wasted
-        if spare < 0 or len(path) >= fewest - 1 and left.any():
-            return False
-        largest = int(np.flatnonzero(left).max(initial=0))
-        if not largest:
-            best, fewest = [(p, 1) for p in path], len(path)
-            return fewest <= bound
+    def options() -> Iterator[tuple[dict[int, int], int]]:
+        """Patterns around the largest piece left that a better plan may use, and how often."""
+        largest, spare = int(np.flatnonzero(left).max()), (fewest - 1) * fullest - total - wasted
+        if spare < 0 or not budget.spend(NODE_STEPS):
+            return
         left[largest] -= 1
-        fillings = _fillings(left, capacity - largest, spare)
+        fillings = _fillings(left, capacity - largest, spare + capacity - fullest, budget)
         left[largest] += 1
         for filling in fillings:
-            if budget <= 0:
-                return True
-            budget -= 1
             pattern = {**filling, largest: filling.get(largest, 0) + 1}
-            for size, per in pattern.items():
-                left[size] -= per
-            path.append(pattern)
-            done = search(wasted + capacity - sum(s * p for s, p in pattern.items()))
-            path.pop()
-            for size, per in pattern.items():
-                left[size] += per
-            if done:
-                return True
-        return False
+            waste = fullest - sum(s * p for s, p in pattern.items())
+            most = min(int(left[s] // p) for s, p in pattern.items())
+            for times in range(min(most, spare // waste) if waste > 0 else most, 0, -1):
+                yield pattern, times
 
-    # Every sequence is a level of the search, so a plan of very many is left to the incumbent.
-    if fewest <= DEPTH:
-        search(0)
+    def move(pattern: dict[int, int], times: int) -> None:
+        nonlocal sequences, wasted
+        for size, per in pattern.items():
+            left[size] -= per * times
+        sequences += times
+        wasted += times * (fullest - sum(s * p for s, p in pattern.items()))
+
+    stack = [options()]
+    while stack and budget.left > 0:
+        step = next(stack[-1], None) if sequences < fewest else None
+        if step is None:
+            stack.pop()
+            if path:
+                pattern, times = path.pop()
+                move(pattern, -times)
+            continue
+        budget.spend()
+        move(*step)
+        path.append(step)
+        if left[1:].any():
+            stack.append(options())
+            continue
+        if sequences < fewest:
+            best, fewest = list(path), sequences
+        if fewest <= bound:
+            break
+        pattern, times = path.pop()
+        move(pattern, -times)
     return best
 
 

@@ -1,6 +1,7 @@
 """Runs of words, pieces and phrases against brute force, the library, plain counts and odd tables."""
 
 import hashlib
+import time
 import zlib
 from collections import Counter
 
@@ -11,7 +12,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm import phrases, piece_codec, word_runs
+from millrace.llm import packing, phrases, piece_codec, word_runs
 from millrace.llm.tokens import vocabulary_path
 
 MODEL = vocabulary_path("piece_bpe_32k.model")
@@ -192,3 +193,23 @@ def test_phrases(spark, monkeypatch, mined):
 def test_scores_beyond_64_bits(spark):
     a, left, right = 10**12 + 7, 10**12 + 9, 3 * 10**12 + 1
     assert spark.createDataFrame([(a, left, right)], "a long, l long, r long").select(phrases.score_of("a", "l", "r")).first()[0] == 10**6 * a * a // (left * right)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(2, 7), st.lists(st.integers(1, 9), max_size=9))
+def test_pieces_with_a_common_divisor_take_the_fewest_sequences(divisor, lengths):
+    from .test_text_operators import fewest_sequences
+
+    lengths = [n * divisor for n in lengths]
+    room = 10 * divisor + divisor - 1
+    assert packing.plan_sequences(np.bincount(lengths, minlength=room + 1), room)[1] == fewest_sequences(lengths, room)
+
+
+@pytest.mark.parametrize("n, extra", [(1783, 0), (1156, 0), (1156, 7), (20_000, 7)])
+def test_plans_of_many_like_pieces_come_soon(n, extra):
+    rng = np.random.default_rng(n)
+    lengths = np.concatenate([rng.integers(1, 35, n) * 30, rng.integers(1, 2048, extra)])
+    began = time.monotonic()
+    plan, sequences = packing.plan_sequences(np.bincount(lengths, minlength=2049))
+    assert time.monotonic() - began < 20 and -(-int(lengths.sum()) // 2048) <= sequences <= lengths.sum() / 2048 * 1.02 + 3
+    assert (plan["high"] - plan["low"]).sum() == n + extra
