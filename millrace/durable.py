@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import gc
 import re
 import tempfile
@@ -36,24 +37,24 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    for paths in _recorders:
+    for paths in _recorders.get():
         paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Lists that note the paths of tables while they are written; see :func:`recorded`.
-_recorders: list[list[str]] = []
+#: Lists that note the paths of tables while they are written, of this thread alone; see :func:`recorded`.
+_recorders: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("recorders", default=())
 
 
 @contextlib.contextmanager
 def recorded(paths: list[str]) -> Iterator[None]:
-    """Note the paths of all tables that are written meanwhile, so that :func:`delete_paths` can drop them later."""
-    _recorders.append(paths)
+    """Note the paths of all tables that this thread writes meanwhile, so that :func:`delete_paths` can drop them later."""
+    token = _recorders.set((*_recorders.get(), paths))
     try:
         yield
     finally:
-        _recorders.remove(paths)
+        _recorders.reset(token)
 
 
 def delete_paths(spark: SparkSession, paths: list[str]) -> None:
