@@ -11,6 +11,7 @@ columns are carried along whatever their names; an empty table gives an empty re
 from __future__ import annotations
 
 import functools
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,24 +21,36 @@ from millrace.llm import decontaminate, jaccard_join, language_id, packing, qual
 from millrace.llm.common import materialise, table
 
 
-#: Tables that the stage before this one wrote for its own use.
-_left: list[str] = []
+#: By thread: the tables that each stage's last calls wrote for their own use.
+_left = threading.local()
 
 
-def stage(run: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """A stage drops what the one before it left behind, whose result has been written and read again by then."""
+def stage(place: int) -> Callable:
+    """A stage drops what the stage before it left behind in the same thread, whose result has been written and read again by then.
 
-    @functools.wraps(run)
-    def step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        delete_paths(spark, _left)
-        release(spark)
-        with recorded(_left):
-            return run(spark, docs, sf_dir)
+    Tables that ``docs`` still reads, since its stage's result wasn't written, stay.
+    """
+
+    def wrap(run: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+        @functools.wraps(run)
+        def step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            left = _left.__dict__.setdefault("paths", {})
+            before = left.pop((place - 1, sf_dir), [])
+            if before:
+                read = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for f in docs.inputFiles()}
+                kept = [p for p in before if p.rsplit("/", 1)[-1] in read]
+                delete_paths(spark, [] if kept else before)
+            release(spark)
+            mine = left.setdefault((place, sf_dir), [])
+            with recorded(mine):
+                return run(spark, docs, sf_dir)
+
+        return step
 
-    return step
+    return wrap
 
 
-@stage
+@stage(0)
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the word-first model recognises and their label, if any, doesn't contradict.
 
@@ -46,25 +59,25 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return language_id.filter_by_language(docs, language_id.train(docs))
 
 
-@stage
+@stage(1)
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
     return quality_rules.filter_by_quality(docs)
 
 
-@stage
+@stage(2)
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component."""
     return jaccard_join.keep_one_of_each(docs)
 
 
-@stage
+@stage(3)
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-@stage
+@stage(4)
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents that are left, each with its sequence."""
     return packing.pack(docs)
@@ -87,5 +100,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, run_stage in STAGES:
         docs = materialise(run_stage(spark, docs, sf_dir), f"pipeline-{name}")
-    delete_paths(spark, _left)
+    delete_paths(spark, _left.__dict__.get("paths", {}).pop((len(STAGES) - 1, sf_dir), []))
     return docs

@@ -135,13 +135,17 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 
 
 def canonical_turns(record: str | None, known: dict[str, dict]) -> tuple[str | None, list[tuple[str, str]] | None]:
-    """(layout name, turns) of a JSON record; (None, None) if its layout has no mapping or it isn't JSON."""
+    """(layout name, turns) of a JSON record; (None, None) if its layout has no mapping, it isn't JSON, it is nested too deep
+    to be walked through, or its names or texts hold half a surrogate pair, which no text can be written with."""
     try:
         value = json.loads(record or "")
-    except ValueError:
+        mapping = known.get(fingerprint(field_paths(value))) if isinstance(value, dict) else None
+        turns = turns_of(value, mapping) if mapping else None
+        for turn in turns or []:
+            "".join(turn).encode()
+    except (ValueError, RecursionError):
         return None, None
-    mapping = known.get(fingerprint(field_paths(value))) if isinstance(value, dict) else None
-    return (mapping["name"], turns_of(value, mapping)) if mapping else (None, None)
+    return (mapping["name"], turns) if mapping else (None, None)
 
 
 FORMAT_SCHEMA = "conv_id long, layout string, formatted string, loss_spans array<struct<begin: long, end: long>>"

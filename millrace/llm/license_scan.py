@@ -241,7 +241,7 @@ class Classifier:
 def variants(rng: np.random.Generator, words: list[str], filler: list[str]) -> list[str]:
     """A template as it may stand in a text: a word lost or changed, other words around it."""
     out = [w for w in words if rng.random() > 0.04]
-    around = [list(rng.choice(filler, rng.integers(0, 12))) if filler else [] for _ in range(2)]
+    around = [[filler[i] for i in rng.integers(0, len(filler), rng.integers(0, 12))] if filler else [] for _ in range(2)]
     return [*around[0], *out, *around[1]]
 
 

@@ -4,6 +4,7 @@ import hashlib
 import time
 import zlib
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,8 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm import packing, phrases, piece_codec, word_runs
+import corpus_pipeline
+from millrace.llm import chat_format, packing, phrases, piece_codec, word_runs
 from millrace.llm.tokens import vocabulary_path
 
 MODEL = vocabulary_path("piece_bpe_32k.model")
@@ -213,3 +215,25 @@ def test_plans_of_many_like_pieces_come_soon(n, extra):
     plan, sequences = packing.plan_sequences(np.bincount(lengths, minlength=2049))
     assert time.monotonic() - began < 20 and -(-int(lengths.sum()) // 2048) <= sequences <= lengths.sum() / 2048 * 1.02 + 3
     assert (plan["high"] - plan["low"]).sum() == n + extra
+
+
+def test_records_that_cannot_be_written_have_no_layout():
+    known = chat_format.registry()
+    deep = '{"messages": ' + "[" * 100_000 + "]" * 100_000 + "}"
+    for record in (r'{"prompt":"\ud800","completion":"x"}', r'{"\ud800":"x"}', r'{"messages":[{"role":"\udfff","content":"a"}]}', deep, '{"a":' * 3000 + "1" + "}" * 3000, "1" * 5000):
+        assert chat_format.canonical_turns(record, known) == (None, None)
+    assert chat_format.canonical_turns(r'{"prompt":"\ud83d\ude00","completion":"x"}', known) == ("prompt", [("user", "😀"), ("assistant", "x")])
+
+
+def test_stages_without_a_write_between_and_two_at_once(spark):
+    rng = np.random.default_rng(4)
+    words = "alpha beta gamma delta the and of to in house tree river stone".split()
+    texts = [" ".join(rng.choice(words, 80)) for _ in range(30)]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts + texts[:5])], "doc_id long, text string, lang string, source string")
+    here = "/root/testdata/sf0.001"
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, here)
+    chained = corpus_pipeline.decontamination_stage(spark, kept, here)
+    assert sorted(r.doc_id for r in chained.collect()) == list(range(30))
+    with ThreadPoolExecutor(2) as pool:
+        both = list(pool.map(lambda d: corpus_pipeline.run(spark, d), [here, here]))
+    assert sorted(map(str, both[0].collect())) == sorted(map(str, both[1].collect())) != []
