@@ -363,3 +363,20 @@ def test_heads_of_files():
     assert image_size(encode_jpeg(np.zeros((3, 5), np.uint8))) == (3, 5)
     with pytest.raises(ValueError):
         encode_jpeg(np.zeros((0, 5), np.uint8))
+
+
+def test_stream_of_near_hashes(spark, tmp_path):
+    rows = hashes(spark, DATA).orderBy("ordinal").collect()
+    for k in range(3):
+        part = rows[k * len(rows) // 3 : (k + 1) * len(rows) // 3]
+        spark.createDataFrame([(r.ordinal, r.h) for r in part], "ordinal long, h long").coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+    stream = spark.readStream.schema("ordinal long, h long").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    q = streams.near_dedup(stream, f"{tmp_path}/kept").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    kept = {r.ordinal for r in spark.read.parquet(f"{tmp_path}/kept").collect()}
+    batches = [r.n for r in spark.read.parquet(f"{tmp_path}/kept").groupBy("batch").agg(F.count("*").alias("n")).collect()]
+    assert len(batches) == 3 and len(kept) < len(rows)
+    # Files may come in any order; what is kept is near nothing that is kept, and what is dropped is near something.
+    h = {r.ordinal: r.h % 2**64 for r in rows}
+    near = lambda a, b: (h[a] ^ h[b]).bit_count() <= 4
+    assert not any(near(a, b) for a in kept for b in kept if a < b) and all(any(near(a, b) for b in kept) for a in h if a not in kept)
