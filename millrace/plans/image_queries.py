@@ -131,6 +131,16 @@ def split_listing(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy("class", "label").agg(F.count("*").alias("n"), F.min("file").alias("first"), F.max("file").alias("last"))
 
 
+@query(f"""WITH f AS (SELECT 'f' || vec_id || '.jpg' AS file, list_element({NAMES!r}, label % {len(NAMES)} + 1) AS class FROM embeddings WHERE vec_id % 2 = 0)
+SELECT class, row_number() OVER (PARTITION BY class ORDER BY file) - 1 AS place, file FROM f WHERE class <> 'other'""")
+def paths_by_class(spark: SparkSession, d: str) -> DataFrame:
+    """The paths of each class of a split, in order."""
+    named = F.array(*map(F.lit, NAMES))[(F.col("label") % len(NAMES)).cast("int")]
+    path = files(spark, d, F.concat(F.lit("f"), F.col("vec_id"), F.lit(".jpg")), F.when(F.col("vec_id") % 2 == 0, "train").otherwise("val"), named, "splits")
+    found = images.paths_by_class(images.read_splits(spark, path, "train"))
+    return found.select("class", "place", F.regexp_extract("path", r"([^/]+)$", 1).alias("file"))
+
+
 @query(f"""WITH s AS (SELECT row_number() OVER () - 1 AS slot FROM embeddings ORDER BY slot LIMIT 40),
 g AS (SELECT {sql_number('vec_id', seed=5)} % 40 AS slot FROM embeddings)
 SELECT slot::INT AS slot, 6 AS height, 6 AS width, (SELECT count(*) FROM g WHERE g.slot = s.slot) AS draws FROM s""")

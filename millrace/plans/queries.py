@@ -505,9 +505,11 @@ def reason_counters(spark: SparkSession, d: str) -> DataFrame:
     return curation.reason_counts(rows.select(F.coalesce(curation.reason(F.col("blur")), F.lit("kept")).alias("reason")))
 
 
-@query("SELECT i AS step, CASE WHEN i < 80 THEN 1e-3 * (i / 80.0) ELSE 1e-7 + 0.5 * (1e-3 - 1e-7) * (1 + cos(pi() * least(greatest((i - 80) / 920.0, 0), 1))) END AS rate FROM range(1001) r(i)".replace("CASE", "round(CASE").replace("END AS", "END, 10) AS"))
+@query("""SELECT event_id AS id, event_id % 1100 AS step, round(CASE WHEN event_id % 1100 < 80 THEN 1e-3 * (event_id % 1100 / 80.0) ELSE 1e-7 + 0.5 * (1e-3 - 1e-7) * (1 + cos(pi() * least(greatest((event_id % 1100 - 80) / 920.0, 0), 1))) END, 10) AS rate FROM events""")
 def warmup_cosine(spark: SparkSession, d: str) -> DataFrame:
-    return spark.range(1001).select(F.col("id").alias("step"), F.round(scores.warmup_cosine(F.col("id"), 1e-3, 1000, 80), 10).alias("rate"))
+    """The learning rate of every event's step."""
+    steps = table(spark, d, "events").select(F.col("event_id").alias("id"), (F.col("event_id") % 1100).alias("step"))
+    return steps.select("id", "step", F.round(scores.warmup_cosine(F.col("step"), 1e-3, 1000, 80), 10).alias("rate"))
 
 
 @query("SELECT vec_id AS id, i, round_even(v::DOUBLE / 0.05 + 3, 0)::INT AS q, round((round_even(v::DOUBLE / 0.05 + 3, 0) - 3) * 0.05, 6) AS back FROM (SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings)")

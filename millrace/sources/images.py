@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import CLASSES, DEFAULT_CLASS_IDS
+from ..operators.numbering import dense_numbers
 
 # File name endings of images, in lower case.
 IMAGE_ENDINGS = ("jpg", "jpeg", "png", "bmp", "webp")
@@ -105,7 +106,8 @@ def read_splits(spark: SparkSession, root: str, split: str) -> DataFrame:
 
 
 def paths_by_class(split: DataFrame) -> DataFrame:
-    return split.groupBy("class").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    """(class, place, path): the paths of each class in order, as numbered rows, so that no row holds a class."""
+    return dense_numbers(split.select("class", "path"), ["path"], "place", by=["class"]).select("class", "place", "path")
 
 
 def class_dimension(spark: SparkSession) -> DataFrame:

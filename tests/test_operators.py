@@ -234,7 +234,7 @@ def test_folders_and_splits(spark, dataset, tmp_path):
         shutil.copy(root / "train/images/a.png", tmp_path / "set" / split / label / f"{label}.png")
     found = sorted((r["class"], r.label) for r in sources.read_splits(spark, str(tmp_path / "set"), "train").collect())
     assert found == [("1000", 0), ("5000", 2)]
-    assert {r["class"]: len(r.paths) for r in sources.paths_by_class(sources.read_splits(spark, str(tmp_path / "set"), "train")).collect()} == {"1000": 1, "5000": 1}
+    assert {(r["class"], r.place, r.path.rsplit("/", 1)[-1]) for r in sources.paths_by_class(sources.read_splits(spark, str(tmp_path / "set"), "train")).collect()} == {("1000", 0, "1000.png"), ("5000", 0, "5000.png")}
     extra = sources.read_class_folders(spark, str(tmp_path / "set" / "train")).collect()
     assert sorted((r["class"], r.grp) for r in extra) == [("1000", "extra::manual::1000"), ("5000", "extra::manual::5000"), ("other", "extra::manual::other")]
     assert [p.rsplit("/", 1)[-1] for p in sources.discover_sets(spark, str(tmp_path / "set" / "*"))] == ["train", "val"]
