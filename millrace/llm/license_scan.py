@@ -2,12 +2,12 @@
 
 A paragraph is a run of lines that hold words, so wrapped notices stay whole; comment marks, punctuation
 and white space are no words, and a line of them alone ends a paragraph. A notice is a stretch of a paragraph
-in which enough of one template's words stand in order. Every such stretch is found. Its features are
-the word pairs and triples that it shares with the licence templates; whatever else stands there adds
-nothing. A sparse logistic regression over these features names a licence family or the class unknown,
-which is learned from lines of the documents themselves. The probability is calibrated by a
+in which enough of one template's words stand in order. A sparse logistic regression over the word pairs and triples that a
+paragraph shares with the licence templates names its licence families, or the class unknown,
+which is learned from lines of the documents themselves; whatever else stands there adds nothing. Only the templates of
+families that are named are compared, and every stretch that confirms one is found. The probability on the stretch is calibrated by a
 temperature and a threshold, both set on examples that the fit didn't see. Of stretches that overlap, the
-likeliest counts.
+longest counts. A short notice that is denied (``not licensed under``) is none.
 
 The fit uses the templates and at most ``SAMPLE`` paragraphs, those with the least hashes; every
 paragraph of every text is scored.
@@ -67,6 +67,31 @@ TEMPLATES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain.", "SPDX-License-Identifier: Unlicense"],
     "EPL-2.0": ["Licensed under the Eclipse Public License, version 2.0.", "SPDX-License-Identifier: EPL-2.0"],
 }
+# Short names of the families, as headings, badges and package files have them.
+NAMES = {
+    "MIT": ["MIT"], "Apache-2.0": ["Apache 2.0"], "GPL-3.0": ["GPL 3.0", "GPLv3", "GPL v3"], "GPL-2.0": ["GPL 2.0", "GPLv2", "GPL v2"], "LGPL": ["LGPL", "LGPLv3", "LGPLv2.1"], "AGPL-3.0": ["AGPL 3.0", "AGPLv3"],
+    "BSD": ["BSD", "BSD 3 Clause", "BSD 2 Clause"], "MPL-2.0": ["MPL 2.0", "Mozilla Public"], "ISC": ["ISC"], "CC-BY": ["CC BY 4.0"], "CC-BY-SA": ["CC BY SA 4.0"], "CC-BY-NC": ["CC BY NC 4.0"], "CC0": ["CC0", "CC0 1.0"],
+    "Unlicense": ["Unlicense"], "EPL-2.0": ["EPL 2.0"], "Zlib": ["zlib"],
+}
+# Notices that are made of a family's short name.
+FORMS = ["{} license", "license: {}", "distributed under the {} license", "covered by the {} license", "licensed under {}"]
+# Other headings and sentences.
+TEMPLATES["Apache-2.0"] += ["Apache License Version 2.0, January 2004", "Licensed to the Apache Software Foundation under one or more contributor license agreements"]
+TEMPLATES["GPL-3.0"] += ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"]
+TEMPLATES["GPL-2.0"] += ["GNU GENERAL PUBLIC LICENSE Version 2, June 1991"]
+for _family, _kind, _version in (("GPL-3.0", "", 3), ("GPL-2.0", "", 2), ("LGPL", "Lesser ", 3), ("AGPL-3.0", "Affero ", 3)):
+    TEMPLATES[_family] += [f"GNU {_kind}General Public License v{_version}"]
+TEMPLATES["Zlib"] = ["This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software", "SPDX-License-Identifier: Zlib"]
+for _family, _names in NAMES.items():
+    TEMPLATES[_family] += [form.format(name) for name in _names for form in FORMS]
+# Spellings that are taken as one, and words that deny the notice that follows them.
+SPELLINGS = {"licence": "license", "licences": "licenses", "licenced": "licensed", "licencing": "licensing"}
+DENIALS = {"not", "never", "no", "cannot", "without", "isn", "aren", "wasn", "neither", "nor"}
+#: Words before a notice among which a denial counts, and the length from which a notice is a legal text, whose own words may be such.
+DENIED_WITHIN, LEGAL_WORDS = 5, 12
+#: Words without an n-gram of any template that part one place where notices may be from the next; the probability from which a family is looked for there.
+GAP, NAMED = 30, 0.02
+
 UNKNOWN = "unknown"
 FAMILIES = [UNKNOWN, *TEMPLATES]
 
@@ -74,18 +99,19 @@ FAMILIES = [UNKNOWN, *TEMPLATES]
 SAMPLE = 200
 BLANK = "\\n[^\\p{L}\\p{N}]*\\n"
 #: Examples made of each template, passes over them, step size.
-VARIANTS, EPOCHS, RATE = 30, 200, 2.0
+VARIANTS, EPOCHS, RATE = 30, 400, 2.0
 #: Share of a template's words that must stand in a paragraph in order.
 CONFIRM = 0.8
-#: Share of unknown paragraphs that may pass the probability threshold.
-FALSE_SHARE = 0.002
+#: Share of unknown paragraphs that may pass the probability threshold, and the least it is.
+FALSE_SHARE, LEAST_SURE = 0.002, 0.5
 
 _WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
+_STOP = re.compile(r"[.!?;:\n]")
 HIT_SCHEMA = "doc_id long, paragraph long, family string, probability double, similarity double, text string, start long, end long"
 
 
 def tokens(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return [SPELLINGS.get(w, w) for w in _WORD.findall(text.lower())]
 
 
 def longest_common(a: list[str], b: list[str]) -> int:
@@ -212,25 +238,47 @@ class Classifier:
         here = [self.vocabulary[w] for w in words & self.vocabulary.keys()]
         return [self.templates[i] for i in np.flatnonzero(self.times[:, here].sum(axis=1) >= self.needed)]
 
+    def named(self, words: list[str]) -> set[int]:
+        """Families that the regression sees anywhere in a paragraph.
+
+        Each place where known n-grams lie close together is scored as a whole; what else stands there adds nothing.
+        """
+        at = [i for i, g in enumerate(zip(words, words[1:])) if g in self.grams]
+        found: set[int] = set()
+        first = 0
+        for n in range(1, len(at) + 1):
+            if n == len(at) or at[n] - at[n - 1] > GAP:
+                p = self.probabilities(self.features(words[at[first] : at[n - 1] + 3]))
+                found |= {k for k in range(1, len(p)) if p[k] >= NAMED}
+                first = n
+        return found
+
     def scan(self, text: str | None) -> list[tuple[int, str, float, float, str, int, int]]:
         """(line where the paragraph begins, family, probability, similarity, lines, start, end) of every notice of a text.
 
+        The regression names the families of a paragraph; stretches of it that are close enough to one of their templates
+        are its notices, if the regression is sure of the family on the stretch alone. A notice after a denial is none.
         ``start`` and ``end`` bound the notice in the text's characters; ``lines`` are the whole lines that it is on.
         """
         hits = []
         possible = self.possible(set(tokens(text))) if text else []
         for paragraph in paragraphs(text) if possible else ():
-            words = [m.group().lower() for m in paragraph]
-            found = []
+            words = [SPELLINGS.get(w, w) for w in (m.group().lower() for m in paragraph)]
+            named, found = self.named(words), []
             for k, template in possible:
-                for first, last, n in stretches(template, words):
+                for first, last, n in stretches(template, words) if k in named else ():
+                    before = [i for i in range(max(0, first - DENIED_WITHIN), first) if words[i] in DENIALS]
+                    # A denial reaches to the end of its sentence or line.
+                    if len(template) < LEGAL_WORDS and any(not _STOP.search(text, paragraph[i].end(), paragraph[first].start()) for i in before):
+                        continue
                     # Words that the template lacks may say which family it is, as a version does.
                     lost = len(template) - n
                     features = self.features(words[max(0, first - lost) : last + 1 + lost])
                     p = self.probabilities(features) if features else None
                     if p is not None and p[k] >= self.threshold and p[k] > p[0]:
                         found.append((first, last, k, float(p[k]), n / len(template)))
-            for first, last, k, p, close in apart(sorted(found, key=lambda f: (-f[3], -f[4], f[0] - f[1], f))):
+            # Of stretches that overlap the longest counts, as it says most.
+            for first, last, k, p, close in apart(sorted(found, key=lambda f: (f[0] - f[1], -f[3], -f[4], f))):
                 start, end = paragraph[first].start(), paragraph[last].end()
                 stop = text.find("\n", end)
                 lines = text[text.rfind("\n", 0, start) + 1 : stop if stop >= 0 else len(text)]
@@ -259,13 +307,21 @@ def fit(paragraphs: list[str], seed: int = 3) -> Classifier:
     filler = sorted({w for words in unknown for w in words})
     rows: list[tuple[list[int], int]] = [(blank.features(w), 0) for w in unknown]
     rows += [([], 0)] * 20
-    # Pieces of templates are unknown too: a few words of a notice name no family.
+    #: What each example was made of: 0 what is unknown, and a number for each template.
+    sources = [0] * len(rows)
+    # Pieces of templates are unknown too, unless they are a template themselves: a few words of a notice name no family.
     for k, ts in enumerate(templates.values(), 1):
         for t in ts:
-            rows += [(blank.features(variants(rng, t, filler)), k) for _ in range(VARIANTS)]
+            made = [blank.features(variants(rng, t, filler)) for _ in range(VARIANTS)]
+            # What has lost all its n-grams shows no family.
+            rows += [(features, k) for features in made if features]
+            sources += [len(set(sources))] * (len(rows) - len(sources))
             for _ in range(VARIANTS // 6):
                 at, size = rng.integers(0, len(t)), rng.integers(2, 4)
-                rows.append((blank.features(t[at : at + size]), 0)) if len(t) > 8 else None
+                piece = t[at : at + size]
+                if len(t) > 8 and not any(similarity(other, piece) >= CONFIRM for _, other in blank.possible(set(piece))):
+                    rows.append((blank.features(piece), 0))
+                    sources.append(0)
     x = np.zeros((len(rows), len(grams) + 1), dtype=np.float32)
     for row, (found, _) in zip(x, rows):
         row[found] = 1
@@ -274,7 +330,9 @@ def fit(paragraphs: list[str], seed: int = 3) -> Classifier:
     check = rng.random(len(rows)) < 0.2
     weights = np.zeros((x.shape[1], len(FAMILIES)), dtype=np.float32)
     one_hot, use = np.eye(len(FAMILIES), dtype=np.float32)[y], ~check
-    share = (1 / np.maximum(1, np.bincount(y[use], minlength=len(FAMILIES))))[y[use]]
+    # Each template counts the same, and what is unknown as much as a family does on the average.
+    origin = np.array(sources)
+    share = (1 / np.maximum(1, np.bincount(origin[use])))[origin[use]] * np.where(y[use] == 0, origin.max() / max(1, len(TEMPLATES)), 1.0)
     # Equal examples are one with their shares added up; most unknown lines have no known n-gram at all.
     kinds: dict[tuple, int] = {}
     number = np.array([kinds.setdefault((tuple(found), k), len(kinds)) for (found, k), taken in zip(rows, use) if taken], dtype=np.int64)
@@ -298,7 +356,7 @@ def fit(paragraphs: list[str], seed: int = 3) -> Classifier:
     e = np.exp((z - z.max(axis=1, keepdims=True)) / temperature)
     e /= e.sum(axis=1, keepdims=True)
     outside = e[y[check] == 0, 1:].max(axis=1) if (y[check] == 0).any() else np.zeros(1)
-    return Classifier(grams, weights, temperature, float(max(0.3, np.quantile(outside, 1 - FALSE_SHARE))) if len(outside) else 0.5)
+    return Classifier(grams, weights, temperature, float(max(LEAST_SURE, np.quantile(outside, 1 - FALSE_SHARE))) if len(outside) else LEAST_SURE)
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Classifier:
@@ -313,7 +371,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Classifier:
     lines = []
     for text in sorted(r[0] for r in drawn):
         for paragraph in paragraphs(text):
-            words = [m.group().lower() for m in paragraph]
+            words = [SPELLINGS.get(w, w) for w in (m.group().lower() for m in paragraph)]
             # A line of a wrapped notice isn't unknown, though it confirms no template by itself.
             if not any(stretches(t, words) for _, t in blank.possible(set(words))):
                 lines += text[paragraph[0].start() : paragraph[-1].end()].split("\n")

@@ -1,6 +1,7 @@
 """Runs of words, pieces and phrases against brute force, the library, plain counts and odd tables."""
 
 import hashlib
+import re
 import time
 import zlib
 from collections import Counter
@@ -14,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from millrace.llm import chat_format, packing, phrases, piece_codec, word_runs
+from millrace.llm import chat_format, license_scan, packing, phrases, piece_codec, word_runs
 from millrace.llm.tokens import vocabulary_path
 
 MODEL = vocabulary_path("piece_bpe_32k.model")
@@ -152,8 +153,6 @@ def test_piece_digests(odd, library):
 
 def plain_phrases(rows, least=10, covered=50):
     """lang -> {phrase: (a, l, r, n, score)}, counted in the plain way."""
-    import re
-
     out = {}
     for lang in {r[1] or "und" for r in rows}:
         f = Counter()
@@ -237,3 +236,43 @@ def test_stages_without_a_write_between_and_two_at_once(spark):
     with ThreadPoolExecutor(2) as pool:
         both = list(pool.map(lambda d: corpus_pipeline.run(spark, d), [here, here]))
     assert sorted(map(str, both[0].collect())) == sorted(map(str, both[1].collect())) != []
+
+
+@pytest.fixture(scope="module")
+def licences():
+    rng = np.random.default_rng(1)
+    syllables = "ka lo mi ren tu sa vek pol dur nim the of and to in is not no".split()
+    prose = [" ".join("".join(rng.choice(syllables, rng.integers(1, 3))) for _ in range(12)) for _ in range(150)]
+    return license_scan.fit(prose), prose
+
+
+def test_recall_of_planted_notices_by_family(licences):
+    model, prose = licences
+    rng = np.random.default_rng(2)
+    for family, notices in license_scan.TEMPLATES.items():
+        asked = hit = 0
+        for notice in notices:
+            for k in range(4):
+                words = re.sub(r"\b([Ll])icense\b", r"\1icence", notice).split() if k == 1 else notice.split()
+                if len(words) > 7 and k > 1:
+                    words[int(rng.integers(len(words)))] = "xyz"
+                text = f"{prose[int(rng.integers(150))]}.\n{' '.join(words)}\n{prose[int(rng.integers(150))]}"
+                asked, hit = asked + 1, hit + (family in {h[1] for h in model.scan(text)})
+        assert hit >= 0.9 * asked, (family, hit, asked)
+    assert not any(model.scan(p) for p in prose)
+
+
+def test_short_notices_denials_and_other_uses(licences):
+    model, _ = licences
+    families = lambda t: [h[1] for h in model.scan(t)]
+    for t, f in (("License: MIT", "MIT"), ("MIT License\n\nCopyright (c) 2020 X", "MIT"), ("Distributed under the MIT licence.", "MIT"), ("Apache License\nVersion 2.0, January 2004", "Apache-2.0"), ("Zlib License", "Zlib"), ("GNU General Public License v3", "GPL-3.0")):
+        assert families(t) == [f]
+    for t in ("Not licensed under the MIT license anymore", "no longer covered by the BSD license", "the driving license was lost", "Licensed under the Foo license", "it was distributed under the same license as before"):
+        assert families(t) == []
+    assert families("This is not. Licensed under the MIT license") == ["MIT"]
+    # What the regression doesn't name isn't compared with templates at all.
+    silent = license_scan.Classifier(model.grams, model.weights * 0, model.temperature, 0.0)
+    assert silent.named(license_scan.tokens("License: MIT")) != set() and not silent.scan("the license of poets")
+    model_unknown = license_scan.Classifier(model.grams, np.concatenate([model.weights[:-1] * 0, np.eye(len(license_scan.FAMILIES))[:1] * 99]), 1.0, 0.0)
+    assert model_unknown.named(license_scan.tokens("License: MIT")) == set() == set(families.__call__("plain words") or [])
+    assert model_unknown.scan("License: MIT") == []
