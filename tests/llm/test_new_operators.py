@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from millrace.llm import chat_format, license_scan, packing, phrases, piece_codec, word_runs
+from millrace.llm import chat_format, language_id, license_scan, packing, phrases, piece_codec, pu_quality, word_runs
 from millrace.llm.tokens import vocabulary_path
 
 MODEL = vocabulary_path("piece_bpe_32k.model")
@@ -276,3 +276,74 @@ def test_short_notices_denials_and_other_uses(licences):
     model_unknown = license_scan.Classifier(model.grams, np.concatenate([model.weights[:-1] * 0, np.eye(len(license_scan.FAMILIES))[:1] * 99]), 1.0, 0.0)
     assert model_unknown.named(license_scan.tokens("License: MIT")) == set() == set(families.__call__("plain words") or [])
     assert model_unknown.scan("License: MIT") == []
+
+
+def slow_languages(labelled, texts):
+    """(language, score) of each text, counted and scored with dictionaries."""
+    cut = lambda t: "".join(chr(language_id._letter(c)) if c.isalpha() else " " for c in t or "").split()
+    grams_of = lambda w, n: [f"<{w}>"[i : i + n] for i in range(len(w) + 3 - n)]
+    counts = {n: {} for n in range(language_id.LONGEST + 1)}
+    for lang, text in labelled:
+        for w in cut(text):
+            for n in counts:
+                for entry in grams_of(w, n) if n else [w]:
+                    counts[n].setdefault(entry, Counter())[lang] += 1
+    languages = sorted({lang for lang, _ in labelled})
+    totals = {n: {lang: 1 + sum(c[lang] for c in counts[n].values()) for lang in languages} for n in counts}
+    unseen = {n: language_id.UNSEEN / max(totals[n].values()) for n in counts}
+    logs = lambda n, c: [np.log(c[lang] / totals[n][lang] if c[lang] else unseen[n]) for lang in languages]
+    out = []
+    for text in texts:
+        sums, known, any_word = np.zeros(len(languages)), 0, False
+        for w in cut(text):
+            any_word = True
+            for n in (0, *range(language_id.LONGEST, 0, -1)):
+                found = [logs(n, counts[n][g]) for g in (grams_of(w, n) if n else [w]) if g in counts[n]]
+                if found:
+                    sums, known = sums + np.mean(found, axis=0), known + 1
+                    break
+        chance = np.exp((sums - sums.max()) / np.sqrt(max(known, 1)))
+        out.append((languages[int(sums.argmax())], chance.max() / chance.sum()) if any_word else ("und", 0.0))
+    return out
+
+
+def test_languages_by_a_slow_scorer(spark):
+    rng = np.random.default_rng(8)
+    stems = {"de": "der und nicht strasse haus über grün", "en": "the and not street house over green", "fr": "le et pas rue maison dessus vert"}
+    labelled = [(lang, " ".join(str(w) + str(rng.choice(["", "s", "en", "é"])) for w in rng.choice(stems[lang].split(), 25))) for lang in stems for _ in range(6)]
+    texts = [" ".join(str(w) + str(rng.choice(["", "x", "ung", "er"])) for w in rng.choice(" ".join(stems.values()).split(), int(rng.integers(1, 9)))) for _ in range(40)] + ["12 !", None, "ωψ", "Haus, HOUSE; maison", "q"]
+    expected = slow_languages(labelled, texts)
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    learned = spark.createDataFrame(labelled, "lang string, text string")
+    for limits in ((50_000, 4_000), (2, 1)):
+        got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(rows, language_id.train(learned, *limits)).collect()}
+        for i, (lang, score) in enumerate(expected):
+            assert abs(got[i][1] - score) < 1e-6 and (got[i][0] == lang or abs(score - 1 / 3) < 1e-6), (texts[i], got[i], expected[i])
+
+
+def test_quality_by_a_slow_scorer_and_its_risk():
+    rng = np.random.default_rng(5)
+    words = "alpha beta gamma delta eps zeta".split()
+    good = [" ".join(rng.choice(words, 60)) + "." for _ in range(60)]
+    bad = [" ".join(rng.choice(["$$$", "BUY", "now!!!", "alpha"], 40)) for _ in range(60)]
+    slots = pu_quality.WordSlots()
+    positive, mixed = [pu_quality.features(t, slots) for t in good[:40]], [pu_quality.features(t, slots) for t in good[40:] + bad[:20]]
+    weights = pu_quality.fit(positive, mixed, 0.5)
+
+    def slow(text):
+        """The margin word by word: style, then each word's weight by the root of its count, over the length of that vector."""
+        raw = (text or "").encode()
+        total = sum(w * v for w, v in zip(weights, pu_quality.style_of(text or "", raw, raw.split())))
+        slot_counts = Counter(slots[w] for w in raw.split())
+        norm = sum(slot_counts.values()) ** 0.5
+        return total + sum(pu_quality.WORD_WEIGHT * n**0.5 / norm * weights[s] for s, n in slot_counts.items())
+
+    texts = [*good[:5], *bad[:5], "", None, "alpha", "x " * 500]
+    assert np.allclose(pu_quality.score_texts(texts, weights, slots), [1 / (1 + np.exp(-np.clip(slow(t), -40, 40))) for t in texts])
+
+    def risk(w):
+        p, u = (np.array([float(v @ w[a]) for a, v in some]) for some in (positive, mixed))
+        return 0.5 * np.logaddexp(0, -p).mean() + max(0.0, np.logaddexp(0, u).mean() - 0.5 * np.logaddexp(0, p).mean())
+
+    ready = pu_quality.fit_calibrated(positive, mixed, 0.5)
+    assert risk(ready) < min(risk(ready * 0), risk(-ready))
