@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import contextlib
-import contextvars
 import gc
 import re
 import tempfile
+import threading
 import time
 import uuid
 from collections.abc import Iterator
@@ -37,24 +37,28 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    for paths in _recorders.get():
+    for paths in _recorders.get(threading.get_ident(), []):
         paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Lists that note the paths of tables while they are written, of this thread alone; see :func:`recorded`.
-_recorders: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("recorders", default=())
+#: By thread, lists that note the paths of tables while they are written; see :func:`recorded`.
+_recorders: dict[int, list[list[str]]] = {}
 
 
 @contextlib.contextmanager
 def recorded(paths: list[str]) -> Iterator[None]:
     """Note the paths of all tables that this thread writes meanwhile, so that :func:`delete_paths` can drop them later."""
-    token = _recorders.set((*_recorders.get(), paths))
+    mine = _recorders.setdefault(threading.get_ident(), [])
+    mine.append(paths)
     try:
         yield
     finally:
-        _recorders.reset(token)
+        # The last one is this one, whatever equals it.
+        mine.pop()
+        if not mine:
+            _recorders.pop(threading.get_ident(), None)
 
 
 def delete_paths(spark: SparkSession, paths: list[str]) -> None:
