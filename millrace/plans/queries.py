@@ -550,11 +550,11 @@ SELECT batch, id, round(share, 6) AS share, list_transform(range(7), lambda k: r
   list_transform(range(64), lambda i: round(CASE WHEN kind = 'none' THEN px[i + 1] WHEN kind = 'mixup' THEN px[i + 1] * share + opx[i + 1] * (1 - share)
     WHEN i // 8 >= y1 AND i // 8 < y2 AND i % 8 >= x1 AND i % 8 < x2 THEN opx[i + 1] ELSE px[i + 1] END, 6)) AS pixels FROM final""")
 def batch_mixing(spark: SparkSession, d: str) -> DataFrame:
-    """Mixed batches of 8 x 8 rasters."""
+    """Mixed batches of 8 x 8 rasters; what is rounded to zero keeps its sign, as in SQL."""
     rows = table(spark, d, "embeddings").select(
         F.col("vec_id").alias("id"), F.floor(F.col("vec_id") / 32).alias("batch"), F.transform("embedding", lambda v: v.cast("double")).alias("pixels"), scores.one_hot(F.col("label") % 7, 7).alias("target")
     )
-    six = lambda c: F.transform(c, lambda v: F.round(v, 6)).alias(c)
+    six = lambda c: F.transform(c, lambda v: F.when(F.round(v, 6) == 0, v * 0.0).otherwise(F.round(v, 6))).alias(c)
     return augment.mix_batches(rows, 8, 8, chance=0.9).select("batch", "id", F.round("share", 6).alias("share"), six("target"), six("pixels"))
 
 

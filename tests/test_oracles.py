@@ -36,3 +36,13 @@ def test_same_rows_as_sql(spark, duck, name):
     a = sorted((tuple(map(plain, r)) for r in found.select(*columns).collect()), key=repr)
     b = sorted((tuple(map(plain, r)) for r in duck.sql("SELECT " + ", ".join(f'"{c}"' for c in columns) + f" FROM ({ORACLES[name]})").fetchall()), key=repr)
     assert a == b
+
+
+def test_mixed_pixels_keep_the_sign_of_zero(spark, tmp_path):
+    rows = [(k, [(-1e-7, 1e-7, -0.0, 0.25)[(k + i) % 4] for i in range(64)], k % 10) for k in range(320)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    found = {r.id: str(r.pixels) for r in QUERIES["batch_mixing"](spark, str(tmp_path)).collect()}
+    expected = {i: str(p) for i, p in con.sql(f"SELECT id, pixels FROM ({ORACLES['batch_mixing']})").fetchall()}
+    assert found == expected and any("-0.0" in p for p in found.values())
