@@ -81,7 +81,9 @@ STAGES = {
 @query("SELECT vec_id::VARCHAR AS path, stage, 1728 AS n, true AS inside, true AS worked FROM embeddings CROSS JOIN (VALUES ('one_stage'), ('two_stages'), ('scene_evaluation'), ('hard_degrade'), ('light_fallback')) s(stage)")
 def augmented_images(spark: SparkSession, d: str) -> DataFrame:
     """Every image through every augmentation: whole squares of numbers from -1 to 1, and no failure."""
-    rows = drawn(spark, d, 4, 5, 3)
+    # The rows are small and their work is large, so they are dealt out to all cores, however few files they lie in.
+    n = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = drawn(spark, d, 4, 5, 3).repartition(n, "path")
     inside = F.forall("pixels", lambda v: (v >= -1) & (v <= 1))
     parts = [augment.transform_images(rows, kernel, size=24).select("path", F.lit(name).alias("stage"), F.size("pixels").alias("n"), inside.alias("inside"), F.col("error").isNull().alias("worked")) for name, kernel in STAGES.items()]
     done = parts[0]

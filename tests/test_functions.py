@@ -78,6 +78,22 @@ def test_augmentation_depends_on_its_key_alone(strength):
     assert np.array_equal(stages.scene_evaluation(image), stages.scene_evaluation(image.copy()))
 
 
+def test_grounds_are_made_in_single_precision(monkeypatch):
+    """A ground has normal grain over smooth light, and is neither drawn nor blended in numbers of 64 bits, which took most of a scene's time."""
+    noise = scenes.grain(rasters.generator("noise"), (400, 500, 3), 5.0)
+    assert noise.dtype == np.float32 and abs(noise.mean()) < 0.05 and abs(noise.std() - 5) < 0.05 and 20 < np.abs(noise).max() < 25
+    assert abs(np.corrcoef(noise[:, :-1].ravel(), noise[:, 1:].ravel())[0, 1]) < 0.01
+    where, kinds = scenes.Plan(500, 640, 0.4, 0.5, 0.5), []
+    monkeypatch.setattr(scenes, "as_bytes", lambda image: kinds.append((image.dtype, image.size)) or rasters.as_bytes(image))
+    ground = scenes.made_ground(where, rasters.generator("ground"))
+    assert ground.shape == (640, 500, 3) and ground.dtype == np.uint8
+    image = np.random.default_rng(4).integers(0, 256, (30, 40, 3), dtype=np.uint8)
+    out = scenes.lay(image, np.ones((30, 40), dtype=np.float32), where, ground)
+    changed = (out != ground).any(axis=2)
+    assert changed.any() and not changed[:100].any() and not changed[-100:].any()
+    assert all(kind == np.float32 or size < ground.size / 4 for kind, size in kinds)
+
+
 def test_every_kernel_keeps_shapes():
     for shape in ((50, 90, 3), (40, 30), (9, 7, 3)):
         image, cover = np.random.default_rng(2).integers(0, 256, shape, dtype=np.uint8), np.ones(shape[:2], dtype=np.float32)

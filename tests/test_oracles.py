@@ -4,6 +4,7 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.plans.queries import ORACLES, QUERIES
 
@@ -38,6 +39,12 @@ def test_same_rows_as_sql(spark, duck, name):
     assert a == b
 
 
+def test_augmented_images_are_dealt_to_all_cores(spark, tmp_path):
+    spark.createDataFrame([(k, [0.1 * (k % 7)] * 64, 0) for k in range(400)], "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    rows = QUERIES["augmented_images"](spark, str(tmp_path)).where("stage = 'light_fallback'")
+    assert rows.select(F.spark_partition_id().alias("p")).distinct().count() >= spark.sparkContext.defaultParallelism
+
+
 def test_mixed_pixels_keep_the_sign_of_zero(spark, tmp_path):
     rows = [(k, [(-1e-7, 1e-7, -0.0, 0.25)[(k + i) % 4] for i in range(64)], k % 10) for k in range(320)]
     spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
