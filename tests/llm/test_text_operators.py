@@ -611,16 +611,46 @@ def test_contexts_are_told_apart_by_sorting(monkeypatch):
     tokens = cm.Tokens(stream)
     rows = []
     for flush, learned in enumerate((np.ones(len(tokens.text), bool), tokens.text == 0)):
-        keys, counts = cm._counted((tokens.contexts(1, 32)[learned] << np.uint64(cm.CLASS_BITS)) | tokens.classes()[learned])
-        rows.append((0, 1, flush, common.pack_sorted(keys), cm.pack_counts(counts), common.pack_sorted(cm._counted(tokens.contexts(1, 32)[~learned])[0])))
+        keys, counts = cm._counted(tokens.pairs(1, 32)[learned])
+        rows.append((0, 1, flush, common.pack_sorted(keys), cm.pack_counts(counts), common.pack_sorted(cm._counted(tokens.pairs(1, 32)[~learned])[0])))
     for flush, answer in enumerate(cm._answer(1, 0, rows)):
         own = (np.ones(len(tokens.text), bool) if flush == 0 else tokens.text == 0).astype(np.int64)
-        found = cm.Candidates(tokens.contexts(1, 32), tokens.classes(), own, [answer[2:6]], 1, 32)
+        found = cm.Candidates(tokens.pairs(1, 32), own, [answer[2:7]], 1, 32)
         # After "a" comes "b" in every text, five times in both flushes together.
         after_a = [1, 3, 8]
         assert (found.name[after_a] == tokens.classes()[1]).all() and (found.times[after_a] == 5 - own[after_a]).all()
 
 
+def test_every_follower_is_known(spark):
+    """A context knows how often each class followed it, not the most frequent one alone, exactly and for any count; other followers cost less for it."""
+    cm, rng = context_mixing, np.random.default_rng(5)
+    words = [f"w{k}" for k in rng.zipf(1.3, 40_000) % 300]
+    texts = [" ".join(words[k : k + 400]) for k in range(0, len(words), 400)]
+    tokens = cm.Tokens(common.WordStream(pa.array(texts)))
+    known, pairs = tokens.text % 10 > 0, tokens.pairs(1, 40)
+    keys, counts = cm._counted(pairs[known])
+    masses = np.bincount(tokens.classes()[known].astype(np.int64), minlength=1 << cm.CLASS_BITS).astype(float)
+    (answer,) = cm._answer(1, 0, [(0, 1, 0, common.pack_sorted(keys), cm.pack_counts(counts), common.pack_sorted(cm._counted(pairs[~known])[0]))], masses)
+    found = cm.Candidates(pairs, known.astype(np.int64), [answer[2:7]], 1, 40)
+    times, after, seen = Counter(pairs[known].tolist()), {}, Counter((pairs[known] >> np.uint64(cm.CLASS_BITS)).tolist())
+    for p in times:
+        after.setdefault(p >> cm.CLASS_BITS, set()).add(p & ((1 << cm.CLASS_BITS) - 1))
+    assert max(seen.values()) > 1000
+    for i in range(0, len(pairs), 7):
+        p, own = int(pairs[i]), int(known[i])
+        c = p >> cm.CLASS_BITS
+        assert found.follows[i] == times[p] - own and found.total[i] == seen[c] - own
+        assert found.left[i] == found.total[i] - found.asked[i] * found.times[i]
+        assert found.kinds[i] == len(after.get(c, ())) - (own and times[p] == 1) - found.asked[i]
+        rest = 1 - sum(masses[k] for k in after.get(c, ())) / masses.sum()
+        assert rest <= found.room[i] * (1 + 1e-9) and 1 - rest <= found.held[i] * (1 + 1e-9) and found.room[i] < max(cm.FLOOR, rest) * 1.05 + 1e-4
+    # After "a" most often comes "b"; "c" is as rare as "d" elsewhere, but it follows "a".
+    rows = [(k, "a b " * 6 + "a c " * 3 + f"z{k % 9} d y{k % 7} " * 30 + "a c") for k in range(1, 90)] + [(1000 + k, "a c") for k in range(60)]
+    docs = spark.createDataFrame([r for r in rows if r[0] < 1000 or not learned(r[0])], "doc_id long, text string")
+    plain, whole = ({r.doc_id: r.score for r in context_mixing.score(docs, followers=f).where("doc_id >= 1000").collect()} for f in (False, True))
+    assert plain and all(whole[k] > plain[k] for k in plain)
+
+
 def test_mixing_is_a_distribution():
     """The costs of both values of a bit are those of a probability and its complement."""
     rng = np.random.default_rng(0)
