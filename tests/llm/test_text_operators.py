@@ -651,6 +651,15 @@ def test_every_follower_is_known(spark):
     assert plain and all(whole[k] > plain[k] for k in plain)
 
 
+def test_parts_of_flushes_change_nothing(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, text(k, 60)) for k in range(60)], "doc_id long, text string").coalesce(1)
+    scores = []
+    for bound in (1 << 40, 0):
+        monkeypatch.setattr(context_mixing, "PART_BYTES", bound)
+        scores.append({r.doc_id: round(r.score, 6) for r in context_mixing.score(docs, 2000, followers=True).collect()})
+    assert scores[0] == scores[1] and len(scores[0]) == 60
+
+
 def test_mixing_is_a_distribution():
     """The costs of both values of a bit are those of a probability and its complement."""
     rng = np.random.default_rng(0)
