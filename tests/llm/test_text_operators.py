@@ -6,6 +6,7 @@ import json
 import math
 import re
 import resource
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -621,6 +622,61 @@ def test_contexts_are_told_apart_by_sorting(monkeypatch):
         assert (found.name[after_a] == tokens.classes()[1]).all() and (found.times[after_a] == 5 - own[after_a]).all()
 
 
+@pytest.mark.parametrize("n_flushes", [3, 40])
+def test_flushes_are_answered_together(monkeypatch, n_flushes):
+    """A range is searched and compressed for all its flushes at once, and each flush reads exact counts and names from its ranges' answers."""
+    cm, rng, n = context_mixing, np.random.default_rng(n_flushes), 3
+    words = [f"w{k}" for k in rng.zipf(1.3, 12_000) % 400]
+    flushes, asks = [], [[] for _ in range(n)]
+    for f in range(n_flushes):
+        tokens = cm.Tokens(common.WordStream(pa.array([" ".join(words[k : k + 20 + f % 3]) for k in range(300 * f, 300 * f + 300, 25)])))
+        known, pairs = tokens.text % 4 > 0, tokens.pairs(1, 40)
+        flushes.append((known, pairs))
+        (keys, counts), ask = cm._counted(pairs[known]), cm._counted(pairs[~known])[0]
+        a, b = cm._cuts(keys, n, 40, cm.CLASS_BITS), cm._cuts(ask, n, 40, cm.CLASS_BITS)
+        for k in range(n):
+            asks[k].append((k, 1, f, common.pack_sorted(keys[a[k] : a[k + 1]]), cm.pack_counts(counts[a[k] : a[k + 1]]), common.pack_sorted(ask[b[k] : b[k + 1]])))
+    calls, search = [], np.searchsorted
+    with monkeypatch.context() as m:
+        m.setattr(np, "searchsorted", lambda *x, **y: calls.append(1) or search(*x, **y))
+        m.setattr(cm.zstandard, "compress", lambda *_: pytest.fail("a compressor was made for one message"))
+        answers = [list(cm._answer(1, k, rows)) for k, rows in enumerate(asks)]
+    assert len(calls) <= 6 * n
+    times, after = Counter(), {}
+    for known, pairs in flushes:
+        times.update(pairs[known].tolist())
+    for p, t in times.items():
+        after.setdefault(p >> cm.CLASS_BITS, {})[p & ((1 << cm.CLASS_BITS) - 1)] = t
+    unmet = 0
+    for f, (known, pairs) in enumerate(flushes):
+        found = cm.Candidates(pairs, known.astype(np.int64), [a[f][2:7] for a in answers], n, 40)
+        here = set(pairs.tolist())
+        for i, (p, own) in enumerate(zip(pairs.tolist(), known.astype(int).tolist())):
+            left = dict(after.get(p >> cm.CLASS_BITS, {}))
+            if own:
+                left[p & ((1 << cm.CLASS_BITS) - 1)] -= 1
+            assert found.total[i] == sum(left.values()) and found.follows[i] == left.get(p & ((1 << cm.CLASS_BITS) - 1), 0)
+            if found.total[i]:
+                assert found.times[i] == max(left.values()) == left[int(found.name[i])] and found.asked[i] == (16 * found.times[i] >= found.total[i])
+                assert found.kinds[i] == sum(t > 0 for t in left.values()) - found.asked[i]
+                unmet += ((p >> cm.CLASS_BITS) << cm.CLASS_BITS | int(found.name[i])) not in here
+    assert unmet
+
+
+def test_words_are_hashed_in_little_memory():
+    """Running sums over bytes are kept for a small part of a text at a time; the hashes don't depend on the parts."""
+    data = " ".join(f"Word{k * k}" for k in range(150_000)) + " " + "x" * 200 + " " + "y" * 70_000
+    texts = pa.array([data])
+    common.WordStream(texts)
+    tracemalloc.start()
+    stream = common.WordStream(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 * len(data)
+    for i in [*range(0, len(stream.hashes), 1009), len(stream.hashes) - 2, len(stream.hashes) - 1]:
+        assert stream.hashes[i] == common.WordStream(pa.array([stream.word(i).decode()])).hashes[0]
+
+
 def test_every_follower_is_known(spark):
     """A context knows how often each class followed it, not the most frequent one alone, exactly and for any count; other followers cost less for it."""
     cm, rng = context_mixing, np.random.default_rng(5)
