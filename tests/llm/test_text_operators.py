@@ -663,6 +663,16 @@ def test_flushes_are_answered_together(monkeypatch, n_flushes):
     assert unmet
 
 
+def test_contexts_without_training_texts():
+    cm, tokens = context_mixing, context_mixing.Tokens(common.WordStream(pa.array(["a b a b c", None])))
+    pairs, own = tokens.pairs(1, 40), np.zeros(len(tokens.text), dtype=bool)
+    rows = [(0, 1, 0, common.pack_sorted(pairs[:0]), cm.pack_counts(np.zeros(0, np.int64)), common.pack_sorted(cm._counted(pairs)[0]))]
+    with np.errstate(all="raise"):
+        for masses in (None, np.zeros(1 << cm.CLASS_BITS)):
+            found = cm.Candidates(pairs, own, [a[2:7] for a in cm._answer(1, 0, rows, masses)], 1, 40)
+            assert not (found.total.any() or found.asked.any() or found.left.any() or found.follows.any() or found.kinds.any()) and (found.name == -1).all()
+
+
 def test_words_are_hashed_in_little_memory():
     """Running sums over bytes are kept for a small part of a text at a time; the hashes don't depend on the parts."""
     data = " ".join(f"Word{k * k}" for k in range(150_000)) + " " + "x" * 200 + " " + "y" * 70_000
